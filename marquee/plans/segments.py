@@ -99,7 +99,7 @@ def fact_genre_market_momentum(fact_wide: DataFrame, stg_genres: DataFrame) -> D
     )
     med = group_median(base, keys, "roi_pct", out="__median")
     g = join_null_safe(agg, med, keys, "left")
-    w = Window.partitionBy("genre").orderBy("release_year")
+    w = Window.partitionBy("genre").orderBy(F.col("release_year").asc_nulls_last())
     g = g.select(
         *keys, "movie_count", "total_revenue", "avg_roi_pct",
         round_dec("__median").alias("median_roi_pct"),
@@ -137,7 +137,7 @@ def fact_genre_market_coverage_trends(coverage: DataFrame, stg_genres: DataFrame
     )
     med = group_median(base, keys, "revenue", out="__median")
     g = join_null_safe(agg, med, keys, "left")
-    w = Window.partitionBy("genre").orderBy("release_year")
+    w = Window.partitionBy("genre").orderBy(F.col("release_year").asc_nulls_last())
     g = g.select(
         *keys, "movie_count", "total_revenue", "avg_budget",
         round_dec("__median").alias("median_revenue"), "recommendation_eligible_movie_count",

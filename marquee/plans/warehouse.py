@@ -16,9 +16,17 @@ from marquee.config import Scope
 from marquee.operators import impute, match
 from marquee.operators.multival import build_mapping
 from marquee.plans import analyses, clean, dims, facts, segments, staging
+from marquee.session import ensure_checkpoint_dir
 from marquee.sources.adapter import RawTables, generated_raw
 
 
+def stage(df: DataFrame) -> DataFrame:
+    """Materialise a reused layer and cut its lineage (reliable checkpoint in
+    the session's checkpoint directory; survives executor loss)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 class Warehouse:
     def __init__(self, raw: RawTables, scope: Scope = Scope(), title_mode: str = "intent",
                  median_method: str = "exact", order_strategy: str = "distributed"):
@@ -48,7 +56,9 @@ class Warehouse:
 
     @cached_property
     def financials(self) -> DataFrame:
-        return match.enrich_budget(self.matched)
+        # the match result feeds both imputation baselines and every mart:
+        # materialise it once in the reliable checkpoint directory
+        return stage(match.enrich_budget(self.matched))
 
     @cached_property
     def baselines(self):
@@ -216,6 +226,10 @@ class Warehouse:
     def catalog_reliability(self, by=None) -> DataFrame:
         return segments.catalog_reliability(self.stg_movies, by)
 
+    @staticmethod
+    def catalog_reliability_df(df: DataFrame, by=None) -> DataFrame:
+        return segments.catalog_reliability(df, by)
+
 
 def tier_of(w: Warehouse) -> DataFrame:
     """Match tier per catalogue id (for the J7 query)."""

@@ -21,11 +21,184 @@ def query(name: str):
     return deco
 
 
+_CACHE: dict[tuple, Warehouse] = {}
+
+
 def wh(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return Warehouse.from_generated(spark, sf_dir)
+    """One warehouse per (session, data dir): layers are built once and shared
+    by all queries, like materialised warehouse layers."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
+    if key not in _CACHE:
+        _CACHE[key] = Warehouse.from_generated(spark, sf_dir)
+    return _CACHE[key]
 
 
 @query("fact_genre_budget_roi")
 def q_fact_genre_budget_roi(spark, sf_dir):
     """C10 - flagship: which genre x budget tier has the best, most reliable ROI."""
     return wh(spark, sf_dir).fact_genre_budget_roi
+
+
+# ---- bronze: matching, enrichment, imputation -----------------------------
+@query("tiered_match")
+def q_tiered_match(spark, sf_dir):
+    """J7 (J4-J6): one candidate per title, tier by year distance."""
+    return wh(spark, sf_dir).matched.select("id", "title_norm", "release_year", "ext_budget",
+                                            "ext_revenue", "match_tier")
+
+
+@query("dedup_benchmark")
+def q_dedup_benchmark(spark, sf_dir):
+    """Best benchmark row per normalised title."""
+    return wh(spark, sf_dir).benchmark_dedup.select("title_norm", "release_year", "ext_budget", "ext_revenue")
+
+
+@query("match_tier_counts")
+def q_match_tier_counts(spark, sf_dir):
+    """Enrichment match metrics."""
+    from marquee.operators.match import match_tier_counts
+    return match_tier_counts(wh(spark, sf_dir).matched)
+
+
+@query("enrich_budget")
+def q_enrich_budget(spark, sf_dir):
+    """C1 (F7, P7): budget back-fill from the benchmark with lineage flags."""
+    return wh(spark, sf_dir).financials
+
+
+@query("imputation_baselines")
+def q_imputation_baselines(spark, sf_dir):
+    """The two imputation medians (exact lower median) as one row."""
+    from pyspark.sql import functions as F
+    from marquee.operators.percentile import group_percentiles
+    fin = wh(spark, sf_dir).financials
+    ratio = group_percentiles(
+        fin.where((F.col("budget_reported") > 0) & (F.col("revenue") > 0))
+        .select((F.col("budget_reported") / F.col("revenue")).alias("r")), [], "r",
+        {"median_budget_revenue_ratio": 0.5}, method="disc").drop("n").withColumn("__k", F.lit(1))
+    budget = group_percentiles(fin.where(F.col("budget_reported") > 0), [], "budget_reported",
+                               {"median_budget": 0.5}, method="disc").drop("n").withColumn("__k", F.lit(1))
+    return ratio.join(budget, "__k", "full").drop("__k")
+
+
+@query("impute_budget")
+def q_impute_budget(spark, sf_dir):
+    """Ratio imputation anchored on revenue, with method labels."""
+    return wh(spark, sf_dir).enriched_base.select(
+        "id", "budget_reported", "revenue", "budget", "is_budget_imputed", "budget_imputation_method",
+        "is_budget_reported", "is_revenue_reported", "is_roi_eligible", "is_enriched")
+
+
+@query("movies_enriched")
+def q_movies_enriched(spark, sf_dir):
+    """Enriched movie table, one row per id."""
+    return wh(spark, sf_dir).movies_enriched
+
+
+@query("enrichment_audit")
+def q_enrichment_audit(spark, sf_dir):
+    """Enrichment lineage, one row per id."""
+    return wh(spark, sf_dir).enrichment_audit
+
+
+@query("enrichment_metrics")
+def q_enrichment_metrics(spark, sf_dir):
+    """One-pass enrichment summary and coverage ratio."""
+    from marquee.operators.impute import enrichment_metrics
+    return enrichment_metrics(wh(spark, sf_dir).enriched_base)
+
+
+@query("imputation_method_mix")
+def q_imputation_method_mix(spark, sf_dir):
+    """Rows per imputation method ('none' for NULL)."""
+    from marquee.operators.impute import imputation_method_mix
+    return imputation_method_mix(wh(spark, sf_dir).enriched_base)
+
+
+# ---- silver ---------------------------------------------------------------------
+SILVER_MOVIE_COLUMNS = [
+    "id", "title", "release_date", "budget", "budget_reported", "revenue", "is_budget_reported",
+    "is_budget_imputed", "budget_imputation_method", "is_revenue_reported",
+    "is_market_coverage_eligible", "is_recommendation_eligible", "roi_eligible_imputed",
+    "roi_eligible_strict", "is_roi_eligible",
+]
+
+
+@query("clean_movies")
+def q_clean_movies(spark, sf_dir):
+    """C4 (A10, F5, F1, F4, F6, P11, P6)."""
+    return wh(spark, sf_dir).silver_movies.select(*SILVER_MOVIE_COLUMNS)
+
+
+@query("clean_ratings")
+def q_clean_ratings(spark, sf_dir):
+    """C5 (S3 flatten, F28, F29)."""
+    return wh(spark, sf_dir).silver_ratings
+
+
+@query("clean_extended")
+def q_clean_extended(spark, sf_dir):
+    """C6 (F26 list literals -> names)."""
+    return wh(spark, sf_dir).silver_extended
+
+
+@query("build_mapping_genres")
+def q_build_mapping_genres(spark, sf_dir):
+    """G1 on genres."""
+    return wh(spark, sf_dir).movie_genres
+
+
+@query("build_mapping_companies")
+def q_build_mapping_companies(spark, sf_dir):
+    """G1 on production companies."""
+    return wh(spark, sf_dir).movie_companies
+
+
+@query("build_mapping_countries")
+def q_build_mapping_countries(spark, sf_dir):
+    """G1 on production countries."""
+    return wh(spark, sf_dir).movie_countries
+
+
+# ---- staging --------------------------------------------------------------------
+for _name in ["stg_movies", "stg_ratings", "stg_movie_extended", "stg_movie_genres",
+              "stg_movie_companies", "stg_movie_countries", "stg_movies_roi_eligible"]:
+    QUERIES[_name] = (lambda n: (lambda spark, sf_dir: getattr(wh(spark, sf_dir), n)))(_name)
+
+# ---- gold marts -----------------------------------------------------------------
+for _name in ["fact_movie_performance", "fact_movie_roi_analysis", "fact_movie_market_coverage",
+              "fact_genre_budget_roi_recommendable", "fact_genre_market_momentum",
+              "fact_genre_market_coverage_trends", "dim_date", "dim_movie", "dim_budget_tier",
+              "dim_genre", "dim_country", "dim_company", "bridge_movie_genre",
+              "bridge_movie_company", "bridge_movie_country"]:
+    QUERIES[_name] = (lambda n: (lambda spark, sf_dir: getattr(wh(spark, sf_dir), n)))(_name)
+
+# ---- analyses -------------------------------------------------------------------
+for _name in ["monthly_revenue_mom", "sequential_in_tier", "yearly_yoy", "top10_by_genre",
+              "top10_by_year", "kpi_overview", "calendar_yoy_revenue"]:
+    QUERIES[_name] = (lambda n: (lambda spark, sf_dir: getattr(wh(spark, sf_dir), n)()))(_name)
+
+
+@query("catalog_reliability")
+def q_catalog_reliability(spark, sf_dir):
+    """Share of the catalogue usable in each scope."""
+    return wh(spark, sf_dir).catalog_reliability()
+
+
+@query("catalog_reliability_by_year")
+def q_catalog_reliability_by_year(spark, sf_dir):
+    """C36 per release year."""
+    from pyspark.sql import functions as F
+    w = wh(spark, sf_dir)
+    return w.catalog_reliability_df(w.stg_movies.withColumn("release_year", F.year("release_date")),
+                                    ["release_year"])
+
+
+@query("genre_tier_heatmap")
+def q_genre_tier_heatmap(spark, sf_dir):
+    """Genre rows x budget-tier columns of the median ROI %."""
+    from marquee.operators.reshape import pivot_fixed
+    from marquee.config import BUDGET_TIER_LABELS
+    prof = wh(spark, sf_dir).fact_genre_budget_roi
+    return pivot_fixed(prof, ["genre"], "budget_tier", [BUDGET_TIER_LABELS[k] for k in (1, 2, 3, 4)],
+                       "median_roi_pct")
