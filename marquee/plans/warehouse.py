@@ -226,6 +226,19 @@ class Warehouse:
     def catalog_reliability(self, by=None) -> DataFrame:
         return segments.catalog_reliability(self.stg_movies, by)
 
+    MODEL_NAMES = [
+        "stg_movies", "stg_ratings", "stg_movie_extended", "stg_movie_genres", "stg_movie_companies",
+        "stg_movie_countries", "stg_movies_roi_eligible", "fact_movie_performance",
+        "fact_movie_roi_analysis", "fact_movie_market_coverage", "dim_date", "dim_movie",
+        "dim_budget_tier", "dim_genre", "dim_country", "dim_company", "bridge_movie_genre",
+        "bridge_movie_company", "bridge_movie_country", "fact_genre_budget_roi",
+        "fact_genre_budget_roi_recommendable", "fact_genre_market_momentum",
+        "fact_genre_market_coverage_trends",
+    ]
+
+    def models(self) -> dict[str, DataFrame]:
+        return {n: getattr(self, n) for n in self.MODEL_NAMES}
+
     @staticmethod
     def catalog_reliability_df(df: DataFrame, by=None) -> DataFrame:
         return segments.catalog_reliability(df, by)

@@ -202,3 +202,68 @@ def q_genre_tier_heatmap(spark, sf_dir):
     prof = wh(spark, sf_dir).fact_genre_budget_roi
     return pivot_fixed(prof, ["genre"], "budget_tier", [BUDGET_TIER_LABELS[k] for k in (1, 2, 3, 4)],
                        "median_roi_pct")
+
+
+# ---- data quality -----------------------------------------------------------
+@query("schema_tests")
+def q_schema_tests(spark, sf_dir):
+    """not_null / unique / accepted_values / relationships."""
+    from marquee.plans.quality_suite import schema_suite
+    return schema_suite(wh(spark, sf_dir).models())
+
+
+@query("business_rule_tests")
+def q_business_rule_tests(spark, sf_dir):
+    """Q13-Q17: singular business-rule tests (P9 null-safe inequality)."""
+    from marquee.plans.quality_suite import business_rule_suite
+    w = wh(spark, sf_dir)
+    return business_rule_suite(w.models(), w.scope)
+
+
+@query("expected_count_checks")
+def q_expected_count_checks(spark, sf_dir):
+    """Q8: cleaning-step PASS/WARN checks."""
+    from marquee.plans.quality_suite import cleaning_count_checks
+    w = wh(spark, sf_dir)
+    return cleaning_count_checks(w.silver_movies, w.silver_ratings, w.silver_extended)
+
+
+# ---- profiling (EDA) ----------------------------------------------------------
+def eda(spark, sf_dir):
+    from marquee.plans.eda import Eda
+    return Eda(wh(spark, sf_dir).raw)
+
+
+_EDA = {
+    "missingness": "missingness",                   # Q1, O6
+    "id_quality": "id_quality",                     # Q2
+    "integrity_report": "integrity_report",         # Q3, J10, U3
+    "anomaly_summary": "anomaly_summary",           # Q4
+    "date_pattern_census": "date_pattern_census",   # Q5, F24
+    "ratings_validity": "ratings_validity",         # Q6, P10
+    "range_report": "range_report",                 # Q7, A16
+    "describe_numeric": "describe",                 # A15
+    "budget_tertiles": "budget_tertiles",           # A16, F9
+    "budget_revenue_corr": "budget_revenue_corr",   # A17
+    "valid_financials": "valid_financials",         # P12, F15, F32
+    "roi_histogram": "roi_histogram",               # A20, F30
+    "rating_histogram": "rating_histogram",         # A20
+    "top_rated": "top_rated",                       # O4
+    "low_budget_outliers": "low_budget_outliers",   # P12, O5
+    "multivalue_stats": "multivalue_stats",         # A21, F25, F27
+    "delimiter_quality": "delimiter_quality",       # F24
+    "genre_count_distribution": "genre_count_distribution",  # A21
+    "dimension_cardinality": "dimension_cardinality",        # G3, A14
+    "parse_release_dates": "parse_release_dates",   # F1
+    "normalize_titles": "normalize_titles",         # F2, F21, F23
+    "parse_country_literals": "parse_country_literals",  # F26, F27
+    "duplicate_flags": "duplicate_flags",           # W10
+    "schema_summary": "schema_summary",             # Q18
+    "stacked_profile": "stacked_numeric_profile",   # U2
+}
+for _name, _meth in _EDA.items():
+    QUERIES[_name] = (lambda m: (lambda spark, sf_dir: getattr(eda(spark, sf_dir), m)()))(_meth)
+
+for _name, _col in (("top_genres", "genres_list"), ("top_countries", "country_names"),
+                    ("top_languages", "language_names")):  # A19, O3, G2
+    QUERIES[_name] = (lambda c: (lambda spark, sf_dir: eda(spark, sf_dir).top_tokens(c)))(_col)
