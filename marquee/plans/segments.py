@@ -33,17 +33,12 @@ def _rank_order() -> list[Column]:
             F.col("total_revenue").desc_nulls_last()]
 
 
-def movie_genre_base(fact_wide: DataFrame, stg_genres: DataFrame) -> DataFrame:
-    """Fact rows of the analysis scope joined to their genres."""
-    f = fact_wide.where(F.col("is_roi_eligible") & F.col("roi").isNotNull()
-                        & (F.col("budget_tier") != K.BUDGET_TIER_UNKNOWN))
-    return f.join(stg_genres, "movie_id")
-
-
-def fact_genre_budget_roi(fact_wide: DataFrame, stg_genres: DataFrame) -> DataFrame:
+def fact_genre_budget_roi(fact_genre: DataFrame) -> DataFrame:
     """Genre x budget tier ROI profile with volatility, predictability
-    and three dense ranks (on the unrounded median)."""
-    base = movie_genre_base(fact_wide, stg_genres)
+    and three dense ranks (on the unrounded median).  ``fact_genre`` is the
+    fact joined to its genres (J1), built once for all genre marts."""
+    base = fact_genre.where(F.col("is_roi_eligible") & F.col("roi").isNotNull()
+                            & (F.col("budget_tier") != K.BUDGET_TIER_UNKNOWN))
     keys = ["genre", "budget_tier", "budget_quartile"]
     agg = base.groupBy(*keys).agg(
         F.count(F.lit(1)).cast("bigint").alias("movie_count"),
@@ -84,13 +79,12 @@ def fact_genre_budget_roi_recommendable(profile: DataFrame, min_sample: int = K.
     return profile.where((F.col("movie_count") >= min_sample) & ~F.col("genre").isin(*excluded))
 
 
-def fact_genre_market_momentum(fact_wide: DataFrame, stg_genres: DataFrame) -> DataFrame:
+def fact_genre_market_momentum(fact_genre: DataFrame) -> DataFrame:
     """Genre x year revenue and ROI with the previous/next *present*
     year.  The label compares the rounded current median with the unrounded
     previous one, as the warehouse view does."""
-    f = fact_wide.where(F.col("is_roi_eligible") & F.col("revenue").isNotNull()
-                        & F.col("roi_pct").isNotNull())
-    base = f.join(stg_genres, "movie_id")
+    base = fact_genre.where(F.col("is_roi_eligible") & F.col("revenue").isNotNull()
+                            & F.col("roi_pct").isNotNull())
     keys = ["genre", "release_year"]
     agg = base.groupBy(*keys).agg(
         F.count(F.lit(1)).cast("bigint").alias("movie_count"),
@@ -124,9 +118,10 @@ def fact_genre_market_momentum(fact_wide: DataFrame, stg_genres: DataFrame) -> D
     )
 
 
-def fact_genre_market_coverage_trends(coverage: DataFrame, stg_genres: DataFrame) -> DataFrame:
-    """Genre x year volume and revenue in the market-coverage scope."""
-    base = coverage.join(stg_genres, "movie_id")
+def fact_genre_market_coverage_trends(coverage_genre: DataFrame) -> DataFrame:
+    """Genre x year volume and revenue in the market-coverage scope
+    (``coverage_genre`` = coverage fact joined to genres)."""
+    base = coverage_genre
     keys = ["genre", "release_year"]
     agg = base.groupBy(*keys).agg(
         F.count(F.lit(1)).cast("bigint").alias("movie_count"),

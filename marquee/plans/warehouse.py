@@ -39,7 +39,7 @@ class Warehouse:
     @classmethod
     def from_generated(cls, spark: SparkSession, sf_dir: str, **kw) -> "Warehouse":
         kw.setdefault("scope", Scope.generated())
-        return cls(generated_raw(spark, sf_dir), **kw)
+        return cls(generated_raw(spark, sf_dir, stage=stage), **kw)
 
     # ---- bronze: enrichment -------------------------------------------------
     @cached_property
@@ -80,7 +80,7 @@ class Warehouse:
     # ---- silver ---------------------------------------------------------------
     @cached_property
     def silver_movies(self) -> DataFrame:
-        return clean.clean_movies(self.movies_enriched, self.scope)
+        return stage(clean.clean_movies(self.movies_enriched, self.scope))
 
     @cached_property
     def silver_ratings(self) -> DataFrame:
@@ -88,19 +88,20 @@ class Warehouse:
 
     @cached_property
     def silver_extended(self) -> DataFrame:
-        return clean.clean_extended(self.raw.movie_extended)
+        return stage(clean.clean_extended(self.raw.movie_extended))
 
+    # gold_prep mapping tables, written once and read by every mart
     @cached_property
     def movie_genres(self) -> DataFrame:
-        return build_mapping(self.silver_extended, "genres", "genre")
+        return stage(build_mapping(self.silver_extended, "genres", "genre"))
 
     @cached_property
     def movie_companies(self) -> DataFrame:
-        return build_mapping(self.silver_extended, "production_companies", "company")
+        return stage(build_mapping(self.silver_extended, "production_companies", "company"))
 
     @cached_property
     def movie_countries(self) -> DataFrame:
-        return build_mapping(self.silver_extended, "production_countries", "country")
+        return stage(build_mapping(self.silver_extended, "production_countries", "country"))
 
     # ---- staging --------------------------------------------------------------
     @cached_property
@@ -184,9 +185,18 @@ class Warehouse:
     def bridge_movie_country(self) -> DataFrame:
         return dims.bridge_country(self.stg_movie_countries, self.dim_country)
 
+    # fact x genre (J1), shared by all genre marts - written once
+    @cached_property
+    def fact_genre(self) -> DataFrame:
+        return stage(self.fact_wide.join(self.stg_movie_genres, "movie_id"))
+
+    @cached_property
+    def coverage_genre(self) -> DataFrame:
+        return stage(self.fact_movie_market_coverage.join(self.stg_movie_genres, "movie_id"))
+
     @cached_property
     def fact_genre_budget_roi(self) -> DataFrame:
-        return segments.fact_genre_budget_roi(self.fact_wide, self.stg_movie_genres)
+        return segments.fact_genre_budget_roi(self.fact_genre)
 
     @cached_property
     def fact_genre_budget_roi_recommendable(self) -> DataFrame:
@@ -194,12 +204,11 @@ class Warehouse:
 
     @cached_property
     def fact_genre_market_momentum(self) -> DataFrame:
-        return segments.fact_genre_market_momentum(self.fact_wide, self.stg_movie_genres)
+        return segments.fact_genre_market_momentum(self.fact_genre)
 
     @cached_property
     def fact_genre_market_coverage_trends(self) -> DataFrame:
-        return segments.fact_genre_market_coverage_trends(self.fact_movie_market_coverage,
-                                                          self.stg_movie_genres)
+        return segments.fact_genre_market_coverage_trends(self.coverage_genre)
 
     # ---- analyses -------------------------------------------------------------
     def monthly_revenue_mom(self) -> DataFrame:

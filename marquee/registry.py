@@ -267,3 +267,38 @@ for _name, _meth in _EDA.items():
 for _name, _col in (("top_genres", "genres_list"), ("top_countries", "country_names"),
                     ("top_languages", "language_names")):  # A19, O3, G2
     QUERIES[_name] = (lambda c: (lambda spark, sf_dir: eda(spark, sf_dir).top_tokens(c)))(_col)
+
+
+# ---- sources ----------------------------------------------------------------
+@query("scan_csv")
+def q_scan_csv(spark, sf_dir):
+    """The catalogue landed as CSV and read back with a declared schema."""
+    from marquee.sources import io
+    path = io.scratch_path(spark, "csv")
+    wh(spark, sf_dir).raw.movies_main.drop("ingest_seq").write.option("header", True).csv(path)
+    return io.typed_movies(io.read_csv(spark, path, io.MOVIES_MAIN_SCHEMA))
+
+
+@query("scan_json_nested")
+def q_scan_json_nested(spark, sf_dir):
+    """S3 + C5: nested ratings landed as JSON lines, flattened on read."""
+    from marquee.plans.clean import clean_ratings
+    from marquee.sources import io
+    path = io.scratch_path(spark, "json")
+    wh(spark, sf_dir).raw.ratings.write.json(path)
+    return clean_ratings(io.read_json(spark, path, io.RATINGS_SCHEMA))
+
+
+@query("incremental_ingest")
+def q_incremental_ingest(spark, sf_dir):
+    """The whole catalogue landed as several files and ingested by a file
+    stream (availableNow) in bounded micro-batches; a second run finds no new
+    file, so nothing is ingested twice."""
+    from marquee.sources import io
+    from marquee.streaming.incremental import incremental_ingest, read_landed
+    raw = wh(spark, sf_dir).raw.movies_main.drop("ingest_seq")
+    src, dst, ck = (io.scratch_path(spark, p) for p in ("src", "landed", "stream-ckpt"))
+    raw.repartition(4).write.option("header", True).csv(src)
+    incremental_ingest(spark, src, io.MOVIES_MAIN_SCHEMA, dst, ck, max_files_per_trigger=2)
+    incremental_ingest(spark, src, io.MOVIES_MAIN_SCHEMA, dst, ck, max_files_per_trigger=2)
+    return io.typed_movies(read_landed(spark, dst))

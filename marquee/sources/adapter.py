@@ -88,7 +88,9 @@ def per_order(lines: DataFrame) -> DataFrame:
     )
 
 
-def generated_raw(spark: SparkSession, sf_dir: str) -> RawTables:
+def generated_raw(spark: SparkSession, sf_dir: str, stage=None) -> RawTables:
+    """``stage`` (optional) materialises the order-level frame all four raw
+    tables project from, so the line aggregation runs once ("landing")."""
     orders = _read(spark, sf_dir, "orders")
     agg = per_order(order_lines(spark, sf_dir))
     o = orders.join(agg, orders.o_orderkey == agg.l_orderkey, "left")
@@ -115,6 +117,9 @@ def generated_raw(spark: SparkSession, sf_dir: str) -> RawTables:
         .select("c_custkey", F.struct(F.col("r_name").alias("name"),
                                       F.col("r_regionkey").alias("iso")).alias("lang"))
     ox = o.join(cust_region, o.o_custkey == cust_region.c_custkey, "left")
+    if stage is not None:
+        ox = stage(ox)
+        o = ox
     movie_extended = ox.select(
         F.col("o_orderkey").cast("string").alias("id"),
         F.when(F.size("types") > 0, F.array_join("types", ",")).alias("genres"),
