@@ -44,8 +44,9 @@ def id_quality(df: DataFrame, id_col: str, dataset: str, sample: int = 5) -> Dat
 
 
 def _one_row_join(a: DataFrame, b: DataFrame) -> DataFrame:
-    # both sides are single-row aggregates: join on a constant key
-    return a.withColumn("__k", F.lit(1)).join(b.withColumn("__k", F.lit(1)), "__k").drop("__k")
+    """Attach a one-row aggregate ``b`` to every row of ``a``; ``b`` is
+    broadcast (its size bound is one row), so no constant-key shuffle."""
+    return a.withColumn("__k", F.lit(1)).join(F.broadcast(b.withColumn("__k", F.lit(1))), "__k").drop("__k")
 
 
 def orphan_report(pairs: dict[str, tuple[DataFrame, DataFrame]], sample: int = 5) -> DataFrame:
@@ -98,8 +99,8 @@ def equal_frequency_bins(df: DataFrame, value: str, cuts: tuple[float, ...], lab
     """Right-closed bins [0, q1], (q1, q2], ..., (qk, inf) at the
     linear quantiles ``cuts``; adds the label column."""
     qs = {f"q{i}": c for i, c in enumerate(cuts)}
-    bounds = group_percentiles(df, [], value, qs).drop("n").withColumn("__k", F.lit(1))
-    j = df.withColumn("__k", F.lit(1)).join(bounds, "__k").drop("__k")
+    bounds = group_percentiles(df, [], value, qs).drop("n")
+    j = _one_row_join(df, bounds)
     expr = F.lit(labels[-1])
     for i in reversed(range(len(cuts))):
         expr = F.when(F.col(value) <= F.col(f"q{i}"), F.lit(labels[i])).otherwise(expr)
@@ -111,8 +112,8 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     plotting library draws them: bin, lower, upper, count."""
     v = F.col(value)
     valid = df.select(v.cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    mm = valid.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).withColumn("__k", F.lit(1))
-    j = valid.withColumn("__k", F.lit(1)).join(mm, "__k")
+    mm = valid.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    j = _one_row_join(valid, mm)
     width = (F.col("hi") - F.col("lo")) / bins
     b = F.when(F.col("hi") > F.col("lo"),
                F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1))

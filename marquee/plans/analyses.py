@@ -101,7 +101,8 @@ def kpi_overview(fact: DataFrame) -> DataFrame:
         .alias("recommendation_movies"),
     ).withColumn("__k", F.lit(0))
     med = group_median(fact, [], "roi_pct", out="median_roi_pct").withColumn("__k", F.lit(0))
-    return k.join(med, "__k", "left").drop("__k") \
+    # both sides are one-row aggregates
+    return k.join(F.broadcast(med), "__k", "left").drop("__k") \
         .withColumn("median_roi_pct", round_dec("median_roi_pct"))
 
 

@@ -97,9 +97,7 @@ class Eda:
             c(r.isNull()).alias("revenue_nulls"), c(r == 0).alias("revenue_zeros"),
             c(r < 0).alias("revenue_negatives"), c((b == 0) & (r == 0)).alias("both_budget_and_revenue_zero"),
         )
-        k = F.lit(1)
-        j = wide.withColumn("__k", k).join(distinct_rows.withColumn("__k", k), "__k") \
-            .join(distinct_ids.withColumn("__k", k), "__k")
+        j = profile._one_row_join(profile._one_row_join(wide, distinct_rows), distinct_ids)
         j = j.withColumns({"exact_duplicate_rows": F.col("rows") - F.col("d"),
                            "duplicate_movie_ids": F.col("rows") - F.col("di")})
         metrics = ["exact_duplicate_rows", "duplicate_movie_ids", "release_date_total_non_null",

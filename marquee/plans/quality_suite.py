@@ -87,21 +87,47 @@ def schema_test_name(model: str, col: str, test: str) -> str:
 
 
 def schema_suite(models: dict[str, DataFrame], tests=SCHEMA_TESTS) -> DataFrame:
-    checks = []
-    for model, col, test, arg in tests:
+    """Run the schema tests with few passes per model: all not_null and
+    accepted_values tests of a model in one aggregation, all its unique
+    tests in one stacked grouping, relationships as anti-joins."""
+    from functools import reduce
+
+    by_model: dict[str, list] = {}
+    for t in tests:
+        by_model.setdefault(t[0], []).append(t)
+    frames = []
+    for model, ts in by_model.items():
         df = models[model]
-        if test == "not_null":
-            f = not_null_failures(df, col)
-        elif test == "unique":
-            f = unique_failures(df, col)
-        elif test == "accepted_values":
-            f = accepted_values_failures(df, col, arg)
-        elif test == "relationships":
-            f = relationship_failures(df, col, models[arg[0]], arg[1])
-        else:
-            raise ValueError(test)
-        checks.append(Check(schema_test_name(model, col, test), f))
-    return run_suite(checks)
+        aggs = []
+        for _, col, test, arg in ts:
+            name = schema_test_name(model, col, test)
+            if test == "not_null":
+                aggs.append(F.count_if(F.col(col).isNull()).alias(name))
+            elif test == "accepted_values":
+                bad = F.when(F.col(col).isNotNull() & ~F.col(col).isin(*arg), F.col(col))
+                aggs.append(F.count_distinct(bad).alias(name))
+        if aggs:
+            wide = df.agg(*aggs)
+            frames.append(wide.unpivot([], [a for a in wide.columns], "test_name", "failures")
+                          .select("test_name", F.col("failures").cast("bigint")))
+        uniq = [col for _, col, test, _ in ts if test == "unique"]
+        if uniq:
+            stacked = df.select(F.explode(F.array(*[
+                F.struct(F.lit(schema_test_name(model, c, "unique")).alias("t"), F.col(c).cast("string").alias("v"))
+                for c in uniq])).alias("s")).select("s.t", "s.v").where(F.col("v").isNotNull())
+            dup = stacked.groupBy("t", "v").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+            counted = dup.groupBy("t").agg(F.count(F.lit(1)).alias("c"))
+            names = [schema_test_name(model, c, "unique") for c in uniq]
+            allnames = df.sparkSession.createDataFrame([(n,) for n in names], "t string")
+            frames.append(allnames.join(F.broadcast(counted), "t", "left").select(
+                F.col("t").alias("test_name"), F.coalesce("c", F.lit(0)).cast("bigint").alias("failures")))
+        for _, col, test, arg in ts:
+            if test == "relationships":
+                f = relationship_failures(df, col, models[arg[0]], arg[1])
+                frames.append(f.agg(F.count(F.lit(1)).cast("bigint").alias("failures"))
+                              .select(F.lit(schema_test_name(model, col, test)).alias("test_name"), "failures"))
+    out = reduce(lambda a, b: a.unionByName(b), frames)
+    return out.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
 
 
 def business_rule_suite(models: dict[str, DataFrame], scope) -> DataFrame:

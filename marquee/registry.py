@@ -78,7 +78,7 @@ def q_imputation_baselines(spark, sf_dir):
         {"median_budget_revenue_ratio": 0.5}, method="disc").drop("n").withColumn("__k", F.lit(1))
     budget = group_percentiles(fin.where(F.col("budget_reported") > 0), [], "budget_reported",
                                {"median_budget": 0.5}, method="disc").drop("n").withColumn("__k", F.lit(1))
-    return ratio.join(budget, "__k", "full").drop("__k")
+    return ratio.join(F.broadcast(budget), "__k", "full").drop("__k")
 
 
 @query("impute_budget")
