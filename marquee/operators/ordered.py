@@ -7,8 +7,10 @@ computed the distributed way:
 1. ``repartitionByRange`` on the full sort key (ties split by the
    tiebreak columns), ``sortWithinPartitions``;
 2. tag rows with ``spark_partition_id`` and ``monotonically_increasing_id``
-   and ``checkpoint()`` to the session's reliable checkpoint directory, so
-   partition contents are fixed even if executors are lost and stages re-run;
+   and write them once to the session's shared checkpoint directory, so the
+   ids are fixed even if executors are lost and later stages re-run (the
+   range bounds are sampled once per job and the sort key is a total order,
+   so a retried write task reproduces its partition exactly);
 3. per-partition counts (one row per partition) -> prefix offsets,
    broadcast back (size bounded by the partition count);
 4. global rank = offset + position inside the partition.
@@ -21,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.session import ensure_checkpoint_dir
+from marquee.session import materialize
 
 
 def _cols(cols) -> list[Column]:
@@ -34,16 +36,13 @@ def with_global_rank(df: DataFrame, order_by: list, rank_col: str = "global_rank
 
     ``order_by`` must be a total order (append a unique id as tiebreak)."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     parts = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     oc = _cols(order_by)
-    staged = (
+    staged = materialize(
         df.repartitionByRange(parts, *oc)
         .sortWithinPartitions(*oc)
         .withColumn("__pid", F.spark_partition_id())
-        .withColumn("__mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-    )
+        .withColumn("__mid", F.monotonically_increasing_id()), "rank")
     counts = staged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__pn"))
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(

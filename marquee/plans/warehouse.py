@@ -16,15 +16,14 @@ from marquee.config import Scope
 from marquee.operators import impute, match
 from marquee.operators.multival import build_mapping
 from marquee.plans import analyses, clean, dims, facts, segments, staging
-from marquee.session import ensure_checkpoint_dir
+from marquee.session import materialize
 from marquee.sources.adapter import RawTables, generated_raw
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Materialise a reused layer and cut its lineage (reliable checkpoint in
-    the session's checkpoint directory; survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise a reused layer once (Parquet in the session's shared
+    checkpoint directory) and cut its lineage."""
+    return materialize(df, "layer")
 
 
 class Warehouse:

@@ -44,3 +44,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     else:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="marquee-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def materialize(df, label: str = "stage"):
+    """Write ``df`` once as Parquet into a fresh folder under the shared
+    checkpoint directory and return the re-read DataFrame.
+
+    This cuts lineage like ``checkpoint()`` but in one job (an eager RDD
+    checkpoint computes its input twice unless cached) and gives columnar
+    reads with pruning and pushdown downstream.  Task retries after a lost
+    executor rewrite the same partition through the commit protocol."""
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/marquee-{label}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
