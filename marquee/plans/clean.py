@@ -12,10 +12,18 @@ from marquee.functions.text import literal_names_text
 from marquee.operators.dedup import keep_first
 
 
+def id_as_bigint(df: DataFrame, column: str):
+    """F5 expression: integral ids pass through; text goes text -> number ->
+    bigint (12.0 -> 12), unparsable -> NULL."""
+    from pyspark.sql.types import IntegralType
+    if isinstance(df.schema[column].dataType, IntegralType):
+        return F.col(column).cast("bigint")
+    return to_number(column).try_cast("bigint")
+
+
 def normalize_id(df: DataFrame, column: str = "id") -> DataFrame:
-    """id text -> number -> bigint (12.0 -> 12); rows without a numeric
-    id are dropped."""
-    return df.withColumn(column, to_number(column).try_cast("bigint")).where(F.col(column).isNotNull())
+    """numeric id; rows without one are dropped."""
+    return df.withColumn(column, id_as_bigint(df, column)).where(F.col(column).isNotNull())
 
 
 def _dedup_first(df: DataFrame, key: str = "id") -> DataFrame:
@@ -70,7 +78,7 @@ def clean_ratings(df: DataFrame) -> DataFrame:
     """Flatten the nested summary (a missing summary gives NULLs), numeric
     movie id, epoch seconds -> timestamp (0 -> NULL)."""
     return df.select(
-        to_number(F.col("movie_id")).try_cast("bigint").alias("movie_id"),
+        id_as_bigint(df, "movie_id").alias("movie_id"),
         F.col("ratings_summary.avg_rating").cast("double").alias("avg_rating"),
         F.col("ratings_summary.total_ratings").cast("bigint").alias("total_ratings"),
         F.col("ratings_summary.std_dev").cast("double").alias("std_dev"),

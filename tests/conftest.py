@@ -13,6 +13,7 @@ def spark():
     s = (SparkSession.builder.master("local[4]").appName("marquee-tests")
          .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", "8").config("spark.sql.session.timeZone", "UTC")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="marquee-test-wh-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     if not s.sparkContext.getCheckpointDir():
