@@ -10,8 +10,11 @@ one task.  This operator selects the order statistics instead:
    ``floor(asinh(value) * resolution)`` (log-like widths for money, linear
    near zero, negatives allowed) - at most a few thousand per group;
 3. bucket sizes -> cumulative offsets and n per group (small);
-4. for every needed rank keep only the bucket that holds it and sort just
-   that bucket's distinct values to read the exact order statistic.
+4. for every needed rank keep only the bucket that holds it; split that
+   bucket again into ``sub_buckets`` equal-width slices between its own min
+   and max (values clustered inside one grid cell still spread out), find
+   the slice holding the rank, and sort just that slice's distinct values
+   to read the exact order statistic.
 
 ``cont`` interpolates linearly between neighbours (``percentile_cont``,
 pandas ``quantile``); ``disc`` returns the element at rank ceil(q*n)
@@ -24,12 +27,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.operators._joins import join_null_safe
+from marquee.session import materialize
 
 DEFAULT_RESOLUTION = 64
+DEFAULT_SUB_BUCKETS = 256
 
 
 def group_percentiles(df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float],
-                      method: str = "cont", resolution: int = DEFAULT_RESOLUTION) -> DataFrame:
+                      method: str = "cont", resolution: int = DEFAULT_RESOLUTION,
+                      sub_buckets: int = DEFAULT_SUB_BUCKETS) -> DataFrame:
     """Return ``keys`` + ``n`` + one column per entry of ``quantiles``.
 
     Groups whose values are all NULL/NaN are absent.  With ``keys=[]`` the
@@ -43,6 +49,9 @@ def group_percentiles(df: DataFrame, keys: list[str], value: str, quantiles: dic
 
     vc = base.groupBy(*gkeys, "__v").agg(F.count(F.lit(1)).alias("__c")) \
         .withColumn("__b", F.floor(F.asinh("__v") * resolution).cast("bigint"))
+    # every later step reads this table several times: write it once (it is
+    # at most one row per distinct value) instead of re-running the input
+    vc = materialize(vc, "pct")
     bsize = vc.groupBy(*gkeys, "__b").agg(F.sum("__c").alias("__bn"))
     wg = Window.partitionBy(*gkeys)
     wb = wg.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
@@ -64,12 +73,26 @@ def group_percentiles(df: DataFrame, keys: list[str], value: str, quantiles: dic
         .select(*gkeys, "__b", "__bstart", "__bn", "__n", "__t.*") \
         .where((F.col("__r") >= F.col("__bstart")) & (F.col("__r") < F.col("__bstart") + F.col("__bn")))
 
+    # level 2: slice each target bucket linearly between its own min and max
     cand = join_null_safe(vc, tb.select(*gkeys, "__b").distinct(), gkeys + ["__b"], "left_semi")
-    wv = Window.partitionBy(*gkeys, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
-    cand = cand.withColumn("__cstart", F.coalesce(F.sum("__c").over(wv), F.lit(0)))
-    picked = join_null_safe(cand, tb.drop("__bn"), gkeys + ["__b"])
+    bmm = cand.groupBy(*gkeys, "__b").agg(F.min("__v").alias("__lo2"), F.max("__v").alias("__hi2"))
+    width = F.col("__hi2") - F.col("__lo2")
+    sub = F.when(width > 0, F.least(
+        F.floor((F.col("__v") - F.col("__lo2")) / width * sub_buckets), F.lit(sub_buckets - 1)
+    )).otherwise(F.lit(0)).cast("int")
+    cand = join_null_safe(cand, bmm, gkeys + ["__b"]).withColumn("__s", sub).drop("__lo2", "__hi2")
+    ssize = cand.groupBy(*gkeys, "__b", "__s").agg(F.sum("__c").alias("__sn"))
+    ws = Window.partitionBy(*gkeys, "__b").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
+    ssize = ssize.withColumn("__sstart", F.coalesce(F.sum("__sn").over(ws), F.lit(0)))
     local = F.col("__r") - F.col("__bstart")
-    picked = picked.where((local >= F.col("__cstart")) & (local < F.col("__cstart") + F.col("__c")))
+    tb2 = join_null_safe(tb.drop("__bn"), ssize, gkeys + ["__b"]).where(
+        (local >= F.col("__sstart")) & (local < F.col("__sstart") + F.col("__sn")))
+    cand2 = join_null_safe(cand, tb2.select(*gkeys, "__b", "__s").distinct(), gkeys + ["__b", "__s"], "left_semi")
+    wv = Window.partitionBy(*gkeys, "__b", "__s").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
+    cand2 = cand2.withColumn("__cstart", F.coalesce(F.sum("__c").over(wv), F.lit(0)))
+    picked = join_null_safe(cand2, tb2.drop("__sn"), gkeys + ["__b", "__s"])
+    local2 = F.col("__r") - F.col("__bstart") - F.col("__sstart")
+    picked = picked.where((local2 >= F.col("__cstart")) & (local2 < F.col("__cstart") + F.col("__c")))
 
     aggs = [F.first("__n").alias("n")]
     for name in quantiles:

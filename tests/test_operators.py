@@ -77,3 +77,18 @@ def test_mark_duplicates(spark):
     df = spark.createDataFrame([("1",), ("1",), ("2",), (None,)], "id string")
     got = sorted((r.id or "", r.is_duplicated) for r in mark_duplicates(df, ["id"]).collect())
     assert got == [("", False), ("1", True), ("1", True), ("2", False)]
+
+
+def test_group_percentiles_clustered_hot_group(spark):
+    # every value of the hot group sits inside one asinh grid cell: the
+    # second-level slices must still find the exact ranks
+    rows = [("hot", 1_000_000.0 + (i * 7919 % 5000) * 0.01) for i in range(5000)]
+    rows += [("hot", 1_000_000.0)] * 300 + [("cold", float(i)) for i in range(11)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: (r.p10, r.p50, r.p99) for r in
+           group_percentiles(df, ["g"], "v", {"p10": 0.1, "p50": 0.5, "p99": 0.99}).collect()}
+    want = {r.g: (r.p10, r.p50, r.p99) for r in df.groupBy("g").agg(
+        F.percentile("v", 0.1).alias("p10"), F.percentile("v", 0.5).alias("p50"),
+        F.percentile("v", 0.99).alias("p99")).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k], rel=1e-12) for k in want)
