@@ -69,9 +69,28 @@ def ntile_from_rank(rank: Column, total: Column, buckets: int) -> Column:
         r + F.ceil((rank - big) / q)).cast("int")
 
 
+# largest row count a single window task may sort (size-checked before use)
+MAX_ROWS_IN_TASK = 1_000_000
+
+
+def _fits_one_task(df: DataFrame, partition_by: list[str], limit: int) -> bool:
+    if partition_by:
+        largest = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    else:
+        largest = df.count()
+    return (largest or 0) <= limit
+
+
 def distributed_ntile(df: DataFrame, buckets: int, order_by: list, out: str = "ntile",
-                      num_partitions: int | None = None) -> DataFrame:
-    """NTILE over the whole DataFrame without a single-task window."""
+                      num_partitions: int | None = None, strategy: str = "auto",
+                      max_rows_in_task: int = MAX_ROWS_IN_TASK) -> DataFrame:
+    """NTILE over the whole DataFrame.  ``auto`` counts the rows first:
+    up to ``max_rows_in_task`` a plain window sorts them in one task, beyond
+    that the global rank is computed across the cluster."""
+    if strategy == "auto":
+        strategy = "window" if _fits_one_task(df, [], max_rows_in_task) else "distributed"
+    if strategy == "window":
+        return df.withColumn(out, F.ntile(buckets).over(Window.orderBy(*_cols(order_by))).cast("int"))
     ranked = with_global_rank(df, order_by, "__g", num_partitions, total_col="__n")
     return ranked.withColumn(out, ntile_from_rank(F.col("__g"), F.col("__n"), buckets)) \
         .drop("__g", "__n")
@@ -79,11 +98,23 @@ def distributed_ntile(df: DataFrame, buckets: int, order_by: list, out: str = "n
 
 def distributed_lag_lead(df: DataFrame, partition_by: list[str], order_by: list,
                          value: str, lag_col: str | None, lead_col: str | None,
-                         num_partitions: int | None = None) -> DataFrame:
+                         num_partitions: int | None = None, strategy: str = "auto",
+                         max_rows_in_task: int = MAX_ROWS_IN_TASK) -> DataFrame:
     """Previous / next row's ``value`` within ``partition_by`` in the
-    order ``order_by`` (must be a total order).  Rows are ranked globally by
-    (partition, order); neighbours are found by an equi-join on rank +- 1,
-    whose keys are uniformly spread."""
+    order ``order_by`` (must be a total order).  ``auto`` measures the
+    largest partition: small ones use a plain window; otherwise rows are
+    ranked globally by (partition, order) and neighbours are found by an
+    equi-join on rank +- 1, whose keys are uniformly spread."""
+    if strategy == "auto":
+        strategy = "window" if _fits_one_task(df, partition_by, max_rows_in_task) else "distributed"
+    if strategy == "window":
+        w = Window.partitionBy(*partition_by).orderBy(*_cols(order_by))
+        cols = {}
+        if lag_col:
+            cols[lag_col] = F.lag(value).over(w)
+        if lead_col:
+            cols[lead_col] = F.lead(value).over(w)
+        return df.withColumns(cols)
     ranked = with_global_rank(df, list(partition_by) + list(order_by), "__g", num_partitions)
     nb = ranked.select(
         *[F.col(p).alias(f"__nb_{p}") for p in partition_by],

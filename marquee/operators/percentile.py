@@ -31,21 +31,39 @@ from marquee.session import materialize
 
 DEFAULT_RESOLUTION = 64
 DEFAULT_SUB_BUCKETS = 256
+# largest group whose values may sit in one aggregation buffer (size-checked)
+MAX_ROWS_PER_GROUP = 1_000_000
 
 
 def group_percentiles(df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float],
-                      method: str = "cont", resolution: int = DEFAULT_RESOLUTION,
+                      method: str = "cont", strategy: str = "auto",
+                      max_rows_per_group: int = MAX_ROWS_PER_GROUP,
+                      resolution: int = DEFAULT_RESOLUTION,
                       sub_buckets: int = DEFAULT_SUB_BUCKETS) -> DataFrame:
     """Return ``keys`` + ``n`` + one column per entry of ``quantiles``.
 
-    Groups whose values are all NULL/NaN are absent.  With ``keys=[]`` the
-    result is one global row (none for an empty input)."""
+    ``strategy="auto"`` measures the largest group first (one small
+    aggregation): up to ``max_rows_per_group`` rows, Spark's exact
+    ``percentile``/``percentile_disc`` keeps the group in one buffer; beyond
+    that the distributed selection below runs.  ``"distributed"`` and
+    ``"in_buffer"`` force a path.  Groups whose values are all NULL/NaN are
+    absent; with ``keys=[]`` the result is one global row."""
     if method not in ("cont", "disc"):
         raise ValueError(method)
     gkeys = list(keys) if keys else ["__g"]
     v = F.col(value).cast("double")
     base = df.select(*([F.col(k) for k in keys] if keys else [F.lit(0).alias("__g")]),
                      v.alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    if strategy == "auto":
+        largest = base.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        strategy = "in_buffer" if (largest or 0) <= max_rows_per_group else "distributed"
+    if strategy == "in_buffer":
+        fn = F.percentile if method == "cont" else _percentile_disc
+        out = base.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("n"),
+                                       *[fn(F.col("__v"), float(q)).alias(nm) for nm, q in quantiles.items()])
+        return out.drop("__g") if not keys else out
+    if strategy != "distributed":
+        raise ValueError(strategy)
 
     vc = base.groupBy(*gkeys, "__v").agg(F.count(F.lit(1)).alias("__c")) \
         .withColumn("__b", F.floor(F.asinh("__v") * resolution).cast("bigint"))
@@ -112,10 +130,14 @@ def group_percentiles(df: DataFrame, keys: list[str], value: str, quantiles: dic
     return out.drop("__g") if not keys else out
 
 
+def _percentile_disc(c, q: float):
+    return F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY {c._jc.toString()})")
+
+
 def group_median(df: DataFrame, keys: list[str], value: str, out: str = "median",
-                 method: str = "cont") -> DataFrame:
+                 method: str = "cont", strategy: str = "auto") -> DataFrame:
     """A5: exact median per group (interpolated for ``cont``)."""
-    return group_percentiles(df, keys, value, {out: 0.5}, method=method).drop("n")
+    return group_percentiles(df, keys, value, {out: 0.5}, method=method, strategy=strategy).drop("n")
 
 
 def approx_percentile(df: DataFrame, keys: list[str], value: str, q: float, out: str,

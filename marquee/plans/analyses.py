@@ -31,19 +31,15 @@ def monthly_revenue_mom(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
                     pct_change(F.col("monthly_revenue"), prev).alias("month_over_month_pct"))
 
 
-def sequential_in_tier(fact: DataFrame, dim_date: DataFrame, strategy: str = "distributed") -> DataFrame:
+def sequential_in_tier(fact: DataFrame, dim_date: DataFrame, strategy: str = "auto") -> DataFrame:
     """C24 (W8): previous/next movie revenue within the budget tier ordered by
-    year, movie_id.  Four tiers would make four giant window tasks, so the
-    neighbours come from a global rank (distributed) by default."""
+    year, movie_id.  Four tiers would make four giant window tasks at scale,
+    so beyond the size check the neighbours come from a global rank."""
     d = _dated(fact.where(F.col("revenue").isNotNull()), dim_date) \
         .select("movie_id", F.col("year").alias("release_year"), "budget_tier", "revenue")
-    if strategy == "distributed":
-        out = distributed_lag_lead(d, ["budget_tier"], ["release_year", "movie_id"], "revenue",
-                                   "prev_movie_revenue_in_tier", "next_movie_revenue_in_tier")
-    else:
-        w = Window.partitionBy("budget_tier").orderBy("release_year", "movie_id")
-        out = d.select("*", F.lag("revenue").over(w).alias("prev_movie_revenue_in_tier"),
-                       F.lead("revenue").over(w).alias("next_movie_revenue_in_tier"))
+    out = distributed_lag_lead(d, ["budget_tier"], ["release_year", "movie_id"], "revenue",
+                               "prev_movie_revenue_in_tier", "next_movie_revenue_in_tier",
+                               strategy=strategy)
     return out.select("movie_id", "release_year", "budget_tier", "revenue",
                       "prev_movie_revenue_in_tier", "next_movie_revenue_in_tier")
 

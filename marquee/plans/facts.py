@@ -26,7 +26,7 @@ def profitability_tier(pct) -> F.Column:
     return expr
 
 
-def budget_quartiles(base: DataFrame, strategy: str = "distributed") -> DataFrame:
+def budget_quartiles(base: DataFrame, strategy: str = "auto") -> DataFrame:
     """Quartile of budget among rows with a positive budget, NULL for
     the others, in one pass (union, no self re-join).  Ties are ordered by
     movie_id so the split is deterministic."""
@@ -34,14 +34,8 @@ def budget_quartiles(base: DataFrame, strategy: str = "distributed") -> DataFram
     ranked_part = base.where(positive)
     rest = base.where(~positive | F.col("budget").isNull()) \
         .withColumn("budget_quartile", F.lit(None).cast("int"))
-    if strategy == "distributed":
-        ranked = distributed_ntile(ranked_part, 4, ["budget", "movie_id"], out="budget_quartile")
-    elif strategy == "single":
-        from pyspark.sql import Window
-        ranked = ranked_part.withColumn(
-            "budget_quartile", F.ntile(4).over(Window.orderBy("budget", "movie_id")).cast("int"))
-    else:
-        raise ValueError(strategy)
+    ranked = distributed_ntile(ranked_part, 4, ["budget", "movie_id"], out="budget_quartile",
+                               strategy=strategy)
     return ranked.unionByName(rest)
 
 
@@ -53,7 +47,7 @@ FACT_PERFORMANCE_COLUMNS = [
 
 
 def fact_movie_performance_wide(stg_movies: DataFrame, stg_ratings: DataFrame,
-                                strategy: str = "distributed") -> DataFrame:
+                                strategy: str = "auto") -> DataFrame:
     """C7 plus the title/date attributes the marts need (avoids re-joining
     dim_movie, which is 1:1 with the fact)."""
     base = stg_movies.where(F.col("is_recommendation_eligible")).select(

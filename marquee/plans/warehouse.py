@@ -28,7 +28,7 @@ def stage(df: DataFrame) -> DataFrame:
 
 class Warehouse:
     def __init__(self, raw: RawTables, scope: Scope = Scope(), title_mode: str = "intent",
-                 median_method: str = "exact", order_strategy: str = "distributed"):
+                 median_method: str = "exact", order_strategy: str = "auto"):
         self.raw = raw
         self.scope = scope
         self.title_mode = title_mode
