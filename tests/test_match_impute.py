@@ -86,3 +86,15 @@ def test_scope_flags_null_safe(spark):
     assert [r.is_recommendation_eligible for r in rows] == [True, False, False, False]
     assert [r.is_market_coverage_eligible for r in rows] == [True, False, True, False]
     assert all(r.is_roi_eligible == r.is_recommendation_eligible for r in rows)
+
+
+def test_salted_match_equals_plain_with_hot_title(spark):
+    # one title key holds most catalogue rows; salting must not change the result
+    rows = [(str(i), "Alpha" if i % 3 else "Beta", "2000-01-01", "0", "5") for i in range(300)]
+    cat = match.prepare_catalogue(spark.createDataFrame(rows, "id string, title string, release_date string, "
+                                                              "budget string, revenue string"))
+    ext = match.dedup_benchmark(match.prepare_benchmark(spark.createDataFrame(
+        EXT, "title string, release_date string, budget string, revenue string")))
+    plain = match.tiered_match(cat, ext, hot_threshold=None).collect()
+    salted = match.tiered_match(cat, ext, hot_threshold=10, salt_buckets=4).collect()
+    assert sorted(plain) == sorted(salted) and len(salted) == 300
