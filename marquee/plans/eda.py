@@ -58,7 +58,7 @@ class Eda:
 
     # ---- reports ---------------------------------------------------------------
     def missingness(self) -> DataFrame:
-        m = self.movies.drop()
+        m = self.movies
         e = self.extended.select("id", "genres", "production_companies", "production_countries",
                                  "spoken_languages")
         return reduce(lambda a, b: a.unionByName(b), [

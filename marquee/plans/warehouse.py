@@ -10,7 +10,6 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from marquee.config import Scope
 from marquee.operators import impute, match
@@ -250,9 +249,3 @@ class Warehouse:
     @staticmethod
     def catalog_reliability_df(df: DataFrame, by=None) -> DataFrame:
         return segments.catalog_reliability(df, by)
-
-
-def tier_of(w: Warehouse) -> DataFrame:
-    """Match tier per catalogue id (for the J7 query)."""
-    return w.matched.select("id", "title_norm", "release_year", "ext_budget", "ext_revenue",
-                            F.col("match_tier"))

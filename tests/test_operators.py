@@ -96,3 +96,11 @@ def test_group_percentiles_clustered_hot_group(spark):
         F.percentile("v", 0.99).alias("p99")).collect()}
     assert got.keys() == want.keys()
     assert all(got[k] == pytest.approx(want[k], rel=1e-12) for k in want)
+
+
+def test_keep_first_with_hot_id(spark):
+    # one id holds a third of the rows: partial aggregation keeps the first
+    rows = [("hot" if i % 3 == 0 else f"id{i}", i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id string, seq int")
+    out = {r.id: r.seq for r in keep_first(df, ["id"], ["seq"]).collect()}
+    assert out["hot"] == 0 and len(out) == 2001
