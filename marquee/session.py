@@ -57,7 +57,13 @@ def materialize(df, label: str = "stage"):
     import uuid
 
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/marquee-{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{app_scratch_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def app_scratch_dir(spark) -> str:
+    """Per-application folder under the shared checkpoint directory; all
+    intermediates of one run live below it and can be dropped together."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/marquee/{spark.sparkContext.applicationId}"

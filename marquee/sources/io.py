@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from marquee.session import ensure_checkpoint_dir
+from marquee.session import app_scratch_dir
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, header: bool = True,
@@ -128,8 +128,7 @@ def write_layer(df: DataFrame, name: str, materialized: str = "table", path: str
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder under the session's shared checkpoint directory."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/marquee-{label}-{uuid.uuid4().hex[:12]}"
+    return f"{app_scratch_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
 MOVIES_MAIN_SCHEMA = "id string, title string, release_date string, budget string, revenue string"
