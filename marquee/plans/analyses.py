@@ -104,11 +104,12 @@ def kpi_overview(fact: DataFrame) -> DataFrame:
 
 def calendar_yoy_revenue(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Revenue per calendar year against the same measure one calendar
-    year earlier (missing -> NULL change, pct falls back to 0)."""
+    year earlier.  As in the BI measure, a missing prior year is blank: the
+    difference treats it as 0 and the ratio falls back to 0."""
     y = _dated(fact, dim_date).groupBy("year").agg(round_dec(F.sum("revenue")).alias("total_revenue"))
     p = y.select((F.col("year") + 1).alias("year"), F.col("total_revenue").alias("prev_calendar_year_revenue"))
     j = y.join(p, "year", "left")
-    change = round_dec(F.col("total_revenue") - F.col("prev_calendar_year_revenue"))
+    change = round_dec(F.col("total_revenue") - F.coalesce(F.col("prev_calendar_year_revenue"), F.lit(0.0)))
     return j.select("year", "total_revenue", "prev_calendar_year_revenue",
                     change.alias("yoy_revenue_change"),
                     F.coalesce(round_dec(F.try_divide(change, F.col("prev_calendar_year_revenue")), 6),
