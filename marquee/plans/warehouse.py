@@ -34,6 +34,19 @@ class Warehouse:
         self.median_method = median_method
         self.order_strategy = order_strategy
 
+    @classmethod
+    def from_files(cls, spark: SparkSession, movies_csv: str, extended_csv: str, ratings_json: str,
+                   benchmark_csv: str, ratings_top_level_array: bool = True, **kw) -> "Warehouse":
+        """Build from the landed source files (CSV, CSV, JSON, CSV)."""
+        from marquee.sources import io
+        raw = RawTables(
+            movies_main=io.read_text_csv(spark, movies_csv, io.MOVIES_COLUMNS),
+            movie_extended=io.read_text_csv(spark, extended_csv, io.EXTENDED_COLUMNS),
+            ratings=io.read_ratings_json(spark, ratings_json, ratings_top_level_array),
+            benchmark=io.read_text_csv(spark, benchmark_csv, io.BENCHMARK_COLUMNS).drop("ingest_seq"),
+        )
+        return cls(raw, **kw)
+
     @classmethod
     def from_generated(cls, spark: SparkSession, sf_dir: str, **kw) -> "Warehouse":
         kw.setdefault("scope", Scope.generated())
@@ -246,6 +259,30 @@ class Warehouse:
     def models(self) -> dict[str, DataFrame]:
         return {n: getattr(self, n) for n in self.MODEL_NAMES}
 
+    LAYERS = {
+        "bronze": ["movies_enriched", "enrichment_audit"],
+        "silver_base": ["silver_movies", "silver_ratings", "silver_extended"],
+        "gold_prep": ["movie_genres", "movie_companies", "movie_countries"],
+        "silver": ["stg_movies", "stg_ratings", "stg_movie_extended", "stg_movie_genres",
+                   "stg_movie_companies", "stg_movie_countries", "stg_movies_roi_eligible"],
+        "gold": ["dim_date", "dim_movie", "dim_budget_tier", "dim_genre", "dim_country", "dim_company",
+                 "bridge_movie_genre", "bridge_movie_company", "bridge_movie_country",
+                 "fact_movie_performance", "fact_movie_roi_analysis", "fact_movie_market_coverage",
+                 "fact_genre_budget_roi", "fact_genre_budget_roi_recommendable",
+                 "fact_genre_market_momentum", "fact_genre_market_coverage_trends"],
+    }
+
+    def write_all(self, target_dir: str) -> dict[str, str]:
+        """Write every layer's tables as Parquet under
+        ``target_dir/<layer>/<table>``; returns table -> path."""
+        out = {}
+        for layer, names in self.LAYERS.items():
+            for n in names:
+                path = f"{target_dir.rstrip('/')}/{layer}/{n}"
+                getattr(self, n).write.mode("overwrite").parquet(path)
+                out[n] = path
+        return out
+
     @staticmethod
     def catalog_reliability_df(df: DataFrame, by=None) -> DataFrame:
         return segments.catalog_reliability(df, by)

@@ -143,3 +143,27 @@ def typed_movies(raw: DataFrame) -> DataFrame:
     return raw.select(to_number("id").try_cast("bigint").alias("id"), "title",
                       parse_mixed_date("release_date").alias("release_date"),
                       to_number("budget").alias("budget"), to_number("revenue").alias("revenue"))
+
+
+# ---- the catalogue's landed files -------------------------------------------
+MOVIES_COLUMNS = ["id", "title", "release_date", "budget", "revenue"]
+EXTENDED_COLUMNS = ["id", "genres", "production_companies", "production_countries", "spoken_languages"]
+BENCHMARK_COLUMNS = ["title", "release_date", "budget", "revenue"]
+
+
+def read_text_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """Header CSV read as text (no inference pass), columns picked by name
+    so extra source columns are ignored; missing optional ones become NULL.
+    ``ingest_seq`` records file order for keep-first deduplication."""
+    raw = (spark.read.option("header", True).option("multiLine", True).option("quote", '"')
+           .option("escape", '"').option("mode", "PERMISSIVE").csv(path))
+    have = {c.lower(): c for c in raw.columns}
+    cols = [F.col(have[c.lower()]).alias(c) if c.lower() in have else F.lit(None).cast("string").alias(c)
+            for c in columns]
+    return raw.select(*cols, F.monotonically_increasing_id().alias("ingest_seq"))
+
+
+def read_ratings_json(spark: SparkSession, path: str, top_level_array: bool = True) -> DataFrame:
+    """S3: ratings with a nested summary; the reference's file is one JSON
+    array (``multiLine``), JSON lines are read with ``top_level_array=False``."""
+    return read_json(spark, path, RATINGS_SCHEMA, multiline=top_level_array)
