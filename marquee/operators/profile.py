@@ -66,20 +66,31 @@ def orphan_report(pairs: dict[str, tuple[DataFrame, DataFrame]], sample: int = 5
 
 
 def describe(df: DataFrame, dataset: str, cols: list[str]) -> DataFrame:
+    """A15 for one dataset (see ``describe_many``)."""
+    return describe_many([(dataset, df, cols)])
+
+
+def describe_many(specs: list[tuple[str, DataFrame, list[str]]]) -> DataFrame:
     """Count, mean, std, min, 25/50/75 % (linear) and max per numeric
-    column.  Columns are stacked to (column, value) rows so one grouped
-    aggregation and one distributed percentile pass serve all columns."""
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols
-    ])).alias("s")).select("s.column", "s.value")
+    column of several datasets.  All (dataset, column, value) triples are
+    stacked so one grouped aggregation and one percentile pass serve every
+    column of every dataset."""
+    stacks = []
+    for dataset, df, cols in specs:
+        stacks.append(df.select(F.explode(F.array(*[
+            F.struct(F.lit(dataset).alias("dataset"), F.lit(c).alias("column"),
+                     F.col(c).cast("double").alias("value")) for c in cols
+        ])).alias("s")).select("s.dataset", "s.column", "s.value"))
+    stacked = reduce(lambda a, b: a.unionByName(b), stacks)
     valid = stacked.where(F.col("value").isNotNull() & ~F.isnan("value"))
-    moments = valid.groupBy("column").agg(
+    keys = ["dataset", "column"]
+    moments = valid.groupBy(*keys).agg(
         F.count(F.lit(1)).cast("bigint").alias("count"), round_dec(F.avg("value"), 6).alias("mean"),
         round_dec(F.stddev_samp("value"), 6).alias("std"), F.min("value").alias("min"),
         F.max("value").alias("max"))
-    q = group_percentiles(valid, ["column"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}).drop("n")
-    return moments.join(q, "column", "left").select(
-        F.lit(dataset).alias("dataset"), "column", "count", "mean", "std", "min",
+    q = group_percentiles(valid, keys, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}).drop("n")
+    return moments.join(q, keys, "left").select(
+        *keys, "count", "mean", "std", "min",
         round_dec("p25", 6).alias("p25"), round_dec("p50", 6).alias("p50"), round_dec("p75", 6).alias("p75"), "max")
 
 

@@ -127,8 +127,8 @@ class Eda:
         return profile.range_report(self.fin_valid, ["budget_num", "revenue_num"])
 
     def describe(self) -> DataFrame:
-        return profile.describe(self.movies, "movies", ["budget_num", "revenue_num"]).unionByName(
-            profile.describe(self.ratings, "ratings", ["avg_rating", "total_ratings"]))
+        return profile.describe_many([("movies", self.movies, ["budget_num", "revenue_num"]),
+                                      ("ratings", self.ratings, ["avg_rating", "total_ratings"])])
 
     def budget_tertiles(self) -> DataFrame:
         binned = profile.equal_frequency_bins(self.fin_valid, "budget_num", K.TERTILE_CUTS, K.TERTILE_LABELS,
