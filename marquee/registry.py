@@ -302,3 +302,23 @@ def q_incremental_ingest(spark, sf_dir):
     incremental_ingest(spark, src, io.MOVIES_MAIN_SCHEMA, dst, ck, max_files_per_trigger=2)
     incremental_ingest(spark, src, io.MOVIES_MAIN_SCHEMA, dst, ck, max_files_per_trigger=2)
     return io.typed_movies(read_landed(spark, dst))
+
+
+# ---- sinks ------------------------------------------------------------------
+@query("safe_reload")
+def q_safe_reload(spark, sf_dir):
+    """The staging movies published as a new validated version; the
+    query reads what the view serves after the swap."""
+    from marquee.sources import io
+    w = wh(spark, sf_dir)
+    io.safe_reload_path(w.stg_movies, "stg_movies_published", io.scratch_path(spark, "published"))
+    return spark.table("stg_movies_published")
+
+
+@query("write_layer")
+def q_write_layer(spark, sf_dir):
+    """A mart materialised as a Parquet table and read back."""
+    from marquee.sources import io
+    w = wh(spark, sf_dir)
+    return io.write_layer(w.fact_movie_roi_analysis, "fact_movie_roi_analysis", "table",
+                          path=io.scratch_path(spark, "mart"))

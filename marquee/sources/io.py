@@ -114,6 +114,22 @@ def safe_reload(df: DataFrame, name: str, validate=None, keep_previous: bool = F
     return version
 
 
+def safe_reload_path(df: DataFrame, name: str, base_dir: str, validate=None) -> str:
+    """S7 for file-based layers: write a new version folder under
+    ``base_dir``, validate it (default: same row count as the source), then
+    repoint temp view ``name`` to it.  Readers keep the old version on any
+    failure; nothing is overwritten in place."""
+    spark = df.sparkSession
+    path = f"{base_dir.rstrip('/')}/{name}/v-{uuid.uuid4().hex[:12]}"
+    df.write.mode("errorifexists").parquet(path)
+    written = spark.read.parquet(path)
+    ok = validate(written) if validate else written.count() == df.count()
+    if not ok:
+        raise ValueError(f"validation failed for {name}; previous version kept ({path} not published)")
+    written.createOrReplaceTempView(name)
+    return path
+
+
 def write_layer(df: DataFrame, name: str, materialized: str = "table", path: str | None = None) -> DataFrame:
     """Staging models as (lazy) temp views, marts as tables/Parquet."""
     if materialized == "view":

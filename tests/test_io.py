@@ -53,3 +53,12 @@ def test_incremental_ingest_exactly_once(spark, movies):
     incremental_ingest(spark, f"{base}/src/*", io.MOVIES_MAIN_SCHEMA, f"{base}/out", f"{base}/ck")
     incremental_ingest(spark, f"{base}/src/*", io.MOVIES_MAIN_SCHEMA, f"{base}/out", f"{base}/ck")
     assert read_landed(spark, f"{base}/out").count() == 3    # drop1 (2) + drop2 (1), nothing twice
+
+
+def test_safe_reload_path_keeps_old_version(spark, movies):
+    base = tempfile.mkdtemp(prefix="pub-")
+    io.safe_reload_path(movies, "pub_movies", base)
+    assert spark.table("pub_movies").count() == 2
+    with pytest.raises(ValueError):
+        io.safe_reload_path(movies.where("id = '1'"), "pub_movies", base, validate=lambda df: False)
+    assert spark.table("pub_movies").count() == 2
