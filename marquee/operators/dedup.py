@@ -17,7 +17,18 @@ def _packed(df: DataFrame) -> Column:
 
 def keep_first(df: DataFrame, keys: list[str], order_by: list[str | Column]) -> DataFrame:
     """A10: one row per key - the first by ``order_by`` (e.g. an ingest
-    sequence) - with all columns.  Deterministic given a total order."""
+    sequence) - with all columns.  Deterministic given a total order.
+
+    With a single unique sequence column: a fixed-width hash aggregation of
+    min(seq) per key (partial aggregation collapses a hot key), then a
+    semi-join back on (key, seq) - a unique pair, so a hot key spreads over
+    reducers by its sequence values.  Otherwise ``min_by`` over the packed
+    row."""
+    if len(order_by) == 1 and isinstance(order_by[0], str):
+        from marquee.operators._joins import join_null_safe
+        seq = order_by[0]
+        firsts = df.groupBy(*keys).agg(F.min(seq).alias(seq))
+        return join_null_safe(df, firsts, list(keys) + [seq], "left_semi")
     key = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order_by])
     return df.groupBy(*keys).agg(F.min_by(_packed(df), key).alias("__row")).select("__row.*")
 
