@@ -322,3 +322,20 @@ def q_write_layer(spark, sf_dir):
     w = wh(spark, sf_dir)
     return io.write_layer(w.fact_movie_roi_analysis, "fact_movie_roi_analysis", "table",
                           path=io.scratch_path(spark, "mart"))
+
+
+@query("imputation_baselines_approx")
+def q_imputation_baselines_approx(spark, sf_dir):
+    """A6 as the reference computes it: percentile_approx(..., 0.5, 1000) on
+    the same rows (bounded memory per group; an approximation, so no SQL
+    twin - rows-only check)."""
+    from pyspark.sql import functions as F
+    from marquee.config import APPROX_ACCURACY
+    fin = wh(spark, sf_dir).financials
+    ratio = fin.where((F.col("budget_reported") > 0) & (F.col("revenue") > 0)).agg(
+        F.percentile_approx(F.col("budget_reported") / F.col("revenue"), 0.5, APPROX_ACCURACY)
+        .alias("median_budget_revenue_ratio"))
+    budget = fin.where(F.col("budget_reported") > 0).agg(
+        F.percentile_approx("budget_reported", 0.5, APPROX_ACCURACY).alias("median_budget"))
+    return ratio.withColumn("__k", F.lit(1)).join(F.broadcast(budget.withColumn("__k", F.lit(1))), "__k") \
+        .drop("__k")
