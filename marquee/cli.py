@@ -2,7 +2,7 @@
 and run the data-quality suites.
 
     python -m marquee.cli --movies movies_main.csv --extended movie_extended.csv \\
-        --ratings ratings.json --benchmark tmdb.csv --out /data/warehouse
+        --ratings ratings.json --benchmark external_benchmark.csv --out /data/warehouse
 """
 
 from __future__ import annotations
