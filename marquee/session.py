@@ -59,7 +59,8 @@ def materialize(df, label: str = "stage"):
     spark = df.sparkSession
     path = f"{app_scratch_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    # the schema is known: skip footer inference on read-back
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def app_scratch_dir(spark) -> str:
