@@ -73,7 +73,8 @@ def ntile_from_rank(rank: Column, total: Column, buckets: int) -> Column:
 MAX_ROWS_IN_TASK = 1_000_000
 
 
-def _fits_one_task(df: DataFrame, partition_by: list[str], limit: int) -> bool:
+def _fits_one_task(df: DataFrame, partition_by: list[str], limit: int | None) -> bool:
+    limit = MAX_ROWS_IN_TASK if limit is None else limit
     if partition_by:
         largest = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
     else:
@@ -83,7 +84,7 @@ def _fits_one_task(df: DataFrame, partition_by: list[str], limit: int) -> bool:
 
 def distributed_ntile(df: DataFrame, buckets: int, order_by: list, out: str = "ntile",
                       num_partitions: int | None = None, strategy: str = "auto",
-                      max_rows_in_task: int = MAX_ROWS_IN_TASK) -> DataFrame:
+                      max_rows_in_task: int | None = None) -> DataFrame:
     """NTILE over the whole DataFrame.  ``auto`` counts the rows first:
     up to ``max_rows_in_task`` a plain window sorts them in one task, beyond
     that the global rank is computed across the cluster."""
@@ -99,7 +100,7 @@ def distributed_ntile(df: DataFrame, buckets: int, order_by: list, out: str = "n
 def distributed_lag_lead(df: DataFrame, partition_by: list[str], order_by: list,
                          value: str, lag_col: str | None, lead_col: str | None,
                          num_partitions: int | None = None, strategy: str = "auto",
-                         max_rows_in_task: int = MAX_ROWS_IN_TASK) -> DataFrame:
+                         max_rows_in_task: int | None = None) -> DataFrame:
     """Previous / next row's ``value`` within ``partition_by`` in the
     order ``order_by`` (must be a total order).  ``auto`` measures the
     largest partition: small ones use a plain window; otherwise rows are

@@ -37,7 +37,7 @@ MAX_ROWS_PER_GROUP = 1_000_000
 
 def group_percentiles(df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float],
                       method: str = "cont", strategy: str = "auto",
-                      max_rows_per_group: int = MAX_ROWS_PER_GROUP,
+                      max_rows_per_group: int | None = None,
                       resolution: int = DEFAULT_RESOLUTION,
                       sub_buckets: int = DEFAULT_SUB_BUCKETS) -> DataFrame:
     """Return ``keys`` + ``n`` + one column per entry of ``quantiles``.
@@ -55,8 +55,9 @@ def group_percentiles(df: DataFrame, keys: list[str], value: str, quantiles: dic
     base = df.select(*([F.col(k) for k in keys] if keys else [F.lit(0).alias("__g")]),
                      v.alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
     if strategy == "auto":
+        limit = MAX_ROWS_PER_GROUP if max_rows_per_group is None else max_rows_per_group
         largest = base.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-        strategy = "in_buffer" if (largest or 0) <= max_rows_per_group else "distributed"
+        strategy = "in_buffer" if (largest or 0) <= limit else "distributed"
     if strategy == "in_buffer":
         fn = F.percentile if method == "cont" else _percentile_disc
         out = base.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("n"),
