@@ -15,8 +15,8 @@ def _global_median(df: DataFrame, value: str, method: str, accuracy: int):
         row = df.agg(F.percentile_approx(F.col(value), 0.5, accuracy).alias("m")).first()
         return None if row is None else row["m"]
     if method == "exact":
-        rows = group_percentiles(df, [], value, {"m": 0.5}, method="disc").collect()
-        return rows[0]["m"] if rows else None
+        row = group_percentiles(df, [], value, {"m": 0.5}, method="disc").first()  # one row at most
+        return None if row is None else row["m"]
     raise ValueError(method)
 
 
