@@ -74,6 +74,16 @@ def literal_names_array(c: Column | str, key: str = "name") -> Column:
     return F.coalesce(kept, F.array().cast("array<string>"))
 
 
+def literal_or_csv_tokens(c: Column | str, key: str = "name") -> Column:
+    """Tokens of a multi-value text that may be a list literal: names of a
+    parsable list literal (commas inside names survive), otherwise the
+    comma-split text - the intent form of "join names with ',' then split"."""
+    raw = as_col(c)
+    arr = _literal_struct_array(raw, key)
+    names = F.filter(F.transform(arr, lambda x: F.trim(x[key])), lambda x: x.isNotNull() & (x != ""))
+    return F.when(arr.isNotNull(), names).otherwise(split_csv_list(raw))
+
+
 def matches_shape(c: Column | str, pattern: str) -> Column:
     """regex match of the whole value."""
     return as_col(c).rlike(pattern)

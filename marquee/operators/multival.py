@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.text import split_csv_list
+from marquee.functions.text import literal_or_csv_tokens, split_csv_list
 
 
 def build_mapping(df: DataFrame, source: str, value_name: str, id_col: str = "id",
@@ -18,6 +18,17 @@ def build_mapping(df: DataFrame, source: str, value_name: str, id_col: str = "id
     )
 
 
+def build_mapping_from_literal(df: DataFrame, source: str, value_name: str, id_col: str = "id",
+                               out_id: str = "movie_id") -> DataFrame:
+    """G1 (intent) for list-literal columns: explode the parsed names
+    directly, so a name containing a comma stays one token."""
+    return (
+        df.select(F.col(id_col).alias(out_id), F.explode(literal_or_csv_tokens(source)).alias(value_name))
+        .where(F.col(out_id).isNotNull())
+        .distinct()
+    )
+
+
 def explode_tokens(df: DataFrame, array_col: str, out: str, keep: list[str] | None = None) -> DataFrame:
     """One row per array element, NULL elements dropped."""
     keep = keep or []

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marquee.config import Scope
 from marquee.operators import impute, match
-from marquee.operators.multival import build_mapping
+from marquee.operators.multival import build_mapping, build_mapping_from_literal
 from marquee.plans import analyses, clean, dims, facts, segments, staging
 from marquee.session import materialize
 from marquee.sources.adapter import RawTables, generated_raw
@@ -27,12 +27,14 @@ def stage(df: DataFrame) -> DataFrame:
 
 class Warehouse:
     def __init__(self, raw: RawTables, scope: Scope = Scope(), title_mode: str = "intent",
-                 median_method: str = "exact", order_strategy: str = "auto"):
+                 median_method: str = "exact", order_strategy: str = "auto",
+                 country_tokens: str = "intent"):
         self.raw = raw
         self.scope = scope
         self.title_mode = title_mode
         self.median_method = median_method
         self.order_strategy = order_strategy
+        self.country_tokens = country_tokens
 
     @classmethod
     def from_files(cls, spark: SparkSession, movies_csv: str, extended_csv: str, ratings_json: str,
@@ -112,7 +114,12 @@ class Warehouse:
 
     @cached_property
     def movie_countries(self) -> DataFrame:
-        return stage(build_mapping(self.silver_extended, "production_countries", "country"))
+        # intent: explode the parsed list (names with commas stay whole);
+        # as_written: split the comma-joined names again like the reference
+        if self.country_tokens == "as_written":
+            return stage(build_mapping(self.silver_extended, "production_countries", "country"))
+        src = clean.normalize_id(clean._dedup_first(self.raw.movie_extended))
+        return stage(build_mapping_from_literal(src, "production_countries", "country"))
 
     # ---- staging --------------------------------------------------------------
     @cached_property

@@ -66,3 +66,14 @@ def test_rounding_and_pct(spark):
     assert [r.r for r in rows] == [1.01, 2.68]          # half-up on the decimal value
     assert [r.i for r in rows] == [4, 2]                 # half-even like the warehouse cast
     assert [r.g for r in rows] == [10.0, None]           # only when prev > 0
+
+
+def test_country_tokens_intent_keeps_commas(spark):
+    from marquee.functions.text import literal_or_csv_tokens
+    vals = ["[{'iso': 'KR', 'name': 'Korea, Republic of'}, {'iso': 'FR', 'name': 'France'}]", "[]",
+            "France, Spain", None]
+    rows = col(spark, vals).select(literal_or_csv_tokens("v").alias("t")).collect()
+    assert [r.t for r in rows] == [["Korea, Republic of", "France"], [], ["France", "Spain"], []]
+    # as written: join then split breaks the name
+    joined = col(spark, vals[:1]).select(split_csv_list(literal_names_text("v")).alias("t")).first().t
+    assert joined == ["Korea", "Republic of", "France"]
