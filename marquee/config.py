@@ -77,6 +77,7 @@ COMMA_SPACING_PATTERN = r",\s|\s,"
 
 # EDA constants
 TOP_TOKENS = 15
+TOP_EXAMPLES = 5
 TOP_RATED = 20
 ROI_HIST_BINS = 50
 ROI_CLIP = (-1.0, 20.0)

@@ -220,6 +220,34 @@ class Eda:
         wide = long.groupBy("column").pivot("dataset", ["movies", "movies_extended", "ratings"]).agg(F.first("dtype"))
         return wide.fillna("-")
 
+    def dataset_sizes(self) -> DataFrame:
+        """Rows and columns of each landed input."""
+        frames = {"movies": self.raw.movies_main.drop("ingest_seq"),
+                  "movies_extended": self.raw.movie_extended.drop("ingest_seq"),
+                  "ratings": self.raw.ratings}
+        return reduce(lambda a, b: a.unionByName(b), [
+            df.agg(F.count(F.lit(1)).cast("bigint").alias("rows")).select(
+                F.lit(name).alias("dataset"), "rows", F.lit(len(df.columns)).alias("columns"))
+            for name, df in frames.items()])
+
+    def valid_financials_summary(self) -> DataFrame:
+        """Count and medians of budget, revenue and ROI over the rows with
+        positive budget and revenue (exact, size-checked medians)."""
+        from marquee.operators.percentile import group_percentiles
+        f = self.fin_valid.select("budget_num", "revenue_num",
+                                  ((F.col("revenue_num") - F.col("budget_num")) / F.col("budget_num")).alias("roi"))
+        stacked = f.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("measure"), F.col(c).alias("value")) for c in ("budget_num", "revenue_num", "roi")
+        ])).alias("s")).select("s.measure", "s.value")
+        med = group_percentiles(stacked, ["measure"], "value", {"median": 0.5})
+        return med.select("measure", F.col("n").cast("bigint").alias("movies"),
+                          round_dec("median", 6).alias("median"))
+
+    def date_parse_failures(self) -> DataFrame:
+        """Raw release dates present but not parsable by any format."""
+        return self.movies.where(F.col("release_date").isNotNull() & F.col("release_date_parsed").isNull()) \
+            .select("id", "release_date")
+
     def stacked_numeric_profile(self) -> DataFrame:
         """Per-dataset reports stacked with a dataset label."""
         return stack_labelled({

@@ -260,6 +260,9 @@ _EDA = {
     "duplicate_flags": "duplicate_flags",           # W10
     "schema_summary": "schema_summary",             # Q18
     "stacked_profile": "stacked_numeric_profile",   # U2
+    "dataset_sizes": "dataset_sizes",               # EDA load summary (A22)
+    "valid_financials_summary": "valid_financials_summary",  # P12, A5, F15
+    "date_parse_failures": "date_parse_failures",   # F1 failures (Q4 detail)
 }
 for _name, _meth in _EDA.items():
     QUERIES[_name] = (lambda m: (lambda spark, sf_dir: getattr(eda(spark, sf_dir), m)()))(_meth)
@@ -269,6 +272,13 @@ for _name, _col in (("top_genres", "genres_list"), ("top_countries", "country_na
     QUERIES[_name] = (lambda c: (lambda spark, sf_dir: eda(spark, sf_dir).top_tokens(c)))(_col)
 
 
+@query("top_companies")
+def q_top_companies(spark, sf_dir):
+    """The most frequent production companies (top examples)."""
+    from marquee.config import TOP_EXAMPLES
+    return eda(spark, sf_dir).top_tokens("production_companies_list", TOP_EXAMPLES)
+
+
 # ---- sources ----------------------------------------------------------------
 @query("scan_csv")
 def q_scan_csv(spark, sf_dir):

@@ -153,6 +153,17 @@ SELECT 'movies' AS dataset, COUNT(*) AS rows FROM fin_valid UNION ALL SELECT 'ra
         col = "genre" if "genre" in src else "country"
         b[name] = (f"SELECT {col} AS token, COUNT(*) AS movie_count FROM {src} GROUP BY 1 "
                    f"ORDER BY 2 DESC, 1 LIMIT 15")
+    b["dataset_sizes"] = """
+SELECT 'movies' AS dataset, COUNT(*) AS rows, 5 AS columns FROM orders
+UNION ALL SELECT 'movies_extended', COUNT(*), 5 FROM orders
+UNION ALL SELECT 'ratings', COUNT(DISTINCT user_id), 3 FROM events"""
+    b["valid_financials_summary"] = " UNION ALL ".join(
+        f"SELECT '{m}' AS measure, COUNT(*) AS movies, {r2(f'quantile_cont({e}, 0.5)', 6)} AS median FROM fin_valid"
+        for m, e in (("budget_num", "budget_num"), ("revenue_num", "revenue_num"), ("roi", ROI)))
+    b["date_parse_failures"] = ("SELECT id, release_date FROM eda_movies "
+                                "WHERE release_date IS NOT NULL AND release_date_parsed IS NULL")
+    b["top_companies"] = ("SELECT company AS token, COUNT(*) AS movie_count FROM stg_movie_companies "
+                          "GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5")
     b["top_languages"] = ("SELECT spoken_languages AS token, COUNT(*) AS movie_count FROM stg_movie_extended "
                           "WHERE spoken_languages IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15")
     return b
