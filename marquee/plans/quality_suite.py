@@ -98,18 +98,26 @@ def schema_suite(models: dict[str, DataFrame], tests=SCHEMA_TESTS) -> DataFrame:
     frames = []
     for model, ts in by_model.items():
         df = models[model]
-        aggs = []
-        for _, col, test, arg in ts:
-            name = schema_test_name(model, col, test)
-            if test == "not_null":
-                aggs.append(F.count_if(F.col(col).isNull()).alias(name))
-            elif test == "accepted_values":
-                bad = F.when(F.col(col).isNotNull() & ~F.col(col).isin(*arg), F.col(col))
-                aggs.append(F.count_distinct(bad).alias(name))
+        aggs = [F.count_if(F.col(col).isNull()).alias(schema_test_name(model, col, test))
+                for _, col, test, _ in ts if test == "not_null"]
         if aggs:
             wide = df.agg(*aggs)
             frames.append(wide.unpivot([], [a for a in wide.columns], "test_name", "failures")
                           .select("test_name", F.col("failures").cast("bigint")))
+        accepted = [(col, arg) for _, col, test, arg in ts if test == "accepted_values"]
+        if accepted:
+            # only failing values survive the filter, so the distinct count
+            # shuffles (usually) nothing - no per-test row expansion
+            bad = df.select(F.explode(F.array(*[
+                F.when(F.col(c).isNotNull() & ~F.col(c).isin(*arg),
+                       F.struct(F.lit(schema_test_name(model, c, "accepted_values")).alias("t"),
+                                F.col(c).cast("string").alias("v")))
+                for c, arg in accepted])).alias("b")).where(F.col("b").isNotNull()).select("b.t", "b.v")
+            counted = bad.distinct().groupBy("t").agg(F.count(F.lit(1)).alias("c"))
+            names = [schema_test_name(model, c, "accepted_values") for c, _ in accepted]
+            allnames = df.sparkSession.createDataFrame([(n,) for n in names], "t string")
+            frames.append(allnames.join(F.broadcast(counted), "t", "left").select(
+                F.col("t").alias("test_name"), F.coalesce("c", F.lit(0)).cast("bigint").alias("failures")))
         uniq = [col for _, col, test, _ in ts if test == "unique"]
         if uniq:
             stacked = df.select(F.explode(F.array(*[

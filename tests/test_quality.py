@@ -14,3 +14,15 @@ def test_suite_counts(spark):
         quality.Check("rule", quality.predicate_failures(child, F.col("k") > 100)),
     ]).collect()}
     assert out == {"nn": (1, "fail"), "uq": (1, "fail"), "av": (1, "fail"), "rel": (1, "fail"), "rule": (0, "pass")}
+
+
+def test_schema_suite_counts_failures(spark):
+    from marquee.plans.quality_suite import schema_suite
+    m = spark.createDataFrame([(1, "a", True), (1, "zz", None), (None, "zz", False), (3, "yy", True)],
+                              "k long, v string, f boolean")
+    p = spark.createDataFrame([(1,)], "k long")
+    tests = [("m", "k", "not_null", None), ("m", "k", "unique", None), ("m", "v", "accepted_values", ["a"]),
+             ("m", "f", "accepted_values", [True, False]), ("m", "k", "relationships", ("p", "k"))]
+    got = {r.test_name: r.failures for r in schema_suite({"m": m, "p": p}, tests).collect()}
+    assert got == {"not_null_m_k": 1, "unique_m_k": 1, "accepted_values_m_v": 2, "accepted_values_m_f": 0,
+                   "relationships_m_k": 1}
