@@ -86,20 +86,26 @@ def top10_by_year(fact: DataFrame, dim_date: DataFrame, dim_movie: DataFrame,
 
 
 def kpi_overview(fact: DataFrame) -> DataFrame:
-    """KPI card measures over the fact (one aggregation + exact median)."""
+    """KPI card measures over the fact.  Distinct movie counts come
+    from one groupBy(movie_id) (partial aggregation) instead of two
+    count-distinct aggregates, which Spark would evaluate by expanding every
+    row once per distinct expression."""
     k = fact.agg(
-        F.count_distinct("movie_id").cast("bigint").alias("total_movies"),
         round_dec(F.sum("revenue")).alias("total_revenue"),
         round_dec(F.sum("budget")).alias("total_budget"),
         round_dec(F.sum("profit")).alias("total_profit"),
         round_dec(F.avg("roi_pct")).alias("average_roi_pct"),
-        F.count_distinct(F.when(F.col("is_roi_eligible"), F.col("movie_id"))).cast("bigint")
-        .alias("recommendation_movies"),
-    ).withColumn("__k", F.lit(0))
-    med = group_median(fact, [], "roi_pct", out="median_roi_pct").withColumn("__k", F.lit(0))
-    # both sides are one-row aggregates
-    return k.join(F.broadcast(med), "__k", "left").drop("__k") \
-        .withColumn("median_roi_pct", round_dec("median_roi_pct"))
+    )
+    movies = fact.where(F.col("movie_id").isNotNull()).groupBy("movie_id") \
+        .agg(F.max(F.coalesce(F.col("is_roi_eligible"), F.lit(False)).cast("int")).alias("eligible")) \
+        .agg(F.count(F.lit(1)).cast("bigint").alias("total_movies"),
+             F.coalesce(F.sum("eligible"), F.lit(0)).cast("bigint").alias("recommendation_movies"))
+    med = group_median(fact, [], "roi_pct", out="median_roi_pct")
+    # all three sides are one-row aggregates
+    one = lambda df: F.broadcast(df.withColumn("__k", F.lit(0)))
+    out = k.withColumn("__k", F.lit(0)).join(one(movies), "__k").join(one(med), "__k", "left").drop("__k")
+    return out.select("total_movies", "total_revenue", "total_budget", "total_profit", "average_roi_pct",
+                      "recommendation_movies", round_dec("median_roi_pct").alias("median_roi_pct"))
 
 
 def calendar_yoy_revenue(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
