@@ -349,3 +349,10 @@ def q_imputation_baselines_approx(spark, sf_dir):
         F.percentile_approx("budget_reported", 0.5, APPROX_ACCURACY).alias("median_budget"))
     return ratio.withColumn("__k", F.lit(1)).join(F.broadcast(budget.withColumn("__k", F.lit(1))), "__k") \
         .drop("__k")
+
+
+@query("catalog_reliability_by_genre")
+def q_catalog_reliability_by_genre(spark, sf_dir):
+    """C36 per genre: share of each genre's movies usable in each scope."""
+    w = wh(spark, sf_dir)
+    return w.catalog_reliability_df(w.stg_movies.join(w.stg_movie_genres, "movie_id"), ["genre"])
