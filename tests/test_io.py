@@ -62,3 +62,14 @@ def test_safe_reload_path_keeps_old_version(spark, movies):
     with pytest.raises(ValueError):
         io.safe_reload_path(movies.where("id = '1'"), "pub_movies", base, validate=lambda df: False)
     assert spark.table("pub_movies").count() == 2
+
+
+def test_read_text_csv_by_header_name(spark):
+    path = tempfile.mkdtemp(prefix="hdr-") + "/m.csv"
+    with open(path, "w") as f:
+        f.write('revenue,Title,extra,id\n"1,000",The Matrix,x,7\n5,"A, B",y,8\n')
+    df = io.read_text_csv(spark, path, io.MOVIES_COLUMNS)
+    rows = {r.id: r for r in df.collect()}
+    assert df.columns == io.MOVIES_COLUMNS + ["ingest_seq"]
+    assert rows["7"].title == "The Matrix" and rows["7"].revenue == "1,000" and rows["7"].budget is None
+    assert rows["8"].title == "A, B"

@@ -104,3 +104,14 @@ def test_keep_first_with_hot_id(spark):
     df = spark.createDataFrame(rows, "id string, seq int")
     out = {r.id: r.seq for r in keep_first(df, ["id"], ["seq"]).collect()}
     assert out["hot"] == 0 and len(out) == 2001
+
+
+def test_salted_join_hot_key_and_missing_matches(spark):
+    from marquee.operators._joins import salted_many_to_one_join
+    left = spark.createDataFrame([(i, "hot" if i % 2 else f"k{i % 7}") for i in range(200)] + [(999, None)],
+                                 "id long, key string")
+    right = spark.createDataFrame([("hot", 1.0), ("k0", 2.0), ("k2", None)], "rkey string, val double")
+    plain = left.join(right, left.key == right.rkey, "left").select("id", "val")
+    salted = salted_many_to_one_join(left, right, "key", "rkey", "id", "left", hot_threshold=10,
+                                     salt_buckets=8).select("id", "val")
+    assert sorted(salted.collect()) == sorted(plain.collect()) and salted.count() == 201
