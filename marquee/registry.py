@@ -356,3 +356,12 @@ def q_catalog_reliability_by_genre(spark, sf_dir):
     """C36 per genre: share of each genre's movies usable in each scope."""
     w = wh(spark, sf_dir)
     return w.catalog_reliability_df(w.stg_movies.join(w.stg_movie_genres, "movie_id"), ["genre"])
+
+
+@query("tiered_match_as_written")
+def q_tiered_match_as_written(spark, sf_dir):
+    """J7 with the title key normalised as the reference's code does it
+    (strip before lower-casing, no whitespace collapse)."""
+    w = wh(spark, sf_dir)
+    aw = Warehouse(w.raw, scope=w.scope, title_mode="as_written")
+    return aw.matched.select("id", "title_norm", "release_year", "ext_budget", "ext_revenue", "match_tier")
