@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, ngram_join, sharding, url_filter
+from . import decontaminate, fingerprint, ngram_join, sharding, url_filter
 from .util import table
 
 
@@ -20,6 +20,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages.select("page_id", "url"), listed).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.query(spark, sf_dir)
 
@@ -34,5 +38,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op4_ngram_jaccard, op8_histogram_sort, op10_decontaminate)
+    f.__name__: f for f in (op1_url_filter, op3_fingerprints, op4_ngram_jaccard, op8_histogram_sort, op10_decontaminate)
 }
