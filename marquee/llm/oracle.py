@@ -69,8 +69,23 @@ SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)"""
 
+#: Base32 of a 40 digit hex string: 32 groups of 5 bits from two neighbouring digits each.
+_BASE32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  1 + ((((instr('0123456789abcdef', substr(h, (5 * i) // 4 + 1, 1)) - 1) * 256
+       + (instr('0123456789abcdef', substr(h || '00', (5 * i) // 4 + 2, 1)) - 1) * 16
+       + (instr('0123456789abcdef', substr(h || '00', (5 * i) // 4 + 3, 1)) - 1)) // CAST(pow(2, 7 - (5 * i) % 4) AS INTEGER)) % 32)::INTEGER, 1)), '')"""
+
+WARC = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+last AS (SELECT h, max(page_id) AS m FROM p GROUP BY h)
+SELECT p.page_id, CAST(octet_length(encode(p.html)) AS BIGINT) AS payload_bytes, {_BASE32.replace("(h,", "(p.h,").replace("(h ||", "(p.h ||")} AS payload_digest,
+       CASE WHEN p.page_id IS NOT DISTINCT FROM m OR m IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN p.page_id IS DISTINCT FROM m THEN m END AS refers_to, true AS digest_ok
+FROM p JOIN last ON p.h = last.h"""
+
 ORACLE = {
     "op1_url_filter": URL_FILTER,
     "op4_ngram_jaccard": NGRAM_JACCARD,
+    "op5_warc": WARC,
     "op10_decontaminate": DECONTAMINATE,
 }
