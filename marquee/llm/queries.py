@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, ngram_join, sharding, url_filter, warc
+from . import decontaminate, fingerprint, language_id, ngram_join, sharding, url_filter, warc
 from .util import table
 
 
@@ -32,6 +32,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.query(spark, sf_dir)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.query(spark, sf_dir)
+
+
 def op8_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.histogram_shards(docs, 40).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
@@ -42,5 +46,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op3_fingerprints, op4_ngram_jaccard, op5_warc, op8_histogram_sort, op10_decontaminate)
+    f.__name__: f for f in (op1_url_filter, op3_fingerprints, op4_ngram_jaccard, op5_warc, op7_language_id, op8_histogram_sort, op10_decontaminate)
 }
