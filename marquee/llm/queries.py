@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, language_id, ngram_join, sharding, url_filter, warc
+from . import decontaminate, fingerprint, language_id, mixing, ngram_join, sharding, token_counts, url_filter, warc
 from .util import table
 
 
@@ -20,6 +20,10 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages.select("page_id", "url"), listed).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.query(spark, sf_dir)
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -32,6 +36,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.query(spark, sf_dir)
 
 
+def op6_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.query(spark, sf_dir)
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.query(spark, sf_dir)
 
@@ -46,5 +54,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op3_fingerprints, op4_ngram_jaccard, op5_warc, op7_language_id, op8_histogram_sort, op10_decontaminate)
+    f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_fingerprints, op4_ngram_jaccard, op5_warc, op6_temperature_mix, op7_language_id, op8_histogram_sort, op10_decontaminate)
 }
