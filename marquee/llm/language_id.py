@@ -204,12 +204,12 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(rows, model, ["doc_id", "held_out"])
 
 
-def reject_unknown(docs: DataFrame, least: float = 0.5) -> DataFrame:
+def reject_unknown(docs: DataFrame, least: float = 0.25) -> DataFrame:
     """``docs`` without those whose language is unknown or whose main language
     has less than ``least`` of the text."""
     model = train(docs.where(~held_out(F.col("doc_id"))))
-    plain = docs.select(*docs.columns)
-    return predict(plain, model, docs.columns).where(F.col("lang_pred") != UNKNOWN).where(F.col("score") >= least).select(*docs.columns)
+    found = predict(docs, model, docs.columns)
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

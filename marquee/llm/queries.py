@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, language_id, mixing, ngram_join, sharding, token_counts, url_filter, warc
+from . import decontaminate, fingerprint, language_id, mixing, ngram_join, pii, sharding, token_counts, url_filter, warc
 from .util import table
 
 
@@ -49,10 +49,14 @@ def op8_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.histogram_shards(docs, 40).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.query(spark, sf_dir)
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.query(spark, sf_dir)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_fingerprints, op4_ngram_jaccard, op5_warc, op6_temperature_mix, op7_language_id, op8_histogram_sort, op10_decontaminate)
+    f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_fingerprints, op4_ngram_jaccard, op5_warc, op6_temperature_mix, op7_language_id, op8_histogram_sort, op9_pii, op10_decontaminate)
 }
