@@ -147,21 +147,26 @@ def phrase_blocks(items: DataFrame, window: int = WINDOW, block_words: int = BLO
 
 
 def _near(lists: list[np.ndarray], offs: list[int], slop: int, starts: np.ndarray) -> np.ndarray:
-    """Places where a phrase begins: each term within ``slop`` of its place, in one text."""
+    """Places s such that term k occurs within ``slop`` of s + k, all in one text."""
     order = sorted(range(len(lists)), key=lambda k: len(lists[k]))
-    at = lists[order[0]] - offs[order[0]]
     owner = lists[order[0]]
+    at = owner - offs[order[0]]
+    if slop:
+        owner = np.tile(owner, 2 * slop + 1)
+        at = np.concatenate([at + d for d in range(-slop, slop + 1)])
+    first = starts[np.searchsorted(starts, owner, side="right") - 1]
+    last = np.r_[starts, np.iinfo(np.int64).max][np.searchsorted(starts, owner, side="right")]
     for k in order[1:]:
         other, want = lists[k], at + offs[k]
-        i = np.searchsorted(other, want - slop)
+        i = np.searchsorted(other, np.maximum(want - slop, first))
         found = other[np.minimum(i, len(other) - 1)]
-        ok = (i < len(other)) & (found <= want + slop)
-        if slop:
-            ok &= np.searchsorted(starts, found, side="right") == np.searchsorted(starts, owner, side="right")
-        at, owner = at[ok], owner[ok]
+        ok = (i < len(other)) & (found <= want + slop) & (found < last)
+        at, first, last = at[ok], first[ok], last[ok]
         if not len(at):
             break
-    return at
+    if slop:  # the place itself may lie outside the text
+        at = np.maximum(at, first)
+    return np.unique(at)
 
 
 def _search_segment(rows: pa.Table, windows: dict[tuple[int, ...], set[str]], slop: int) -> pa.Table:
@@ -185,9 +190,6 @@ def _search_segment(rows: pa.Table, windows: dict[tuple[int, ...], set[str]], sl
         s, e = s[order], np.maximum.accumulate(e[order])
         head = np.flatnonzero(np.r_[True, s[1:] >= e[:-1]])
         lo, hi = s[head], e[np.r_[head[1:] - 1, len(e) - 1]]
-        if slop:  # an expected place may lie outside the text
-            own = np.searchsorted(starts, np.maximum(lo, 0), side="right") - 1
-            lo = np.maximum(lo, starts[own])
         doc = np.searchsorted(starts, lo, side="right") - 1
         out += [{"segment": segment, "ordinal": int(d), "doc_id": ids[d], "item_id": item, "first_word": int(a - starts[d]), "n_words": int(b - a)} for d, a, b in zip(doc, lo, hi, strict=True)]
     return pa.Table.from_pylist(out, schema=MATCH_ARROW)
@@ -250,8 +252,8 @@ def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     Rows of one doc_id share a fate: a contaminated one removes them all.  A
     row without doc_id goes if any such row is contaminated."""
-    bad = contamination(docs, items).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("_bad")), "left_anti")
+    bad = contamination(docs, items).where("contaminated").select(F.col("doc_id").alias("__op_bad")).distinct()
+    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("__op_bad")), "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -188,7 +188,7 @@ def predict(docs: DataFrame, model: LanguageModel, keep: list[str]) -> DataFrame
     by name.  No shuffle; repeated rows get equal results."""
     spark = docs.sparkSession
     kept = docs.select(*[F.col(c) for c in keep])
-    rows = docs.select(F.col("text").cast("string").alias("_text"), F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False)).alias("_letter"), *[F.col(c) for c in keep])
+    rows = docs.select(F.col("text").cast("string").alias("__op_text"), F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False)).alias("__op_letter"), *[F.col(c) for c in keep])
     schema = kept.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0), "mixture": F.lit(None).cast("array<struct<lang:string,share:double>>")}).schema
     sent = spark.sparkContext.broadcast(model.log_p)  # BUCKETS x MAX_LANGUAGES floats at most
     return rows.mapInArrow(_predict_rows(model.langs, sent), schema)

@@ -91,7 +91,7 @@ def exponent(totals: list[int], target: Target) -> float:
 def source_plan(rows: DataFrame, target: Target) -> tuple[DataFrame, float]:
     """(source, tokens, weight, budget, whole, part, blocks) and the exponent."""
     spark = rows.sparkSession
-    got = rows.groupBy("source").agg(F.sum("_tokens").alias("t")).limit(MOST_SOURCES + 1).collect()
+    got = rows.groupBy("source").agg(F.sum("__op_tokens").alias("t")).limit(MOST_SOURCES + 1).collect()
     if len(got) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
     got = sorted(got, key=lambda r: (r.source is not None, r.source))
@@ -102,7 +102,7 @@ def source_plan(rows: DataFrame, target: Target) -> tuple[DataFrame, float]:
         budget = int(math.floor(t * e + 0.5)) if t else 0
         whole, part = divmod(budget, t) if t else (1, 0)  # a source without tokens costs nothing: one epoch
         plan.append((r.source, t, w, budget, whole, part, max(1, -(-t // BLOCK_TOKENS))))
-    return spark.createDataFrame(plan, "_source string, source_tokens long, weight double, budget long, whole long, part long, blocks long"), a
+    return spark.createDataFrame(plan, "__op_source string, source_tokens long, weight double, budget long, whole long, part long, blocks long"), a
 
 
 def mix(docs: DataFrame, target: Target = Target(repetition=2.0), tokens: Column | None = None) -> DataFrame:
@@ -123,33 +123,33 @@ def mix(docs: DataFrame, target: Target = Target(repetition=2.0), tokens: Column
     large a source is: a source's cut in its last epoch is one row."""
     added = ["n_tokens", "epoch", "block", "block_order", "row_order"]
     kept = docs.drop(*[c for c in docs.columns if c.lower() in added])
-    rows = kept.withColumn("_tokens", words(F.col("text")) if tokens is None else tokens)
+    rows = kept.withColumn("__op_tokens", words(F.col("text")) if tokens is None else tokens)
     plan, _ = source_plan(rows, target)
-    plan = F.broadcast(plan)  # at most MOST_SOURCES short rows, counted above
+    plan = F.broadcast(plan.select("__op_source", *[F.col(c).alias(f"__op_{c}") for c in ("whole", "part", "blocks")]))  # at most MOST_SOURCES short rows, counted above
     seed = F.lit(target.seed)
-    rows = rows.join(plan, F.col("source").eqNullSafe(F.col("_source")))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64(seed, "doc_id", "text"), F.col("blocks")))
+    rows = rows.join(plan, F.col("source").eqNullSafe(F.col("__op_source")))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64(seed, "doc_id", "text"), F.col("__op_blocks")))
 
     def ordered(df: DataFrame) -> DataFrame:
         return df.withColumns({"block_order": F.xxhash64(seed, "epoch", "source", "block"), "row_order": F.xxhash64(seed, "epoch", "doc_id", "text")})
 
-    whole = ordered(rows.where("whole > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("whole") - 1))))
-    part = ordered(rows.where("part > 0").withColumn("epoch", F.col("whole")))
+    whole = ordered(rows.where("__op_whole > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__op_whole") - 1))))
+    part = ordered(rows.where("__op_part > 0").withColumn("epoch", F.col("__op_whole")))
     # the cut of each source's partial epoch, from narrow rows
-    narrow = part.select("_source", "part", "block_order", "row_order", "_tokens")
-    sums = narrow.groupBy("_source", "part", "block_order").agg(F.sum("_tokens").alias("t"))
-    by_block = Window.partitionBy("_source").orderBy("block_order")
+    narrow = part.select("__op_source", F.col("__op_part").alias("part"), "block_order", "row_order", "__op_tokens")
+    sums = narrow.groupBy("__op_source", "part", "block_order").agg(F.sum("__op_tokens").alias("t"))
+    by_block = Window.partitionBy("__op_source").orderBy("block_order")
     sums = sums.withColumn("upto", F.sum("t").over(by_block)).withColumn("room", F.col("part") - (F.col("upto") - F.col("t")))
-    last = sums.where("room >= 0 AND upto > part").select(F.col("_source").alias("_s"), F.col("block_order").alias("_b"), "room")  # one block a source
-    inside = narrow.join(F.broadcast(last), F.col("_source").eqNullSafe(F.col("_s")) & (F.col("block_order") == F.col("_b")))
-    by_row = Window.partitionBy("_source").orderBy("row_order").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = inside.withColumn("upto", F.sum("_tokens").over(by_row)).where("upto <= room")
-    cut = inside.groupBy("_source").agg(F.max("row_order").alias("_cut_row")).withColumnRenamed("_source", "_cs")
-    cut = last.join(cut, F.col("_s").eqNullSafe(F.col("_cs")), "left").select("_s", "_b", "_cut_row")
-    part = part.join(F.broadcast(cut), F.col("_source").eqNullSafe(F.col("_s")), "left")
-    part = part.where("_b IS NULL OR block_order < _b OR (block_order = _b AND row_order <= _cut_row) OR _tokens = 0")
-    names = [c for c in kept.columns] + ["_tokens", "epoch", "block", "block_order", "row_order"]
-    return whole.select(*names).unionByName(part.select(*names)).withColumnRenamed("_tokens", "n_tokens")
+    last = sums.where("room >= 0 AND upto > part").select(F.col("__op_source").alias("__op_s"), F.col("block_order").alias("__op_b"), "room")  # one block a source
+    inside = narrow.join(F.broadcast(last), F.col("__op_source").eqNullSafe(F.col("__op_s")) & (F.col("block_order") == F.col("__op_b")))
+    by_row = Window.partitionBy("__op_source").orderBy("row_order").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = inside.withColumn("upto", F.sum("__op_tokens").over(by_row)).where("upto <= room")
+    cut = inside.groupBy("__op_source").agg(F.max("row_order").alias("__op_cut_row")).withColumnRenamed("__op_source", "__op_cs")
+    cut = last.join(cut, F.col("__op_s").eqNullSafe(F.col("__op_cs")), "left").select("__op_s", "__op_b", "__op_cut_row")
+    part = part.join(F.broadcast(cut), F.col("__op_source").eqNullSafe(F.col("__op_s")), "left")
+    part = part.where("__op_b IS NULL OR block_order < __op_b OR (block_order = __op_b AND row_order <= __op_cut_row) OR __op_tokens = 0")
+    names = [c for c in kept.columns] + ["__op_tokens", "epoch", "block", "block_order", "row_order"]
+    return whole.select(*names).unionByName(part.select(*names)).withColumnRenamed("__op_tokens", "n_tokens")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -467,7 +467,7 @@ def find(docs: DataFrame, params: dict[str, np.ndarray], keep: list[str]) -> Dat
     sent = docs.sparkSession.sparkContext.broadcast(params)
     names = ["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added"]
     keep = [c for c in keep if c.lower() not in names]
-    rows = docs.select(F.col("text").cast("string").alias("_text"), *[F.col(c) for c in keep])
+    rows = docs.select(F.col("text").cast("string").alias("__op_text"), *[F.col(c) for c in keep])
     zero = F.lit(0).cast("long")
     schema = docs.select(*keep).withColumns({n: F.lit("") if n in ("base_sha256", "spans") else zero for n in names}).schema
     return rows.mapInArrow(_find_rows(sent, len(keep)), schema)

@@ -116,19 +116,19 @@ def histogram_shards(docs: DataFrame, shards: int = 40, tolerance: int = 0, piec
     spark = docs.sparkSession
     added = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
     docs = docs.drop(*[c for c in docs.columns if c.lower() in added])
-    keyed = docs.withColumns({"size": size_bytes(F.col("text")), "text_crc32": text_crc32(F.col("text")), "_key": shard_key(F.col("doc_id"), F.col("text"))})
-    keys = materialize(keyed.select(F.col("_key").alias("key"), "size"), "shard-keys")
+    keyed = docs.withColumns({"size": size_bytes(F.col("text")), "text_crc32": text_crc32(F.col("text")), "__op_key": shard_key(F.col("doc_id"), F.col("text"))})
+    keys = materialize(keyed.select(F.col("__op_key").alias("key"), "size"), "shard-keys")
     n = shards * max(1, pieces if pieces else -(-shuffle_partitions(spark) // shards))
     splitters, up_to, _, _ = find_splitters(keys, n, tolerance)
     starts = [0, *up_to]
     per = n // shards
-    piece = range_of(F.col("_key"), splitters)
+    piece = range_of(F.col("__op_key"), splitters)
     # rows of a shard before each of its pieces, known from the counts
-    offset = F.element_at(F.array(*[F.lit(starts[p] - starts[p - p % per]).cast("long") for p in range(n)]), F.col("_piece") + 1)
-    w = Window.partitionBy("_piece").orderBy("_key", "doc_id")
-    return (keyed.withColumn("_piece", piece)
+    offset = F.element_at(F.array(*[F.lit(starts[p] - starts[p - p % per]).cast("long") for p in range(n)]), F.col("__op_piece") + 1)
+    w = Window.partitionBy("__op_piece").orderBy("__op_key", "doc_id")
+    return (keyed.withColumn("__op_piece", piece)
             .withColumn("slot", (F.row_number().over(w) - 1).cast("long") + offset)
-            .withColumn("shard", F.floor(F.col("_piece") / per).cast("int"))
+            .withColumn("shard", F.floor(F.col("__op_piece") / per).cast("int"))
             .withColumn("law", F.lit("bytes"))
             .withColumn("grown_shard", F.lit(None).cast("int"))
-            .drop("_piece", "_key"))
+            .drop("__op_piece", "__op_key"))

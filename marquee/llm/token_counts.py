@@ -107,7 +107,7 @@ def count_tokens(docs: DataFrame, scores: dict[bytes, float], keep: list[str], p
     columns named like an added one are replaced."""
     keep = [c for c in keep if c.lower() not in ("n_pretokens", "n_tokens")]
     sent = docs.sparkSession.sparkContext.broadcast(scores)
-    rows = docs.select(F.col("text").cast("string").alias("_text"), *[F.col(c) for c in keep])
+    rows = docs.select(F.col("text").cast("string").alias("__op_text"), *[F.col(c) for c in keep])
     schema = docs.select(*keep).withColumns({"n_pretokens": F.lit(0).cast("long"), "n_tokens": F.lit(0).cast("long")}).schema
     return rows.mapInArrow(_count_rows(sent, pattern), schema)
 

@@ -96,9 +96,9 @@ def _mask(key: Column, i: int) -> Column:
 
 
 def build_filter(listed: DataFrame, shape: BloomShape, key: str = "canonical") -> DataFrame:
-    """One row (block, w0, w1, ...) for each block that is not empty."""
+    """One row (__op_at, __op_w0, ...) for each block that is not empty."""
     k = F.col(key)
-    return listed.groupBy(_block(k, shape).alias("block")).agg(*[F.bit_or(_mask(k, i)).alias(f"w{i}") for i in range(shape.words)])
+    return listed.groupBy(_block(k, shape).alias("__op_at")).agg(*[F.bit_or(_mask(k, i)).alias(f"__op_w{i}") for i in range(shape.words)])
 
 
 def judge_urls(pages: DataFrame, listed: DataFrame, rules: tuple[Rule, ...] = RULES, url: str = "url") -> DataFrame:
@@ -116,22 +116,22 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: tuple[Rule, ...] = RU
     added = ["host", "path", "rule", "verdict", "listed"]
     inner = pages.drop(*[c for c in pages.columns if c.lower() in added])
     inner = with_parts(inner, url)
-    inner = inner.withColumn("_rule", rule_struct(F.col("host"), F.col("path"), rules))
-    inner = inner.withColumn("_canonical", F.when(F.col("_rule").isNull(), canonical_url(F.col(url), F.col("host"), F.col("path"))))
+    inner = inner.withColumn("__op_rule", rule_struct(F.col("host"), F.col("path"), rules))
+    inner = inner.withColumn("__op_canonical", F.when(F.col("__op_rule").isNull(), canonical_url(F.col(url), F.col("host"), F.col("path"))))
     urls = materialize(listed.select(F.col(listed.columns[0]).alias("canonical")).where("canonical IS NOT NULL").distinct(), "listed-urls")
     shape = BloomShape.for_keys(urls.count())
     bloom = build_filter(urls, shape)  # at most max_blocks rows: a proven bound for the broadcast
-    probe = inner.withColumn("_block", F.when(F.col("_canonical").isNotNull(), _block(F.col("_canonical"), shape)))
-    probe = probe.join(F.broadcast(bloom.withColumnRenamed("block", "_b")), F.col("_block") == F.col("_b"), "left")
+    probe = inner.withColumn("__op_block", F.when(F.col("__op_canonical").isNotNull(), _block(F.col("__op_canonical"), shape)))
+    probe = probe.join(F.broadcast(bloom), F.col("__op_block") == F.col("__op_at"), "left")
     hit = F.lit(True)
     for i in range(shape.words):
-        mask = _mask(F.col("_canonical"), i)
-        hit = hit & (F.col(f"w{i}").bitwiseAND(mask) == mask)
-    probe = probe.withColumn("_maybe", F.col("_b").isNotNull() & F.coalesce(hit, F.lit(False)))
-    probe = probe.drop("_block", "_b", *[f"w{i}" for i in range(shape.words)])
-    sure = probe.where(~F.col("_maybe")).withColumn("listed", F.lit(False))
-    exact = (probe.where("_maybe").join(urls.hint("shuffle_hash").withColumnRenamed("canonical", "_listed"), F.col("_canonical") == F.col("_listed"), "left")
-             .withColumn("listed", F.col("_listed").isNotNull()).drop("_listed"))
+        mask = _mask(F.col("__op_canonical"), i)
+        hit = hit & (F.col(f"__op_w{i}").bitwiseAND(mask) == mask)
+    probe = probe.withColumn("__op_maybe", F.col("__op_at").isNotNull() & F.coalesce(hit, F.lit(False)))
+    probe = probe.drop("__op_block", "__op_at", *[f"__op_w{i}" for i in range(shape.words)])
+    sure = probe.where(~F.col("__op_maybe")).withColumn("listed", F.lit(False))
+    exact = (probe.where("__op_maybe").join(urls.hint("shuffle_hash").withColumnRenamed("canonical", "__op_listed"), F.col("__op_canonical") == F.col("__op_listed"), "left")
+             .withColumn("listed", F.col("__op_listed").isNotNull()).drop("__op_listed"))
     out = sure.unionByName(exact)
-    verdict = F.coalesce(F.col("_rule.action"), F.when(F.col("listed"), "block").otherwise("allow"))
-    return out.withColumns({"rule": F.col("_rule.rule"), "verdict": verdict}).drop("_rule", "_canonical", "_maybe")
+    verdict = F.coalesce(F.col("__op_rule.action"), F.when(F.col("listed"), "block").otherwise("allow"))
+    return out.withColumns({"rule": F.col("__op_rule.rule"), "verdict": verdict}).drop("__op_rule", "__op_canonical", "__op_maybe")
