@@ -173,6 +173,7 @@ def _search_segment(rows: pa.Table, windows: dict[tuple[int, ...], set[str]], sl
     where = rows.filter(pc.is_null(rows["token"])).slice(0, 1)
     segment, ids = where["segment"][0].as_py(), where["doc_ids"][0].as_py()
     starts = np.array(where["starts"][0].as_py(), dtype=np.int64)
+    ends = starts + np.array(where["n_words"][0].as_py(), dtype=np.int64)
     terms = rows.filter(pc.is_valid(rows["token"])).select(["token", "first", "width", "gaps"]).to_pydict()
     lists: dict[int, np.ndarray] = {}
     for token, first, width, gaps in zip(*terms.values(), strict=True):
@@ -186,6 +187,7 @@ def _search_segment(rows: pa.Table, windows: dict[tuple[int, ...], set[str]], sl
     for item, hits in found.items():
         s = np.concatenate([a for a, _ in hits])
         e = np.concatenate([a + n for a, n in hits])
+        e = np.minimum(e, ends[np.searchsorted(starts, s, side="right") - 1])  # a proximity match may end outside
         order = np.argsort(s, kind="stable")
         s, e = s[order], np.maximum.accumulate(e[order])
         head = np.flatnonzero(np.r_[True, s[1:] >= e[:-1]])
@@ -210,7 +212,7 @@ def search(index: DataFrame, items: DataFrame, window: int = WINDOW, slop: int =
         sent = spark.sparkContext.broadcast(block.windows)  # at most block_words of them
         terms = spark.createDataFrame([(t,) for t in block.tokens()], "token long")
         rows = index.join(F.broadcast(terms), "token", "left_semi").unionByName(index.where("token IS NULL"))
-        rows = rows.select("segment", "token", "first", "width", "gaps", "doc_ids", "starts")
+        rows = rows.select("segment", "token", "first", "width", "gaps", "doc_ids", "starts", "n_words")
         part = rows.groupBy("segment").applyInArrow(_searcher(sent, slop), MATCH_SCHEMA)
         out = part if out is None else out.unionByName(part)
     return spark.createDataFrame([], MATCH_SCHEMA) if out is None else out
