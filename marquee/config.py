@@ -65,8 +65,6 @@ MIN_SEGMENT_SAMPLE = 5
 SCOPE_LABEL_VERIFIED = "Verified Financials"
 SCOPE_LABEL_COVERAGE = "Market Coverage (10K budget / positive revenue)"
 
-MATCH_TIERS = ("exact", "buffer", "title_only", "unmatched")
-
 # release-date shape census (EDA)
 DATE_SHAPE_PATTERNS = {
     "YYYY-MM-DD": r"^\d{4}-\d{2}-\d{2}$",

@@ -13,10 +13,14 @@ def try_cast(c: Column | str, type_name: str) -> Column:
     return as_col(c).try_cast(type_name)
 
 
+# a plain decimal number; Spark's cast would also take suffixes such as 5d or 5f
+_NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
 def to_number(c: Column | str) -> Column:
-    """text -> double; unparsable and NaN -> NULL (NaN > 0 is TRUE in Spark)."""
-    x = as_col(c).cast("string").try_cast("double")
-    return F.when(~F.isnan(x), x)
+    """text -> double; anything but a plain number -> NULL."""
+    x = as_col(c).cast("string")
+    return F.when(x.rlike(_NUMBER), x.try_cast("double"))
 
 
 def zero_to_null(c: Column | str) -> Column:
@@ -42,15 +46,6 @@ def round_dec(c: Column | str, scale: int = 2) -> Column:
     return F.round(as_col(c).cast("decimal(38,10)"), scale).cast("double")
 
 
-def safe_divide(a: Column | str, b: Column | str) -> Column:
-    """NULL instead of a division-by-zero error."""
-    return F.try_divide(as_col(a), as_col(b))
-
-
-def nullif_zero(c: Column | str) -> Column:
-    return F.nullif(as_col(c), F.lit(0))
-
-
 def profit(revenue: Column | str, budget: Column | str) -> Column:
     """F15."""
     return as_col(revenue) - as_col(budget)

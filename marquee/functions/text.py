@@ -38,12 +38,22 @@ def split_csv_list(c: Column | str) -> Column:
     return F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "")
 
 
+# a quoted piece (with escapes) or a run without quotes
+_PIECES = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^'"]+"""
+
+
 def _literal_as_json(c: Column) -> Column:
-    # Python literal -> JSON: None/True/False keywords and \xNN escapes.
-    s = F.regexp_replace(c, r":\s*None\b", ": null")
-    s = F.regexp_replace(s, r":\s*True\b", ": true")
-    s = F.regexp_replace(s, r":\s*False\b", ": false")
-    return F.regexp_replace(s, r"\\x([0-9a-fA-F]{2})", r"\\u00$1")
+    """Python literal -> JSON.  Keywords and trailing commas are rewritten
+    outside quotes only, so a name may hold them; \\xNN escapes inside."""
+    def piece(x: Column) -> Column:
+        quoted = x.startswith("'") | x.startswith('"')
+        plain = x
+        for python, json in (("None", "null"), ("True", "true"), ("False", "false")):
+            plain = F.regexp_replace(plain, rf"\b{python}\b", json)
+        plain = F.regexp_replace(plain, r",(\s*[\]}])", "$1")
+        return F.when(quoted, F.regexp_replace(x, r"\\x([0-9a-fA-F]{2})", r"\\u00$1")).otherwise(plain)
+
+    return F.array_join(F.transform(F.regexp_extract_all(c, F.lit(_PIECES), F.lit(0)), piece), "")
 
 
 _JSON_OPTS = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true",
@@ -51,15 +61,20 @@ _JSON_OPTS = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter":
 
 
 def _literal_struct_array(c: Column, key: str) -> Column:
+    """The dicts of a list literal; items that are no dict are skipped, and
+    anything that is no list gives NULL."""
     t = F.trim(c)
-    parsed = F.from_json(_literal_as_json(t), f"array<struct<`{key}`:string>>", _JSON_OPTS)
-    # a lone dict parses to a one-element array; only list literals count
-    return F.when(t.startswith("["), parsed)
+    json = _literal_as_json(t)
+    items = F.from_json(json, "array<string>", _JSON_OPTS)
+    dicts = F.transform(F.filter(items, lambda x: x.startswith("{")),
+                        lambda x: F.from_json(x, f"struct<`{key}`:string>", _JSON_OPTS))
+    return F.when(t.startswith("[") & t.endswith("]"), dicts)
 
 
 def literal_names_text(c: Column | str, key: str = "name") -> Column:
     """"[{'iso': .., 'name': ..}, ..]" -> "name1,name2"; NULL stays NULL,
-    '[]' -> '', text that is not a parsable list comes back unchanged."""
+    a list without dicts -> '', text that is not a parsable list comes back
+    unchanged."""
     raw = as_col(c)
     arr = _literal_struct_array(raw, key)
     names = F.array_join(F.transform(arr, lambda x: x[key]), ",")
@@ -84,11 +99,6 @@ def literal_or_csv_tokens(c: Column | str, key: str = "name") -> Column:
     return F.when(arr.isNotNull(), names).otherwise(split_csv_list(raw))
 
 
-def matches_shape(c: Column | str, pattern: str) -> Column:
-    """regex match of the whole value."""
-    return as_col(c).rlike(pattern)
-
-
 def comma_spacing(c: Column | str, pattern: str = r",\s|\s,") -> Column:
     """comma with an adjacent blank (NULL counts as no match)."""
     return F.coalesce(as_col(c), F.lit("")).rlike(pattern)

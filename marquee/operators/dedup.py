@@ -56,11 +56,6 @@ def best_per_key(df: DataFrame, keys: list[str], max_key: list[Column]) -> DataF
     return df.groupBy(*keys).agg(F.max_by(_packed(df), key).alias("__row")).select("__row.*")
 
 
-def duplicate_counts(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows per key, only keys occurring more than once (Q10 / W10 input)."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).where("row_count > 1")
-
-
 def mark_duplicates(df: DataFrame, keys: list[str], flag: str = "is_duplicated") -> DataFrame:
     """W10 ``duplicated(keep=False)``: flag every member of a duplicate group.
     Count per key, then join back (AQE splits a skewed key in the join)."""

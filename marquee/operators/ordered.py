@@ -2,7 +2,7 @@
 
 A window with no PARTITION BY - or one partitioned by a handful of values
 such as four budget tiers - runs in a single task.  Here a global order is
-computed the distributed way:
+computed the distributed way, at every size:
 
 1. ``repartitionByRange`` on the full sort key (ties split by the
    tiebreak columns), ``sortWithinPartitions``;
@@ -15,11 +15,14 @@ computed the distributed way:
    broadcast back (size bounded by the partition count);
 4. global rank = offset + position inside the partition.
 
-NTILE and LAG/LEAD follow from the rank without further sorting.
+NTILE follows from the rank.  LAG/LEAD run inside the range partitions; only
+each partition's first and last row look into a table of boundary rows.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,19 +33,24 @@ def _cols(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+def range_sorted(df: DataFrame, order_by: list, label: str = "rank", num_partitions: int | None = None) -> DataFrame:
+    """``df`` written in global order, with ``__pid`` (partition) and ``__mid``
+    (consecutive within a partition, increasing over all)."""
+    parts = num_partitions or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    oc = _cols(order_by)
+    return materialize(
+        df.repartitionByRange(parts, *oc)
+        .sortWithinPartitions(*oc)
+        .withColumn("__pid", F.spark_partition_id())
+        .withColumn("__mid", F.monotonically_increasing_id()), label)
+
+
 def with_global_rank(df: DataFrame, order_by: list, rank_col: str = "global_rank",
                      num_partitions: int | None = None, total_col: str | None = None) -> DataFrame:
     """Add a 1-based dense row number over a total order ``order_by``.
 
     ``order_by`` must be a total order (append a unique id as tiebreak)."""
-    spark = df.sparkSession
-    parts = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    oc = _cols(order_by)
-    staged = materialize(
-        df.repartitionByRange(parts, *oc)
-        .sortWithinPartitions(*oc)
-        .withColumn("__pid", F.spark_partition_id())
-        .withColumn("__mid", F.monotonically_increasing_id()), "rank")
+    staged = range_sorted(df, order_by, "rank", num_partitions)
     counts = staged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__pn"))
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
@@ -69,29 +77,9 @@ def ntile_from_rank(rank: Column, total: Column, buckets: int) -> Column:
         r + F.ceil((rank - big) / q)).cast("int")
 
 
-# largest row count a single window task may sort (size-checked before use)
-MAX_ROWS_IN_TASK = 1_000_000
-
-
-def _fits_one_task(df: DataFrame, partition_by: list[str], limit: int | None) -> bool:
-    limit = MAX_ROWS_IN_TASK if limit is None else limit
-    if partition_by:
-        largest = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    else:
-        largest = df.count()
-    return (largest or 0) <= limit
-
-
 def distributed_ntile(df: DataFrame, buckets: int, order_by: list, out: str = "ntile",
-                      num_partitions: int | None = None, strategy: str = "auto",
-                      max_rows_in_task: int | None = None) -> DataFrame:
-    """NTILE over the whole DataFrame.  ``auto`` counts the rows first:
-    up to ``max_rows_in_task`` a plain window sorts them in one task, beyond
-    that the global rank is computed across the cluster."""
-    if strategy == "auto":
-        strategy = "window" if _fits_one_task(df, [], max_rows_in_task) else "distributed"
-    if strategy == "window":
-        return df.withColumn(out, F.ntile(buckets).over(Window.orderBy(*_cols(order_by))).cast("int"))
+                      num_partitions: int | None = None) -> DataFrame:
+    """NTILE over the whole DataFrame from a global rank."""
     ranked = with_global_rank(df, order_by, "__g", num_partitions, total_col="__n")
     return ranked.withColumn(out, ntile_from_rank(F.col("__g"), F.col("__n"), buckets)) \
         .drop("__g", "__n")
@@ -99,34 +87,25 @@ def distributed_ntile(df: DataFrame, buckets: int, order_by: list, out: str = "n
 
 def distributed_lag_lead(df: DataFrame, partition_by: list[str], order_by: list,
                          value: str, lag_col: str | None, lead_col: str | None,
-                         num_partitions: int | None = None, strategy: str = "auto",
-                         max_rows_in_task: int | None = None) -> DataFrame:
+                         num_partitions: int | None = None) -> DataFrame:
     """Previous / next row's ``value`` within ``partition_by`` in the
-    order ``order_by`` (must be a total order).  ``auto`` measures the
-    largest partition: small ones use a plain window; otherwise rows are
-    ranked globally by (partition, order) and neighbours are found by an
-    equi-join on rank +- 1, whose keys are uniformly spread."""
-    if strategy == "auto":
-        strategy = "window" if _fits_one_task(df, partition_by, max_rows_in_task) else "distributed"
-    if strategy == "window":
-        w = Window.partitionBy(*partition_by).orderBy(*_cols(order_by))
-        cols = {}
-        if lag_col:
-            cols[lag_col] = F.lag(value).over(w)
-        if lead_col:
-            cols[lead_col] = F.lead(value).over(w)
-        return df.withColumns(cols)
-    ranked = with_global_rank(df, list(partition_by) + list(order_by), "__g", num_partitions)
-    nb = ranked.select(
-        *[F.col(p).alias(f"__nb_{p}") for p in partition_by],
-        F.col("__g").alias("__nb_g"), F.col(value).alias("__nb_v"))
-    out = ranked
-    for name, delta in ((lag_col, -1), (lead_col, 1)):
-        if not name:
-            continue
-        cond = F.col("__nb_g") == F.col("__g") + delta
-        for p in partition_by:
-            cond = cond & F.col(p).eqNullSafe(F.col(f"__nb_{p}"))
-        out = out.join(nb, cond, "left").withColumn(name, F.col("__nb_v")) \
-            .drop("__nb_g", "__nb_v", *[f"__nb_{p}" for p in partition_by])
-    return out.drop("__g")
+    order ``order_by`` (must be a total order).
+
+    Rows are range-sorted by (partition, order); a neighbour is the row before
+    or after in the same range partition, or the nearest boundary row of
+    another one (two rows for each partition, broadcast)."""
+    staged = range_sorted(df, list(partition_by) + list(order_by), "rank", num_partitions)
+    row = F.struct(*[F.col(p).alias(f"p{i}") for i, p in enumerate(partition_by)], F.col(value).alias("v"))
+    ends = staged.select("__pid", "__mid", row.alias("__row")).groupBy("__pid").agg(
+        F.min_by("__row", "__mid").alias("__head"), F.max_by("__row", "__mid").alias("__tail"))
+    across = Window.orderBy("__pid")  # one row for each range partition
+    ends = ends.select("__pid", F.lag("__tail").over(across).alias("__before"), F.lead("__head").over(across).alias("__after"))
+    inside = Window.partitionBy("__pid").orderBy("__mid")
+    out = staged.withColumn("__row", row).withColumns({"__prev": F.lag("__row").over(inside), "__next": F.lead("__row").over(inside)})
+    out = out.join(F.broadcast(ends), "__pid")
+    for name, near, edge in ((lag_col, "__prev", "__before"), (lead_col, "__next", "__after")):
+        if name:
+            other = F.coalesce(near, edge)
+            same = reduce(lambda a, b: a & b, [other[f"p{i}"].eqNullSafe(F.col(p)) for i, p in enumerate(partition_by)], other.isNotNull())
+            out = out.withColumn(name, F.when(same, other["v"]))
+    return out.drop("__pid", "__mid", "__row", "__prev", "__next", "__before", "__after")

@@ -2,23 +2,15 @@
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
 aggregation buffer; a group holding a third of all rows would have to fit in
-one task.  This operator selects the order statistics instead:
-
-1. count rows per (group, value) - partial aggregation collapses repeated
-   values, and hashing on (group, value) spreads a hot group over reducers;
-2. put each distinct value on a fixed grid of ordered buckets,
-   ``floor(asinh(value) * resolution)`` (log-like widths for money, linear
-   near zero, negatives allowed) - at most a few thousand per group;
-3. bucket sizes -> cumulative offsets and n per group (small);
-4. for every needed rank keep only the bucket that holds it; split that
-   bucket again into ``sub_buckets`` equal-width slices between its own min
-   and max (values clustered inside one grid cell still spread out), find
-   the slice holding the rank, and sort just that slice's distinct values
-   to read the exact order statistic.
-
-``cont`` interpolates linearly between neighbours (``percentile_cont``,
-pandas ``quantile``); ``disc`` returns the element at rank ceil(q*n)
-(``percentile_disc``, and what ``percentile_approx`` converges to).
+one task.  Here rows are counted per (group, value), which collapses a value
+that many rows repeat on the map side, and the counts are range-sorted once by
+(group, value) across the cluster.  Each partition's sums per group give the
+offsets, and only the wanted ranks are read back.
+
+``cont`` interpolates between neighbours with Spark's own formula, so results
+equal ``F.percentile`` / ``F.median`` bit for bit; ``disc`` returns the element
+at rank ceil(q*n) (``percentile_disc``, and what ``percentile_approx``
+converges to).
 """
 
 from __future__ import annotations
@@ -27,122 +19,58 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.operators._joins import join_null_safe
-from marquee.session import materialize
-
-DEFAULT_RESOLUTION = 64
-DEFAULT_SUB_BUCKETS = 256
-# largest group whose values may sit in one aggregation buffer (size-checked)
-MAX_ROWS_PER_GROUP = 1_000_000
+from marquee.operators.ordered import range_sorted
 
 
 def group_percentiles(df: DataFrame, keys: list[str], value: str, quantiles: dict[str, float],
-                      method: str = "cont", strategy: str = "auto",
-                      max_rows_per_group: int | None = None,
-                      resolution: int = DEFAULT_RESOLUTION,
-                      sub_buckets: int = DEFAULT_SUB_BUCKETS) -> DataFrame:
+                      method: str = "cont") -> DataFrame:
     """Return ``keys`` + ``n`` + one column per entry of ``quantiles``.
 
-    ``strategy="auto"`` measures the largest group first (one small
-    aggregation): up to ``max_rows_per_group`` rows, Spark's exact
-    ``percentile``/``percentile_disc`` keeps the group in one buffer; beyond
-    that the distributed selection below runs.  ``"distributed"`` and
-    ``"in_buffer"`` force a path.  Groups whose values are all NULL/NaN are
-    absent; with ``keys=[]`` the result is one global row."""
+    Groups whose values are all NULL/NaN are absent; with ``keys=[]`` the
+    result is one global row (none for an empty input).  One job writes the
+    sorted values; the result itself is lazy."""
     if method not in ("cont", "disc"):
         raise ValueError(method)
     gkeys = list(keys) if keys else ["__g"]
     v = F.col(value).cast("double")
     base = df.select(*([F.col(k) for k in keys] if keys else [F.lit(0).alias("__g")]),
                      v.alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
-    if strategy == "auto":
-        limit = MAX_ROWS_PER_GROUP if max_rows_per_group is None else max_rows_per_group
-        largest = base.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-        strategy = "in_buffer" if (largest or 0) <= limit else "distributed"
-    if strategy == "in_buffer":
-        fn = F.percentile if method == "cont" else _percentile_disc
-        out = base.groupBy(*gkeys).agg(F.count(F.lit(1)).alias("n"),
-                                       *[fn(F.col("__v"), float(q)).alias(nm) for nm, q in quantiles.items()])
-        return out.drop("__g") if not keys else out
-    if strategy != "distributed":
-        raise ValueError(strategy)
-
-    vc = base.groupBy(*gkeys, "__v").agg(F.count(F.lit(1)).alias("__c")) \
-        .withColumn("__b", F.floor(F.asinh("__v") * resolution).cast("bigint"))
-    # every later step reads this table several times: write it once (it is
-    # at most one row per distinct value) instead of re-running the input
-    vc = materialize(vc, "pct")
-    bsize = vc.groupBy(*gkeys, "__b").agg(F.sum("__c").alias("__bn"))
+    counted = base.groupBy(*gkeys, "__v").agg(F.count(F.lit(1)).alias("__k"))
+    staged = range_sorted(counted, gkeys + ["__v"], "pct")
+    # groups x partitions they touch: small, and summed on the map side
+    runs = staged.groupBy(*gkeys, "__pid").agg(F.sum("__k").alias("__c"))
     wg = Window.partitionBy(*gkeys)
-    wb = wg.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    bsize = bsize.withColumns({"__bstart": F.coalesce(F.sum("__bn").over(wb), F.lit(0)),
-                               "__n": F.sum("__bn").over(wg)})
-
-    # ranks needed per group (0-based), attached to every bucket row
-    n = F.col("__n")
-    specs = []
+    before = F.coalesce(F.sum("__c").over(wg.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    runs = runs.withColumns({"__before": before, "n": F.sum("__c").over(wg)})
+    n = F.col("n")
+    wanted = []
     for name, q in quantiles.items():
         if method == "cont":
             pos = (n - 1) * F.lit(float(q))
-            specs += [(name, "lo", F.floor(pos)), (name, "hi", F.ceil(pos))]
+            wanted += [(name, "lo", F.floor(pos)), (name, "hi", F.ceil(pos))]
         else:
-            specs.append((name, "lo", F.greatest(F.ceil(n * F.lit(float(q))) - 1, F.lit(0))))
-    ranks = F.array(*[F.struct(F.lit(nm).alias("__q"), F.lit(side).alias("__side"),
-                               r.cast("bigint").alias("__r")) for nm, side, r in specs])
-    tb = bsize.select(*gkeys, "__b", "__bstart", "__bn", "__n", F.explode(ranks).alias("__t")) \
-        .select(*gkeys, "__b", "__bstart", "__bn", "__n", "__t.*") \
-        .where((F.col("__r") >= F.col("__bstart")) & (F.col("__r") < F.col("__bstart") + F.col("__bn")))
-
-    # level 2: slice each target bucket linearly between its own min and max
-    cand = join_null_safe(vc, tb.select(*gkeys, "__b").distinct(), gkeys + ["__b"], "left_semi")
-    bmm = cand.groupBy(*gkeys, "__b").agg(F.min("__v").alias("__lo2"), F.max("__v").alias("__hi2"))
-    width = F.col("__hi2") - F.col("__lo2")
-    sub = F.when(width > 0, F.least(
-        F.floor((F.col("__v") - F.col("__lo2")) / width * sub_buckets), F.lit(sub_buckets - 1)
-    )).otherwise(F.lit(0)).cast("int")
-    cand = join_null_safe(cand, bmm, gkeys + ["__b"]).withColumn("__s", sub).drop("__lo2", "__hi2")
-    ssize = cand.groupBy(*gkeys, "__b", "__s").agg(F.sum("__c").alias("__sn"))
-    ws = Window.partitionBy(*gkeys, "__b").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
-    ssize = ssize.withColumn("__sstart", F.coalesce(F.sum("__sn").over(ws), F.lit(0)))
-    local = F.col("__r") - F.col("__bstart")
-    tb2 = join_null_safe(tb.drop("__bn"), ssize, gkeys + ["__b"]).where(
-        (local >= F.col("__sstart")) & (local < F.col("__sstart") + F.col("__sn")))
-    cand2 = join_null_safe(cand, tb2.select(*gkeys, "__b", "__s").distinct(), gkeys + ["__b", "__s"], "left_semi")
-    wv = Window.partitionBy(*gkeys, "__b", "__s").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
-    cand2 = cand2.withColumn("__cstart", F.coalesce(F.sum("__c").over(wv), F.lit(0)))
-    picked = join_null_safe(cand2, tb2.drop("__sn"), gkeys + ["__b", "__s"])
-    local2 = F.col("__r") - F.col("__bstart") - F.col("__sstart")
-    picked = picked.where((local2 >= F.col("__cstart")) & (local2 < F.col("__cstart") + F.col("__c")))
-
-    aggs = [F.first("__n").alias("n")]
-    for name in quantiles:
-        for side in (("lo", "hi") if method == "cont" else ("lo",)):
-            aggs.append(F.max(F.when((F.col("__q") == name) & (F.col("__side") == side),
-                                     F.col("__v"))).alias(f"__{name}_{side}"))
-    out = picked.groupBy(*gkeys).agg(*aggs)
+            wanted.append((name, "lo", F.greatest(F.ceil(n * F.lit(float(q))) - 1, F.lit(0))))
+    ranks = F.array(*[F.struct(F.lit(f"__{nm}_{side}").alias("slot"), r.cast("bigint").alias("rank")) for nm, side, r in wanted])
+    targets = runs.select(*gkeys, "__pid", "n", "__before", "__c", F.explode(ranks).alias("__t"))
+    targets = targets.where((F.col("__t.rank") >= F.col("__before")) & (F.col("__t.rank") < F.col("__before") + F.col("__c")))
+    targets = targets.select(*gkeys, "__pid", "n", F.col("__t.slot").alias("__slot"), (F.col("__t.rank") - F.col("__before")).alias("__at"))
+    upto = F.sum("__k").over(Window.partitionBy(*gkeys, "__pid").orderBy("__mid").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    picked = join_null_safe(staged.withColumn("__upto", upto), targets, gkeys + ["__pid"])
+    picked = picked.where((F.col("__at") < F.col("__upto")) & (F.col("__at") >= F.col("__upto") - F.col("__k")))
+    out = picked.groupBy(*gkeys).agg(F.first("n").alias("n"), *[
+        F.max(F.when(F.col("__slot") == f"__{nm}_{side}", F.col("__v"))).alias(f"__{nm}_{side}") for nm, side, _ in wanted])
     for name, q in quantiles.items():
         lo = F.col(f"__{name}_lo")
         if method == "cont":
-            hi = F.col(f"__{name}_hi")
-            pos = (F.col("n") - 1) * F.lit(float(q))
-            out = out.withColumn(name, lo + (hi - lo) * (pos - F.floor(pos)))
+            hi, pos = F.col(f"__{name}_hi"), (n - 1) * F.lit(float(q))
+            mixed = (F.ceil(pos) - pos) * lo + (pos - F.floor(pos)) * hi
+            out = out.withColumn(name, F.when((F.floor(pos) == F.ceil(pos)) | (lo == hi), lo).otherwise(mixed))
         else:
             out = out.withColumn(name, lo)
-    out = out.drop(*[f"__{name}_{side}" for name in quantiles for side in ("lo", "hi")])
+    out = out.drop(*[f"__{nm}_{side}" for nm, side, _ in wanted])
     return out.drop("__g") if not keys else out
 
 
-def _percentile_disc(c, q: float):
-    return F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY {c._jc.toString()})")
-
-
-def group_median(df: DataFrame, keys: list[str], value: str, out: str = "median",
-                 method: str = "cont", strategy: str = "auto") -> DataFrame:
+def group_median(df: DataFrame, keys: list[str], value: str, out: str = "median", method: str = "cont") -> DataFrame:
     """A5: exact median per group (interpolated for ``cont``)."""
-    return group_percentiles(df, keys, value, {out: 0.5}, method=method, strategy=strategy).drop("n")
-
-
-def approx_percentile(df: DataFrame, keys: list[str], value: str, q: float, out: str,
-                      accuracy: int = 1000) -> DataFrame:
-    """``percentile_approx`` (bounded memory per group, returns an element)."""
-    agg = F.percentile_approx(F.col(value), q, accuracy).alias(out)
-    return df.groupBy(*keys).agg(agg) if keys else df.agg(agg)
+    return group_percentiles(df, keys, value, {out: 0.5}, method=method).drop("n")

@@ -120,18 +120,19 @@ def equal_frequency_bins(df: DataFrame, value: str, cuts: tuple[float, ...], lab
 
 def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
     """Fixed-width bins between min and max (last bin closed), as the
-    plotting library draws them: bin, lower, upper, count."""
-    v = F.col(value)
-    valid = df.select(v.cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    mm = valid.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    j = _one_row_join(valid, mm)
-    width = (F.col("hi") - F.col("lo")) / bins
-    b = F.when(F.col("hi") > F.col("lo"),
-               F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins), F.lit(bins - 1))
-               ).otherwise(F.lit(0)).cast("int")
-    h = j.groupBy(b.alias("bin"), "lo", "hi").agg(F.count(F.lit(1)).cast("bigint").alias("count"))
-    return h.select("bin", round_dec(F.col("lo") + F.col("bin") * width, 6).alias("lower"),
-                    round_dec(F.col("lo") + (F.col("bin") + 1) * width, 6).alias("upper"), "count")
+    plotting library draws them: bin, lower, upper, count.  Every bin is
+    there, with count 0 if it is empty; no valid value gives no bins."""
+    valid = df.select(F.col(value).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    mm = valid.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).where(F.col("lo").isNotNull())
+    span = F.col("hi") - F.col("lo")
+    at = F.when(span > 0, F.least(F.floor((F.col("x") - F.col("lo")) / span * bins), F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
+    filled = _one_row_join(valid, mm).groupBy(at.alias("__bin")).agg(F.count(F.lit(1)).cast("bigint").alias("__n"))
+    every = mm.select("lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    width = span / bins
+    return every.join(filled, every["bin"] == filled["__bin"], "left").select(
+        "bin", round_dec(F.col("lo") + F.col("bin") * width, 6).alias("lower"),
+        round_dec(F.col("lo") + (F.col("bin") + 1) * width, 6).alias("upper"),
+        F.coalesce("__n", F.lit(0).cast("bigint")).alias("count"))
 
 
 def top_counts(df: DataFrame, token: str, n: int) -> DataFrame:
@@ -155,8 +156,3 @@ def array_length_stats(df: DataFrame, fields: dict[str, str]) -> DataFrame:
 def top_n(df: DataFrame, order_cols: list, n: int) -> DataFrame:
     """Distributed top-k (TakeOrderedAndProject)."""
     return df.orderBy(*order_cols).limit(n)
-
-
-def rank_top_n(df: DataFrame, partition: list[str], order_cols: list, n: int, out: str) -> DataFrame:
-    w = Window.partitionBy(*partition).orderBy(*order_cols)
-    return df.withColumn(out, F.row_number().over(w)).where(F.col(out) <= n)

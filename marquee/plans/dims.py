@@ -27,19 +27,16 @@ def dim_date(stg_movies: DataFrame, pad_month_name: bool = True) -> DataFrame:
     )
 
 
-def dim_movie(stg_movies: DataFrame, fact_wide: DataFrame, stg_ratings: DataFrame) -> DataFrame:
-    """Staging x fact, left join ratings."""
-    m = stg_movies.select("movie_id", "title", "release_date", "is_budget_reported",
-                          "is_revenue_reported", "is_roi_eligible")
-    f = fact_wide.select("movie_id", "budget", "budget_tier", "budget_quartile", "revenue", "profit",
-                         "roi", "roi_pct")
-    j = m.join(f, "movie_id").join(stg_ratings, "movie_id", "left")
-    return j.select(
-        "movie_id", "title", "release_date", F.year("release_date").alias("release_year"),
-        F.month("release_date").alias("release_month"), "budget", "budget_tier", "budget_quartile",
-        "revenue", "profit", "roi", "roi_pct", "is_budget_reported", "is_revenue_reported",
-        "is_roi_eligible", "avg_rating", "total_ratings", "std_dev", "last_rated",
-    )
+DIM_MOVIE_COLUMNS = [
+    "movie_id", "title", "release_date", "release_year", "release_month", "budget", "budget_tier",
+    "budget_quartile", "revenue", "profit", "roi", "roi_pct", "is_budget_reported",
+    "is_revenue_reported", "is_roi_eligible", "avg_rating", "total_ratings", "std_dev", "last_rated",
+]
+
+
+def dim_movie(fact_wide: DataFrame) -> DataFrame:
+    """The wide fact is 1:1 with the dimension, so it is a projection."""
+    return fact_wide.select(*DIM_MOVIE_COLUMNS)
 
 
 def dim_budget_tier(fact: DataFrame) -> DataFrame:

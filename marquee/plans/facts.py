@@ -26,7 +26,7 @@ def profitability_tier(pct) -> F.Column:
     return expr
 
 
-def budget_quartiles(base: DataFrame, strategy: str = "auto") -> DataFrame:
+def budget_quartiles(base: DataFrame) -> DataFrame:
     """Quartile of budget among rows with a positive budget, NULL for
     the others, in one pass (union, no self re-join).  Ties are ordered by
     movie_id so the split is deterministic."""
@@ -34,8 +34,7 @@ def budget_quartiles(base: DataFrame, strategy: str = "auto") -> DataFrame:
     ranked_part = base.where(positive)
     rest = base.where(~positive | F.col("budget").isNull()) \
         .withColumn("budget_quartile", F.lit(None).cast("int"))
-    ranked = distributed_ntile(ranked_part, 4, ["budget", "movie_id"], out="budget_quartile",
-                               strategy=strategy)
+    ranked = distributed_ntile(ranked_part, 4, ["budget", "movie_id"], out="budget_quartile")
     return ranked.unionByName(rest)
 
 
@@ -46,15 +45,14 @@ FACT_PERFORMANCE_COLUMNS = [
 ]
 
 
-def fact_movie_performance_wide(stg_movies: DataFrame, stg_ratings: DataFrame,
-                                strategy: str = "auto") -> DataFrame:
+def fact_movie_performance_wide(stg_movies: DataFrame, stg_ratings: DataFrame) -> DataFrame:
     """C7 plus the title/date attributes the marts need (avoids re-joining
     dim_movie, which is 1:1 with the fact)."""
     base = stg_movies.where(F.col("is_recommendation_eligible")).select(
         "movie_id", "title", "release_date", "budget", "revenue", "is_budget_reported",
         "is_revenue_reported", "is_roi_eligible", "is_market_coverage_eligible",
         "is_recommendation_eligible").join(stg_ratings, "movie_id", "left")
-    q = budget_quartiles(base, strategy)
+    q = budget_quartiles(base)
     return q.select(
         "movie_id", date_key("release_date").alias("date_key"), "budget",
         budget_tier_label(F.col("budget_quartile")).alias("budget_tier"),
@@ -75,15 +73,12 @@ def fact_movie_performance(wide: DataFrame) -> DataFrame:
     return wide.select(*FACT_PERFORMANCE_COLUMNS)
 
 
-def fact_movie_roi_analysis(roi_eligible: DataFrame, wide: DataFrame, stg_ratings: DataFrame) -> DataFrame:
+def fact_movie_roi_analysis(wide: DataFrame) -> DataFrame:
     """Integer money (half-even rounding like the warehouse cast),
-    profitability tier on the fact's roi_pct, ROI recomputed on integers."""
-    f = wide.where(F.col("is_roi_eligible")).select(
-        "movie_id", F.col("budget").alias("f_budget"), "budget_tier", "budget_quartile",
-        F.col("revenue").alias("f_revenue"), F.col("roi_pct").alias("f_roi_pct"))
-    m = roi_eligible.select("movie_id", "title", "release_date")
-    j = m.join(f, "movie_id").join(stg_ratings.select("movie_id", "avg_rating", "total_ratings", "std_dev"),
-                                   "movie_id", "left")
+    profitability tier on the fact's roi_pct, ROI recomputed on integers.
+    The wide fact has the titles, dates and ratings: no join."""
+    j = wide.where(F.col("is_roi_eligible")).withColumnsRenamed(
+        {"budget": "f_budget", "revenue": "f_revenue", "roi_pct": "f_roi_pct"})
     budget = rint_bigint("f_budget")
     revenue = rint_bigint("f_revenue")
     return j.select(

@@ -1,8 +1,9 @@
 """The layered catalogue warehouse: raw -> bronze -> silver -> staging -> gold.
 
 Each layer is a lazily built DataFrame; building a mart builds only what it
-needs.  The only eager steps are the two scalar imputation baselines and the
-checkpoint of the distributed quartile ranking.
+needs.  Layers that several marts read, and the sorted inputs of exact medians
+and quartiles, are written when a mart that needs them is built: building one
+starts these jobs.
 """
 
 from __future__ import annotations
@@ -27,25 +28,25 @@ def stage(df: DataFrame) -> DataFrame:
 
 class Warehouse:
     def __init__(self, raw: RawTables, scope: Scope = Scope(), title_mode: str = "intent",
-                 median_method: str = "exact", order_strategy: str = "auto",
+                 median_method: str = "exact",
                  country_tokens: str = "intent"):
         self.raw = raw
         self.scope = scope
         self.title_mode = title_mode
         self.median_method = median_method
-        self.order_strategy = order_strategy
         self.country_tokens = country_tokens
 
     @classmethod
     def from_files(cls, spark: SparkSession, movies_csv: str, extended_csv: str, ratings_json: str,
-                   benchmark_csv: str, ratings_top_level_array: bool = True, **kw) -> "Warehouse":
+                   benchmark_csv: str, ratings_top_level_array: bool = True,
+                   multiline: bool = False, **kw) -> "Warehouse":
         """Build from the landed source files (CSV, CSV, JSON, CSV)."""
         from marquee.sources import io
         raw = RawTables(
-            movies_main=io.read_text_csv(spark, movies_csv, io.MOVIES_COLUMNS),
-            movie_extended=io.read_text_csv(spark, extended_csv, io.EXTENDED_COLUMNS),
+            movies_main=io.read_text_csv(spark, movies_csv, io.MOVIES_COLUMNS, multiline),
+            movie_extended=io.read_text_csv(spark, extended_csv, io.EXTENDED_COLUMNS, multiline),
             ratings=io.read_ratings_json(spark, ratings_json, ratings_top_level_array),
-            benchmark=io.read_text_csv(spark, benchmark_csv, io.BENCHMARK_COLUMNS).drop("ingest_seq"),
+            benchmark=io.read_text_csv(spark, benchmark_csv, io.BENCHMARK_COLUMNS, multiline).drop("ingest_seq"),
         )
         return cls(raw, **kw)
 
@@ -74,21 +75,25 @@ class Warehouse:
         return stage(match.enrich_budget(self.matched))
 
     @cached_property
-    def baselines(self):
+    def baselines(self) -> DataFrame:
         return impute.imputation_baselines(self.financials, self.median_method)
 
+    @cached_property
+    def imputed(self) -> DataFrame:
+        return impute.impute_budget(self.financials, self.baselines)
+
     @cached_property
     def enriched_base(self) -> DataFrame:
-        ratio, med = self.baselines
-        return impute.impute_budget(self.financials, ratio, med)
+        # one row per id, chosen once: movies and audit describe the same row
+        return stage(clean._dedup_first(self.imputed))
 
     @cached_property
     def movies_enriched(self) -> DataFrame:
-        return clean._dedup_first(self.enriched_base.select(*impute.MOVIES_ENRICHED_COLUMNS))
+        return self.enriched_base.select(*impute.MOVIES_ENRICHED_COLUMNS)
 
     @cached_property
     def enrichment_audit(self) -> DataFrame:
-        return clean._dedup_first(self.enriched_base.select(*impute.AUDIT_COLUMNS))
+        return self.enriched_base.select(*impute.AUDIT_COLUMNS)
 
     # ---- silver ---------------------------------------------------------------
     @cached_property
@@ -153,7 +158,7 @@ class Warehouse:
     # ---- gold -----------------------------------------------------------------
     @cached_property
     def fact_wide(self) -> DataFrame:
-        return facts.fact_movie_performance_wide(self.stg_movies, self.stg_ratings, self.order_strategy)
+        return stage(facts.fact_movie_performance_wide(self.stg_movies, self.stg_ratings))
 
     @cached_property
     def fact_movie_performance(self) -> DataFrame:
@@ -161,7 +166,7 @@ class Warehouse:
 
     @cached_property
     def fact_movie_roi_analysis(self) -> DataFrame:
-        return facts.fact_movie_roi_analysis(self.stg_movies_roi_eligible, self.fact_wide, self.stg_ratings)
+        return facts.fact_movie_roi_analysis(self.fact_wide)
 
     @cached_property
     def fact_movie_market_coverage(self) -> DataFrame:
@@ -173,7 +178,7 @@ class Warehouse:
 
     @cached_property
     def dim_movie(self) -> DataFrame:
-        return dims.dim_movie(self.stg_movies, self.fact_wide, self.stg_ratings)
+        return dims.dim_movie(self.fact_wide)
 
     @cached_property
     def dim_budget_tier(self) -> DataFrame:
@@ -233,16 +238,16 @@ class Warehouse:
         return analyses.monthly_revenue_mom(self.fact_movie_performance, self.dim_date)
 
     def sequential_in_tier(self) -> DataFrame:
-        return analyses.sequential_in_tier(self.fact_movie_performance, self.dim_date, self.order_strategy)
+        return analyses.sequential_in_tier(self.fact_movie_performance, self.dim_date)
 
     def yearly_yoy(self) -> DataFrame:
         return analyses.yearly_yoy(self.fact_movie_performance, self.dim_date)
 
     def top10_by_genre(self) -> DataFrame:
-        return analyses.top10_by_genre(self.fact_movie_performance, self.stg_movie_genres, self.dim_movie)
+        return analyses.top10_by_genre(self.fact_wide, self.stg_movie_genres)
 
     def top10_by_year(self) -> DataFrame:
-        return analyses.top10_by_year(self.fact_movie_performance, self.dim_date, self.dim_movie)
+        return analyses.top10_by_year(self.fact_wide, self.dim_date)
 
     def kpi_overview(self) -> DataFrame:
         return analyses.kpi_overview(self.fact_movie_performance)
@@ -280,15 +285,12 @@ class Warehouse:
     }
 
     def write_all(self, target_dir: str) -> dict[str, str]:
-        """Write every layer's tables as Parquet under
-        ``target_dir/<layer>/<table>``; returns table -> path."""
-        out = {}
-        for layer, names in self.LAYERS.items():
-            for n in names:
-                path = f"{target_dir.rstrip('/')}/{layer}/{n}"
-                getattr(self, n).write.mode("overwrite").parquet(path)
-                out[n] = path
-        return out
+        """Write every layer's tables as Parquet under
+        ``target_dir/<layer>/<table>``; returns table -> path.  Each table is
+        written beside the old one and swapped in, so a failed run loses none."""
+        from marquee.sources.io import replace_path
+        return {n: replace_path(getattr(self, n), f"{target_dir.rstrip('/')}/{layer}/{n}")
+                for layer, names in self.LAYERS.items() for n in names}
 
     @staticmethod
     def catalog_reliability_df(df: DataFrame, by=None) -> DataFrame:

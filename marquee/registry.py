@@ -63,28 +63,19 @@ def q_match_tier_counts(spark, sf_dir):
 @query("enrich_budget")
 def q_enrich_budget(spark, sf_dir):
     """C1 (F7, P7): budget back-fill from the benchmark with lineage flags."""
-    return wh(spark, sf_dir).financials
+    return wh(spark, sf_dir).financials.drop("ingest_seq")
 
 
 @query("imputation_baselines")
 def q_imputation_baselines(spark, sf_dir):
     """The two imputation medians (exact lower median) as one row."""
-    from pyspark.sql import functions as F
-    from marquee.operators.percentile import group_percentiles
-    fin = wh(spark, sf_dir).financials
-    ratio = group_percentiles(
-        fin.where((F.col("budget_reported") > 0) & (F.col("revenue") > 0))
-        .select((F.col("budget_reported") / F.col("revenue")).alias("r")), [], "r",
-        {"median_budget_revenue_ratio": 0.5}, method="disc").drop("n").withColumn("__k", F.lit(1))
-    budget = group_percentiles(fin.where(F.col("budget_reported") > 0), [], "budget_reported",
-                               {"median_budget": 0.5}, method="disc").drop("n").withColumn("__k", F.lit(1))
-    return ratio.join(F.broadcast(budget), "__k", "full").drop("__k")
+    return wh(spark, sf_dir).baselines
 
 
 @query("impute_budget")
 def q_impute_budget(spark, sf_dir):
     """Ratio imputation anchored on revenue, with method labels."""
-    return wh(spark, sf_dir).enriched_base.select(
+    return wh(spark, sf_dir).imputed.select(
         "id", "budget_reported", "revenue", "budget", "is_budget_imputed", "budget_imputation_method",
         "is_budget_reported", "is_revenue_reported", "is_roi_eligible", "is_enriched")
 

@@ -16,16 +16,19 @@ from pyspark.sql.types import StructType
 from marquee.session import app_scratch_dir
 
 
+def csv_options(multiline: bool = False, corrupt_column: str | None = None) -> dict[str, object]:
+    """One set of CSV options for batch and stream readers: header, doubled
+    quotes, PERMISSIVE.  ``multiline`` allows line breaks in quoted fields, at
+    the price of one task for each file."""
+    out = {"header": True, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "multiLine": multiline}
+    return out | ({"columnNameOfCorruptRecord": corrupt_column} if corrupt_column else {})
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, header: bool = True,
-             corrupt_column: str | None = None, multiline: bool = True) -> DataFrame:
-    """Header CSV with quotes/escapes, PERMISSIVE; malformed lines go
-    to ``corrupt_column`` when given.  Spark splits large files itself, so
-    the chunked load of the reference needs no extra code."""
-    r = (spark.read.schema(schema).option("header", header).option("multiLine", multiline)
-         .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE"))
-    if corrupt_column:
-        r = r.option("columnNameOfCorruptRecord", corrupt_column)
-    return r.csv(path)
+             corrupt_column: str | None = None, multiline: bool = False) -> DataFrame:
+    """Header CSV; malformed lines go to ``corrupt_column`` when given.
+    Files split across tasks unless ``multiline`` is asked for."""
+    return spark.read.schema(schema).options(**csv_options(multiline, corrupt_column) | {"header": header}).csv(path)
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType | str, multiline: bool = False) -> DataFrame:
@@ -84,31 +87,32 @@ def sync_table_schema(df: DataFrame, table: str) -> list[str]:
     return [f.name for f in missing]
 
 
-def align_to(df: DataFrame, target: DataFrame) -> DataFrame:
-    """S8 (file sinks): union by name with missing columns as NULL."""
-    return target.limit(0).unionByName(df, allowMissingColumns=True)
+def _observed(df: DataFrame):
+    """``df`` and an observation that counts its rows while they are written."""
+    from pyspark.sql import Observation
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
 def safe_reload(df: DataFrame, name: str, validate=None, keep_previous: bool = False) -> str:
-    """Write ``df`` to a new versioned table, validate it (default: row
-    count equals the source's), then repoint view ``name`` to it and drop the
-    previous version.  A failed write or validation leaves the old view."""
+    """Write ``df`` to a new versioned table, validate it (default: as many
+    rows as were written), then repoint view ``name`` to it and drop the
+    previous version, which the view names in a property.  The source runs
+    once.  A failed write or validation leaves the old view."""
     spark = df.sparkSession
     version = f"{name}__v{uuid.uuid4().hex[:12]}"
-    df.write.mode("errorifexists").saveAsTable(version)
+    counted, seen = _observed(df)
+    counted.write.mode("errorifexists").saveAsTable(version)
     written = spark.table(version)
-    ok = validate(written) if validate else written.count() == df.count()
+    ok = validate(written) if validate else written.count() == seen.get["rows"]
     if not ok:
         spark.sql(f"DROP TABLE IF EXISTS {version}")
         raise ValueError(f"validation failed for {name}; previous version kept")
     previous = None
     if spark.catalog.tableExists(name):
-        try:
-            text = spark.sql(f"SHOW CREATE TABLE {name}").first()[0]
-            previous = text.split("FROM", 1)[1].strip().split()[0] if "FROM" in text else None
-        except Exception:  # noqa: BLE001 - not a view we created
-            previous = None
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+        properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+        previous = properties.get("reload.version")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('reload.version' = '{version}') AS SELECT * FROM {version}")
     if previous and not keep_previous and previous != version:
         spark.sql(f"DROP TABLE IF EXISTS {previous}")
     return version
@@ -116,20 +120,46 @@ def safe_reload(df: DataFrame, name: str, validate=None, keep_previous: bool = F
 
 def safe_reload_path(df: DataFrame, name: str, base_dir: str, validate=None) -> str:
     """S7 for file-based layers: write a new version folder under
-    ``base_dir``, validate it (default: same row count as the source), then
+    ``base_dir``, validate it (default: as many rows as were written), then
     repoint temp view ``name`` to it.  Readers keep the old version on any
     failure; nothing is overwritten in place."""
     spark = df.sparkSession
     path = f"{base_dir.rstrip('/')}/{name}/v-{uuid.uuid4().hex[:12]}"
-    df.write.mode("errorifexists").parquet(path)
+    counted, seen = _observed(df)
+    counted.write.mode("errorifexists").parquet(path)
     written = spark.read.parquet(path)
-    ok = validate(written) if validate else written.count() == df.count()
+    ok = validate(written) if validate else written.count() == seen.get["rows"]
     if not ok:
         raise ValueError(f"validation failed for {name}; previous version kept ({path} not published)")
     written.createOrReplaceTempView(name)
     return path
 
 
+def replace_path(df: DataFrame, path: str, validate=None) -> str:
+    """S7 for a fixed path: write beside it, validate, then swap by two renames.
+    Until the swap, and after any failure before it, readers see the old rows."""
+    spark = df.sparkSession
+    new, old = (f"{path.rstrip('/')}.{kind}-{uuid.uuid4().hex[:12]}" for kind in ("new", "old"))
+    counted, seen = _observed(df)
+    counted.write.mode("errorifexists").parquet(new)
+    written = spark.read.schema(df.schema).parquet(new)
+    if not (validate(written) if validate else written.count() == seen.get["rows"]):
+        raise ValueError(f"validation failed for {path}; previous version kept ({new} not published)")
+    to_path = spark._jvm.org.apache.hadoop.fs.Path
+    target = to_path(path.rstrip("/"))
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    had = fs.exists(target)
+    if had:
+        fs.rename(target, to_path(old))
+    if not fs.rename(to_path(new), target):
+        if had:
+            fs.rename(to_path(old), target)
+        raise OSError(f"could not publish {path}")
+    if had:
+        fs.delete(to_path(old), True)
+    return path
+
+
 def write_layer(df: DataFrame, name: str, materialized: str = "table", path: str | None = None) -> DataFrame:
     """Staging models as (lazy) temp views, marts as tables/Parquet."""
     if materialized == "view":
@@ -167,16 +197,19 @@ EXTENDED_COLUMNS = ["id", "genres", "production_companies", "production_countrie
 BENCHMARK_COLUMNS = ["title", "release_date", "budget", "revenue"]
 
 
-def read_text_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+def read_text_csv(spark: SparkSession, path: str, columns: list[str], multiline: bool = False) -> DataFrame:
     """Header CSV read as text (no inference pass), columns picked by name
     so extra source columns are ignored; missing optional ones become NULL.
-    ``ingest_seq`` records file order for keep-first deduplication."""
-    raw = (spark.read.option("header", True).option("multiLine", True).option("quote", '"')
-           .option("escape", '"').option("mode", "PERMISSIVE").csv(path))
+
+    ``ingest_seq`` orders rows by file, then by place in the file, for
+    keep-first deduplication: (path, start of the split, row in the split)."""
+    raw = spark.read.options(**csv_options(multiline)).csv(path)
     have = {c.lower(): c for c in raw.columns}
     cols = [F.col(have[c.lower()]).alias(c) if c.lower() in have else F.lit(None).cast("string").alias(c)
             for c in columns]
-    return raw.select(*cols, F.monotonically_increasing_id().alias("ingest_seq"))
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                     F.monotonically_increasing_id().alias("row"))
+    return raw.select(*cols, place.alias("ingest_seq"))
 
 
 def read_ratings_json(spark: SparkSession, path: str, top_level_array: bool = True) -> DataFrame:

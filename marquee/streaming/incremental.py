@@ -12,23 +12,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.sources.io import csv_options
+
+
+CORRUPT = "_corrupt_record"
+
 
 def incremental_ingest(spark: SparkSession, source_dir: str, schema: str, target_dir: str,
                        checkpoint_dir: str, fmt: str = "csv", max_files_per_trigger: int = 64,
-                       options: dict | None = None) -> int:
+                       options: dict | None = None, multiline: bool = False) -> None:
     """Land every not-yet-processed file of ``source_dir`` into Parquet at
-    ``target_dir``; returns the number of micro-batches run."""
-    reader = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", max_files_per_trigger)
+    ``target_dir``.
+
+    CSV is read with the batch reader's options (``multiline`` for line breaks
+    in quoted fields); a record that does not fit the schema is landed with its
+    text in ``_corrupt_record``, for ``read_landed`` to set apart."""
+    reader = spark.readStream.format(fmt).option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
-        reader = reader.option("header", True).option("quote", '"').option("escape", '"')
+        reader = reader.schema(f"{schema}, {CORRUPT} string").options(**csv_options(multiline, CORRUPT))
+    else:
+        reader = reader.schema(schema)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     stream = reader.load(source_dir).withColumn("_ingested_file", F.input_file_name())
     q = (stream.writeStream.format("parquet").option("path", target_dir)
          .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
     q.awaitTermination()
-    return len(q.recentProgress)
 
 
-def read_landed(spark: SparkSession, target_dir: str) -> DataFrame:
-    return spark.read.parquet(target_dir).drop("_ingested_file")
+def read_landed(spark: SparkSession, target_dir: str, corrupt: bool = False) -> DataFrame:
+    """The landed rows, or with ``corrupt`` the texts of the quarantined ones."""
+    landed = spark.read.parquet(target_dir).drop("_ingested_file")
+    if CORRUPT not in landed.columns:
+        return landed.limit(0) if corrupt else landed
+    if corrupt:
+        return landed.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    return landed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)

@@ -38,12 +38,14 @@ def _metrics(rows: list[tuple[str, str]], src: str, name: str = "metric", value:
 
 
 def _hist(src: str, col: str, bins: int) -> str:
-    return f"""SELECT CAST(b AS INTEGER) AS bin, {r2(f"lo + b * ((hi - lo) / {bins})", 6)} AS lower,
-  {r2(f"lo + (b + 1) * ((hi - lo) / {bins})", 6)} AS upper, COUNT(*) AS "count"
-FROM (SELECT CASE WHEN hi > lo THEN least(floor((x - lo) / (hi - lo) * {bins}), {bins - 1}) ELSE 0 END AS b, lo, hi
-      FROM (SELECT {col} AS x FROM {src} WHERE {col} IS NOT NULL AND NOT isnan({col})) t,
-           (SELECT min({col}) AS lo, max({col}) AS hi FROM {src} WHERE {col} IS NOT NULL AND NOT isnan({col})) m)
-GROUP BY b, lo, hi"""
+    # every bin from a generated series; its count by its own bounds
+    return f"""SELECT * FROM (
+WITH x AS (SELECT {col} AS v FROM {src} WHERE {col} IS NOT NULL AND NOT isnan({col})),
+m AS (SELECT min(v) AS lo, max(v) AS hi FROM x),
+k AS (SELECT CASE WHEN hi > lo THEN least(floor((v - lo) / (hi - lo) * {bins}), {bins - 1}) ELSE 0 END AS b, COUNT(*) AS n FROM x, m GROUP BY 1)
+SELECT CAST(g.b AS INTEGER) AS bin, {r2(f"lo + g.b * ((hi - lo) / {bins})", 6)} AS lower,
+  {r2(f"lo + (g.b + 1) * ((hi - lo) / {bins})", 6)} AS upper, COALESCE(n, 0) AS "count"
+FROM range({bins}) g(b) CROSS JOIN m LEFT JOIN k ON k.b = g.b WHERE lo IS NOT NULL)"""
 
 
 ROI = "(revenue_num - budget_num) / budget_num"

@@ -77,3 +77,17 @@ def test_country_tokens_intent_keeps_commas(spark):
     # as written: join then split breaks the name
     joined = col(spark, vals[:1]).select(split_csv_list(literal_names_text("v")).alias("t")).first().t
     assert joined == ["Korea", "Republic of", "France"]
+
+
+def test_literals_keep_names_whole(spark):
+    from marquee.functions import literal_names_array, literal_names_text
+    vals = ["[{'name': 'A: None B'}, {'name': \"it's True, 'x'\"}]", "[{'name': 'a'},]", "[1, 2]", "[{'iso': None, 'name': 'b'}, 3, {'ok': True}]", "[{'name': 'a'"]
+    rows = col(spark, vals).select(literal_names_text("v").alias("t"), literal_names_array("v").alias("a")).collect()
+    assert [r.t for r in rows] == ["A: None B,it's True, 'x'", "a", "", "b", "[{'name': 'a'"]
+    assert rows[0].a == ["A: None B", "it's True, 'x'"] and rows[2].a == [] and rows[3].a == ["b"]
+
+
+def test_numbers_are_plain(spark):
+    from marquee.functions import to_number
+    vals = ["5d", "5f", "0x1F", "NaN", "Infinity", " 12.50 ", "-.5", "1e3", "1.", "", "1,000", None]
+    assert [r[0] for r in col(spark, vals).select(to_number("v")).collect()] == [None] * 5 + [12.5, -0.5, 1000.0, 1.0, None, None, None]

@@ -73,3 +73,75 @@ def test_read_text_csv_by_header_name(spark):
     assert df.columns == io.MOVIES_COLUMNS + ["ingest_seq"]
     assert rows["7"].title == "The Matrix" and rows["7"].revenue == "1,000" and rows["7"].budget is None
     assert rows["8"].title == "A, B"
+
+
+def test_csv_splits_and_keeps_file_order(spark):
+    base = tempfile.mkdtemp(prefix="order-")
+    for name, rows in (("a", 3), ("b", 60_000)):  # the larger file is packed first
+        with open(f"{base}/{name}.csv", "w") as f:
+            f.write("id,title\n" + "".join(f"{i % 2},{name}{i}\n" for i in range(rows)))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        df = io.read_text_csv(spark, base, ["id", "title", "budget"])
+        assert df.rdd.getNumPartitions() > 4
+        first = df.groupBy("id").agg(F.min_by("title", "ingest_seq").alias("t")).collect()
+        assert {r.id: r.t for r in first} == {"0": "a0", "1": "a1"}
+        last = df.groupBy().agg(F.max_by("title", "ingest_seq").alias("t")).first().t
+        assert last == "b59999" and df.where("budget IS NOT NULL").count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_stream_and_batch_read_alike(spark):
+    base = tempfile.mkdtemp(prefix="alike-")
+    import os
+    os.makedirs(f"{base}/src")
+    with open(f"{base}/src/x.csv", "w") as f:
+        f.write('id,n\n"a ""q""\nnext line",1\nb,2\nc,notanumber\n')
+    incremental_ingest(spark, f"{base}/src", "id string, n int", f"{base}/out", f"{base}/ck", multiline=True)
+    batch = io.read_csv(spark, f"{base}/src", "id string, n int", multiline=True)
+    assert sorted(r.id for r in read_landed(spark, f"{base}/out").collect()) == sorted(r.id for r in batch.where("n IS NOT NULL").collect()) == ['a "q"\nnext line', "b"]
+    assert [r[0] for r in read_landed(spark, f"{base}/out", corrupt=True).collect()] == ["c,notanumber"]
+
+
+def test_submitted_settings_survive(tmp_path):
+    import subprocess
+    import sys
+    code = ("from marquee.session import build_session, ensure_checkpoint_dir\ns = build_session()\n"
+            "print('GOT', s.sparkContext.master, s.conf.get('spark.sql.shuffle.partitions'), s.conf.get('spark.sql.session.timeZone'))")
+    import os
+    env = os.environ | {"PYSPARK_SUBMIT_ARGS": "--master local[2] --conf spark.sql.shuffle.partitions=77 pyspark-shell", "PYTHONPATH": os.getcwd()}
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=120)
+    assert "GOT local[2] 77 UTC" in out.stdout, out.stderr[-500:]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from marquee.session import ensure_checkpoint_dir, is_local
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(Conf)
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(Session())
+    assert is_local("local[4]") and is_local("local") and not is_local("local-cluster[2,1,1024]")
+
+
+def test_replace_path_swaps_or_keeps(spark, movies):
+    path = tempfile.mkdtemp(prefix="swap-") + "/t"
+    io.replace_path(movies, path)
+    assert spark.read.parquet(path).count() == 2
+    io.replace_path(movies.where("id = '1'"), path)
+    assert spark.read.parquet(path).count() == 1
+    with pytest.raises(ValueError):
+        io.replace_path(movies, path, validate=lambda df: False)
+    assert spark.read.parquet(path).count() == 1

@@ -99,16 +99,15 @@ def test_profitability_tiers(spark, pct, label):
     assert got == label
 
 
-@pytest.mark.parametrize("strategy", ["window", "distributed"])
-def test_budget_quartiles_edge_rows(spark, strategy):
+def test_budget_quartiles_edge_rows(spark):
     rows = [(i, b) for i, b in enumerate([5.0, 5.0, 5.0, 1.0, 9.0, 7.0, 7.0, 3.0, 8.0, 2.0], start=1)]
     rows += [(20, 0.0), (21, None), (22, -4.0)]           # no quartile for non-positive / missing
     df = spark.createDataFrame(rows, "movie_id long, budget double")
-    out = {r.movie_id: r.budget_quartile for r in facts.budget_quartiles(df, strategy).collect()}
+    out = {r.movie_id: r.budget_quartile for r in facts.budget_quartiles(df).collect()}
     sizes = [sum(1 for q in out.values() if q == k) for k in (1, 2, 3, 4)]
     assert sizes == [3, 3, 2, 2]
     assert out[20] is None and out[21] is None and out[22] is None
     # ties on budget 5.0 are ordered by movie_id: ids 1, 2, 3 sit at ranks 4-6
     assert [out[1], out[2], out[3]] == [2, 2, 2]
     few = spark.createDataFrame([(1, 10.0), (2, 20.0)], "movie_id long, budget double")
-    assert sorted(r.budget_quartile for r in facts.budget_quartiles(few, strategy).collect()) == [1, 2]
+    assert sorted(r.budget_quartile for r in facts.budget_quartiles(few).collect()) == [1, 2]

@@ -66,15 +66,16 @@ def _fin(spark, rows):
 def test_impute_ratio_and_fallbacks(spark):
     rows = [(1, None, 200.0, False), (2, 100.0, 50.0, False), (3, None, None, False), (4, 10.0, None, True)]
     fin = _fin(spark, rows)
-    ratio, med = impute.imputation_baselines(fin)
-    assert ratio == 2.0 and med == 10.0          # lower medians
-    out = {r.id: r for r in impute.impute_budget(fin, ratio, med).collect()}
+    base = impute.imputation_baselines(fin)
+    assert tuple(base.first()) == (2.0, 10.0)          # lower medians
+    out = {r.id: r for r in impute.impute_budget(fin, base).collect()}
     assert out[1].budget == 400.0 and out[1].budget_imputation_method == IMPUTE_RATIO_LABEL
     assert out[3].budget is None and not out[3].is_budget_imputed   # no revenue anchor
     assert out[4].is_enriched and out[4].is_budget_reported
-    only_median = {r.id: r for r in impute.impute_budget(fin, None, 10.0).collect()}
+    one = lambda *v: spark.createDataFrame([v], "median_budget_revenue_ratio double, median_budget double")
+    only_median = {r.id: r for r in impute.impute_budget(fin, one(None, 10.0)).collect()}
     assert only_median[1].budget == 10.0 and only_median[1].budget_imputation_method == IMPUTE_MEDIAN_LABEL
-    nothing = {r.id: r for r in impute.impute_budget(fin, None, None).collect()}
+    nothing = {r.id: r for r in impute.impute_budget(fin, impute.imputation_baselines(fin.limit(0))).collect()}
     assert nothing[1].budget is None and nothing[1].budget_imputation_method is None
 
 

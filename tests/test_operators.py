@@ -25,7 +25,7 @@ def skewed(spark):
 
 def test_group_percentiles_cont_matches_builtin(skewed):
     got = {r.g: (r.n, r.p50, r.p90) for r in
-           group_percentiles(skewed, ["g"], "v", {"p50": 0.5, "p90": 0.9}, strategy="distributed").collect()}
+           group_percentiles(skewed, ["g"], "v", {"p50": 0.5, "p90": 0.9}).collect()}
     want = {r.g: (r.n, r.p50, r.p90) for r in skewed.where("v IS NOT NULL").groupBy("g").agg(
         F.count("*").alias("n"), F.percentile("v", 0.5).alias("p50"), F.percentile("v", 0.9).alias("p90")).collect()}
     assert got.keys() == want.keys()
@@ -39,17 +39,26 @@ def test_group_percentiles_disc_and_global(skewed):
     vals = sorted(r.v for r in skewed.where("v IS NOT NULL").collect())
     n = len(vals)
     import math
-    for strategy in ("distributed", "in_buffer", "auto"):
-        got = group_percentiles(skewed, [], "v", {"m": 0.5}, method="disc", strategy=strategy).first()
-        assert got.n == n and got.m == vals[math.ceil(0.5 * n) - 1]
+    got = group_percentiles(skewed, [], "v", {"m": 0.5}, method="disc").first()
+    assert got.n == n and got.m == vals[math.ceil(0.5 * n) - 1]
+
+
+def test_group_percentiles_equal_the_builtin_exactly(spark):
+    # no rounding: a tertile bound that moves by one bit moves rows to another tier
+    rnd = random.Random(8)
+    df = spark.createDataFrame([(f"g{rnd.randint(0, 39)}", rnd.choice([rnd.uniform(-1e6, 1e6), 7.25, 0.1])) for _ in range(6000)],
+                               "g string, v double")
+    qs = {"p33": 0.33, "p50": 0.5, "p66": 0.66, "p90": 0.9}
+    got = {r.g: tuple(r[q] for q in qs) for r in group_percentiles(df, ["g"], "v", qs).collect()}
+    want = {r.g: tuple(r[q] for q in qs) for r in df.groupBy("g").agg(*[F.percentile("v", x).alias(q) for q, x in qs.items()]).collect()}
+    assert got == want and len(got) == 40
 
 
 def test_distributed_ntile_matches_window(spark):
     rnd = random.Random(3)
     df = spark.createDataFrame([(i, float(rnd.choice([10, 20, 20, 30, 40 + i % 7]))) for i in range(1001)],
                                "movie_id long, budget double")
-    got = {r.movie_id: r.q for r in distributed_ntile(df, 4, ["budget", "movie_id"], out="q", num_partitions=7,
-                                            strategy="distributed").collect()}
+    got = {r.movie_id: r.q for r in distributed_ntile(df, 4, ["budget", "movie_id"], out="q", num_partitions=7).collect()}
     want = {r.movie_id: r.q for r in df.withColumn("q", F.ntile(4).over(Window.orderBy("budget", "movie_id"))).collect()}
     assert got == want
 
@@ -58,8 +67,7 @@ def test_distributed_lag_lead_matches_window(spark):
     rnd = random.Random(5)
     df = spark.createDataFrame([(i, rnd.choice(["t1", "t2", None]), rnd.randint(1990, 1995), float(i * 3 % 11))
                                 for i in range(500)], "movie_id long, tier string, year int, revenue double")
-    got = distributed_lag_lead(df, ["tier"], ["year", "movie_id"], "revenue", "p", "n", num_partitions=5,
-                               strategy="distributed")
+    got = distributed_lag_lead(df, ["tier"], ["year", "movie_id"], "revenue", "p", "n", num_partitions=5)
     w = Window.partitionBy("tier").orderBy("year", "movie_id")
     want = df.select("movie_id", F.lag("revenue").over(w).alias("p"), F.lead("revenue").over(w).alias("n"))
     assert sorted(got.select("movie_id", "p", "n").collect()) == sorted(want.collect())
@@ -89,8 +97,7 @@ def test_group_percentiles_clustered_hot_group(spark):
     rows += [("hot", 1_000_000.0)] * 300 + [("cold", float(i)) for i in range(11)]
     df = spark.createDataFrame(rows, "g string, v double")
     got = {r.g: (r.p10, r.p50, r.p99) for r in
-           group_percentiles(df, ["g"], "v", {"p10": 0.1, "p50": 0.5, "p99": 0.99},
-                             strategy="distributed").collect()}
+           group_percentiles(df, ["g"], "v", {"p10": 0.1, "p50": 0.5, "p99": 0.99}).collect()}
     want = {r.g: (r.p10, r.p50, r.p99) for r in df.groupBy("g").agg(
         F.percentile("v", 0.1).alias("p10"), F.percentile("v", 0.5).alias("p50"),
         F.percentile("v", 0.99).alias("p99")).collect()}
