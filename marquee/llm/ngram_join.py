@@ -1,13 +1,14 @@
 """Operator 4: exact n-gram Jaccard join by multiple-global-order filtering.
 
-A pair whose sets have a Jaccard similarity of at least t shares a token in
-the prefixes of both sets under *every* global order of tokens.  The join
+A pair whose sets have a Jaccard similarity of at least t shares at least l
+tokens in prefixes of n - ceil(t n) + l tokens of both sets under *every*
+global order of tokens.  Here l is a sixteenth of the smaller set.  The join
 
 1. counts tokens in a sketch of fixed size, so that all orders put frequent
    tokens last (any order is right; this one keeps posting lists short),
 2. keeps one text for each distinct word sequence,
-3. deals the prefix tokens of the first order to tasks and drops those that a
-   single text has,
+3. deals the prefix tokens of the first order to tasks, drops those that a
+   single text has, and texts with too few of the others,
 4. puts texts that share most of these tokens into blocks of bounded size and
    lists the pairs of blocks that share a token,
 5. in each pair of blocks keeps the pairs of texts that share a prefix token
@@ -46,7 +47,11 @@ class Likeness:
     percent: int = 85
 
     def prefix(self, size: int) -> int:
-        return size - (self.percent * size + 99) // 100 + 1
+        return size - (self.percent * size + 99) // 100 + max(1, size // 16)
+
+    def shared_at_least(self, size: str) -> str:
+        """SQL: tokens of its prefix that a set shares with a linked one, which may be smaller."""
+        return f"greatest(1, ({self.percent} * {size} + 99) DIV 100 DIV 16)"
 
 
 def _shingle_sets(texts: pa.Array, n: int, table: np.ndarray, values: np.ndarray, powers: K.Powers) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -165,17 +170,35 @@ def _prefix_rows(like: Likeness, seed: int, classes):
     return rows
 
 
-def _set_rows(like: Likeness, seed: int):
-    """(key, tokens) of each distinct text of a task."""
+FILTER_WORDS = 1 << 17
+
+
+def _row_filter(rows: DataFrame) -> np.ndarray:
+    """A bit set of fixed size (1 MB) that holds every ``row`` hash, and others if there are many."""
+    bit = F.col("row").bitwiseAND(F.lit(FILTER_WORDS * 64 - 1))
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), bit.bitwiseAND(F.lit(63)).cast("int"))
+    got = rows.groupBy(F.shiftright(bit, 6).alias("w")).agg(F.bit_or(mask).alias("m")).toPandas()
+    out = np.zeros(FILTER_WORDS, dtype=np.int64)
+    out[got["w"].to_numpy(dtype=np.int64)] = got["m"].to_numpy(dtype=np.int64)
+    return out.view(np.uint64)
+
+
+def _set_rows(like: Likeness, seed: int, some):
+    """(key, row, tokens) of the texts whose row hash passes the filter."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, values, powers = K.space_words(), K.byte_values(), K.Powers()
         for b in batches:
-            keys, sets = [], []
-            for _, tokens, words in _shingle_sets(b.column(0), like.n, table, values, powers):
+            row = b.column(1).to_numpy().astype(np.int64)
+            bit = row & (FILTER_WORDS * 64 - 1)
+            pick = (some.value[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1
+            b = b.filter(pa.array(pick))
+            keys, own, sets = [], [], []
+            for i, tokens, words in _shingle_sets(b.column(0), like.n, table, values, powers):
                 if len(tokens):
                     keys.append(_digest(words, seed))
+                    own.append(b.column(1)[i].as_py())
                     sets.append(tokens.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.binary())], names=["key", "tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(own, pa.int64()), pa.array(sets, pa.binary())], names=["key", "row", "tokens"])
 
     return rows
 
@@ -246,9 +269,7 @@ def links_between(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, s
         for order in range(ORDERS):
             if not near.any():
                 break
-            share = np.zeros(len(sets), dtype=bool)
-            share[holders(postings[order], prefixes[order][a])] = True
-            near &= share
+            near &= np.bincount(holders(postings[order], prefixes[order][a]), minlength=len(sets)) >= np.maximum(1, np.minimum(size, size[a]) // 16)
         cand = np.flatnonzero(near)
         if len(cand):
             root = forest.find(a)
@@ -323,36 +344,40 @@ def jaccard_components(docs: DataFrame, like: Likeness = Likeness()) -> DataFram
     texts = docs.select(F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
 
     # prefix postings of the first order; a frequent token's are salted by text
+    parts = shuffle_partitions(spark)
     posts = texts.mapInArrow(_prefix_rows(like, seed, classes), "token long, key long, n int, class int")
-    salt = F.when(F.col("class") > SALT_FROM, F.pmod(F.hash("key"), F.pow(F.lit(2), F.col("class") - SALT_FROM).cast("int"))).otherwise(F.lit(0))
-    posts = posts.withColumn("salt", salt).repartition(shuffle_partitions(spark), "token", "salt")
+    salt = F.when(F.col("class") > SALT_FROM, 1 + F.pmod(F.hash("key"), F.pow(F.lit(2), F.col("class") - SALT_FROM).cast("int"))).otherwise(F.lit(0))
+    posts = posts.select("token", "key", "n", salt.cast("int").alias("salt")).repartition(parts, "token", "salt")
     w = Window.partitionBy("token", "salt")
-    shared = posts.withColumns({"least": F.min("key").over(w), "most": F.max("key").over(w)}).where(f"least < most OR class > {SALT_FROM}").select("token", "key", "n", "least")
-    shared = materialize(shared, "shared-tokens")
+    shared = posts.withColumns({"least": F.min("key").over(w), "most": F.max("key").over(w)}).where("least < most OR salt > 0")
+    shared = materialize(shared.select("token", "key", "n", "least"), "shared-tokens")
 
     # family: the first text of most of a text's lists; a family's texts are dealt to blocks of bounded size
-    votes = shared.groupBy("key", "n", "least").agg(F.count("*").alias("votes"))
-    family = votes.groupBy("key", "n").agg(F.max(F.struct("votes", F.col("least").alias("family"))).alias("m")).select("key", "n", "m.family")
+    by_key = shared.repartition(parts, "key")
+    votes = by_key.groupBy("key", "n", "least").agg(F.count("*").alias("votes"))
+    family = votes.groupBy("key", "n").agg(F.max(F.struct("votes", F.col("least").alias("family"))).alias("m"), F.sum("votes").alias("tokens"))
+    family = family.where(f"tokens >= {like.shared_at_least('n')}").select("key", "n", "m.family")
     blocks = family.groupBy("family").agg(F.ceil(F.sum("n") / BLOCK_TOKENS).cast("int").alias("parts"))
-    placed = family.join(blocks, "family").select("key", F.xxhash64("family", F.pmod(F.hash("key"), F.greatest("parts", F.lit(1)))).alias("block"))
+    placed = family.join(blocks, "family").select("key", "n", F.xxhash64("family", F.pmod(F.hash("key"), F.greatest("parts", F.lit(1)))).alias("block"))
     placed = materialize(placed, "blocks")
 
-    # pairs of blocks that share a token
-    held = shared.select("token", "key").join(placed, "key").select("token", "block").distinct()
+    # pairs of blocks that share as many tokens as a link between their smallest texts needs
+    held = by_key.select("token", "key").join(placed.select("key", "block"), "key").select("token", "block").repartition(parts, "token").distinct()
     other = held.select(F.col("token").alias("_t"), F.col("block").alias("right"))
-    pairs = held.join(other, (F.col("token") == F.col("_t")) & (F.col("block") <= F.col("right"))).select(F.col("block").alias("left"), "right").distinct()
-    crowd = placed.groupBy("block").agg(F.count("*").alias("texts"))
-    pairs = pairs.join(crowd, pairs.left == crowd.block).where("left != right OR texts > 1").select("left", "right")
+    pairs = held.join(other, (F.col("token") == F.col("_t")) & (F.col("block") <= F.col("right"))).groupBy(F.col("block").alias("left"), "right").agg(F.count("*").alias("tokens"))
+    crowd = materialize(placed.groupBy("block").agg(F.count("*").alias("texts"), F.min(F.greatest(F.lit(1), F.expr("n DIV 16"))).alias("need")), "block-sizes")
+    pairs = pairs.join(crowd, pairs.left == crowd.block).where("left != right OR texts > 1").select("left", "right", "tokens", F.col("need").alias("need_left"))
+    pairs = pairs.join(crowd, pairs.right == crowd.block).where("tokens >= least(need, need_left)").select("left", "right")
     pairs = materialize(pairs, "block-pairs")
     ends = pairs.select("left", "right", F.col("left").alias("block")).union(pairs.where("left != right").select("left", "right", F.col("right").alias("block")))
 
     # whole sets of the texts in these blocks, from one document of each text
-    wanted = ends.select("block").distinct().join(placed, "block").select("key", "block")
+    wanted = materialize(ends.select("block").distinct().join(placed, "block").select("key", "block"), "wanted")
     chosen = base.where("key IS NOT NULL").groupBy("key").agg(F.min(F.struct("doc_id", "text_hash")).alias("d"))
-    chosen = chosen.join(wanted, "key").select(F.col("d.doc_id").alias("_id"), F.col("d.text_hash").alias("_hash")).distinct()
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    source = source.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left_semi")
-    sets = source.select("text").mapInArrow(_set_rows(like, seed), "key long, tokens binary").join(wanted, "key")
+    chosen = materialize(chosen.join(wanted, "key").select("key", "block", F.xxhash64("d.doc_id", "d.text_hash").alias("row")), "wanted")
+    source = docs.where("text IS NOT NULL").select(F.col("text").cast("string").alias("text"), F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("row"))
+    some = spark.sparkContext.broadcast(_row_filter(chosen))  # 1 MB; the join below is exact
+    sets = source.mapInArrow(_set_rows(like, seed, some), "key long, row long, tokens binary").join(chosen, ["key", "row"]).select("key", "block", "tokens")
     grouped = ends.join(sets, "block").groupBy("left", "right")
     edges = materialize(grouped.applyInPandas(_verify_blocks(like, classes), "a long, b long"), "links")
 
@@ -371,11 +396,11 @@ def keep_one(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
 
     Texts without words are linked with nothing and stay."""
     found = jaccard_components(docs, like)
-    stay = found.where("component_id <=> doc_id").groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.max("n_shingles").alias("_n"), F.count("*").alias("_rows"))
+    stay = found.where("component_id <=> doc_id").groupBy(F.col("doc_id").alias("__op_id"), F.col("text_hash").alias("__op_hash")).agg(F.max("n_shingles").alias("__op_n"), F.count("*").alias("__op_rows"))
     # one text for a component whose smallest doc_id repeats
-    kept = docs.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & F.xxhash64("text").eqNullSafe(F.col("_hash")))
-    once, many = kept.where("_rows = 1 OR _n = 0"), kept.where("_rows > 1 AND _n > 0")
-    return once.unionByName(many.dropDuplicates(["_id", "_hash"])).select(*docs.columns)
+    kept = docs.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("__op_id")) & F.xxhash64("text").eqNullSafe(F.col("__op_hash")))
+    once, many = kept.where("__op_rows = 1 OR __op_n = 0"), kept.where("__op_rows > 1 AND __op_n > 0")
+    return once.unionByName(many.dropDuplicates(["__op_id", "__op_hash"])).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
