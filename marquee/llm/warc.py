@@ -123,15 +123,19 @@ class Roller:
             self.seq, self.out = self.seq + 1, None
 
 
-def with_revisits(pages: DataFrame, least: int) -> DataFrame:
-    """(page_id, url, payload, digest, refers_to): refers_to is the largest
-    page_id with an equal payload where that is another page."""
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"))
-    rows = rows.withColumn("sha", F.sha1("payload"))
-    same = (rows.where(F.octet_length("payload") >= least).groupBy(F.col("sha").alias("_sha")).agg(F.max("page_id").alias("last"), F.count("*").alias("n"))
-            .where("n > 1").select("_sha", "last"))  # partial sums shrink a hot payload before the exchange
-    rows = rows.join(same, rows.sha == same._sha, "left")
-    return rows.select("page_id", "url", "payload", "sha", F.when(F.col("last").isNotNull() & ~F.col("last").eqNullSafe(F.col("page_id")), F.col("last")).alias("refers_to"))
+def page_rows(pages: DataFrame) -> DataFrame:
+    """(page_id, url, payload, sha) of every page."""
+    payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
+    return rows.withColumn("sha", F.sha1("payload"))
+
+
+def revisits(pages: DataFrame, least: int) -> DataFrame:
+    """(page_id, sha, refers_to) of the pages whose payload another page with a
+    larger page_id has; the payloads themselves do not move."""
+    rows = page_rows(pages).where(F.octet_length("payload") >= least).select("page_id", "sha")
+    same = rows.groupBy("sha").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").drop("n")  # partial sums shrink a hot payload
+    return rows.join(same, "sha").where("NOT refers_to <=> page_id").select("page_id", "sha", "refers_to").distinct()
 
 
 def write_warc(pages: DataFrame, root: str, o: WarcOptions = WarcOptions(), shards: int | None = None) -> DataFrame:
@@ -148,21 +152,28 @@ def write_warc(pages: DataFrame, root: str, o: WarcOptions = WarcOptions(), shar
     spark = pages.sparkSession
     store, path = open_store(root)
     store.create_dir(f"{path}/_temporary", recursive=True)
-    rows = with_revisits(pages, o.least_revisit)
-    ranged = rows.repartitionByRange(shards or shuffle_partitions(spark), "page_id").sortWithinPartitions("page_id", "sha", "url")
+    # a page's reference travels as a short row that sorts just before it: payloads move once
+    full = page_rows(pages).withColumns({"refers_to": F.lit(None).cast("long"), "is_page": F.lit(True)})
+    notes = revisits(pages, o.least_revisit).withColumn("is_page", F.lit(False))
+    ranged = full.unionByName(notes, allowMissingColumns=True).repartitionByRange(shards or shuffle_partitions(spark), "page_id")
+    ranged = ranged.sortWithinPartitions("page_id", "sha", "is_page", "url").select("page_id", "url", "payload", "sha", "refers_to", "is_page")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         roll = Roller(root, task.partitionId(), f"{task.taskAttemptId()}-{uuid.uuid4().hex[:8]}", o)
         last: tuple[object, int] = (object(), 0)
+        noted: tuple = (None, None, None)
         for b in batches:
-            for page_id, url, payload, sha, refers_to in zip(*(c for c in b.columns), strict=True):
-                page_id, data = page_id.as_py(), payload.as_py()
+            for page_id, url, payload, sha, refers_to, is_page in zip(*b.columns, strict=True):
+                page_id, sha = page_id.as_py(), sha.as_py()
+                if not is_page.as_py():
+                    noted = (page_id, sha, refers_to.as_py())
+                    continue
+                to = noted[2] if noted[:2] == (page_id, sha) else None
                 copy = last[1] + 1 if page_id == last[0] else 0
                 last = (page_id, copy)
-                to = refers_to.as_py()
-                digest = base64.b32encode(bytes.fromhex(sha.as_py())).decode()
-                roll.add(page_record(page_id, copy, url.as_py(), data, digest, to, to is not None, o))
+                digest = base64.b32encode(bytes.fromhex(sha)).decode()
+                roll.add(page_record(page_id, copy, url.as_py(), payload.as_py(), digest, to, to is not None, o))
         roll.close()
         cols = list(zip(*roll.done, strict=True)) if roll.done else [[]] * 5
         kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
