@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.operators._joins import join_null_safe
+
 
 def _packed(df: DataFrame) -> Column:
     return F.struct(*[F.col(c) for c in df.columns])
@@ -25,7 +27,6 @@ def keep_first(df: DataFrame, keys: list[str], order_by: list[str | Column]) ->
     reducers by its sequence values.  Otherwise ``min_by`` over the packed
     row."""
     if len(order_by) == 1 and isinstance(order_by[0], str):
-        from marquee.operators._joins import join_null_safe
         seq = order_by[0]
         firsts = df.groupBy(*keys).agg(F.min(seq).alias(seq))
         return join_null_safe(df, firsts, list(keys) + [seq], "left_semi")
@@ -57,9 +58,8 @@ def best_per_key(df: DataFrame, keys: list[str], max_key: list[Column]) -> DataF
 
 
 def mark_duplicates(df: DataFrame, keys: list[str], flag: str = "is_duplicated") -> DataFrame:
-    """W10 ``duplicated(keep=False)``: flag every member of a duplicate group.
-    Count per key, then join back (AQE splits a skewed key in the join)."""
+    """W10 ``duplicated(keep=False)``: flag every member of a duplicate group;
+    missing keys equal each other.  Count per key, then join back (AQE splits a
+    skewed key in the join)."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return (df.join(counts, keys, "left")
-              .withColumn(flag, F.coalesce(F.col("__n") > 1, F.lit(False)))
-              .drop("__n"))
+    return join_null_safe(df, counts, keys).withColumn(flag, F.col("__n") > 1).drop("__n")

@@ -12,8 +12,12 @@ Mapping (movie := order), see FIXTURES.md section 2:
   distinct supplier nations, spoken_languages = list literal of the
   customer's region.
 * ratings: events per user_id as a nested summary + epoch seconds.
-* benchmark: orders with orderkey % 3 = 0 - same title rule, first ship
-  date, average line price as budget, summed line price as revenue.
+* benchmark: every order with lines - the same title for orderkey % 3 = 0,
+  else one that matches nothing (suffix ' cut'), first ship date, average line
+  price as budget, summed line price as revenue.
+* dirt in movies_main: customers with custkey % 37 = 0 land a second, later row
+  of the same id with another title, a free-form date and money that is no
+  number; those with custkey % 41 = 0 a row whose id is text or missing.
 """
 
 from __future__ import annotations
@@ -24,6 +28,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+LATER = 10**12  # ingest sequence of rows that land after all first ones
+
+
 @dataclass
 class RawTables:
     movies_main: DataFrame
@@ -109,15 +116,19 @@ def generated_raw(spark: SparkSession, sf_dir: str, stage=None) -> RawTables:
     release = (F.when(fmt == 0, F.date_format("o_orderdate", "yyyy-MM-dd"))
                 .when(fmt == 1, F.date_format("o_orderdate", "MM/dd/yyyy"))
                 .otherwise(F.date_format("o_orderdate", "dd-MM-yyyy")))
-    movies_main = ox.select(
-        F.col("o_orderkey").cast("string").alias("id"),
-        title.alias("title"),
-        release.alias("release_date"),
-        F.when(F.col("o_orderstatus") == "P", F.lit(0.0)).otherwise(F.col("o_totalprice"))
-         .cast("string").alias("budget"),
-        F.coalesce(F.col("line_revenue"), F.lit(0.0)).cast("string").alias("revenue"),
-        F.col("o_orderkey").alias("ingest_seq"),
-    )
+    def landed(id_, name, date, budget, revenue, later):
+        return F.struct(id_.alias("id"), name.alias("title"), date.alias("release_date"), budget.alias("budget"),
+                        revenue.alias("revenue"), (F.col("o_orderkey") + later).cast("bigint").alias("ingest_seq"))
+
+    key, cust_key = F.col("o_orderkey").cast("string"), F.col("o_custkey")
+    clean_row = landed(
+        key, title, release,
+        F.when(F.col("o_orderstatus") == "P", F.lit(0.0)).otherwise(F.col("o_totalprice")).cast("string"),
+        F.coalesce(F.col("line_revenue"), F.lit(0.0)).cast("string"), 0)
+    second_row = landed(key, F.concat(title, F.lit(" again")), F.lit("Jan 5 2016"), F.lit("n/a"), F.lit("5d"), LATER)
+    bad_id = landed(F.when(cust_key % 2 == 0, F.concat(F.lit("x"), key)), title, F.lit("unknown"), F.lit("0"), F.lit("0"), 2 * LATER)
+    rows = F.array(clean_row, F.when(cust_key % 37 == 0, second_row), F.when(cust_key % 41 == 0, bad_id))
+    movies_main = ox.select(F.inline(F.filter(rows, lambda r: r.isNotNull())))
     movie_extended = ox.select(
         F.col("o_orderkey").cast("string").alias("id"),
         F.when(F.size("types") > 0, F.array_join("types", ",")).alias("genres"),
@@ -142,10 +153,8 @@ def generated_raw(spark: SparkSession, sf_dir: str, stage=None) -> RawTables:
     if stage is not None:
         ratings = stage(ratings)
 
-    # the fixture's external benchmark: orders with orderkey % 3 = 0 form a
-    # separate source population (FIXTURES.md section 2), not a sample
-    bench = ox.where((F.col("o_orderkey") % 3 == 0) & F.col("min_part_name").isNotNull()).select(
-        title.alias("title"),
+    bench = ox.where(F.col("min_part_name").isNotNull()).select(
+        F.when(F.col("o_orderkey") % 3 == 0, title).otherwise(F.concat(title, F.lit(" cut"))).alias("title"),
         F.date_format("first_ship", "yyyy-MM-dd").alias("release_date"),
         F.col("avg_price").cast("string").alias("budget"),
         F.col("sum_price").cast("string").alias("revenue"),

@@ -156,7 +156,7 @@ SELECT 'movies' AS dataset, COUNT(*) AS rows FROM fin_valid UNION ALL SELECT 'ra
         b[name] = (f"SELECT {col} AS token, COUNT(*) AS movie_count FROM {src} GROUP BY 1 "
                    f"ORDER BY 2 DESC, 1 LIMIT 15")
     b["dataset_sizes"] = """
-SELECT 'movies' AS dataset, COUNT(*) AS rows, 5 AS columns FROM orders
+SELECT 'movies' AS dataset, COUNT(*) AS rows, 5 AS columns FROM raw_mv
 UNION ALL SELECT 'movies_extended', COUNT(*), 5 FROM orders
 UNION ALL SELECT 'ratings', COUNT(DISTINCT user_id), 3 FROM events"""
     b["valid_financials_summary"] = " UNION ALL ".join(
