@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
+from marquee.session import materialize
+
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` where NULL matches NULL (group keys may be NULL).
@@ -34,9 +36,10 @@ def salted_many_to_one_join(left: DataFrame, right: DataFrame, left_key: str, ri
     reducer receives more than about ``hot_threshold`` rows of one key."""
     from pyspark.sql import functions as F
 
-    hot = (left.where(F.col(left_key).isNotNull()).groupBy(left_key)
+    # both sides read it: written once, so the left side is counted once
+    hot = materialize(left.where(F.col(left_key).isNotNull()).groupBy(left_key)
            .agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_threshold)
-           .select(F.col(left_key).alias("__hot_key"), F.lit(True).alias("__is_hot")))
+           .select(F.col(left_key).alias("__hot_key"), F.lit(True).alias("__is_hot")), "hot-keys")
     lh = left.join(F.broadcast(hot), left[left_key] == F.col("__hot_key"), "left").drop("__hot_key")
     lh = lh.withColumn("__salt", F.when(F.col("__is_hot"), F.pmod(F.xxhash64(spread_col), F.lit(salt_buckets)))
                        .otherwise(F.lit(0)).cast("int")).drop("__is_hot")

@@ -25,6 +25,15 @@ AUDIT_COLUMNS = [
 BASELINES = {"median_budget_revenue_ratio": "ratio", "median_budget": "budget"}
 
 
+def baseline_measures(financials: DataFrame) -> DataFrame:
+    """(measure, v): the values whose medians are the baselines."""
+    reported = F.when(F.col("budget_reported") > 0, F.col("budget_reported"))
+    earned = F.when(F.col("revenue") > 0, F.col("revenue"))
+    measures = F.array(F.struct(F.lit("ratio").alias("measure"), (reported / earned).alias("v")),
+                       F.struct(F.lit("budget").alias("measure"), reported.cast("double").alias("v")))
+    return financials.select(F.inline(measures)).where(F.col("v").isNotNull())
+
+
 def imputation_baselines(financials: DataFrame, method: str = "exact",
                          accuracy: int = APPROX_ACCURACY) -> DataFrame:
     """One row: the median budget/revenue ratio over rows with both figures and
@@ -32,10 +41,7 @@ def imputation_baselines(financials: DataFrame, method: str = "exact",
 
     ``exact`` is the lower median (the element the approximate percentile
     converges to); ``approx`` is percentile_approx."""
-    reported = F.when(F.col("budget_reported") > 0, F.col("budget_reported"))
-    measures = F.array(F.struct(F.lit("ratio").alias("measure"), (reported / F.when(F.col("revenue") > 0, F.col("revenue"))).alias("v")),
-                       F.struct(F.lit("budget").alias("measure"), reported.cast("double").alias("v")))
-    long = financials.select(F.inline(measures)).where(F.col("v").isNotNull())
+    long = baseline_measures(financials)
     if method == "exact":
         medians = group_percentiles(long, ["measure"], "v", {"m": 0.5}, method="disc")
     elif method == "approx":
@@ -45,6 +51,18 @@ def imputation_baselines(financials: DataFrame, method: str = "exact",
     return medians.agg(*[F.max(F.when(F.col("measure") == k, F.col("m"))).alias(name) for name, k in BASELINES.items()])
 
 
+def baseline_rank_errors(financials: DataFrame, accuracy: int = APPROX_ACCURACY) -> DataFrame:
+    """(measure, rows, within): whether the approximate median's rank is within
+    rows / ``accuracy`` of the middle, the bound that percentile_approx states."""
+    long = baseline_measures(financials)
+    guess = long.groupBy("measure").agg(F.percentile_approx("v", 0.5, accuracy).alias("m"))
+    ranks = long.join(F.broadcast(guess), "measure").groupBy("measure").agg(  # two rows
+        F.count("*").alias("rows"), F.count_if(F.col("v") < F.col("m")).alias("below"), F.count_if(F.col("v") <= F.col("m")).alias("upto"))
+    slack = F.col("rows") / accuracy + 1
+    within = (F.col("below") <= F.col("rows") / 2 + slack) & (F.col("upto") >= F.col("rows") / 2 - slack)
+    return ranks.select("measure", "rows", within.alias("within"))
+
+
 def impute_budget(financials: DataFrame, baselines: DataFrame) -> DataFrame:
     """A row with revenue but no budget gets one from the first usable
     baseline (revenue x ratio, then the median budget) and the baseline's

@@ -116,3 +116,19 @@ def calendar_yoy_revenue(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
                     change.alias("yoy_revenue_change"),
                     F.coalesce(round_dec(F.try_divide(change, F.col("prev_calendar_year_revenue")), 6),
                                F.lit(0.0)).alias("yoy_revenue_change_ratio"))
+
+
+def calendar_yoy_by_period(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """W9 in a quarter and a month context: the period's revenue against the
+    same period one calendar year earlier, blanks treated as in the year grain."""
+    day = F.col("date_day")
+    periods = F.array(*[F.struct(F.lit(g).alias("grain"), F.to_date(F.date_trunc(g, day)).alias("period_start")) for g in ("quarter", "month")])
+    sums = _dated(fact, dim_date).select("revenue", F.inline(periods)).groupBy("grain", "period_start") \
+        .agg(round_dec(F.sum("revenue")).alias("total_revenue"))
+    before = sums.select("grain", F.add_months("period_start", 12).alias("period_start"),
+                         F.col("total_revenue").alias("prev_calendar_year_revenue"))
+    change = round_dec(F.col("total_revenue") - F.coalesce(F.col("prev_calendar_year_revenue"), F.lit(0.0)))
+    ratio = round_dec(F.try_divide(change, F.col("prev_calendar_year_revenue")), 6)
+    return sums.join(before, ["grain", "period_start"], "left").select(
+        "grain", "period_start", "total_revenue", "prev_calendar_year_revenue",
+        change.alias("yoy_revenue_change"), F.coalesce(ratio, F.lit(0.0)).alias("yoy_revenue_change_ratio"))

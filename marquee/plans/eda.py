@@ -210,15 +210,17 @@ class Eda:
         return mark_duplicates(self.movies.select("id", "title"), ["id"])
 
     def schema_summary(self) -> DataFrame:
-        """Q18: side-by-side column types of the three inputs, '-' if absent."""
-        spark = self.raw.movies_main.sparkSession
-        rows = []
-        for name, df in (("movies", self.movies), ("movies_extended", self.extended), ("ratings", self.ratings)):
-            for f in df.schema.fields:
-                rows.append((f.name, name, f.dataType.simpleString()))
-        long = spark.createDataFrame(rows, "column string, dataset string, dtype string")
-        wide = long.groupBy("column").pivot("dataset", ["movies", "movies_extended", "ratings"]).agg(F.first("dtype"))
-        return wide.fillna("-")
+        """Q18: side-by-side column types of the three inputs ('-' if absent),
+        and in how many of their rows the column has a value."""
+        def counted(name: str, df: DataFrame) -> DataFrame:
+            row = df.agg(*[F.count(f"`{c}`").alias(c) for c in df.columns])  # one pass
+            items = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(t).alias("dtype"), F.col(f"`{c}`").alias("n")) for c, t in df.dtypes])
+            return row.select(F.inline(items)).withColumn("dataset", F.lit(name))
+
+        frames = {"movies": self.movies, "movies_extended": self.extended, "ratings": self.ratings}
+        long = reduce(lambda a, b: a.unionByName(b), [counted(n, df) for n, df in frames.items()])
+        dtype = {n: F.coalesce(F.max(F.when(F.col("dataset") == n, F.col("dtype"))), F.lit("-")).alias(n) for n in frames}
+        return long.groupBy("column").agg(*dtype.values(), F.sum("n").alias("rows_with_value"))
 
     def dataset_sizes(self) -> DataFrame:
         """Rows and columns of each landed input."""

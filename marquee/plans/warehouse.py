@@ -255,6 +255,9 @@ class Warehouse:
     def calendar_yoy_revenue(self) -> DataFrame:
         return analyses.calendar_yoy_revenue(self.fact_movie_performance, self.dim_date)
 
+    def calendar_yoy_by_period(self) -> DataFrame:
+        return analyses.calendar_yoy_by_period(self.fact_movie_performance, self.dim_date)
+
     def catalog_reliability(self, by=None) -> DataFrame:
         return segments.catalog_reliability(self.stg_movies, by)
 

@@ -166,7 +166,7 @@ for _name in ["fact_movie_performance", "fact_movie_roi_analysis", "fact_movie_m
 
 # ---- analyses -------------------------------------------------------------------
 for _name in ["monthly_revenue_mom", "sequential_in_tier", "yearly_yoy", "top10_by_genre",
-              "top10_by_year", "kpi_overview", "calendar_yoy_revenue"]:
+              "top10_by_year", "kpi_overview", "calendar_yoy_revenue", "calendar_yoy_by_period"]:
     QUERIES[_name] = (lambda n: (lambda spark, sf_dir: getattr(wh(spark, sf_dir), n)()))(_name)
 
 
@@ -327,19 +327,10 @@ def q_write_layer(spark, sf_dir):
 
 @query("imputation_baselines_approx")
 def q_imputation_baselines_approx(spark, sf_dir):
-    """A6 as the reference computes it: percentile_approx(..., 0.5, 1000) on
-    the same rows (bounded memory per group; an approximation, so no SQL
-    twin - rows-only check)."""
-    from pyspark.sql import functions as F
-    from marquee.config import APPROX_ACCURACY
-    fin = wh(spark, sf_dir).financials
-    ratio = fin.where((F.col("budget_reported") > 0) & (F.col("revenue") > 0)).agg(
-        F.percentile_approx(F.col("budget_reported") / F.col("revenue"), 0.5, APPROX_ACCURACY)
-        .alias("median_budget_revenue_ratio"))
-    budget = fin.where(F.col("budget_reported") > 0).agg(
-        F.percentile_approx("budget_reported", 0.5, APPROX_ACCURACY).alias("median_budget"))
-    return ratio.withColumn("__k", F.lit(1)).join(F.broadcast(budget.withColumn("__k", F.lit(1))), "__k") \
-        .drop("__k")
+    """A6 as the reference computes it (percentile_approx at accuracy 1000): is
+    each approximate median's rank within the stated error of the middle?"""
+    from marquee.operators.impute import baseline_rank_errors
+    return baseline_rank_errors(wh(spark, sf_dir).financials)
 
 
 @query("catalog_reliability_by_genre")

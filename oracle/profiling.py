@@ -168,4 +168,16 @@ UNION ALL SELECT 'ratings', COUNT(DISTINCT user_id), 3 FROM events"""
                           "GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5")
     b["top_languages"] = ("SELECT spoken_languages AS token, COUNT(*) AS movie_count FROM stg_movie_extended "
                           "WHERE spoken_languages IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15")
+    fields = [  # column, type, source and the expression that is counted
+        *[("movies", c, "string", "eda_movies", c) for c in ("id", "title", "release_date", "budget", "revenue")],
+        *[("movies", c, "double", "eda_movies", c) for c in ("budget_num", "revenue_num")],
+        ("movies", "release_date_parsed", "date", "eda_movies", "release_date_parsed"),
+        ("movies_extended", "id", "string", "stg_movie_extended", "movie_id"),
+        *[("movies_extended", c, "string", "stg_movie_extended", c) for c in ("genres", "production_companies", "production_countries", "spoken_languages")],
+        *[("movies_extended", c, "array<string>", "stg_movie_extended", "movie_id") for c in ("genres_list", "production_companies_list", "country_names", "language_names")],
+        ("ratings", "movie_id", "string", "eda_ratings", "movie_id"), ("ratings", "last_rated", "timestamp", "eda_ratings", "last_rated"),
+        *[("ratings", c, "double", "eda_ratings", c) for c in ("avg_rating", "total_ratings")]]
+    rows = " UNION ALL ".join(f"SELECT '{c}' AS c, '{d}' AS d, '{t}' AS t, COUNT({e}) AS n FROM {src}" for d, c, t, src, e in fields)
+    types = ", ".join(f"COALESCE(max(t) FILTER (WHERE d = '{d}'), '-') AS {d}" for d in ("movies", "movies_extended", "ratings"))
+    b["schema_summary"] = f"SELECT c AS \"column\", {types}, CAST(SUM(n) AS BIGINT) AS rows_with_value FROM ({rows}) GROUP BY c"
     return b
