@@ -401,6 +401,7 @@ def reconcile(text: str, found: list[tuple[int, int, int, float, float]], base:
             merged.append([a, b, k, s, off])
     taken, out = [(a, b) for a, b, _ in base], []
     for a, b, k, s, off in sorted(merged, key=lambda m: (-round(m[3], 4), m[4], m[0], m[2])):
+        b = min(b, len(text))  # a last window is padded past its text
         while a < b and text[a].isspace():
             a += 1
         while a < b and text[b - 1].isspace():
