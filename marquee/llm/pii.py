@@ -406,8 +406,10 @@ def reconcile(text: str, found: list[tuple[int, int, int, float, float]], base:
             a += 1
         while a < b and text[b - 1].isspace():
             b -= 1
+        if a >= b or s < LEAST_SCORE:
+            continue
         inside_word = a > 0 and text[a - 1].isalnum() or b < len(text) and text[b].isalnum()
-        if s < LEAST_SCORE or a >= b or inside_word or not plausible(text[a:b], k) or any(x < b and a < y for x, y in taken):
+        if inside_word or not plausible(text[a:b], k) or any(x < b and a < y for x, y in taken):
             continue
         taken.append((a, b))
         out.append((a, b, k))
