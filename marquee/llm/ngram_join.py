@@ -36,7 +36,7 @@ from .util import materialize, shuffle_partitions
 SKETCH_BITS = 20  # counters of the token sketch: 2**20, whatever the input
 ORDERS = 3
 SALT_FROM = 12  # tokens of a higher class (over 2**12 hits) are dealt to several tasks
-BLOCK_TOKENS = 150_000  # set elements in a block of texts, on average
+BLOCK_TOKENS = 1_000_000  # set elements in a block of texts, at most about (8 MB)
 
 
 @dataclass(frozen=True)
@@ -233,6 +233,7 @@ def links_between(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, s
     # dense token numbers within the block pair
     every = np.concatenate(sets)
     names, dense = np.unique(every, return_inverse=True)
+    dense = dense.astype(np.int32)
     edge = np.r_[0, np.cumsum(size)]
     dense = [dense[edge[i]: edge[i + 1]] for i in range(len(sets))]
     on_right = np.zeros(len(sets), dtype=bool)
@@ -242,13 +243,13 @@ def links_between(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, s
     for order in range(ORDERS):
         pre = [dense[i][_ranks(sets[i], order, classes)[: like.prefix(len(sets[i]))]] for i in range(len(sets))]
         tok = np.concatenate([pre[i] for i in right])
-        own = np.repeat(right, [len(pre[i]) for i in right])
+        own = np.repeat(right.astype(np.int32), [len(pre[i]) for i in right])
         by = np.argsort(tok, kind="stable")
         bounds = np.searchsorted(tok[by], np.arange(len(names) + 1))
         postings.append((own[by], bounds))
         prefixes.append(pre)
     tok = np.concatenate([dense[i] for i in right])
-    own = np.repeat(right, size[right])
+    own = np.repeat(right.astype(np.int32), size[right])
     by = np.argsort(tok, kind="stable")
     full = (own[by], np.searchsorted(tok[by], np.arange(len(names) + 1)))
 
