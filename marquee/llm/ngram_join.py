@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from .util import materialize, shuffle_partitions
 
-SKETCH_BITS = 20  # counters of the token sketch: 2**20, whatever the input
+SKETCH_BITS = 22  # counters of the token sketch: 2**22, whatever the input
+FREQUENT = 64  # hits of a counter from which its tokens count as frequent
 ORDERS = 3
 SALT_FROM = 12  # tokens of a higher class (over 2**12 hits) are dealt to several tasks
 BLOCK_TOKENS = 1_000_000  # set elements in a block of texts, at most about (8 MB)
@@ -103,7 +104,7 @@ def _base_rows(like: Likeness, seed: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, values, powers = K.space_words(), K.byte_values(), K.Powers()
         size = 1 << SKETCH_BITS
-        sketch, seen = np.zeros(size, dtype=np.int64), 0
+        sketch, seen = np.zeros(size, dtype=np.int32), 0
         for b in batches:
             n, d1, d2 = [], [], []
             for _, tokens, words in _shingle_sets(b.column(1), like.n, table, values, powers):
@@ -115,9 +116,9 @@ def _base_rows(like: Likeness, seed: int):
             m = len(b)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64())],
                                              names=["doc_id", "text_hash", "n", "key", "key2", "bucket", "hits"])
-        often = np.flatnonzero(sketch >= 8 + 4 * seen / size)
+        often = np.flatnonzero(sketch >= 4 + 2 * seen // size)  # of one task; others cannot add up to much
         none = pa.nulls(len(often), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, none, none, pa.array(often), pa.array(sketch[often])], names=["doc_id", "text_hash", "n", "key", "key2", "bucket", "hits"])
+        yield pa.RecordBatch.from_arrays([none, none, none, none, none, pa.array(often), pa.array(sketch[often].astype(np.int64))], names=["doc_id", "text_hash", "n", "key", "key2", "bucket", "hits"])
 
     return rows
 
@@ -129,14 +130,14 @@ def _count(sketch: np.ndarray, tokens: np.ndarray) -> None:
 
 
 def _frequency_classes(rows: DataFrame) -> np.ndarray:
-    """uint8 classes of the sketch counters: 0 for ordinary ones, then a class for each doubling.
+    """uint8 classes of the sketch counters: 0 for ordinary ones, then the logarithm of their hits.
 
     At most 2**SKETCH_BITS counters reach the driver, whatever the input."""
-    got = rows.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("hits").alias("hits")).toPandas()
+    hits = rows.where("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("hits").alias("hits"))
+    got = hits.where(F.col("hits") >= FREQUENT).toPandas()
     out = np.zeros(1 << SKETCH_BITS, dtype=np.uint8)
     if len(got):
-        hits = got["hits"].to_numpy()
-        out[got["bucket"].to_numpy()] = np.maximum(1, np.log2(hits)).astype(np.uint8)
+        out[got["bucket"].to_numpy()] = np.log2(got["hits"].to_numpy()).astype(np.uint8)
     return out
 
 
@@ -340,7 +341,7 @@ def jaccard_components(docs: DataFrame, like: Likeness = Likeness()) -> DataFram
     used whole.  Empty table: no rows.  Extra columns are not read."""
     spark = docs.sparkSession
     base, seed = _identify(docs, like)
-    classes = spark.sparkContext.broadcast(_frequency_classes(base))  # 1 MB
+    classes = spark.sparkContext.broadcast(_frequency_classes(base))  # 4 MB
     base = base.where("bucket IS NULL").select("doc_id", "text_hash", "n", "key")
     texts = docs.select(F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
 
