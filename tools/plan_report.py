@@ -12,6 +12,22 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+NOTES = """How to read it:
+
+* **hash shuffles** are the joins and groupings the query needs.  Hot keys are handled in the operators
+  (partial aggregation, salting), not by avoiding the shuffle.
+* **range shuffles** happen when the sorted inputs of exact medians, NTILE and LAG/LEAD are written, before
+  the plans below: one for each, whatever the size.  The plans read the sorted rows back.
+* **single-partition** exchanges come from two kinds of step only: the final merge of a global aggregate, where
+  each map task sends one partial row, and windows over small aggregates (months, years, genre x tier, a
+  token vocabulary, one row for each range partition).
+* **broadcasts** are one-row aggregates, per-partition offset and boundary tables, `nation`/`region`, and
+  hot-key sets bounded by rows/threshold.  AQE may add more at runtime after measuring sizes.
+* **group limits** (`WindowGroupLimit`) show the partial top-N before the shuffle in the ranking queries.
+* **unpruned scans** counts Parquet scans without a narrowed `ReadSchema`.
+"""
+
+
 def summarise(plan: str) -> dict:
     return {
         "hash shuffles": len(re.findall(r"Exchange hashpartitioning", plan)),
@@ -31,11 +47,11 @@ def summarise(plan: str) -> dict:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from marquee.session import build_session
-    import __spark_entry__ as E
+    from marquee.registry import QUERIES
     spark = build_session()
     cols = None
     rows = []
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
         s = summarise(plan)
@@ -44,6 +60,7 @@ def main() -> None:
     print("# Physical plan summary\n")
     print(f"Generated by `tools/plan_report.py` on `{os.path.basename(sf_dir)}` (initial adaptive plans; "
           "layers already written to the checkpoint folder appear as Parquet scans).\n")
+    print(NOTES)
     print("| query | " + " | ".join(cols) + " |")
     print("|---|" + "---|" * len(cols))
     for name, s in rows:
