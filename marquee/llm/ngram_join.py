@@ -2,7 +2,7 @@
 
 A pair whose sets have a Jaccard similarity of at least t shares at least l
 tokens in prefixes of n - ceil(t n) + l tokens of both sets under *every*
-global order of tokens.  Here l is a sixteenth of the smaller set.  The join
+global order of tokens.  Here l is an eighth of the smaller set.  The join
 
 1. counts tokens in a sketch of fixed size, so that all orders put frequent
    tokens last (any order is right; this one keeps posting lists short),
@@ -36,6 +36,7 @@ from .util import materialize, shuffle_partitions
 SKETCH_BITS = 22  # counters of the token sketch: 2**22, whatever the input
 FREQUENT = 64  # hits of a counter from which its tokens count as frequent
 ORDERS = 3
+EXTRA = 8  # a prefix has size / EXTRA tokens more than one shared token would need
 SALT_FROM = 12  # tokens of a higher class (over 2**12 hits) are dealt to several tasks
 BLOCK_TOKENS = 1_000_000  # set elements in a block of texts, at most about (8 MB)
 
@@ -48,11 +49,11 @@ class Likeness:
     percent: int = 85
 
     def prefix(self, size: int) -> int:
-        return size - (self.percent * size + 99) // 100 + max(1, size // 16)
+        return size - (self.percent * size + 99) // 100 + max(1, size // EXTRA)
 
     def shared_at_least(self, size: str) -> str:
         """SQL: tokens of its prefix that a set shares with a linked one, which may be smaller."""
-        return f"greatest(1, ({self.percent} * {size} + 99) DIV 100 DIV 16)"
+        return f"greatest(1, ({self.percent} * {size} + 99) DIV 100 DIV {EXTRA})"
 
 
 def _shingle_sets(texts: pa.Array, n: int, table: np.ndarray, values: np.ndarray, powers: K.Powers) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -224,8 +225,9 @@ class Forest:
         return True
 
 
-def links_between(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, same: bool, like: Likeness, classes: np.ndarray) -> list[tuple[int, int]]:
-    """A spanning forest of the links between texts of ``left`` and ``right``.
+def links_between(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, like: Likeness, classes: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of the links between texts of ``left`` and ``right``,
+    which may hold those of ``left`` too.
 
     Candidates share a prefix token under every order; the filters' results are
     intersected before the whole sets are compared.  Pairs that earlier links
@@ -265,13 +267,11 @@ def links_between(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, s
     for a in left:
         a = int(a)
         near = (100 * np.minimum(size, size[a]) >= like.percent * np.maximum(size, size[a])) & on_right
-        near[a] = False
-        if same:
-            near[: a + 1] = False
+        near[left[left <= a]] = False
         for order in range(ORDERS):
             if not near.any():
                 break
-            near &= np.bincount(holders(postings[order], prefixes[order][a]), minlength=len(sets)) >= np.maximum(1, np.minimum(size, size[a]) // 16)
+            near &= np.bincount(holders(postings[order], prefixes[order][a]), minlength=len(sets)) >= np.maximum(1, np.minimum(size, size[a]) // EXTRA)
         cand = np.flatnonzero(near)
         if len(cand):
             root = forest.find(a)
@@ -290,9 +290,8 @@ def _verify_blocks(like: Likeness, classes):
         pdf = pdf.drop_duplicates("key").sort_values("key")
         sets = [np.frombuffer(x, dtype=np.uint64) for x in pdf["tokens"]]
         keys, block = pdf["key"].to_numpy(), pdf["block"].to_numpy()
-        first, second = int(pdf["left"].iloc[0]), int(pdf["right"].iloc[0])
-        left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
-        got = links_between(sets, left, right, first == second, like, classes.value) if len(left) and len(right) else []
+        left, right = np.flatnonzero(block == pdf["left"].iloc[0]), np.flatnonzero(pdf["is_right"].to_numpy())
+        got = links_between(sets, left, right, like, classes.value) if len(left) and len(right) else []
         return pd.DataFrame({"a": [keys[x] for x, _ in got], "b": [keys[y] for _, y in got]}, dtype="int64")
 
     return group
@@ -367,11 +366,16 @@ def jaccard_components(docs: DataFrame, like: Likeness = Likeness()) -> DataFram
     held = by_key.select("token", "key").join(placed.select("key", "block"), "key").select("token", "block").repartition(parts, "token").distinct()
     other = held.select(F.col("token").alias("_t"), F.col("block").alias("right"))
     pairs = held.join(other, (F.col("token") == F.col("_t")) & (F.col("block") <= F.col("right"))).groupBy(F.col("block").alias("left"), "right").agg(F.count("*").alias("tokens"))
-    crowd = materialize(placed.groupBy("block").agg(F.count("*").alias("texts"), F.min(F.greatest(F.lit(1), F.expr("n DIV 16"))).alias("need")), "block-sizes")
+    crowd = materialize(placed.groupBy("block").agg(F.count("*").alias("texts"), F.sum("n").alias("weight"), F.min(F.greatest(F.lit(1), F.expr(f"n DIV {EXTRA}"))).alias("need")), "block-sizes")
     pairs = pairs.join(crowd, pairs.left == crowd.block).where("left != right OR texts > 1").select("left", "right", "tokens", F.col("need").alias("need_left"))
-    pairs = pairs.join(crowd, pairs.right == crowd.block).where("tokens >= least(need, need_left)").select("left", "right")
+    pairs = pairs.join(crowd, pairs.right == crowd.block).where("tokens >= least(need, need_left)").select("left", "right", "weight")
     pairs = materialize(pairs, "block-pairs")
-    ends = pairs.select("left", "right", F.col("left").alias("block")).union(pairs.where("left != right").select("left", "right", F.col("right").alias("block")))
+    # a block meets its partners in as few tasks as their size allows, so its sets move less often
+    load = pairs.groupBy("left").agg(F.ceil(F.sum("weight") / (2 * BLOCK_TOKENS)).cast("int").alias("chunks"))
+    met = pairs.join(load, "left").withColumn("chunk", F.pmod(F.hash("right"), F.greatest("chunks", F.lit(1))))
+    ends = met.select("left", "chunk", F.col("right").alias("block"), F.lit(True).alias("is_right"))
+    ends = ends.union(met.select("left", "chunk", F.col("left").alias("block"), F.lit(False).alias("is_right")))
+    ends = ends.groupBy("left", "chunk", "block").agg(F.max("is_right").alias("is_right"))
 
     # whole sets of the texts in these blocks, from one document of each text
     wanted = materialize(ends.select("block").distinct().join(placed, "block").select("key", "block"), "wanted")
@@ -380,7 +384,7 @@ def jaccard_components(docs: DataFrame, like: Likeness = Likeness()) -> DataFram
     source = docs.where("text IS NOT NULL").select(F.col("text").cast("string").alias("text"), F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("row"))
     some = spark.sparkContext.broadcast(_row_filter(chosen))  # 1 MB; the join below is exact
     sets = source.mapInArrow(_set_rows(like, seed, some), "key long, row long, tokens binary").join(chosen, ["key", "row"]).select("key", "block", "tokens")
-    grouped = ends.join(sets, "block").groupBy("left", "right")
+    grouped = ends.join(sets, "block").groupBy("left", "chunk")
     edges = materialize(grouped.applyInPandas(_verify_blocks(like, classes), "a long, b long"), "links")
 
     # components of texts, then of documents
