@@ -25,6 +25,8 @@ MOST_LANGS = 4  # languages in one document's set
 PENALTY = 3.0  # nats for each language and each doubling of the n-grams
 MAX_LANGUAGES = 512  # labels in a model: bounds what reaches the driver
 UNKNOWN = "und"
+SHRINK = 100  # n-grams as expected that are added to a text before its fit is judged
+SPREADS, LEAST_GAP = 10, 1.0  # how far below the labelled rows a text's fit is that of no language
 
 
 @dataclass
@@ -152,16 +154,42 @@ def infer(owner: np.ndarray, bucket: np.ndarray, texts: int, log_p: np.ndarray)
     return out
 
 
-def _predict_rows(langs: list[str], log_p):
+def usual_fit(log_p: np.ndarray) -> np.ndarray:
+    """Mean log-likelihood of an n-gram that each language draws."""
+    logs = log_p.astype(float)
+    return (np.exp(logs) * logs).sum(axis=0)
+
+
+def fitness(owner: np.ndarray, bucket: np.ndarray, p: np.ndarray, log_p: np.ndarray, usual: np.ndarray) -> np.ndarray:
+    """How much better a text's n-grams fit its proportions than texts drawn
+    from the model do, in nats an n-gram; SHRINK n-grams that fit as expected
+    are added, so a short text is near 0.  0 for texts without n-grams."""
+    out = np.zeros(len(p))
+    if not len(owner):
+        return out
+    want = (p * (usual + np.log(np.maximum(p, 1e-300)))).sum(axis=1)  # a text in parts: each part under its own share
+    key, n = np.unique(owner * BUCKETS + bucket, return_counts=True)
+    own, logs = key // BUCKETS, log_p[key % BUCKETS].astype(float)
+    top = logs.max(axis=1)
+    got = np.log(np.maximum((p[own] * np.exp(logs - top[:, None])).sum(axis=1), 1e-300)) + top
+    total = np.bincount(own, weights=n, minlength=len(p))
+    gain = np.bincount(own, weights=n * (got - want[own]), minlength=len(p))
+    return gain / (total + SHRINK)
+
+
+def _predict_rows(langs: list[str], log_p, fit: bool = False):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _letters()
+        usual = usual_fit(log_p.value) if fit else None
         for b in batches:
             data, off = K.utf8_column(b.column(0))
             letter = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            pred, score, mix = [], [], []
+            pred, score, mix, fits = [], [], [], []
             for i, j in K.chunks(off):
                 owner, bucket = grams(data[off[i]: off[j]], off[i: j + 1] - off[i], table)
                 p = infer(owner, bucket, j - i, log_p.value) if langs else np.zeros((j - i, 0))
+                if fit:
+                    fits.append(fitness(owner, bucket, p, log_p.value, usual) if langs else np.zeros(j - i))
                 for d in range(j - i):
                     if not langs or not letter[i + d] or not p[d].any():
                         pred.append(UNKNOWN)
@@ -174,14 +202,18 @@ def _predict_rows(langs: list[str], log_p):
                     mix.append([{"lang": langs[x], "share": float(p[d, x])} for x in np.argsort(-p[d], kind="stable") if p[d, x] > 0.005])
             kept = [b.column(k) for k in range(2, b.num_columns)]
             mixes = pa.array(mix, pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())])))
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(pred, pa.string()), pa.array(score, pa.float64()), mixes], names=[*b.schema.names[2:], "lang_pred", "score", "mixture"])
+            cols, names = [*kept, pa.array(pred, pa.string()), pa.array(score, pa.float64()), mixes], [*b.schema.names[2:], "lang_pred", "score", "mixture"]
+            if fit:
+                cols, names = [*cols, pa.array(np.concatenate([np.zeros(0), *fits]), pa.float64())], [*names, "__op_fit"]
+            yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return rows
 
 
-def predict(docs: DataFrame, model: LanguageModel, keep: list[str]) -> DataFrame:
+def predict(docs: DataFrame, model: LanguageModel, keep: list[str], fit: bool = False) -> DataFrame:
     """The ``keep`` columns of ``docs`` with lang_pred, score (the share of that
-    language) and mixture (all languages of the chosen set with their shares).
+    language) and mixture (all languages of the chosen set with their shares);
+    with ``fit`` also __op_fit, see ``fitness``.
 
     Only the text is used.  Null texts, texts without a letter and a model
     without languages: ``und`` with score 0.  Equal shares: the first language
@@ -189,9 +221,10 @@ def predict(docs: DataFrame, model: LanguageModel, keep: list[str]) -> DataFrame
     spark = docs.sparkSession
     kept = docs.select(*[F.col(c) for c in keep])
     rows = docs.select(F.col("text").cast("string").alias("__op_text"), F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False)).alias("__op_letter"), *[F.col(c) for c in keep])
-    schema = kept.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0), "mixture": F.lit(None).cast("array<struct<lang:string,share:double>>")}).schema
+    schema = kept.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0), "mixture": F.lit(None).cast("array<struct<lang:string,share:double>>")})
+    schema = (schema.withColumn("__op_fit", F.lit(0.0)) if fit else schema).schema
     sent = spark.sparkContext.broadcast(model.log_p)  # BUCKETS x MAX_LANGUAGES floats at most
-    return rows.mapInArrow(_predict_rows(model.langs, sent), schema)
+    return rows.mapInArrow(_predict_rows(model.langs, sent, fit), schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -204,12 +237,24 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(rows, model, ["doc_id", "held_out"])
 
 
-def reject_unknown(docs: DataFrame, least: float = 0.25) -> DataFrame:
-    """``docs`` without those whose language is unknown or whose main language
-    has less than ``least`` of the text."""
+def least_fit(docs: DataFrame, model: LanguageModel) -> float:
+    """The fit below which a text is in no language of ``model``: as far under
+    the median of all rows with a lang as SPREADS times their lower decile, or
+    LEAST_GAP nats if that is more.  Both bear some rows with wrong labels."""
+    found = predict(docs.where("lang IS NOT NULL"), model, [], fit=True).where(F.col("lang_pred") != UNKNOWN)
+    q = found.agg(F.percentile_approx("__op_fit", [0.5, 0.1], 10_000).alias("q")).first().q
+    return q[0] - max(LEAST_GAP, SPREADS * (q[0] - q[1])) if q else -np.inf
+
+
+def reject_unknown(docs: DataFrame, least: float = 0.3) -> DataFrame:
+    """``docs`` without those whose language is unknown, whose main language
+    has less than ``least`` of the text (over 1 / MOST_LANGS, as the shares of
+    a chosen set sum to 1), or that fit none of the learned languages: their
+    n-grams are far less likely than those of the labelled rows."""
     model = train(docs.where(~held_out(F.col("doc_id"))))
-    found = predict(docs, model, docs.columns)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*docs.columns)
+    found = predict(docs, model, docs.columns, fit=True)
+    known = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least) & (F.col("__op_fit") >= F.lit(float(least_fit(docs, model))))
+    return found.where(known).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,3 +69,28 @@ def test_edges(spark):
     assert [r.held_out for r in nulls if r.doc_id is None] == [False, False]
     kept = L.reject_unknown(df)
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {i for i, t in enumerate(texts) if any(c.isalpha() for c in t or "")}
+
+
+def test_rejects_texts_of_no_learned_language(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = np.random.default_rng(5)
+    junk = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz    "), 400)) for _ in range(20)]
+    by = {}
+    for r in df.where("doc_id >= 0").orderBy("doc_id").collect():
+        if len(r.text) >= 1000:
+            by.setdefault(r.lang, []).append(r.text)
+    even = [" ".join(by[x][k][:1000] for x in sorted(by)) for k in range(20)]
+    both = [by["en"][k][:1000] + " " + by["de"][k][:1000] for k in range(20)]
+
+    def table(first, texts, lang):
+        rows = spark.createDataFrame([(first + i, t, lang, "s0", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+        return rows.select(*df.columns)
+
+    planted = df.unionByName(table(10**6, junk, None)).unionByName(table(2 * 10**6, junk, "en")).unionByName(table(3 * 10**6, even, None)).unionByName(table(4 * 10**6, both, None))
+    kept = [r.doc_id // 10**6 for r in L.reject_unknown(planted).collect()]
+    # gibberish goes, labelled or not, and so do most texts in four even parts; two languages and all documents stay
+    assert [kept.count(k) for k in (0, 1, 2, 4)] == [df.count(), 0, 0, 20] and kept.count(3) < 10
+    # a language without labels is not learned
+    es = df.withColumn("lang", L.F.when(L.F.col("lang") != "es", L.F.col("lang")))
+    left = [r.lang for r in L.reject_unknown(es).collect()]
+    assert left.count(None) <= 0.2 * df.where("lang = 'es'").count() and len(left) - left.count(None) >= 0.995 * df.where("lang != 'es'").count()
