@@ -26,7 +26,7 @@ from .util import app_scratch_dir
 WINDOW = 13
 SEGMENT_BYTES = 16 << 20  # text in one segment (one longer text is a segment)
 BLOCK_WORDS = 200_000  # benchmark words that are searched in one pass
-INDEX_SCHEMA = "segment long, token long, n int, first int, width int, gaps binary, doc_ids array<long>, starts array<int>, n_words array<int>"
+INDEX_SCHEMA = "segment long, token long, n int, first int, width int, gaps binary, doc_ids array<long>, starts array<int>, n_words array<int>, text_hashes array<long>"
 MATCH_SCHEMA = "segment long, ordinal int, doc_id long, item_id string, first_word int, n_words int"
 MATCH_ARROW = pa.schema([("segment", pa.int64()), ("ordinal", pa.int32()), ("doc_id", pa.int64()), ("item_id", pa.string()), ("first_word", pa.int32()), ("n_words", pa.int32())])
 
@@ -53,11 +53,11 @@ def _posting_batches(segment: int, tok: np.ndarray, pos: np.ndarray) -> Iterator
         none = pa.nulls(m, pa.list_(pa.int64()))
         none32 = pa.nulls(m, pa.list_(pa.int32()))
         cols = [pa.array(np.full(m, segment)), pa.array(tok[head[pick]].view(np.int64)), pa.array(n.astype(np.int32)), pa.array(pos[head[pick]].astype(np.int32)),
-                pa.array(np.full(m, width, dtype=np.int32)), gaps, none, none32, none32]
-        yield pa.RecordBatch.from_arrays(cols, names=["segment", "token", "n", "first", "width", "gaps", "doc_ids", "starts", "n_words"])
+                pa.array(np.full(m, width, dtype=np.int32)), gaps, none, none32, none32, none]
+        yield pa.RecordBatch.from_arrays(cols, names=["segment", "token", "n", "first", "width", "gaps", "doc_ids", "starts", "n_words", "text_hashes"])
 
 
-def _segment_batches(segment: int, ids: list, words: list[np.ndarray], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _segment_batches(segment: int, ids: list, hashes: list, words: list[np.ndarray], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
     starts = np.zeros(len(counts), dtype=np.int64)
     np.cumsum(counts[:-1] + 1, out=starts[1:])  # an empty place ends each text, so no phrase crosses it
     tok = np.concatenate(words) if words else np.zeros(0, dtype=np.uint64)
@@ -65,8 +65,8 @@ def _segment_batches(segment: int, ids: list, words: list[np.ndarray], counts: n
         pos = np.arange(len(tok), dtype=np.int64) + np.repeat(np.arange(len(counts)), counts)
         yield from _posting_batches(segment, tok, pos.astype(np.int32))
     one = [pa.array([segment]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()),
-           pa.array([ids], pa.list_(pa.int64())), pa.array([starts.astype(np.int32)], pa.list_(pa.int32())), pa.array([counts.astype(np.int32)], pa.list_(pa.int32()))]
-    yield pa.RecordBatch.from_arrays(one, names=["segment", "token", "n", "first", "width", "gaps", "doc_ids", "starts", "n_words"])
+           pa.array([ids], pa.list_(pa.int64())), pa.array([starts.astype(np.int32)], pa.list_(pa.int32())), pa.array([counts.astype(np.int32)], pa.list_(pa.int32())), pa.array([hashes], pa.list_(pa.int64()))]
+    yield pa.RecordBatch.from_arrays(one, names=["segment", "token", "n", "first", "width", "gaps", "doc_ids", "starts", "n_words", "text_hashes"])
 
 
 def hash_words(texts: pa.Array, table: np.ndarray, values: np.ndarray, powers: K.Powers) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -81,19 +81,20 @@ def hash_words(texts: pa.Array, table: np.ndarray, values: np.ndarray, powers: K
 def _index_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table, values, powers = K.letter_digit_words(), K.byte_values(), K.Powers()
     part = TaskContext.get().partitionId() << 24
-    seq, ids, words, counts, size = 0, [], [], [], 0
+    seq, ids, hashes, words, counts, size = 0, [], [], [], [], 0
     for b in batches:
-        doc_ids = b.column(0).to_pylist()
+        doc_ids, text_hashes = b.column(0).to_pylist(), b.column(2).to_pylist()
         for i, j, h, n in hash_words(b.column(1), table, values, powers):
             ids += doc_ids[i:j]
+            hashes += text_hashes[i:j]
             words.append(h)
             counts.append(n)
             size += 8 * len(h)
             if size >= SEGMENT_BYTES * 4 // 3:  # about six bytes of text a word
-                yield from _segment_batches(part + seq, ids, words, np.concatenate(counts))
-                seq, ids, words, counts, size = seq + 1, [], [], [], 0
+                yield from _segment_batches(part + seq, ids, hashes, words, np.concatenate(counts))
+                seq, ids, hashes, words, counts, size = seq + 1, [], [], [], [], 0
     if ids:
-        yield from _segment_batches(part + seq, ids, words, np.concatenate(counts))
+        yield from _segment_batches(part + seq, ids, hashes, words, np.concatenate(counts))
 
 
 def build_index(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -102,7 +103,8 @@ def build_index(docs: DataFrame, path: str | None = None) -> DataFrame:
     No shuffle: each task writes segments of its own documents."""
     spark = docs.sparkSession
     path = path or f"{app_scratch_dir(spark)}/token-index-{uuid.uuid4().hex[:12]}"
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_index_rows, INDEX_SCHEMA)
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash")).mapInArrow(_index_rows, INDEX_SCHEMA)
     rows.write.parquet(path)
     return spark.read.schema(INDEX_SCHEMA).parquet(path)
 
@@ -219,15 +221,15 @@ def search(index: DataFrame, items: DataFrame, window: int = WINDOW, slop: int =
 
 
 def directory(index: DataFrame) -> DataFrame:
-    """(segment, ordinal, doc_id, n_words): one row for each indexed document."""
-    rows = index.where("token IS NULL").select("segment", F.posexplode(F.arrays_zip("doc_ids", "n_words")).alias("ordinal", "d"))
-    return rows.select("segment", "ordinal", F.col("d.doc_ids").alias("doc_id"), F.col("d.n_words").cast("long").alias("n_words"))
+    """(segment, ordinal, doc_id, text_hash, n_words): one row for each indexed document."""
+    rows = index.where("token IS NULL").select("segment", F.posexplode(F.arrays_zip("doc_ids", "text_hashes", "n_words")).alias("ordinal", "d"))
+    return rows.select("segment", "ordinal", F.col("d.doc_ids").alias("doc_id"), F.col("d.text_hashes").alias("text_hash"), F.col("d.n_words").cast("long").alias("n_words"))
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, share: int = 20, block_words: int = BLOCK_WORDS) -> DataFrame:
     """A row for each document: n_words, n_hit (words inside an occurrence of
-    any window), items and n_items, items_sha256 and contaminated (n_hit > 0
-    and ``share`` * n_hit >= n_words).
+    any window), items and n_items, items_sha256, contaminated (n_hit > 0 and
+    ``share`` * n_hit >= n_words) and text_hash, the text's xxhash64.
 
     Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z.  Null
     or empty text: no words, not contaminated.  Null doc_id: kept.  Repeated
@@ -246,16 +248,17 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, share
     items_ = F.coalesce(F.col("items"), F.array().cast("array<string>"))
     n_hit = F.coalesce(F.col("n_hit"), F.lit(0).cast("long"))
     return out.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size(items_).cast("long").alias("n_items"), F.sha2(F.array_join(items_, ",").cast("binary"), 256).alias("items_sha256"),
-                      ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated"), items_.alias("items"))
+                      ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated"), items_.alias("items"), "text_hash")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the contaminated documents.
 
-    Rows of one doc_id share a fate: a contaminated one removes them all.  A
-    row without doc_id goes if any such row is contaminated."""
-    bad = contamination(docs, items).where("contaminated").select(F.col("doc_id").alias("__op_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("__op_bad")), "left_anti")
+    Each row goes or stays by its own text: clean rows stay, whatever rows
+    share their doc_id or lack one too."""
+    bad = contamination(docs, items).where("contaminated").select(F.col("doc_id").alias("__op_bad"), F.col("text_hash").alias("__op_hash")).distinct()
+    same_text = F.xxhash64(F.col("text").cast("string")) == F.col("__op_hash")
+    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("__op_bad")) & same_text, "left_anti")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

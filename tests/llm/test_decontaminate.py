@@ -56,6 +56,13 @@ def test_edges(spark, monkeypatch):
     assert {r.doc_id for r in kept.collect()} == {d for d, _ in rows} - bad
 
 
+def test_clean_rows_stay_beside_contaminated_ones_of_their_id(spark):
+    rows = [(None, "one TWO three"), (None, "clean words here"), (None, None), (4, "one two three four"), (4, "more clean words"), (4, "more clean words"), (5, "word word"), (5, "word word"), (6, "")]
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    kept = sorted(((r.doc_id, r.text) for r in D.drop_contaminated(docs(spark, rows), items).collect()), key=repr)
+    assert kept == sorted([(None, "clean words here"), (None, None), (4, "more clean words"), (4, "more clean words"), (6, "")], key=repr)
+
+
 def test_no_phrase_crosses_documents_or_segments(spark, monkeypatch):
     rows = [(i, t) for i, t in enumerate(["one two", "three", "one", "two three", "one two three"])]
     items = spark.createDataFrame(ITEMS[:1], "item_id long, text string")
