@@ -327,7 +327,8 @@ def _identify(docs: DataFrame, like: Likeness) -> tuple[DataFrame, int]:
 
 def jaccard_components(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     """A row for each document: doc_id, text_hash, n_shingles and component_id,
-    the smallest doc_id that is reachable by links (itself included).
+    the smallest doc_id that is reachable by links (itself included); and label,
+    a number that all rows of a component share, even without any doc_id.
 
     A document's set has its distinct ``like.n``-word shingles (words
     ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z), or its whole word sequence
@@ -392,18 +393,21 @@ def jaccard_components(docs: DataFrame, like: Likeness = Likeness()) -> DataFram
     labels = components(edges)
     named = least.join(labels, least.key == labels.node, "left").select("key", "least_id", F.coalesce("label", "key").alias("label"))
     tops = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    by_key = named.join(tops, "label").select(F.col("key").alias("_key"), "component_id")
+    by_key = named.join(tops, "label").select(F.col("key").alias("_key"), "component_id", "label")
     out = base.join(by_key, base.key == by_key._key, "left")
-    return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "label")
 
 
 def keep_one(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
-    """``docs`` with the smallest doc_id of each component; rows that repeat it go.
+    """``docs`` with one row of each component: of its smallest doc_id (none, if
+    no row has one), and of the least text hash where that id repeats.
 
     Texts without words are linked with nothing and stay."""
     found = jaccard_components(docs, like)
-    stay = found.where("component_id <=> doc_id").groupBy(F.col("doc_id").alias("__op_id"), F.col("text_hash").alias("__op_hash")).agg(F.max("n_shingles").alias("__op_n"), F.count("*").alias("__op_rows"))
-    # one text for a component whose smallest doc_id repeats
+    copies = found.groupBy("label", "doc_id", "text_hash").agg(F.max("n_shingles").alias("n"), F.count("*").alias("rows"))
+    alone = [F.when(F.col("label").isNull(), F.col(c)) for c in ("doc_id", "text_hash")]
+    first = copies.groupBy("label", *[c.alias(f"alone{k}") for k, c in enumerate(alone)]).agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "n", "rows")).alias("d"))
+    stay = first.select(F.col("d.doc_id").alias("__op_id"), F.col("d.text_hash").alias("__op_hash"), F.col("d.n").alias("__op_n"), F.col("d.rows").alias("__op_rows"))
     kept = docs.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("__op_id")) & F.xxhash64("text").eqNullSafe(F.col("__op_hash")))
     once, many = kept.where("__op_rows = 1 OR __op_n = 0"), kept.where("__op_rows > 1 AND __op_n > 0")
     return once.unionByName(many.dropDuplicates(["__op_id", "__op_hash"])).select(*docs.columns)

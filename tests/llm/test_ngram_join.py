@@ -86,6 +86,14 @@ def test_edges(spark):
     assert {100, 101, 102} <= {r.doc_id for r in kept} and {104} == {104, 105, 106} & {r.doc_id for r in kept}
 
 
+def test_keeps_one_row_of_each_group_without_or_with_repeated_ids(spark):
+    a, b, c = [" ".join(f"{x}{i}" for i in range(60)) for x in "abc"]
+    rows = [(None, a), (None, a + " more"), (None, a), (5, b), (5, b + " more"), (5, b), (None, b), (6, b), (7, c), (None, c + " more"), (None, None), (None, ""), (None, "")]
+    kept = N.keep_one(docs(spark, rows)).collect()
+    assert sorted(((r.text or "-")[0], r.doc_id is None) for r in kept) == [("-", True)] * 3 + [("a", True), ("b", False), ("c", False)]
+    assert {r.doc_id for r in kept} == {None, 5, 7}
+
+
 def test_components_of_a_path(spark):
     edges = spark.range(200).select((F.col("id") * 7 % 201).alias("a"), ((F.col("id") + 1) * 7 % 201).alias("b"))
     assert {r.label for r in N.components(edges).collect()} == {0}
