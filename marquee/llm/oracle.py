@@ -83,9 +83,70 @@ SELECT p.page_id, CAST(octet_length(encode(p.html)) AS BIGINT) AS payload_bytes,
        CASE WHEN p.page_id IS DISTINCT FROM m THEN m END AS refers_to, true AS digest_ok
 FROM p JOIN last ON p.h = last.h"""
 
+CENTROIDS = f"""
+WITH kept AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v FROM kept
+  QUALIFY row_number() OVER (ORDER BY sha256('1:' || vec_id), v) <= 16),
+{"".join(f"""
+a{i} AS (
+  SELECT vec_id, v, c, d FROM (
+    SELECT k.vec_id, k.v, m.c, list_sum(list_transform(list_zip(k.v, m.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d, k.rowid AS r
+    FROM (SELECT *, row_number() OVER () AS rowid FROM kept) k, c{i} m)
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1),
+s{i + 1} AS (
+  SELECT c, list(q ORDER BY p) AS v FROM (
+    SELECT c, p, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS q
+    FROM (SELECT c, unnest(v) AS x, unnest(range(64)) AS p FROM a{i}) GROUP BY c, p) GROUP BY c),
+c{i + 1} AS (SELECT c{i}.c, coalesce(s.v, c{i}.v) AS v FROM c{i} LEFT JOIN s{i + 1} s ON s.c = c{i}.c),""" for i in range(3))}
+last AS (
+  SELECT vec_id, c, d FROM (
+    SELECT k.vec_id, m.c, list_sum(list_transform(list_zip(k.v, m.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d, k.rowid AS r
+    FROM (SELECT *, row_number() OVER () AS rowid FROM kept) k, c3 m)
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)
+SELECT vec_id, CAST(l.c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY l.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m.v, ',')) AS centroid_sha256
+FROM last l JOIN c3 m ON m.c = l.c"""
+
+FILTER_AUDIT = """
+WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS x FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda y: y <> '') AS w FROM t),
+f AS (
+  SELECT doc_id, part,
+         CASE WHEN len(w) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * len(regexp_replace(x, '[^A-Z]+', '', 'g')) > 2 * len(x) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(x, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY x) THEN 'E' ELSE '' END AS fails FROM w),
+marks AS (SELECT doc_id, bool_or(quality = 1) AS q, bool_or(toxic = 1) AS x FROM labels GROUP BY doc_id),
+cells AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE q) AS good, count(*) FILTER (WHERE x) AS toxic
+  FROM f LEFT JOIN marks ON marks.doc_id = f.doc_id GROUP BY part, fails),
+letters(l) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+steps AS (SELECT o, CAST(s AS INTEGER) AS step, o[s] AS l, o[1 : s - 1] AS before FROM orders, range(1, 6) r(s)),
+told AS (
+  SELECT part, o, step, l,
+         sum(CASE WHEN translate(fails, before || l, '') = fails THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN contains(fails, l) AND translate(fails, before, '') = fails THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN contains(fails, l) AND translate(fails, before, '') <> fails THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails = l THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN contains(fails, l) AND translate(fails, before, '') = fails THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN contains(fails, l) AND translate(fails, before, '') = fails THEN toxic ELSE 0 END) AS toxic_lost
+  FROM cells, steps GROUP BY part, o, step, l)
+SELECT part, o AS filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, l) AS BIGINT) AS shapley
+FROM told"""
+
 ORACLE = {
     "op1_url_filter": URL_FILTER,
     "op4_ngram_jaccard": NGRAM_JACCARD,
     "op5_warc": WARC,
     "op10_decontaminate": DECONTAMINATE,
+    "op11_centroids": CENTROIDS,
+    "op13_filter_audit": FILTER_AUDIT,
 }

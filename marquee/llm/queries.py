@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, language_id, mixing, ngram_join, pii, sharding, token_counts, url_filter, warc
+from . import bpe, centroids, decontaminate, filter_audit, fingerprint, language_id, mixing, ngram_join, pii, sharding, token_counts, url_filter, warc
 from .util import table
 
 
@@ -57,6 +57,19 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.query(spark, sf_dir)
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.query(spark, sf_dir)
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.query(spark, sf_dir)
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.query(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_fingerprints, op4_ngram_jaccard, op5_warc, op6_temperature_mix, op7_language_id, op8_histogram_sort, op9_pii, op10_decontaminate)
+    f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_fingerprints, op4_ngram_jaccard, op5_warc, op6_temperature_mix, op7_language_id, op8_histogram_sort, op9_pii, op10_decontaminate,
+                              op11_centroids, op12_bpe, op13_filter_audit)
 }
