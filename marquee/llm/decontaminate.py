@@ -24,21 +24,33 @@ from . import kernels as K
 from .util import app_scratch_dir
 
 WINDOW = 13
-SEGMENT_BYTES = 16 << 20  # text in one segment (one longer text is a segment)
+SEGMENT_WORDS = 1 << 19  # words in one segment, about 3 MB of text (one longer text is a segment)
+ROW_GROUP = 8 << 20  # bytes that the index writer holds
 BLOCK_WORDS = 200_000  # benchmark words that are searched in one pass
 INDEX_SCHEMA = "segment long, token long, n int, first int, width int, gaps binary, doc_ids array<long>, starts array<int>, n_words array<int>, text_hashes array<long>"
 MATCH_SCHEMA = "segment long, ordinal int, doc_id long, item_id string, first_word int, n_words int"
 MATCH_ARROW = pa.schema([("segment", pa.int64()), ("ordinal", pa.int32()), ("doc_id", pa.int64()), ("item_id", pa.string()), ("first_word", pa.int32()), ("n_words", pa.int32())])
 
 
-def _posting_batches(segment: int, tok: np.ndarray, pos: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows of all tokens: first position, then gaps in 2 or 4 bytes each."""
-    order = np.argsort(tok, kind="stable")
-    tok, pos = tok[order], pos[order]
+COLUMNS = [x.split()[0] for x in INDEX_SCHEMA.split(", ")]
+
+
+def _posting_batches(segment: int, tok: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows of all tokens: first position, then gaps in 2 or 4 bytes each.
+
+    Positions are 32-bit; an empty place ends each text, so no phrase crosses it."""
+    order = np.argsort(tok, kind="stable").astype(np.int32)
+    tok = tok[order]
+    pos = np.repeat(np.arange(len(counts), dtype=np.int32), counts)[order]
+    pos += order
+    del order
     head = np.flatnonzero(np.r_[True, tok[1:] != tok[:-1]])
     count = np.diff(np.r_[head, len(tok)])
+    token, first = tok[head].view(np.int64), pos[head]
+    del tok
     gap = np.zeros(len(pos), dtype=np.uint32)
-    gap[1:] = (pos[1:] - pos[:-1]).astype(np.uint32)  # wraps at list heads, which are cleared
+    gap[1:] = pos[1:] - pos[:-1]  # wraps at list heads, which are cleared
+    del pos
     gap[head] = 0
     wide = np.maximum.reduceat(gap, head) > 0xFFFF
     for width, kind, pick in ((2, np.uint16, ~wide), (4, np.uint32, wide)):
@@ -50,29 +62,28 @@ def _posting_batches(segment: int, tok: np.ndarray, pos: np.ndarray) -> Iterator
         np.cumsum(n * width, out=off[1:])
         m = len(n)
         gaps = pa.Array.from_buffers(pa.binary(), m, [None, pa.py_buffer(off), pa.py_buffer(data)])
-        none = pa.nulls(m, pa.list_(pa.int64()))
-        none32 = pa.nulls(m, pa.list_(pa.int32()))
-        cols = [pa.array(np.full(m, segment)), pa.array(tok[head[pick]].view(np.int64)), pa.array(n.astype(np.int32)), pa.array(pos[head[pick]].astype(np.int32)),
+        none, none32 = pa.nulls(m, pa.list_(pa.int64())), pa.nulls(m, pa.list_(pa.int32()))
+        cols = [pa.array(np.full(m, segment)), pa.array(token[pick]), pa.array(n.astype(np.int32)), pa.array(first[pick]),
                 pa.array(np.full(m, width, dtype=np.int32)), gaps, none, none32, none32, none]
-        yield pa.RecordBatch.from_arrays(cols, names=["segment", "token", "n", "first", "width", "gaps", "doc_ids", "starts", "n_words", "text_hashes"])
+        yield pa.RecordBatch.from_arrays(cols, names=COLUMNS)
 
 
 def _segment_batches(segment: int, ids: list, hashes: list, words: list[np.ndarray], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
     starts = np.zeros(len(counts), dtype=np.int64)
-    np.cumsum(counts[:-1] + 1, out=starts[1:])  # an empty place ends each text, so no phrase crosses it
+    np.cumsum(counts[:-1] + 1, out=starts[1:])
     tok = np.concatenate(words) if words else np.zeros(0, dtype=np.uint64)
+    words.clear()
     if len(tok):
-        pos = np.arange(len(tok), dtype=np.int64) + np.repeat(np.arange(len(counts)), counts)
-        yield from _posting_batches(segment, tok, pos.astype(np.int32))
+        yield from _posting_batches(segment, tok, counts)
     one = [pa.array([segment]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()),
            pa.array([ids], pa.list_(pa.int64())), pa.array([starts.astype(np.int32)], pa.list_(pa.int32())), pa.array([counts.astype(np.int32)], pa.list_(pa.int32())), pa.array([hashes], pa.list_(pa.int64()))]
-    yield pa.RecordBatch.from_arrays(one, names=["segment", "token", "n", "first", "width", "gaps", "doc_ids", "starts", "n_words", "text_hashes"])
+    yield pa.RecordBatch.from_arrays(one, names=COLUMNS)
 
 
 def hash_words(texts: pa.Array, table: np.ndarray, values: np.ndarray, powers: K.Powers) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first text, end, word hashes, words of each text) for chunks of texts."""
     data, off = K.utf8_column(texts)
-    for i, j in K.chunks(off):
+    for i, j in K.chunks(off, K.CHUNK_BYTES // 2):
         part, o = data[off[i]: off[j]], off[i: j + 1] - off[i]
         s, e, first = K.word_bounds(part, o, table)
         yield i, j, K.span_hashes(part, s, e, values, powers), np.diff(first)
@@ -89,8 +100,8 @@ def _index_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             hashes += text_hashes[i:j]
             words.append(h)
             counts.append(n)
-            size += 8 * len(h)
-            if size >= SEGMENT_BYTES * 4 // 3:  # about six bytes of text a word
+            size += len(h)
+            if size >= SEGMENT_WORDS:
                 yield from _segment_batches(part + seq, ids, hashes, words, np.concatenate(counts))
                 seq, ids, hashes, words, counts, size = seq + 1, [], [], [], [], 0
     if ids:
@@ -105,7 +116,7 @@ def build_index(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or f"{app_scratch_dir(spark)}/token-index-{uuid.uuid4().hex[:12]}"
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash")).mapInArrow(_index_rows, INDEX_SCHEMA)
-    rows.write.parquet(path)
+    rows.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return spark.read.schema(INDEX_SCHEMA).parquet(path)
 
 
@@ -125,6 +136,17 @@ class Phrases:
     def tokens(self) -> set[int]:
         return {x for w in self.windows for x in w}
 
+    def by_rarest(self) -> dict[int, list[tuple[tuple[int, ...], set[str]]]]:
+        """The windows under the term that the fewest of them have."""
+        held: dict[int, int] = {}
+        for w in self.windows:
+            for x in set(w):
+                held[x] = held.get(x, 0) + 1
+        out: dict[int, list] = {}
+        for w, items in self.windows.items():
+            out.setdefault(min(w, key=lambda x: (held[x], x)), []).append((w, items))
+        return out
+
 
 def phrase_blocks(items: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> Iterator[Phrases]:
     """The items' windows in blocks of bounded size; the driver holds one."""
@@ -171,7 +193,7 @@ def _near(lists: list[np.ndarray], offs: list[int], slop: int, starts: np.ndarra
     return np.unique(at)
 
 
-def _search_segment(rows: pa.Table, windows: dict[tuple[int, ...], set[str]], slop: int) -> pa.Table:
+def _search_segment(rows: pa.Table, windows: dict[int, list[tuple[tuple[int, ...], set[str]]]], slop: int) -> pa.Table:
     where = rows.filter(pc.is_null(rows["token"])).slice(0, 1)
     segment, ids = where["segment"][0].as_py(), where["doc_ids"][0].as_py()
     starts = np.array(where["starts"][0].as_py(), dtype=np.int64)
@@ -181,7 +203,7 @@ def _search_segment(rows: pa.Table, windows: dict[tuple[int, ...], set[str]], sl
     for token, first, width, gaps in zip(*terms.values(), strict=True):
         lists[token] = np.cumsum(np.frombuffer(gaps, dtype=np.uint16 if width == 2 else np.uint32), dtype=np.int64) + first
     found: dict[str, list[tuple[np.ndarray, int]]] = {}
-    for w, items in windows.items():
+    for w, items in (x for t in lists if t in windows for x in windows[t]):
         if all(t in lists for t in w) and len(at := _near([lists[t] for t in w], list(range(len(w))), slop, starts)):
             for item in items:
                 found.setdefault(item, []).append((at, len(w)))
@@ -211,7 +233,7 @@ def search(index: DataFrame, items: DataFrame, window: int = WINDOW, slop: int =
     spark = index.sparkSession
     out = None
     for block in phrase_blocks(items, window, block_words):
-        sent = spark.sparkContext.broadcast(block.windows)  # at most block_words of them
+        sent = spark.sparkContext.broadcast(block.by_rarest())  # at most block_words of them
         terms = spark.createDataFrame([(t,) for t in block.tokens()], "token long")
         rows = index.join(F.broadcast(terms), "token", "left_semi").unionByName(index.where("token IS NULL"))
         rows = rows.select("segment", "token", "first", "width", "gaps", "doc_ids", "starts", "n_words")
@@ -252,7 +274,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, share
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the contaminated documents.
+    """``docs`` without the contaminated documents.  Edges: as in ``contamination``;
+    all columns stay as they are, null and empty texts stay.
 
     Each row goes or stays by its own text: clean rows stay, whatever rows
     share their doc_id or lack one too."""
