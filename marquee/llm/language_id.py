@@ -17,13 +17,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
+from .util import materialize
 
 BUCKETS = 1 << 15  # hashed n-grams
 GRAM = 3  # bytes, with word ends as one space
 ROUNDS = 12  # EM rounds
-MOST_LANGS = 4  # languages in one document's set
 PENALTY = 3.0  # nats for each language and each doubling of the n-grams
-MAX_LANGUAGES = 512  # labels in a model: bounds what reaches the driver
+MODEL_BYTES = 256 << 20  # a model that is larger (2048 labels) is refused before anything is collected
+CHUNK_BYTES = 1 << 19  # text in one inference, less by as much as there are more than 4 languages
 UNKNOWN = "und"
 SHRINK = 100  # n-grams as expected that are added to a text before its fit is judged
 SPREADS, LEAST_GAP = 10, 1.0  # how far below the labelled rows a text's fit is that of no language
@@ -70,37 +71,77 @@ def grams(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.
     return owner, (h >> np.uint32(17)).astype(np.int64)
 
 
+def counted_grams(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, bucket, times) of the distinct n-grams of each text, in text order.
+
+    A text longer than CHUNK_BYTES is counted piece by piece."""
+    if len(offsets) == 2 and len(data) > CHUNK_BYTES:
+        total = np.zeros(BUCKETS, dtype=np.int64)
+        for a in range(0, len(data), CHUNK_BYTES):
+            lo, hi = max(0, a - 1), min(len(data), a + CHUNK_BYTES + 1)
+            inner = table[data[lo:hi]]
+            bucket = grams(data[lo:hi], np.array([0, hi - lo]), table)[1]
+            # the neighbours of a piece only give context: their own n-grams are counted in theirs
+            skip_first = int(lo < a and inner[0] != 0)
+            skip_last = int(hi > a + CHUNK_BYTES and inner[-1] != 0)
+            total += np.bincount(bucket[skip_first: len(bucket) - skip_last], minlength=BUCKETS)
+        bucket = np.flatnonzero(total)
+        return np.zeros(len(bucket), dtype=np.int64), bucket, total[bucket]
+    owner, bucket = grams(data, offsets, table)
+    key, n = np.unique(owner * BUCKETS + bucket, return_counts=True)
+    return key // BUCKETS, key % BUCKETS, n
+
+
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table, total = _letters(), {}
     for b in batches:
         langs = b.column(1).to_pylist()
         data, off = K.utf8_column(b.column(0))
-        for i, j in K.chunks(off):
-            owner, bucket = grams(data[off[i]: off[j]], off[i: j + 1] - off[i], table)
-            names = sorted(set(langs[i:j]))
-            code = np.array([names.index(x) for x in langs[i:j]])
-            got = np.bincount(code[owner] * BUCKETS + bucket, minlength=len(names) * BUCKETS).reshape(-1, BUCKETS)
-            for k, x in enumerate(names):
-                total[x] = total.get(x, 0) + got[k]
+        for i, j in K.chunks(off, CHUNK_BYTES):
+            owner, bucket, n = counted_grams(data[off[i]: off[j]], off[i: j + 1] - off[i], table)
+            for x in set(langs[i:j]):
+                mine = np.array([y == x for y in langs[i:j]])[owner]
+                if x not in total:
+                    total[x] = np.zeros(BUCKETS, dtype=np.int64)
+                np.add.at(total[x], bucket[mine], n[mine])
+        if len(total) > 64:  # many labels: what a task holds stays small
+            yield from _flush(total)
+    yield from _flush(total)
+
+
+def _flush(total: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
     for x, counts in total.items():
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array([x] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(counts[at])], names=["lang", "bucket", "n"])
+    total.clear()
 
 
 def train(labelled: DataFrame) -> LanguageModel:
-    """Count n-grams over all rows with text and lang; BUCKETS counts of each of
-    at most MAX_LANGUAGES languages reach the driver (more raise an error)."""
+    """Count n-grams over all rows with text and lang.
+
+    The labels are counted first: a model of more than MODEL_BYTES is an error
+    that says how many there are.  Then BUCKETS counts of each, at most, are
+    read a partition at a time into the model's array.
+
+    Null text or lang: not used.  Repeated rows count each.  Very long texts:
+    counted whole, in pieces.  No usable rows: a model without languages.
+    Other columns are not read."""
     rows = labelled.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    counts = rows.mapInArrow(_count_rows, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    got = counts.toPandas()
-    langs = sorted(got["lang"].unique())
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"{len(langs)} languages; a model holds {MAX_LANGUAGES}")
-    table = np.zeros((BUCKETS, max(1, len(langs))))
+    most = MODEL_BYTES // (4 * BUCKETS)
+    labels = labelled.select(F.col("lang").cast("string").alias("lang")).where("lang IS NOT NULL").distinct().limit(most + 1).collect()
+    if len(labels) > most:
+        raise ValueError(f"more than {most} languages; a model of {MODEL_BYTES >> 20} MB holds no more")
+    langs = sorted(r.lang for r in labels)
     code = {x: k for k, x in enumerate(langs)}
-    np.add.at(table, (got["bucket"].to_numpy(dtype=np.int64), got["lang"].map(code).to_numpy(dtype=np.int64) if len(got) else np.zeros(0, dtype=np.int64)), got["n"].to_numpy(dtype=float))
-    smooth = table + 0.1
-    return LanguageModel(langs, np.log(smooth / smooth.sum(axis=0)).astype(np.float32))
+    table = np.full((BUCKETS, max(1, len(langs))), 0.1, dtype=np.float32 if len(langs) > 64 else np.float64)
+    total = rows.mapInArrow(_count_rows, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    seen = set()
+    for r in total.toLocalIterator():
+        table[r.bucket, code[r.lang]] += r.n
+        seen.add(r.lang)
+    known = [k for k, x in enumerate(langs) if x in seen]  # a label whose texts have no letter teaches nothing
+    table = table[:, known] if known else table[:, :1]
+    return LanguageModel([langs[k] for k in known], np.log(table / table.sum(axis=0)).astype(np.float32))
 
 
 def _em(p: np.ndarray, like: np.ndarray, n: np.ndarray, first: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,41 +156,40 @@ def _em(p: np.ndarray, like: np.ndarray, n: np.ndarray, first: np.ndarray, row:
     return p, np.add.reduceat(n * np.log(r), first)
 
 
-def infer(owner: np.ndarray, bucket: np.ndarray, texts: int, log_p: np.ndarray) -> np.ndarray:
-    """Proportions (texts x languages): the set of languages with the least
-    penalised likelihood among the likeliest 1, 2, ... of each text; 0 outside."""
+def infer(own: np.ndarray, bucket: np.ndarray, times: np.ndarray, texts: int, log_p: np.ndarray) -> np.ndarray:
+    """Proportions (texts x languages) from counted n-grams: the set of languages with
+    the least penalised likelihood among the likeliest 1, 2, ... of each text; 0 outside."""
     langs = log_p.shape[1]
     out = np.zeros((texts, langs))
-    if not len(owner):
+    if not len(own):
         return out
-    key, n = np.unique(owner * BUCKETS + bucket, return_counts=True)
-    own, n = key // BUCKETS, n.astype(float)
+    n = times.astype(float)
     first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
     who = own[first]
     row = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(own)]))
-    logs = log_p[key % BUCKETS].astype(float)
-    top = logs.max(axis=1, keepdims=True)
-    like = np.exp(logs - top)
+    like = log_p[bucket].astype(float)
+    like -= like.max(axis=1, keepdims=True)
+    np.exp(like, out=like)
     full, most = _em(np.full((len(first), langs), 1.0 / langs), like, n, first, row)
     order = np.argsort(-full, axis=1, kind="stable")
     penalty = PENALTY * np.log2(2 + np.add.reduceat(n, first))
     best_p = np.zeros((len(first), langs))
     np.put_along_axis(best_p, order[:, :1], 1.0, axis=1)
     cost = -np.add.reduceat(n * np.log(np.maximum((best_p[row] * like).sum(axis=1), 1e-300)), first)
-    # no set of languages fits better than all together, so one is best unless that gain pays the penalty
-    mixed = np.flatnonzero(cost + most > penalty)
-    if len(mixed):
-        part = np.isin(row, mixed)
-        sub_n, sub_like = n[part], like[part]
-        sub_row = np.searchsorted(mixed, row[part])
+    for k in range(2, langs + 1):
+        # no set of languages fits better than all together: k of them can only win if that gain pays their penalty
+        open_ = np.flatnonzero(cost + most > penalty * (k - 1))
+        if not len(open_):
+            break
+        part = np.isin(row, open_)
+        sub_row = np.searchsorted(open_, row[part])
         sub_first = np.flatnonzero(np.r_[True, sub_row[1:] != sub_row[:-1]])
-        for k in range(2, min(langs, MOST_LANGS) + 1):
-            start = np.zeros((len(mixed), langs))
-            np.put_along_axis(start, order[mixed, :k], np.maximum(np.take_along_axis(full[mixed], order[mixed, :k], axis=1), 1e-6), axis=1)
-            p, fit = _em(start / start.sum(axis=1, keepdims=True), sub_like, sub_n, sub_first, sub_row)
-            now = -fit + penalty[mixed] * (k - 1)
-            wins = now < cost[mixed]
-            best_p[mixed[wins]], cost[mixed[wins]] = p[wins], now[wins]
+        start = np.zeros((len(open_), langs))
+        np.put_along_axis(start, order[open_, :k], np.maximum(np.take_along_axis(full[open_], order[open_, :k], axis=1), 1e-6), axis=1)
+        p, fit = _em(start / start.sum(axis=1, keepdims=True), like[part], n[part], sub_first, sub_row)
+        now = -fit + penalty[open_] * (k - 1)
+        wins = now < cost[open_]
+        best_p[open_[wins]], cost[open_[wins]] = p[wins], now[wins]
     out[who] = best_p
     return out
 
@@ -160,36 +200,38 @@ def usual_fit(log_p: np.ndarray) -> np.ndarray:
     return (np.exp(logs) * logs).sum(axis=0)
 
 
-def fitness(owner: np.ndarray, bucket: np.ndarray, p: np.ndarray, log_p: np.ndarray, usual: np.ndarray) -> np.ndarray:
+def fitness(own: np.ndarray, bucket: np.ndarray, times: np.ndarray, p: np.ndarray, log_p: np.ndarray, usual: np.ndarray) -> np.ndarray:
     """How much better a text's n-grams fit its proportions than texts drawn
     from the model do, in nats an n-gram; SHRINK n-grams that fit as expected
     are added, so a short text is near 0.  0 for texts without n-grams."""
     out = np.zeros(len(p))
-    if not len(owner):
+    if not len(own):
         return out
     want = (p * (usual + np.log(np.maximum(p, 1e-300)))).sum(axis=1)  # a text in parts: each part under its own share
-    key, n = np.unique(owner * BUCKETS + bucket, return_counts=True)
-    own, logs = key // BUCKETS, log_p[key % BUCKETS].astype(float)
+    logs = log_p[bucket].astype(float)
     top = logs.max(axis=1)
     got = np.log(np.maximum((p[own] * np.exp(logs - top[:, None])).sum(axis=1), 1e-300)) + top
-    total = np.bincount(own, weights=n, minlength=len(p))
-    gain = np.bincount(own, weights=n * (got - want[own]), minlength=len(p))
+    total = np.bincount(own, weights=times, minlength=len(p))
+    gain = np.bincount(own, weights=times * (got - want[own]), minlength=len(p))
     return gain / (total + SHRINK)
 
 
-def _predict_rows(langs: list[str], log_p, fit: bool = False):
+ADDED = ["__op_lang", "__op_score", "__op_mix", "__op_fit"]
+
+
+def _infer_rows(langs: list[str], log_p, at: int, fit: bool):
+    """Adds the four private columns to rows with a letter flag and the text in column ``at``."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = _letters()
+        table, chunk = _letters(), max(1 << 14, 4 * CHUNK_BYTES // max(4, len(langs)))
         usual = usual_fit(log_p.value) if fit else None
         for b in batches:
-            data, off = K.utf8_column(b.column(0))
-            letter = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            data, off = K.utf8_column(b.column(at))
+            letter = b.column(0).to_numpy(zero_copy_only=False).astype(bool)
             pred, score, mix, fits = [], [], [], []
-            for i, j in K.chunks(off):
-                owner, bucket = grams(data[off[i]: off[j]], off[i: j + 1] - off[i], table)
-                p = infer(owner, bucket, j - i, log_p.value) if langs else np.zeros((j - i, 0))
-                if fit:
-                    fits.append(fitness(owner, bucket, p, log_p.value, usual) if langs else np.zeros(j - i))
+            for i, j in K.chunks(off, chunk):
+                own, bucket, times = counted_grams(data[off[i]: off[j]], off[i: j + 1] - off[i], table)
+                p = infer(own, bucket, times, j - i, log_p.value) if langs else np.zeros((j - i, 0))
+                fits.append(fitness(own, bucket, times, p, log_p.value, usual) if fit and langs else np.zeros(j - i))
                 for d in range(j - i):
                     if not langs or not letter[i + d] or not p[d].any():
                         pred.append(UNKNOWN)
@@ -200,60 +242,73 @@ def _predict_rows(langs: list[str], log_p, fit: bool = False):
                     pred.append(langs[k])
                     score.append(float(min(1.0, p[d, k])))
                     mix.append([{"lang": langs[x], "share": float(p[d, x])} for x in np.argsort(-p[d], kind="stable") if p[d, x] > 0.005])
-            kept = [b.column(k) for k in range(2, b.num_columns)]
             mixes = pa.array(mix, pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())])))
-            cols, names = [*kept, pa.array(pred, pa.string()), pa.array(score, pa.float64()), mixes], [*b.schema.names[2:], "lang_pred", "score", "mixture"]
-            if fit:
-                cols, names = [*cols, pa.array(np.concatenate([np.zeros(0), *fits]), pa.float64())], [*names, "__op_fit"]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+            cols = [pa.array(pred, pa.string()), pa.array(score, pa.float64()), mixes, pa.array(np.concatenate([np.zeros(0), *fits]), pa.float64())]
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], *cols], names=[*b.schema.names[1:], *ADDED])
 
     return rows
 
 
-def predict(docs: DataFrame, model: LanguageModel, keep: list[str], fit: bool = False) -> DataFrame:
+def _inferred(docs: DataFrame, model: LanguageModel, fit: bool = False) -> DataFrame:
+    """``docs`` (whose column ``text`` is read once) with the private columns
+    __op_lang, __op_score, __op_mix and, with ``fit``, __op_fit (see ``fitness``)."""
+    text = F.col("text").cast("string")
+    letter = F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("__op_letter")
+    is_string = dict(docs.dtypes)["text"] == "string"
+    rows = docs.select(letter, "*") if is_string else docs.select(letter, "*", text.alias("__op_text"))
+    at = rows.columns.index("text" if is_string else "__op_text")
+    schema = rows.drop("__op_letter").withColumns({"__op_lang": F.lit(""), "__op_score": F.lit(0.0), "__op_mix": F.lit(None).cast("array<struct<lang:string,share:double>>"), "__op_fit": F.lit(0.0)}).schema
+    sent = docs.sparkSession.sparkContext.broadcast(model.log_p)  # MODEL_BYTES at most
+    return rows.mapInArrow(_infer_rows(model.langs, sent, at, fit), schema)
+
+
+def predict(docs: DataFrame, model: LanguageModel, keep: list[str]) -> DataFrame:
     """The ``keep`` columns of ``docs`` with lang_pred, score (the share of that
-    language) and mixture (all languages of the chosen set with their shares);
-    with ``fit`` also __op_fit, see ``fitness``.
+    language) and mixture (all languages of the chosen set with their shares).
 
-    Only the text is used.  Null texts, texts without a letter and a model
-    without languages: ``und`` with score 0.  Equal shares: the first language
-    by name.  No shuffle; repeated rows get equal results."""
-    spark = docs.sparkSession
-    kept = docs.select(*[F.col(c) for c in keep])
-    rows = docs.select(F.col("text").cast("string").alias("__op_text"), F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False)).alias("__op_letter"), *[F.col(c) for c in keep])
-    schema = kept.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0), "mixture": F.lit(None).cast("array<struct<lang:string,share:double>>")})
-    schema = (schema.withColumn("__op_fit", F.lit(0.0)) if fit else schema).schema
-    sent = spark.sparkContext.broadcast(model.log_p)  # BUCKETS x MAX_LANGUAGES floats at most
-    return rows.mapInArrow(_predict_rows(model.langs, sent, fit), schema)
+    Only the text is used.  Null or empty texts, texts without a letter and a
+    model without languages: ``und`` with score 0.  Equal shares: the first
+    language by name.  Very long texts: used whole, in pieces.  No shuffle;
+    repeated rows get equal results; an empty table gives no rows.  Kept
+    columns named like an added one, in any case, are replaced."""
+    keep = [c for c in keep if c.lower() not in ("lang_pred", "score", "mixture")]
+    rows = _inferred(docs.select(*dict.fromkeys([*keep, "text"])), model)
+    return rows.select(*keep, F.col("__op_lang").alias("lang_pred"), F.col("__op_score").alias("score"), F.col("__op_mix").alias("mixture"))
 
 
 def identify(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, mixture): learned from the rows with
     a lang whose crc32(doc_id as text) mod 4 is not 2, predicted for all.
 
-    A null doc_id is no held-out row and no training row either."""
+    A null doc_id is no held-out row and no training row either.  Texts and
+    edges: as in ``predict`` and ``train``.  Extra columns are not read."""
     model = train(docs.where(~held_out(F.col("doc_id"))))
     rows = docs.select("doc_id", "text", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"))
     return predict(rows, model, ["doc_id", "held_out"])
 
 
-def least_fit(docs: DataFrame, model: LanguageModel) -> float:
-    """The fit below which a text is in no language of ``model``: as far under
-    the median of all rows with a lang as SPREADS times their lower decile, or
+def least_fit(found: DataFrame) -> float:
+    """The fit below which a text is in no learned language: as far under the
+    median of all rows with a lang as SPREADS times their lower decile, or
     LEAST_GAP nats if that is more.  Both bear some rows with wrong labels."""
-    found = predict(docs.where("lang IS NOT NULL"), model, [], fit=True).where(F.col("lang_pred") != UNKNOWN)
-    q = found.agg(F.percentile_approx("__op_fit", [0.5, 0.1], 10_000).alias("q")).first().q
+    labelled = found.where((F.col("lang").isNotNull()) & (F.col("__op_lang") != UNKNOWN))
+    q = labelled.agg(F.percentile_approx("__op_fit", [0.5, 0.1], 10_000).alias("q")).first().q
     return q[0] - max(LEAST_GAP, SPREADS * (q[0] - q[1])) if q else -np.inf
 
 
 def reject_unknown(docs: DataFrame, least: float = 0.3) -> DataFrame:
     """``docs`` without those whose language is unknown, whose main language
-    has less than ``least`` of the text (over 1 / MOST_LANGS, as the shares of
-    a chosen set sum to 1), or that fit none of the learned languages: their
-    n-grams are far less likely than those of the labelled rows."""
+    has less than ``least`` of the text, or that fit none of the learned
+    languages: their n-grams are far less likely than those of the labelled rows.
+
+    One inference, written once: the bound of the fit and the filter both read
+    it.  Null or empty texts and texts without a letter go (their language is
+    unknown).  All columns stay as they are, whatever their names; repeated
+    rows stay or go together.  A null lang or doc_id is no training row.  No
+    labels: no language is known, so all rows go.  Empty table: no rows."""
     model = train(docs.where(~held_out(F.col("doc_id"))))
-    found = predict(docs, model, docs.columns, fit=True)
-    known = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least) & (F.col("__op_fit") >= F.lit(float(least_fit(docs, model))))
+    found = materialize(_inferred(docs, model, fit=True), "languages")
+    known = (F.col("__op_lang") != UNKNOWN) & (F.col("__op_score") >= least) & (F.col("__op_fit") >= F.lit(float(least_fit(found))))
     return found.where(known).select(*docs.columns)
 
 

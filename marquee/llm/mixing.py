@@ -60,6 +60,10 @@ def entropy_share(w: list[float]) -> float:
     return 1.0 if n < 2 else -sum(x * math.log(x) for x in w if x > 0) / math.log(n)
 
 
+#: Columns that ``mix`` adds.
+ADDED = ["n_tokens", "epoch", "block", "block_order", "row_order"]
+
+
 def bisect(fits: Callable[[float], bool], rising: bool, rounds: int = 60) -> float:
     """The a in [0, 1] where ``fits`` changes: the least one that fits if it holds
     for large a (``rising``), else the largest; 1 or 0 if it never holds."""
@@ -121,8 +125,7 @@ def mix(docs: DataFrame, target: Target = Target(repetition=2.0), tokens: Column
 
     Only (source, order, tokens) moves; whole rows are never shuffled, however
     large a source is: a source's cut in its last epoch is one row."""
-    added = ["n_tokens", "epoch", "block", "block_order", "row_order"]
-    kept = docs.drop(*[c for c in docs.columns if c.lower() in added])
+    kept = docs.drop(*[c for c in docs.columns if c.lower() in ADDED])
     rows = kept.withColumn("__op_tokens", words(F.col("text")) if tokens is None else tokens)
     plan, _ = source_plan(rows, target)
     plan = F.broadcast(plan.select("__op_source", *[F.col(c).alias(f"__op_{c}") for c in ("whole", "part", "blocks")]))  # at most MOST_SOURCES short rows, counted above

@@ -6,7 +6,7 @@ SF = "/root/testdata/sf0.001"
 FOLD = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 SPACE_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 PLAIN_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-CLASH = ["size", "shard", "slot", "key", "block", "epoch", "segment", "ordinal", "row", "bucket", "verdict", "fingerprint", "n_tokens", "label", "_text", "left", "items"]
+CLASH = ["size", "shard", "slot", "key", "block", "epoch", "segment", "ordinal", "row", "bucket", "verdict", "fingerprint", "n_tokens", "label", "_text", "left", "items", "score", "Mixture", "lang_pred", "row_order", "law", "token", "class", "ids", "decoded", "fails"]
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 

@@ -33,6 +33,11 @@ def test_mixture_of_two_languages(spark):
     assert [m.lang for m in got[1].mixture] == ["en"] and got[2].lang_pred == "fr"
 
 
+def counted(owner, bucket):
+    key, n = np.unique(owner * L.BUCKETS + bucket, return_counts=True)
+    return key // L.BUCKETS, key % L.BUCKETS, n
+
+
 def test_inference_against_plain_em():
     """Each text alone, every subset of its likeliest languages, unpruned."""
     rng = np.random.default_rng(4)
@@ -46,10 +51,10 @@ def test_inference_against_plain_em():
             owner += [d] * len(take)
             bucket += take.tolist()
     order = np.argsort(owner, kind="stable")
-    got = L.infer(np.array(owner)[order], np.array(bucket)[order], len(mixes), log_p)
+    got = L.infer(*counted(np.array(owner)[order], np.array(bucket)[order]), len(mixes), log_p)
     assert np.abs(got - np.array(mixes)).max() < 0.06
     for d in range(len(mixes)):
-        alone = L.infer(np.zeros(owner.count(d), dtype=np.int64), np.array([b for o, b in zip(owner, bucket) if o == d]), 1, log_p)
+        alone = L.infer(*counted(np.zeros(owner.count(d), dtype=np.int64), np.array([b for o, b in zip(owner, bucket) if o == d])), 1, log_p)
         assert np.allclose(alone[0], got[d])
 
 
@@ -94,3 +99,46 @@ def test_rejects_texts_of_no_learned_language(spark):
     es = df.withColumn("lang", L.F.when(L.F.col("lang") != "es", L.F.col("lang")))
     left = [r.lang for r in L.reject_unknown(es).collect()]
     assert left.count(None) <= 0.2 * df.where("lang = 'es'").count() and len(left) - left.count(None) >= 0.995 * df.where("lang != 'es'").count()
+
+
+def test_columns_named_like_added_ones(spark):
+    df = spark.read.parquet(f"{SF}/documents.parquet")
+    want = sorted(r.doc_id for r in L.reject_unknown(df).collect())
+    for name in ("score", "Score", "mixture", "lang_pred"):
+        named = df.withColumn(name, L.F.lit("mine"))
+        kept = L.reject_unknown(named)
+        assert kept.columns == named.columns and sorted(r.doc_id for r in kept.collect()) == want
+        assert {r[name] for r in kept.collect()} == {"mine"}
+        got = L.predict(named, L.train(df), ["doc_id", name])
+        assert got.columns == ["doc_id", "lang_pred", "score", "mixture"] and got.where("lang_pred = 'mine'").isEmpty()
+
+
+def test_long_texts_are_counted_whole(monkeypatch):
+    rng = np.random.default_rng(8)
+    text = np.frombuffer("".join(rng.choice(list("ab é z1.\n"), 3000)).encode(), dtype=np.uint8)
+    off, table = np.array([0, len(text)]), L._letters()
+    owner, bucket = L.grams(text, off, table)
+    want = np.bincount(bucket, minlength=L.BUCKETS)
+    monkeypatch.setattr(L, "CHUNK_BYTES", 97)
+    _, got, n = L.counted_grams(text, off, table)
+    assert (want[got] == n).all() and n.sum() == want.sum()
+
+
+def test_many_labels(spark, monkeypatch):
+    """600 labels; five languages in a text, which no bound on the set forbids."""
+    rng = np.random.default_rng(6)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 9)) for _ in range(1800)]
+    rows = [(i, " ".join(rng.choice(words[3 * k: 3 * k + 3], 60)), f"l{k:03}") for k in range(600) for i in (4 * k, 4 * k + 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = L.train(df)
+    assert len(model.langs) == 600
+    mixed = [" ".join(words[3 * k + w] for k in (5, 80, 200, 311, 590) for w in (0, 1, 2) for _ in range(40)), rows[40][1]]
+    got = L.predict(docs(spark, mixed), model, ["doc_id"]).orderBy("doc_id").collect()
+    assert {m.lang for m in got[0].mixture} == {"l005", "l080", "l200", "l311", "l590"}
+    assert got[1].lang_pred == rows[40][2]
+    monkeypatch.setattr(L, "MODEL_BYTES", 500 * 4 * L.BUCKETS)
+    try:
+        L.train(df)
+        raise AssertionError("600 labels in a model for 500")
+    except ValueError as e:
+        assert "500 languages" in str(e)

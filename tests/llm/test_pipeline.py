@@ -5,7 +5,7 @@ from collections import Counter
 import corpus_pipeline as C
 from marquee.llm.util import materialize
 
-from .helpers import SF, docs
+from .helpers import CLASH, SF, docs
 from .test_decontaminate import brute as contaminated
 from .test_ngram_join import brute as components
 
@@ -41,3 +41,17 @@ def test_empty_and_null_rows(spark, tmp_path):
     docs(spark, [(None, None), (None, "words of a text"), (1, "words of a text"), (2, ""), (3, "other words in it here"), (3, "other words in it here")]).write.parquet(f"{other}/documents.parquet")
     got = Counter(r.doc_id for r in C.run(spark, other).collect())
     assert set(got) == {1, 3}
+
+
+def test_extra_columns_stay(spark):
+    from pyspark.sql import functions as F
+    plain = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    rows = plain.select("*", *[F.lit(7).alias(c) for c in CLASH])
+    for name, stage in C.STAGES[:-1]:
+        got = stage(spark, rows, SF)
+        assert got.columns == rows.columns, name
+        assert {r[c] for r in got.collect() for c in CLASH} == {7}, name
+    last = C.STAGES[-1][1](spark, rows, SF)
+    added = {"size", "text_crc32", "law", "shard", "slot", "grown_shard"}
+    assert last.columns[:5] == plain.columns and set(last.columns) == {*rows.columns, *added}
+    assert {r[c] for r in last.collect() for c in set(CLASH) - added} == {7}
