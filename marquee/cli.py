@@ -21,6 +21,7 @@ def main(argv=None) -> int:
     ap.add_argument("--benchmark", required=True)
     ap.add_argument("--out", required=True, help="target folder for the layer tables")
     ap.add_argument("--ratings-json-lines", action="store_true", help="ratings file is JSON lines")
+    ap.add_argument("--one-line-records", action="store_true", help="CSV fields hold no line breaks")
     ap.add_argument("--min-budget", type=float, default=MIN_BUDGET)
     ap.add_argument("--min-revenue", type=float, default=MIN_REVENUE)
     ap.add_argument("--title-mode", choices=["intent", "as_written"], default="intent")
@@ -36,6 +37,7 @@ def main(argv=None) -> int:
     ensure_checkpoint_dir(spark)
     w = Warehouse.from_files(spark, args.movies, args.extended, args.ratings, args.benchmark,
                              ratings_top_level_array=not args.ratings_json_lines,
+                             multiline=not args.one_line_records,
                              scope=Scope(args.min_budget, args.min_revenue), title_mode=args.title_mode)
     paths = w.write_all(args.out)
     out = args.out.rstrip("/")

@@ -104,31 +104,34 @@ def kpi_overview(fact: DataFrame) -> DataFrame:
                       "recommendation_movies", round_dec("median_roi_pct").alias("median_roi_pct"))
 
 
+def _year_on_year(sums: DataFrame, keys: list[str], period: str, a_year_on) -> DataFrame:
+    """Each period's total_revenue beside that of a year earlier.
+
+    Every period that has revenue, and every one a year after such a one, has
+    its row: a blank period still shows what the year before had.  As in the BI
+    measure a blank counts as 0 in the difference, and the ratio falls back to 0
+    without a base.  One shuffle: each sum is sent to its own and the next period."""
+    own = sums.select(*keys, F.col(period), F.col("total_revenue"), F.lit(None).cast("double").alias("prev"))
+    later = sums.where("total_revenue IS NOT NULL").select(*keys, a_year_on.alias(period), F.lit(None).cast("double").alias("total_revenue"), F.col("total_revenue").alias("prev"))
+    both = own.unionByName(later).groupBy(*keys, period).agg(F.max("total_revenue").alias("total_revenue"), F.max("prev").alias("prev_calendar_year_revenue"))
+    zero = F.lit(0.0)
+    change = F.when(F.col("total_revenue").isNull() & F.col("prev_calendar_year_revenue").isNull(), F.lit(None)) \
+        .otherwise(round_dec(F.coalesce("total_revenue", zero) - F.coalesce("prev_calendar_year_revenue", zero)))
+    ratio = round_dec(F.try_divide(change, F.col("prev_calendar_year_revenue")), 6)
+    return both.select(*keys, period, "total_revenue", "prev_calendar_year_revenue", change.alias("yoy_revenue_change"),
+                       F.coalesce(ratio, zero).alias("yoy_revenue_change_ratio"))
+
+
 def calendar_yoy_revenue(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Revenue per calendar year against the same measure one calendar
-    year earlier.  As in the BI measure, a missing prior year is blank: the
-    difference treats it as 0 and the ratio falls back to 0."""
+    """Revenue per calendar year against the same measure one calendar year earlier."""
     y = _dated(fact, dim_date).groupBy("year").agg(round_dec(F.sum("revenue")).alias("total_revenue"))
-    p = y.select((F.col("year") + 1).alias("year"), F.col("total_revenue").alias("prev_calendar_year_revenue"))
-    j = y.join(p, "year", "left")
-    change = round_dec(F.col("total_revenue") - F.coalesce(F.col("prev_calendar_year_revenue"), F.lit(0.0)))
-    return j.select("year", "total_revenue", "prev_calendar_year_revenue",
-                    change.alias("yoy_revenue_change"),
-                    F.coalesce(round_dec(F.try_divide(change, F.col("prev_calendar_year_revenue")), 6),
-                               F.lit(0.0)).alias("yoy_revenue_change_ratio"))
+    return _year_on_year(y, [], "year", (F.col("year") + 1).cast(y.schema["year"].dataType))
 
 
 def calendar_yoy_by_period(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """W9 in a quarter and a month context: the period's revenue against the
-    same period one calendar year earlier, blanks treated as in the year grain."""
+    """W9 in a quarter and a month context."""
     day = F.col("date_day")
     periods = F.array(*[F.struct(F.lit(g).alias("grain"), F.to_date(F.date_trunc(g, day)).alias("period_start")) for g in ("quarter", "month")])
     sums = _dated(fact, dim_date).select("revenue", F.inline(periods)).groupBy("grain", "period_start") \
         .agg(round_dec(F.sum("revenue")).alias("total_revenue"))
-    before = sums.select("grain", F.add_months("period_start", 12).alias("period_start"),
-                         F.col("total_revenue").alias("prev_calendar_year_revenue"))
-    change = round_dec(F.col("total_revenue") - F.coalesce(F.col("prev_calendar_year_revenue"), F.lit(0.0)))
-    ratio = round_dec(F.try_divide(change, F.col("prev_calendar_year_revenue")), 6)
-    return sums.join(before, ["grain", "period_start"], "left").select(
-        "grain", "period_start", "total_revenue", "prev_calendar_year_revenue",
-        change.alias("yoy_revenue_change"), F.coalesce(ratio, F.lit(0.0)).alias("yoy_revenue_change_ratio"))
+    return _year_on_year(sums, ["grain"], "period_start", F.add_months("period_start", 12))

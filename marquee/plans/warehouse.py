@@ -39,8 +39,10 @@ class Warehouse:
     @classmethod
     def from_files(cls, spark: SparkSession, movies_csv: str, extended_csv: str, ratings_json: str,
                    benchmark_csv: str, ratings_top_level_array: bool = True,
-                   multiline: bool = False, **kw) -> "Warehouse":
-        """Build from the landed source files (CSV, CSV, JSON, CSV)."""
+                   multiline: bool = True, **kw) -> "Warehouse":
+        """Build from the landed source files (CSV, CSV, JSON, CSV).
+
+        ``multiline``: quoted fields may hold line breaks; files split either way."""
         from marquee.sources import io
         raw = RawTables(
             movies_main=io.read_text_csv(spark, movies_csv, io.MOVIES_COLUMNS, multiline),
@@ -252,6 +254,12 @@ class Warehouse:
     def kpi_overview(self) -> DataFrame:
         return analyses.kpi_overview(self.fact_movie_performance)
 
+    def kpi_by_slicer(self, by: list[str], chosen: dict[str, list[str]] | None = None) -> DataFrame:
+        from marquee.plans.relations import Bridge, kpi_by_slicer
+        bridges = {"genre": Bridge(self.bridge_movie_genre, "genre"), "company": Bridge(self.bridge_movie_company, "company"),
+                   "country": Bridge(self.bridge_movie_country, "country")}
+        return kpi_by_slicer(self.fact_movie_performance, bridges, by, chosen)
+
     def calendar_yoy_revenue(self) -> DataFrame:
         return analyses.calendar_yoy_revenue(self.fact_movie_performance, self.dim_date)
 

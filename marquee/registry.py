@@ -290,6 +290,72 @@ def q_scan_json_nested(spark, sf_dir):
     return clean_ratings(io.read_json(spark, path, io.RATINGS_SCHEMA))
 
 
+def _broken_title():
+    """Titles with a line break, a comma and quotes for every fifth movie."""
+    from pyspark.sql import functions as F
+    number = F.try_to_number(F.col("id"), F.lit("999999999999"))
+    return F.when(number % 5 == 0, F.concat("title", F.lit('\n"cut", part 2'))).otherwise(F.col("title"))
+
+
+@query("scan_csv_multiline")
+def q_scan_csv_multiline(spark, sf_dir):
+    """A catalogue file whose titles hold line breaks, commas and quotes,
+    read in splits."""
+    from marquee.sources import io
+    from marquee.sources.splits import read_csv_records
+    path = io.scratch_path(spark, "csv-breaks")
+    raw = wh(spark, sf_dir).raw.movies_main.drop("ingest_seq").withColumn("title", _broken_title())
+    raw.write.options(header=True, escape='"').csv(path)
+    return io.typed_movies(read_csv_records(spark, path, io.MOVIES_COLUMNS))
+
+
+@query("scan_json_array")
+def q_scan_json_array(spark, sf_dir):
+    """S3 + C5: ratings as top-level JSON arrays over many lines, every seventh
+    without a summary, with brackets and quotes in a string; read in splits."""
+    from pyspark.sql import functions as F
+
+    from marquee.plans.clean import clean_ratings
+    from marquee.sources import io
+    path = io.scratch_path(spark, "json-array")
+    summary = F.when(F.col("movie_id") % 7 != 0, F.col("ratings_summary"))
+    rows = wh(spark, sf_dir).raw.ratings.withColumns({"ratings_summary": summary, "note": F.lit('], [ } "{"')})
+    # a file for each task: its elements between the array's brackets, an element over several lines
+    text = F.regexp_replace(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}), r'("ratings_summary"|"last_rated")', "\n  $1")
+    files = F.spark_partition_id()
+    arrays = rows.repartition(4, "movie_id").select(files.alias("file"), text.alias("element")).groupBy("file").agg(F.array_join(F.collect_list("element"), ",\n").alias("body"))
+    arrays.select(F.concat(F.lit("[\n"), "body", F.lit("\n]"))).repartition(4).write.text(path)
+    return clean_ratings(io.read_ratings_json(spark, path))
+
+
+@query("landing_report")
+def q_landing_report(spark, sf_dir):
+    """Two files land, an empty and a missing one are reported."""
+    from marquee.sources import io
+    from marquee.sources.landing import Source, land
+    base, raw = io.scratch_path(spark, "to-land"), wh(spark, sf_dir).raw
+    for name, rows in (("movies", raw.movies_main), ("extended", raw.movie_extended), ("nothing", raw.movies_main.limit(0))):
+        rows.drop("ingest_seq").write.options(header=True, escape='"').csv(f"{base}/{name}")
+    read = lambda columns: lambda s, path: io.read_text_csv(s, path, columns, multiline=True).drop("ingest_seq")
+    columns = {"movies": io.MOVIES_COLUMNS, "extended": io.EXTENDED_COLUMNS, "nothing": io.MOVIES_COLUMNS, "absent": io.MOVIES_COLUMNS}
+    return land(spark, io.scratch_path(spark, "landed-tables"), {n: Source(f"{base}/{n}", read(c)) for n, c in columns.items()})
+
+
+@query("incremental_keep_first")
+def q_incremental_keep_first(spark, sf_dir):
+    """Files that land one after the other, the later ones with ids that
+    are there already; two runs keep the first row of each id."""
+    from marquee.sources import io
+    from marquee.sources.adapter import LATER
+    from marquee.streaming.incremental import incremental_keep_first, read_landed
+    raw = wh(spark, sf_dir).raw.movies_main
+    src, dst, ck = (io.scratch_path(spark, p) for p in ("src-first", "kept-first", "first-ckpt"))
+    for part in (raw.where(f"ingest_seq < {LATER}"), raw.where(f"ingest_seq >= {LATER}")):
+        part.drop("ingest_seq").write.mode("append").option("header", True).csv(src)
+        incremental_keep_first(spark, src, io.MOVIES_MAIN_SCHEMA, dst, ck, "id", max_files_per_trigger=4)
+    return io.typed_movies(read_landed(spark, dst)).where("id IS NOT NULL")
+
+
 @query("incremental_ingest")
 def q_incremental_ingest(spark, sf_dir):
     """The whole catalogue landed as several files and ingested by a file
@@ -316,6 +382,36 @@ def q_safe_reload(spark, sf_dir):
     return spark.table("stg_movies_published")
 
 
+@query("publish_versions")
+def q_publish_versions(spark, sf_dir):
+    """Version 2 has rows without a key and fails its validation, so
+    readers still get version 1."""
+    from pyspark.sql import functions as F
+
+    from marquee.sources import io, publish
+    movies = wh(spark, sf_dir).stg_movies
+    root = io.scratch_path(spark, "versions")
+    check = publish.sound(["movie_id"])
+    publish.publish(movies, root, check)
+    try:
+        publish.publish(movies.withColumn("movie_id", F.when(F.col("movie_id") % 10 != 0, F.col("movie_id"))), root, check)
+    except ValueError:
+        return publish.current(spark, root)
+    raise AssertionError("rows without a key were published")
+
+
+@query("kpi_by_slicer")
+def q_kpi_by_slicer(spark, sf_dir):
+    """All measures for each genre x country pair, with totals."""
+    return wh(spark, sf_dir).kpi_by_slicer(["genre", "country"])
+
+
+@query("kpi_by_slicer_chosen")
+def q_kpi_by_slicer_chosen(spark, sf_dir):
+    """By country, under slicers on companies and countries."""
+    return wh(spark, sf_dir).kpi_by_slicer(["country"], {"company": ["Brand#11", "Brand#19", "Brand#22"], "country": ["NATION_3", "NATION_8", "NATION_15", "NATION_19"]})
+
+
 @query("write_layer")
 def q_write_layer(spark, sf_dir):
     """A mart materialised as a Parquet table and read back."""

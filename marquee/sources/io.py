@@ -202,8 +202,12 @@ def read_text_csv(spark: SparkSession, path: str, columns: list[str], multiline:
     so extra source columns are ignored; missing optional ones become NULL.
 
     ``ingest_seq`` orders rows by file, then by place in the file, for
-    keep-first deduplication: (path, start of the split, row in the split)."""
-    raw = spark.read.options(**csv_options(multiline)).csv(path)
+    keep-first deduplication: (path, start of the split, row in the split).
+    With ``multiline`` quoted fields may hold line breaks; files still split."""
+    if multiline:
+        from marquee.sources.splits import read_csv_records
+        return read_csv_records(spark, path, columns)
+    raw = spark.read.options(**csv_options()).csv(path)
     have = {c.lower(): c for c in raw.columns}
     cols = [F.col(have[c.lower()]).alias(c) if c.lower() in have else F.lit(None).cast("string").alias(c)
             for c in columns]
@@ -213,6 +217,9 @@ def read_text_csv(spark: SparkSession, path: str, columns: list[str], multiline:
 
 
 def read_ratings_json(spark: SparkSession, path: str, top_level_array: bool = True) -> DataFrame:
-    """S3: ratings with a nested summary; the reference's file is one JSON
-    array (``multiLine``), JSON lines are read with ``top_level_array=False``."""
-    return read_json(spark, path, RATINGS_SCHEMA, multiline=top_level_array)
+    """S3: ratings with a nested summary from one JSON array a file, read in
+    splits; JSON lines are read with ``top_level_array=False``."""
+    if top_level_array:
+        from marquee.sources.splits import read_json_array
+        return read_json_array(spark, path, RATINGS_SCHEMA)
+    return read_json(spark, path, RATINGS_SCHEMA)

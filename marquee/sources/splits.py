@@ -143,10 +143,12 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
 def read_csv_records(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Header CSV read as text, in splits, with line breaks in quoted fields.
 
-    ``columns`` are picked by header name in any case; missing ones are NULL
+    The first line is the header.  ``columns`` are picked by its names in any case; missing ones are NULL
     and others are ignored.  ``ingest_seq`` orders rows by file and place."""
     options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "multiLine": "true"}
     names = [c for c in spark.read.options(header=True, quote='"', escape='"').csv(path).columns]
+    if not names:  # files without any line
+        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns) + ", ingest_seq struct<file:string,start:bigint,seq:bigint>")
     schema = ", ".join(f"c{k} string" for k in range(len(names)))
     records = csv_records(spark, path).where("NOT (place.start = 0 AND place.seq = 0)")  # each file's header
     rows = records.select("place", F.from_csv("text", schema, options).alias("r"))
