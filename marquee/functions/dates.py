@@ -11,13 +11,47 @@ from marquee.functions._util import as_col
 MIXED_DATE_FORMATS = ("yyyy-M-d", "M/d/yyyy", "d-M-yyyy")
 
 
+#: Month names; any beginning of three letters or more counts.
+MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"]
+WEEKDAY = r"(?:(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*\.?,?\s+)?"
+DAY, MONTH, YEAR = r"(\d{1,2})(?:st|nd|rd|th)?", r"([a-z]{3,9})\.?", r"(\d{4}|'?\d{2})"
+#: Written dates: pattern, then which of its groups are year, month and day (0: the first of the month).
+WRITTEN_DATES = [
+    (rf"^{WEEKDAY}{MONTH}\s*{DAY}\s*,?\s+{YEAR}$", 3, 1, 2),  # Jan 5 2016, January 5th, '16
+    (rf"^{WEEKDAY}{DAY}\s*(?:-|\s+of\s+|\s)\s*{MONTH}\s*(?:-|,|\s)\s*{YEAR}$", 3, 2, 1),  # 5 January 2016, 5-Jan-16
+    (rf"^{MONTH}\s*,?\s+(\d{{4}})$", 2, 1, 0),  # January 2016
+    (r"^(\d{4})\s*[/. ]\s*(\d{1,2})\s*[/. ]\s*(\d{1,2})$", 1, 2, 3),  # 2016/1/5
+    (r"^(\d{1,2})\s*/\s*(\d{1,2})\s*/\s*(\d{2})$", 3, 1, 2),  # 1/5/16
+]
+
+
+def _month_number(text: Column) -> Column:
+    """1 to 12 for a month's name or its beginning, else NULL; digits stay."""
+    named = F.coalesce(*[F.when(F.lit(name).startswith(text) | (text == "sept" if name == "september" else F.lit(False)), F.lit(k)) for k, name in enumerate(MONTHS, 1)])
+    return F.coalesce(text.try_cast("int"), named)
+
+
+def _written_date(t: Column, pattern: str, year: int, month: int, day: int) -> Column:
+    part = lambda k: F.regexp_extract(t, pattern, k)
+    y = F.regexp_replace(part(year), "'", "").try_cast("int")
+    # two digits: 69 to 99 are of the last century
+    y = F.when(F.length(F.regexp_replace(part(year), "'", "")) == 4, y).when(y >= 69, y + 1900).otherwise(y + 2000)
+    d = part(day).try_cast("int") if day else F.lit(1)
+    text = F.concat_ws("-", F.lpad(y.cast("string"), 4, "0"), _month_number(part(month)).cast("string"), d.cast("string"))
+    return F.when(t.rlike(pattern), F.try_to_date(text, "yyyy-M-d"))
+
+
 def parse_mixed_date(c: Column | str, formats=MIXED_DATE_FORMATS) -> Column:
     """first successful parse among ``formats``, then Spark's default date
-    cast; surrounding blanks are stripped and failures become NULL (never an
-    error, also under ANSI mode)."""
+    cast, then written forms (``WRITTEN_DATES``: month names, ordinals, weekdays,
+    two-digit years; slashes are month-first).  Case and surrounding blanks do
+    not matter; what is no date becomes NULL, never an error, also under ANSI
+    mode.  Expressions only, and the written forms run only where the plain ones fail."""
     t = F.trim(as_col(c).cast("string"))
+    low = F.lower(t)
     attempts = [F.try_to_date(t, f) for f in formats]
     attempts.append(F.try_to_date(t))
+    attempts += [_written_date(low, *form) for form in WRITTEN_DATES]
     return F.coalesce(*attempts)
 
 

@@ -412,6 +412,22 @@ def q_kpi_by_slicer_chosen(spark, sf_dir):
     return wh(spark, sf_dir).kpi_by_slicer(["country"], {"company": ["Brand#11", "Brand#19", "Brand#22"], "country": ["NATION_3", "NATION_8", "NATION_15", "NATION_19"]})
 
 
+@query("distinct_movies_sketch")
+def q_distinct_movies_sketch(spark, sf_dir):
+    """Movies of each genre from sketches by genre and year, which are
+    merged without another scan; is the estimate within the stated bound?"""
+    from pyspark.sql import functions as F
+
+    from marquee.operators.profile import SKETCH_BOUND, distinct_rollup, distinct_sketches
+    from marquee.session import materialize
+    rows = wh(spark, sf_dir).fact_genre.select("genre", "release_year", "movie_id")
+    fine = materialize(distinct_sketches(rows, ["genre", "release_year"], "movie_id"), "sketches")
+    exact = rows.groupBy("genre").agg(F.countDistinct("movie_id").alias("exact_movies"))
+    both = exact.join(distinct_rollup(fine, ["genre"], "estimate"), "genre")
+    error = F.abs(F.col("estimate") - F.col("exact_movies")) / F.col("exact_movies")
+    return both.select("genre", "exact_movies", (error <= SKETCH_BOUND).alias("within_bound"))
+
+
 @query("write_layer")
 def q_write_layer(spark, sf_dir):
     """A mart materialised as a Parquet table and read back."""

@@ -16,8 +16,8 @@ Mapping (movie := order), see FIXTURES.md section 2:
   else one that matches nothing (suffix ' cut'), first ship date, average line
   price as budget, summed line price as revenue.
 * dirt in movies_main: customers with custkey % 37 = 0 land a second, later row
-  of the same id with another title, a free-form date and money that is no
-  number; those with custkey % 41 = 0 a row whose id is text or missing.
+  of the same id with another title, a written date in one of four forms (or
+  words that are none) and money that is no number; those with custkey % 41 = 0 a row whose id is text or missing.
 """
 
 from __future__ import annotations
@@ -125,7 +125,9 @@ def generated_raw(spark: SparkSession, sf_dir: str, stage=None) -> RawTables:
         key, title, release,
         F.when(F.col("o_orderstatus") == "P", F.lit(0.0)).otherwise(F.col("o_totalprice")).cast("string"),
         F.coalesce(F.col("line_revenue"), F.lit(0.0)).cast("string"), 0)
-    second_row = landed(key, F.concat(title, F.lit(" again")), F.lit("Jan 5 2016"), F.lit("n/a"), F.lit("5d"), LATER)
+    forms = ["MMM d yyyy", "d MMMM yyyy", "yyyy/M/d", "MMMM d, yyyy"]
+    written = F.coalesce(*[F.when(F.col("o_orderkey") % 5 == k, F.date_format("o_orderdate", f)) for k, f in enumerate(forms)], F.lit("some day"))
+    second_row = landed(key, F.concat(title, F.lit(" again")), written, F.lit("n/a"), F.lit("5d"), LATER)
     bad_id = landed(F.when(cust_key % 2 == 0, F.concat(F.lit("x"), key)), title, F.lit("unknown"), F.lit("0"), F.lit("0"), 2 * LATER)
     rows = F.array(clean_row, F.when(cust_key % 37 == 0, second_row), F.when(cust_key % 41 == 0, bad_id))
     movies_main = ox.select(F.inline(F.filter(rows, lambda r: r.isNotNull())))

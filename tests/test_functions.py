@@ -20,6 +20,18 @@ def test_parse_mixed_date(spark):
                    dt.date(2000, 3, 4), None, None, None, None]
 
 
+def test_parse_written_dates(spark):
+    day = ["Jan 5 2016", "January 5, 2016", "january 5th 2016", "Jan. 5 '16", "5 January 2016", "5th of Jan, 2016", "5-Jan-2016", "05-jan-16", "2016/1/5", "2016.01.05",
+           "Tuesday, Jan 5 2016", "tue 5 jan 2016", "1/5/16", "  JAN 5 2016 "]
+    got = [r[0] for r in col(spark, day).select(parse_mixed_date("v")).collect()]
+    assert dict(zip(day, got)) == dict.fromkeys(day, dt.date(2016, 1, 5))
+    other = {"January 2016": dt.date(2016, 1, 1), "Sept 30 1999": dt.date(1999, 9, 30), "1/5/69": dt.date(1969, 1, 5), "1/5/68": dt.date(2068, 1, 5), "may 1 2000": dt.date(2000, 5, 1),
+             "Feb 30 2016": None, "Janu 5 2016": dt.date(2016, 1, 5), "Janx 5 2016": None, "ma 5 2016": None, "Jan 2016 5": None, "5 2016": None, "unknown": None, "2016/13/5": None,
+             "Jan 5": None, "n/a": None, "the 5 of 2016": None}
+    got = [r[0] for r in col(spark, list(other)).select(parse_mixed_date("v")).collect()]
+    assert dict(zip(other, got)) == other
+
+
 def test_normalize_title_modes(spark):
     vals = ["The Matrix", "AVATAR", "up  in the air!", "a\\ssb", "Se7en", "", None]
     rows = col(spark, vals).select(normalize_title("v", "intent").alias("i"),

@@ -63,3 +63,15 @@ def test_top_counts_ties_by_token(spark):
     df = spark.createDataFrame([(t,) for t in ["b", "a", " a ", "c", "", None, "b"]], "t string")
     got = [(r.token, r.movie_count) for r in profile.top_counts(df.where("t IS NOT NULL"), "t", 2).collect()]
     assert got == [("a", 2), ("b", 2)]
+
+
+def test_distinct_sketches_roll_up(spark):
+    from marquee.operators.profile import SKETCH_BOUND, distinct_rollup, distinct_sketches
+    rows = spark.range(30_000).selectExpr("id % 3 AS g", "id % 10 AS y", "id % 20000 AS v")
+    fine = distinct_sketches(rows, ["g", "y"], "v")
+    assert {len(r.sketch) <= 8192 for r in fine.collect()} == {True}
+    true = {r[0]: r[1] for r in rows.distinct().select("g", "v").distinct().groupBy("g").count().collect()}
+    got = {r.g: r.n for r in distinct_rollup(fine, ["g"], "n").collect()}
+    assert set(got) == set(true) and all(abs(got[g] - true[g]) <= SKETCH_BOUND * true[g] for g in true)
+    whole = distinct_rollup(fine, [], "n").first().n
+    assert abs(whole - 20_000) <= SKETCH_BOUND * 20_000
