@@ -66,3 +66,8 @@ def expected_count_checks(metrics: dict[str, DataFrame], expected: int = 0) -> D
     out = reduce(lambda a, b: a.unionByName(b), frames)
     return out.select("dataset", "metric", "observed", F.lit(expected).cast("bigint").alias("expected"),
                       F.when(F.col("observed") == expected, "PASS").otherwise("WARN").alias("status"))
+
+
+def count_check_totals(checks: DataFrame) -> DataFrame:
+    """Q8: how many of each dataset's count checks pass and warn."""
+    return checks.groupBy("dataset").agg(F.count_if(F.col("status") == "PASS").alias("passed"), F.count_if(F.col("status") == "WARN").alias("warned"))

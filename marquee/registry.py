@@ -219,6 +219,13 @@ def q_expected_count_checks(spark, sf_dir):
     return cleaning_count_checks(w.silver_movies, w.silver_ratings, w.silver_extended)
 
 
+@query("count_check_totals")
+def q_count_check_totals(spark, sf_dir):
+    """Q8: pass and warn totals of each dataset."""
+    from marquee.operators.quality import count_check_totals
+    return count_check_totals(q_expected_count_checks(spark, sf_dir))
+
+
 # ---- profiling (EDA) ----------------------------------------------------------
 def eda(spark, sf_dir):
     from marquee.plans.eda import Eda

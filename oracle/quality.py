@@ -72,4 +72,5 @@ SELECT dataset, metric, CAST(observed AS BIGINT) AS observed, CAST(0 AS BIGINT)
   UNION ALL SELECT 'movie_extended', 'id_nulls', COUNT(*) FILTER (WHERE movie_id IS NULL) FROM stg_movie_extended
   UNION ALL SELECT 'movie_extended', 'duplicate_ids', COUNT(*) - COUNT(DISTINCT movie_id)
       - CASE WHEN COUNT(*) FILTER (WHERE movie_id IS NULL) > 0 THEN 1 ELSE 0 END FROM stg_movie_extended)"""
-    return {"schema_tests": schema, "business_rule_tests": rules, "expected_count_checks": checks}
+    return {"schema_tests": schema, "business_rule_tests": rules, "expected_count_checks": checks,
+            "count_check_totals": f"SELECT dataset, COUNT(*) FILTER (WHERE status = 'PASS') AS passed, COUNT(*) FILTER (WHERE status = 'WARN') AS warned FROM ({checks}) GROUP BY dataset"}

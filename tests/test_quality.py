@@ -26,3 +26,10 @@ def test_schema_suite_counts_failures(spark):
     got = {r.test_name: r.failures for r in schema_suite({"m": m, "p": p}, tests).collect()}
     assert got == {"not_null_m_k": 1, "unique_m_k": 1, "accepted_values_m_v": 2, "accepted_values_m_f": 0,
                    "relationships_m_k": 1}
+
+
+def test_count_check_totals(spark):
+    from marquee.operators.quality import count_check_totals, expected_count_checks
+    one = lambda **m: spark.createDataFrame([tuple(m.values())], ", ".join(f"{k} long" for k in m))
+    checks = expected_count_checks({"a": one(x=0, y=3, z=0), "b": one(x=1)})
+    assert {r.dataset: (r.passed, r.warned) for r in count_check_totals(checks).collect()} == {"a": (2, 1), "b": (0, 1)}
