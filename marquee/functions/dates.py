@@ -27,15 +27,17 @@ WRITTEN_DATES = [
 
 def _month_number(text: Column) -> Column:
     """1 to 12 for a month's name or its beginning, else NULL; digits stay."""
-    named = F.coalesce(*[F.when(F.lit(name).startswith(text) | (text == "sept" if name == "september" else F.lit(False)), F.lit(k)) for k, name in enumerate(MONTHS, 1)])
-    return F.coalesce(text.try_cast("int"), named)
+    named = {name[:n]: k for k, name in enumerate(MONTHS, 1) for n in range(3, len(name) + 1)}
+    digits = {f"{k:0{n}}": k for k in range(1, 13) for n in (1, 2)}
+    table = F.create_map(*[F.lit(x) for pair in {**named, **digits}.items() for x in pair])  # folded to one constant
+    return F.try_element_at(table, text)
 
 
 def _written_date(t: Column, pattern: str, year: int, month: int, day: int) -> Column:
     part = lambda k: F.regexp_extract(t, pattern, k)
-    y = F.regexp_replace(part(year), "'", "").try_cast("int")
+    y = F.ltrim(part(year), F.lit("'")).try_cast("int")
     # two digits: 69 to 99 are of the last century
-    y = F.when(F.length(F.regexp_replace(part(year), "'", "")) == 4, y).when(y >= 69, y + 1900).otherwise(y + 2000)
+    y = F.when(F.length(part(year)) == 4, y).when(y >= 69, y + 1900).otherwise(y + 2000)
     d = part(day).try_cast("int") if day else F.lit(1)
     text = F.concat_ws("-", F.lpad(y.cast("string"), 4, "0"), _month_number(part(month)).cast("string"), d.cast("string"))
     return F.when(t.rlike(pattern), F.try_to_date(text, "yyyy-M-d"))
