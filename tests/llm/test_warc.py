@@ -60,6 +60,41 @@ def test_files_roll_and_bytes_repeat(spark, tmp_path):
     assert got == expect([(r.page_id, r.url, r.html) for r in df.collect()])
 
 
+def test_same_bytes_under_any_partitioning_and_settings(spark, tmp_path):
+    """60,000 pages, a third without an id, a sixth equal in everything."""
+    from pyspark.sql import functions as F
+    i = F.col("id")
+    df = spark.range(60_000).select(F.when(i % 3 != 0, F.when(i % 6 == 1, F.lit(-77)).otherwise(i)).alias("page_id"), F.when(i % 6 == 1, F.lit("u")).otherwise(F.concat(F.lit("http://h/"), (i % 50).cast("string"))).alias("url"),
+                                    F.when(i % 6 == 1, F.lit("same")).when(i % 9 == 0, F.lit("")).otherwise(F.repeat(F.sha1(i.cast("string")), 3)).alias("html"))
+    seen = []
+    for parts, shuffle in ((1, "3"), (7, "8"), (40, "19")):
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", shuffle)
+        try:
+            m = W.write_warc(df.repartition(parts), str(tmp_path / shuffle), W.WarcOptions(shard_bytes=1 << 21))
+            seen.append(sorted(map(tuple, m.collect())))
+            if shuffle == "8":
+                back = W.read_warc(m, str(tmp_path / shuffle))
+                assert back.where("NOT digest_ok").count() == 0 and back.where("page_id IS NULL").count() == 20_000
+                assert back.where("page_id = -77").select("record_type").distinct().count() == 1 and back.where("page_id = -77").count() == 10_000
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert seen[0] == seen[1] == seen[2] and len(seen[0]) == 64
+    records = [m[3] for m in seen[0]]
+    assert sum(records) == 60_000 and max(records) < 2 * 60_000 / 64
+
+
+def test_record_ids_are_unique_over_shards(spark, tmp_path):
+    rows = [row(5, "x" * 40)] * 30 + [row(5, "y" * 40, f"u{k}") for k in range(30)] + [row(None, "n")] * 40 + [row(None, f"n{k}") for k in range(20)]
+    m = W.write_warc(pages(spark, rows), str(tmp_path / "w"), shards=9)
+    ids = []
+    for f in m.collect():
+        with open(tmp_path / "w" / f.file, "rb") as stream:
+            ids += [h["WARC-Record-ID"] for _, h, _ in W._records(stream) if h["WARC-Type"] != "warcinfo"]
+    assert len(ids) == len(set(ids)) == 120 and {"<urn:page:5>", "<urn:page:5:59>", "<urn:page:null:59>"} <= set(ids)
+    assert m.select("shard").distinct().count() == 9
+
+
 def test_every_member_is_gzip_and_has_its_record(spark, tmp_path):
     import gzip
     m, _, full = run(spark, pages(spark, ROWS[:5]), tmp_path / "w")
