@@ -407,6 +407,44 @@ def q_publish_versions(spark, sf_dir):
     raise AssertionError("rows without a key were published")
 
 
+@query("schema_sync")
+def q_schema_sync(spark, sf_dir):
+    """Three appends; the second adds two columns, widens one and spells
+    two names another way, the third comes in the first one's columns again."""
+    from pyspark.sql import functions as F
+
+    from marquee.sources import evolve, io
+    movies = wh(spark, sf_dir).stg_movies
+    root = io.scratch_path(spark, "evolving")
+    year, part = F.year("release_date"), F.col("movie_id") % 3
+    first = movies.select("movie_id", "title", year.cast("smallint").alias("release_year"))
+    evolve.append(first.where(part == 0), root)
+    evolve.append(movies.where(part == 1).select(F.col("movie_id").alias("Movie_ID"), F.col("title").alias("TITLE"), year.alias("release_year"), "revenue", "is_roi_eligible"), root)
+    evolve.append(first.where(part == 2), root)
+    return evolve.read(spark, root)
+
+
+@query("table_or_csv")
+def q_table_or_csv(spark, sf_dir):
+    """Movies from the upstream table, whose money columns were
+    added later, and the rest from the landed file, as it has no table."""
+    from pyspark.sql import functions as F
+
+    from marquee.sources import io
+    raw = wh(spark, sf_dir).raw.movies_main.drop("ingest_seq")
+    part = F.coalesce(F.expr("try_cast(id AS bigint)") % 4, F.lit(1))
+    layer, path = "landing_" + io.scratch_path(spark, "x")[-12:], io.scratch_path(spark, "landed")
+    io.ensure_schema(spark, layer, io.scratch_path(spark, "layer"))
+    raw.where(part == 0).select("id", "title", "release_date").write.saveAsTable(f"{layer}.movies")
+    later = raw.where(part == 2)
+    io.sync_table_schema(later, f"{layer}.movies")
+    later.write.mode("append").saveAsTable(f"{layer}.movies")
+    raw.where(~part.isin(0, 2)).write.option("header", True).option("escape", '"').csv(path)
+    sources = [io.table_or_csv(spark, f"{layer}.{name}", path, io.MOVIES_MAIN_SCHEMA).withColumn("origin", F.lit(origin)) for name, origin in (("movies", "table"), ("movies_new", "file"))]
+    both = sources[0].unionByName(sources[1])
+    return io.typed_movies(both, "origin")
+
+
 @query("kpi_by_slicer")
 def q_kpi_by_slicer(spark, sf_dir):
     """All measures for each genre x country pair, with totals."""

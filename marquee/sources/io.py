@@ -70,9 +70,9 @@ def table_or_csv(spark: SparkSession, table: str, csv_path: str, schema: StructT
     return read_csv(spark, csv_path, schema)
 
 
-def ensure_schema(spark: SparkSession, name: str) -> None:
-    """Create a layer namespace if missing."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
+def ensure_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Create a layer namespace if missing, with its tables below ``location``."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}" + (f" LOCATION '{location}'" if location else ""))
 
 
 def sync_table_schema(df: DataFrame, table: str) -> list[str]:
@@ -182,13 +182,13 @@ RATINGS_SCHEMA = ("movie_id bigint, ratings_summary struct<avg_rating:double,tot
                   "std_dev:double>, last_rated bigint")
 
 
-def typed_movies(raw: DataFrame) -> DataFrame:
-    """Typed view of a landed catalogue file (id, title, date, money)."""
+def typed_movies(raw: DataFrame, *more: str) -> DataFrame:
+    """Typed view of a landed catalogue file (id, title, date, money), with the columns ``more`` as they are."""
     from marquee.functions.dates import parse_mixed_date
     from marquee.functions.numeric import to_number
     return raw.select(to_number("id").try_cast("bigint").alias("id"), "title",
                       parse_mixed_date("release_date").alias("release_date"),
-                      to_number("budget").alias("budget"), to_number("revenue").alias("revenue"))
+                      to_number("budget").alias("budget"), to_number("revenue").alias("revenue"), *more)
 
 
 # ---- the catalogue's landed files -------------------------------------------
