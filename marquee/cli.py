@@ -41,9 +41,10 @@ def main(argv=None) -> int:
                              scope=Scope(args.min_budget, args.min_revenue), title_mode=args.title_mode)
     paths = w.write_all(args.out)
     out = args.out.rstrip("/")
-    tests = schema_suite(w.models()).unionByName(business_rule_suite(w.models(), w.scope))
+    models = w.written(paths)  # what readers will get, and no plan runs twice
+    tests = schema_suite(models).unionByName(business_rule_suite(models, w.scope))
     tests.write.mode("overwrite").parquet(f"{out}/tests/results")
-    cleaning_count_checks(w.silver_movies, w.silver_ratings, w.silver_extended) \
+    cleaning_count_checks(models["silver_movies"], models["silver_ratings"], models["silver_extended"]) \
         .write.mode("overwrite").parquet(f"{out}/tests/count_checks")
     failed = spark.read.parquet(f"{out}/tests/results").where("status <> 'pass'").count()
     print(json.dumps({"tables": len(paths), "failed_tests": failed, "out": out}))

@@ -54,6 +54,22 @@ def run_suite(checks: list[Check]) -> DataFrame:
     return out.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
 
 
+def run_rules(rules: dict[str, tuple[DataFrame, Column]]) -> DataFrame:
+    """Q13-Q17: rows for which a rule's failing predicate holds, all rules of
+    one model in one aggregation: test_name, failures, status ('pass'/'fail')."""
+    models: list[tuple[DataFrame, dict[str, Column]]] = []
+    for name, (df, failing) in rules.items():
+        own = next((r for d, r in models if d is df), None)
+        if own is None:
+            own = {}
+            models.append((df, own))
+        own[name] = failing
+    frames = [df.agg(*[F.count_if(failing).alias(name) for name, failing in own.items()])
+              .unpivot([], list(own), "test_name", "failures") for df, own in models]
+    out = reduce(lambda a, b: a.unionByName(b), frames).withColumn("failures", F.col("failures").cast("bigint"))
+    return out.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
+
+
 def expected_count_checks(metrics: dict[str, DataFrame], expected: int = 0) -> DataFrame:
     """Q8: metric frames (one row, one bigint column per metric) ->
     (dataset, metric, observed, expected, status PASS/WARN)."""

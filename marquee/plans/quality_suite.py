@@ -8,9 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee import config as K
-from marquee.operators.quality import (Check, accepted_values_failures, expected_count_checks,
-                                       not_null_failures, predicate_failures, relationship_failures,
-                                       run_suite, unique_failures)
+from marquee.operators.quality import expected_count_checks, relationship_failures, run_rules
 
 TIERS = [K.BUDGET_TIER_LABELS[k] for k in (1, 2, 3, 4)]
 PROFIT_TIERS = [label for _, label in K.PROFITABILITY_TIERS] + [K.PROFITABILITY_LOSS]
@@ -139,7 +137,7 @@ def schema_suite(models: dict[str, DataFrame], tests=SCHEMA_TESTS) -> DataFrame:
 
 
 def business_rule_suite(models: dict[str, DataFrame], scope) -> DataFrame:
-    """Q13-Q17."""
+    """Q13-Q17, one scan a model."""
     rec = models["fact_genre_budget_roi_recommendable"]
     perf = models["fact_movie_performance"]
     roi = models["fact_movie_roi_analysis"]
@@ -147,21 +145,17 @@ def business_rule_suite(models: dict[str, DataFrame], scope) -> DataFrame:
     positive = F.col("budget").isNotNull() & (F.col("budget") > 0)
     expected_pct = F.round(((F.col("revenue") - F.col("budget")) / F.col("budget").cast("double") * 100)
                            .cast("decimal(38,10)"), 2).cast("double")
-    return run_suite([
-        Check("test_fact_genre_budget_roi_recommendable_min_sample",
-              predicate_failures(rec, F.col("movie_count") < K.MIN_SEGMENT_SAMPLE)),
-        Check("test_fact_movie_performance_budget_quartile_consistency",
-              predicate_failures(perf, (positive & F.col("budget_quartile").isNull())
-                                 | (~F.coalesce(positive, F.lit(False)) & F.col("budget_quartile").isNotNull()))),
-        Check("test_fact_movie_roi_analysis_profit_consistency",
-              predicate_failures(roi, ~F.col("profit").eqNullSafe(F.col("revenue") - F.col("budget")))),
-        Check("test_fact_movie_roi_analysis_roi_pct_consistency",
-              predicate_failures(roi, (F.col("budget") > 0) & ~F.col("roi_pct").eqNullSafe(expected_pct))),
-        Check("test_stg_movies_roi_eligible_flag_consistency",
-              predicate_failures(elig, ~(
-                  F.col("is_budget_reported") & F.col("is_revenue_reported") & F.col("is_roi_eligible")
-                  & (F.col("budget") >= scope.min_budget) & (F.col("revenue") >= scope.min_revenue)))),
-    ])
+    return run_rules({
+        "test_fact_genre_budget_roi_recommendable_min_sample": (rec, F.col("movie_count") < K.MIN_SEGMENT_SAMPLE),
+        "test_fact_movie_performance_budget_quartile_consistency": (
+            perf, (positive & F.col("budget_quartile").isNull())
+            | (~F.coalesce(positive, F.lit(False)) & F.col("budget_quartile").isNotNull())),
+        "test_fact_movie_roi_analysis_profit_consistency": (roi, ~F.col("profit").eqNullSafe(F.col("revenue") - F.col("budget"))),
+        "test_fact_movie_roi_analysis_roi_pct_consistency": (roi, (F.col("budget") > 0) & ~F.col("roi_pct").eqNullSafe(expected_pct)),
+        "test_stg_movies_roi_eligible_flag_consistency": (
+            elig, ~(F.col("is_budget_reported") & F.col("is_revenue_reported") & F.col("is_roi_eligible")
+                    & (F.col("budget") >= scope.min_budget) & (F.col("revenue") >= scope.min_revenue))),
+    })
 
 
 def cleaning_count_checks(silver_movies: DataFrame, silver_ratings: DataFrame,

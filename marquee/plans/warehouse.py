@@ -303,6 +303,10 @@ class Warehouse:
         return {n: replace_path(getattr(self, n), f"{target_dir.rstrip('/')}/{layer}/{n}")
                 for layer, names in self.LAYERS.items() for n in names}
 
+    def written(self, paths: dict[str, str]) -> dict[str, DataFrame]:
+        """The tables that ``write_all`` wrote, by name."""
+        return {n: self.raw.movies_main.sparkSession.read.parquet(p) for n, p in paths.items()}
+
     @staticmethod
     def catalog_reliability_df(df: DataFrame, by=None) -> DataFrame:
         return segments.catalog_reliability(df, by)

@@ -161,14 +161,17 @@ def replace_path(df: DataFrame, path: str, validate=None) -> str:
 
 
 def write_layer(df: DataFrame, name: str, materialized: str = "table", path: str | None = None) -> DataFrame:
-    """Staging models as (lazy) temp views, marts as tables/Parquet."""
+    """Staging models as (lazy) temp views; marts as versioned Parquet below
+    ``path``, or as a versioned table behind a view.  Readers keep the last good
+    version if a run fails."""
     if materialized == "view":
         df.createOrReplaceTempView(name)
         return df
     if path:
-        df.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.parquet(path)
-    df.write.mode("overwrite").saveAsTable(name)
+        from marquee.sources import publish
+        publish.publish(df, path, publish.sound(may_be_empty=True))
+        return publish.current(df.sparkSession, path)
+    safe_reload(df, name)
     return df.sparkSession.table(name)
 
 

@@ -43,6 +43,17 @@ def test_write_layer_view_and_table(spark, movies):
     io.write_layer(movies, "stg_view_test", "view")
     assert spark.table("stg_view_test").count() == 2
     assert io.write_layer(movies, "mart_table_test", "table").count() == 2
+    assert io.write_layer(movies.where("id = '1'"), "mart_table_test", "table").count() == 1
+
+
+def test_a_layer_survives_a_failed_run(spark, movies, tmp_path):
+    path = str(tmp_path / "mart")
+    assert io.write_layer(movies, "mart", path=path).count() == 2
+    with pytest.raises(Exception, match="broken"):
+        io.write_layer(movies.withColumn("title", F.raise_error(F.lit("broken"))), "mart", path=path)
+    from marquee.sources import publish
+    assert publish.current(spark, path).count() == 2
+    assert io.write_layer(movies.limit(0), "mart", path=path).count() == 0
 
 
 def test_incremental_ingest_exactly_once(spark, movies):

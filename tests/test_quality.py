@@ -33,3 +33,11 @@ def test_count_check_totals(spark):
     one = lambda **m: spark.createDataFrame([tuple(m.values())], ", ".join(f"{k} long" for k in m))
     checks = expected_count_checks({"a": one(x=0, y=3, z=0), "b": one(x=1)})
     assert {r.dataset: (r.passed, r.warned) for r in count_check_totals(checks).collect()} == {"a": (2, 1), "b": (0, 1)}
+
+
+def test_rules_of_a_model_share_a_scan(spark):
+    a = spark.createDataFrame([(1, None), (2, 5), (3, 7)], "k int, v int")
+    b = spark.createDataFrame([], "k int")
+    out = quality.run_rules({"low": (a, F.col("v") < 6), "gone": (b, F.col("k") > 0), "unknown": (a, ~F.col("v").eqNullSafe(5))})
+    assert {r.test_name: (r.failures, r.status) for r in out.collect()} == {"low": (1, "fail"), "gone": (0, "pass"), "unknown": (2, "fail")}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") + out._jdf.queryExecution().optimizedPlan().toString().count("LocalRelation") <= 2
