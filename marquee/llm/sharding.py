@@ -6,13 +6,18 @@ by counting: each round counts the exact bytes and rows in sub-intervals of
 the intervals that still hold a wanted splitter, and narrows these down until
 the bytes on both sides are within the tolerance of their target.  Then each
 row's shard and slot are known from the counts, and the rows move once.
+
+Rows that share a key with more bytes than fit beside a splitter are numbered,
+partition by partition, and cut by their number.
 """
 
 from __future__ import annotations
 
+import json
+from bisect import bisect_left
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .util import materialize, shuffle_partitions
@@ -48,46 +53,101 @@ class Interval:
     rows: int
 
 
-def find_splitters(keys: DataFrame, n: int, tolerance: int = 0) -> tuple[list[int], list[int], int, int]:
-    """(splitters, rows up to each, rounds, all bytes) for ``n`` near equal ranges.
+@dataclass
+class Tie:
+    """A key that one or more splitters cut: its rows are dealt by number."""
+
+    below_bytes: int
+    size: int
+    rows: int
+
+
+@dataclass
+class Splitters:
+    """Of ``n`` ranges: the last key of each but the last, the rows up to it,
+    the keys that are cut, the rounds taken and the bytes of all rows."""
+
+    n: int
+    keys: list[int]
+    rows_up_to: list[int]
+    ties: dict[int, Tie]
+    rounds: int
+    all_bytes: int
+
+
+def small_table(spark: SparkSession, schema: str, rows: list[list[int]]) -> DataFrame:
+    """A few rows of the driver's as a table."""
+    names = [c.split()[0] for c in schema.split(", ")]
+    text = json.dumps([dict(zip(names, r, strict=True)) for r in rows])
+    return spark.range(1, numPartitions=1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{schema.replace(' long', ':bigint')}>>")))
+
+
+def targets_upto(x: Column, n: int, total: int) -> Column:
+    """How many of the targets ceil(i * total / n) are at most ``x`` bytes."""
+    product = x.cast("decimal(25,0)") * F.lit(n).cast("decimal(10,0)")
+    return F.call_function("div", product, F.lit(total).cast("decimal(25,0)"))
+
+
+def find_splitters(keys: DataFrame, n: int, tolerance: int = 0) -> Splitters:
+    """Splitters of ``n`` near equal ranges of ``keys`` (key and size).
 
-    ``keys`` has key and size.  Splitter i is the last key of range i: up to
-    it lie at least i/n of all bytes, less without its own row, or no more than
-    ``tolerance`` bytes from that.  The driver holds at most n - 1 intervals and,
-    in a round, 2**ROUND_BITS counts for each."""
+    Splitter i is the last key of range i: up to it lie at least i/n of all
+    bytes, less without its own row, or no more than ``tolerance`` bytes from
+    that.  The counts of a round stay in Spark; the driver holds at most n - 1
+    intervals, and a round returns the n - 1 bins at most that hold a target."""
+    spark = keys.sparkSession
     total = keys.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("s"), F.count("*").alias("n")).first()
     all_bytes, all_rows = int(total.s), int(total.n)
     targets = [(i * all_bytes + n - 1) // n for i in range(1, n)]
     at = [Interval(0, KEY_BITS, 0, 0, all_bytes, all_rows) for _ in targets]
     rounds = 0
     while True:
-        open_ = {(x.lo, x.bits) for x in at if x.bits > 0 and x.rows > 1 and x.size > tolerance}
+        open_ = {(x.lo, x.bits): x for x in at if x.bits > 0 and x.rows > 1 and x.size > tolerance}
         if not open_:
             break
         rounds += 1
         bits = max(b for _, b in open_)  # all open intervals are equally wide
         step = max(0, bits - ROUND_BITS)
-        part = keys
-        if bits < KEY_BITS:
-            part = keys.where(F.shiftright("key", bits).isin([lo >> bits for lo, _ in open_]))
-        found = part.groupBy(F.shiftright("key", step).alias("b")).agg(F.sum("size").alias("s"), F.count("*").alias("n")).collect()
-        inside: dict[int, list] = {}
-        for r in sorted(found, key=lambda r: r.b):
-            inside.setdefault((r.b << step) >> bits, []).append(r)
+        intervals = small_table(spark, "interval long, below_bytes long, below_rows long", [[x.lo >> bits, x.below_bytes, x.below_rows] for x in open_.values()])
+        bins = (keys.withColumn("interval", F.shiftright("key", bits) if bits < KEY_BITS else F.lit(0).cast("long")).join(F.broadcast(intervals), "interval")
+                .groupBy("interval", "below_bytes", "below_rows", F.shiftright("key", step).alias("bin")).agg(F.sum("size").alias("size"), F.count("*").alias("rows")))
+        smaller = Window.partitionBy("interval").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)  # 2**ROUND_BITS bins at most
+        bins = bins.withColumns({"before": F.col("below_bytes") + F.coalesce(F.sum("size").over(smaller), F.lit(0)), "rows_before": F.col("below_rows") + F.coalesce(F.sum("rows").over(smaller), F.lit(0))})
+        crossed = bins.where(targets_upto(F.col("before"), n, all_bytes) < targets_upto(F.col("before") + F.col("size"), n, all_bytes)).select("interval", "bin", "before", "rows_before", "size", "rows").collect()
+        found = sorted(crossed, key=lambda r: r.bin)
+        ends = [r.before + r["size"] for r in found]
         for i, x in enumerate(at):
-            if (x.lo, x.bits) not in open_:
-                continue
-            below, below_rows = x.below_bytes, x.below_rows
-            for r in inside[x.lo >> bits]:
-                if below + r.s >= targets[i]:
-                    at[i] = Interval(r.b << step, step, below, below_rows, int(r.s), int(r.n))
-                    break
-                below, below_rows = below + int(r.s), below_rows + int(r.n)
-    splitters, rows_up_to = [], []
-    for x in at:  # the crossing interval goes to the left range
-        splitters.append(x.lo + (1 << x.bits) - 1)
-        rows_up_to.append(x.below_rows + x.rows)
-    return splitters, rows_up_to, rounds, all_bytes
+            if (x.lo, x.bits) in open_:
+                r = found[bisect_left(ends, targets[i])]
+                at[i] = Interval(r.bin << step, step, r.before, r.rows_before, int(r["size"]), int(r.rows))
+    last, rows_up_to, ties = [], [], {}
+    for i, x in enumerate(at):
+        last.append(x.lo + (1 << x.bits) - 1)
+        if x.bits == 0 and x.rows > 1 and x.size > tolerance:
+            ties[x.lo] = Tie(x.below_bytes, x.size, x.rows)
+            rows_up_to.append(x.below_rows - (x.below_bytes - targets[i]) * x.rows // x.size)  # rows that begin before the target, rounded up
+        else:
+            rows_up_to.append(x.below_rows + x.rows)  # the crossing interval goes to the left range
+    return Splitters(n, last, rows_up_to, ties, rounds, all_bytes)
+
+
+def number_ties(rows: DataFrame, cuts: Splitters) -> DataFrame:
+    """The rows of the cut keys with their range, ``__op_piece``.
+
+    They are written once with the place they had, so that a retry numbers them
+    alike, then counted by key and partition; the numbers follow from the counts."""
+    spark = rows.sparkSession
+    ties = small_table(spark, "__op_key long, __op_below long, __op_bytes long, __op_rows long", [[k, t.below_bytes, t.size, t.rows] for k, t in cuts.ties.items()])
+    placed = materialize(rows.join(F.broadcast(ties), "__op_key").withColumn("__op_at", F.monotonically_increasing_id()), "shard-ties")
+    placed = placed.withColumn("__op_part", F.shiftright("__op_at", 33))
+    counts = placed.groupBy("__op_key", "__op_part").agg(F.count("*").alias("__op_n"))
+    earlier = Window.partitionBy("__op_key").orderBy("__op_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    counts = counts.select("__op_key", "__op_part", F.coalesce(F.sum("__op_n").over(earlier), F.lit(0)).alias("__op_first"))
+    within = F.row_number().over(Window.partitionBy("__op_key", "__op_part").orderBy("__op_at")) - 1
+    numbered = placed.withColumn("__op_row", within).join(counts, ["__op_key", "__op_part"]).withColumn("__op_row", F.col("__op_row") + F.col("__op_first"))
+    begin = F.expr("__op_below + cast(cast(__op_row as decimal(19,0)) * cast(__op_bytes as decimal(19,0)) div __op_rows as long)")
+    piece = targets_upto(begin, cuts.n, cuts.all_bytes).cast("int")
+    return numbered.withColumn("__op_piece", piece).drop("__op_below", "__op_bytes", "__op_rows", "__op_at", "__op_part", "__op_first", "__op_row")
 
 
 def range_of(key: Column, splitters: list[int]) -> Column:
@@ -109,25 +169,28 @@ def histogram_shards(docs: DataFrame, shards: int = 40, tolerance: int = 0, piec
     Each shard is dealt to several tasks (``pieces`` ranges, by default enough
     for the session's shuffle partitions), so none sorts a whole shard.
 
-    Null doc_id or text: keyed and sized like any row (size 16).  Equal rows
-    (same id and text) share a key and stay together; their slots are
-    interchangeable.  Empty table: no rows.  Other columns stay, but for those
-    named like an added one, which are replaced."""
+    Null doc_id or text: keyed and sized like any row (size 16); very long
+    texts are rows like others.  Equal rows (same id and text) share a key and
+    are neighbours; where a shard ends among them they are cut by number, and
+    which of them lies where is open, as they are equal.  Empty table: no rows.
+    Other columns stay, but for those named like an added one, which are replaced."""
     spark = docs.sparkSession
     added = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
     docs = docs.drop(*[c for c in docs.columns if c.lower() in added])
     keyed = docs.withColumns({"size": size_bytes(F.col("text")), "text_crc32": text_crc32(F.col("text")), "__op_key": shard_key(F.col("doc_id"), F.col("text"))})
     keys = materialize(keyed.select(F.col("__op_key").alias("key"), "size"), "shard-keys")
     n = shards * max(1, pieces if pieces else -(-shuffle_partitions(spark) // shards))
-    splitters, up_to, _, _ = find_splitters(keys, n, tolerance)
-    starts = [0, *up_to]
+    cuts = find_splitters(keys, n, tolerance)
+    starts = [0, *cuts.rows_up_to]
     per = n // shards
-    piece = range_of(F.col("__op_key"), splitters)
+    dealt = keyed.withColumn("__op_piece", range_of(F.col("__op_key"), cuts.keys))
+    if cuts.ties:
+        tied = F.col("__op_key").isin(list(cuts.ties))
+        dealt = dealt.where(~tied).unionByName(number_ties(keyed.where(tied), cuts).select(*dealt.columns))
     # rows of a shard before each of its pieces, known from the counts
     offset = F.element_at(F.array(*[F.lit(starts[p] - starts[p - p % per]).cast("long") for p in range(n)]), F.col("__op_piece") + 1)
     w = Window.partitionBy("__op_piece").orderBy("__op_key", "doc_id")
-    return (keyed.withColumn("__op_piece", piece)
-            .withColumn("slot", (F.row_number().over(w) - 1).cast("long") + offset)
+    return (dealt.withColumn("slot", (F.row_number().over(w) - 1).cast("long") + offset)
             .withColumn("shard", F.floor(F.col("__op_piece") / per).cast("int"))
             .withColumn("law", F.lit("bytes"))
             .withColumn("grown_shard", F.lit(None).cast("int"))

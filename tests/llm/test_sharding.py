@@ -32,21 +32,46 @@ def test_splitters_against_sorted_sums(spark):
     keys = np.concatenate([rng.integers(0, 1 << 62, 500), np.full(250, 12345), [(1 << 63) - 1, 0]])
     size = rng.integers(1, 1000, len(keys))
     df = spark.createDataFrame([(int(k), int(s)) for k, s in zip(keys, size)], "key long, size long")
-    got, up_to, rounds, total = S.find_splitters(df, 7)
+    cuts = S.find_splitters(df, 7)
     order = np.argsort(keys, kind="stable")
     below = np.cumsum(size[order])
-    for i, (g, n) in enumerate(zip(got, up_to), 1):
-        first = int(np.searchsorted(below, -(-i * total // 7)))  # row that reaches the target
-        assert g >= keys[order][first] and n == int((keys <= g).sum())
-        assert not ((keys > keys[order][first]) & (keys <= g)).any()
-    assert 1 < rounds <= 6
+    for i, (g, n) in enumerate(zip(cuts.keys, cuts.rows_up_to), 1):
+        target = -(-i * cuts.all_bytes // 7)
+        first = int(np.searchsorted(below, target))  # row that reaches the target
+        assert g >= keys[order][first] and not ((keys > keys[order][first]) & (keys <= g)).any()
+        if g == 12345:
+            tie = cuts.ties[g]
+            assert (tie.rows, tie.size, tie.below_bytes) == (250, int(size[keys == g].sum()), int(size[keys < g].sum()))
+            assert n == int((keys < g).sum()) + sum(tie.below_bytes + r * tie.size // tie.rows < target for r in range(250))
+        else:
+            assert n == int((keys <= g).sum())
+    assert 1 < cuts.rounds <= 6 and list(cuts.ties) == [12345]
 
 
 def test_tolerance_needs_no_more_rounds(spark):
     df = spark.range(3000).select(F.abs(F.xxhash64("id")).alias("key"), F.lit(10).cast("long").alias("size"))
-    got, up_to, rounds, _ = S.find_splitters(df, 4, tolerance=2000)
-    assert rounds <= S.find_splitters(df, 4)[2]
-    assert all(abs(n - 750 * i) <= 200 for i, n in enumerate(up_to, 1))
+    cuts = S.find_splitters(df, 4, tolerance=2000)
+    assert cuts.rounds <= S.find_splitters(df, 4).rounds
+    assert all(abs(n - 750 * i) <= 200 for i, n in enumerate(cuts.rows_up_to, 1))
+
+
+def test_equal_rows_are_split_by_number(spark):
+    """A third of the rows are equal in id and text, another group lacks an id."""
+    same = [(7, "one row many times")] * 200 + [(None, "copies without an id " * 9)] * 150 + [(i, f"other {i}") for i in range(250)]
+    for df in (docs(spark, same, extra=True), docs(spark, same).repartition(9)):
+        rows = check(S.histogram_shards(df, 8, pieces=3), 8)
+        assert len(rows) == 600 and len({(r.shard, r.slot) for r in rows}) == 600
+        assert len({r.shard for r in rows if r.doc_id is None}) >= 4
+    assert len(check(S.histogram_shards(docs(spark, same[:200]), 5), 5)) == 200
+
+
+def test_a_round_returns_few_rows(spark, monkeypatch):
+    seen = []
+    real = type(spark.range(1)).collect
+    monkeypatch.setattr(type(spark.range(1)), "collect", lambda df: seen.append(real(df)) or seen[-1])
+    keys = spark.range(20_000).select(F.abs(F.xxhash64("id")).alias("key"), F.lit(10).cast("long").alias("size"))
+    cuts = S.find_splitters(keys, 50)
+    assert len(seen) == cuts.rounds + 1 and all(len(rows) <= 50 for rows in seen)
 
 
 def test_edges(spark):
