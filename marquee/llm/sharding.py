@@ -108,9 +108,12 @@ def find_splitters(keys: DataFrame, n: int, tolerance: int = 0) -> Splitters:
         rounds += 1
         bits = max(b for _, b in open_)  # all open intervals are equally wide
         step = max(0, bits - ROUND_BITS)
-        intervals = small_table(spark, "interval long, below_bytes long, below_rows long", [[x.lo >> bits, x.below_bytes, x.below_rows] for x in open_.values()])
-        bins = (keys.withColumn("interval", F.shiftright("key", bits) if bits < KEY_BITS else F.lit(0).cast("long")).join(F.broadcast(intervals), "interval")
-                .groupBy("interval", "below_bytes", "below_rows", F.shiftright("key", step).alias("bin")).agg(F.sum("size").alias("size"), F.count("*").alias("rows")))
+        if bits == KEY_BITS:  # one interval, of all keys
+            part = keys.withColumns({c: F.lit(0).cast("long") for c in ("interval", "below_bytes", "below_rows")})
+        else:
+            intervals = small_table(spark, "interval long, below_bytes long, below_rows long", [[x.lo >> bits, x.below_bytes, x.below_rows] for x in open_.values()])
+            part = keys.withColumn("interval", F.shiftright("key", bits)).join(F.broadcast(intervals), "interval")
+        bins = part.groupBy("interval", "below_bytes", "below_rows", F.shiftright("key", step).alias("bin")).agg(F.sum("size").alias("size"), F.count("*").alias("rows"))
         smaller = Window.partitionBy("interval").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)  # 2**ROUND_BITS bins at most
         bins = bins.withColumns({"before": F.col("below_bytes") + F.coalesce(F.sum("size").over(smaller), F.lit(0)), "rows_before": F.col("below_rows") + F.coalesce(F.sum("rows").over(smaller), F.lit(0))})
         crossed = bins.where(targets_upto(F.col("before"), n, all_bytes) < targets_upto(F.col("before") + F.col("size"), n, all_bytes)).select("interval", "bin", "before", "rows_before", "size", "rows").collect()
