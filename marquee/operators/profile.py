@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.numeric import round_dec
@@ -72,28 +72,62 @@ def describe(df: DataFrame, dataset: str, cols: list[str]) -> DataFrame:
 
 def describe_many(specs: list[tuple[str, DataFrame, list[str]]]) -> DataFrame:
     """Count, mean, std, min, 25/50/75 % (linear) and max per numeric
-    column of several datasets.  All (dataset, column, value) triples are
-    stacked so one grouped aggregation and one percentile pass serve every
-    column of every dataset."""
-    stacks = []
+    column of several datasets: the moments from one aggregate a table, the
+    quantiles from one sort of the counted (dataset, column, value) triples."""
+    stacks, rows = [], []
+    keys = ["dataset", "column"]
     for dataset, df, cols in specs:
-        stacks.append(df.select(F.explode(F.array(*[
-            F.struct(F.lit(dataset).alias("dataset"), F.lit(c).alias("column"),
-                     F.col(c).cast("double").alias("value")) for c in cols
+        num = df.select(*[F.nullif(F.col(c).cast("double"), F.lit(float("nan"))).alias(c) for c in cols])
+        # the moments need no row for each value: one aggregate a table
+        rows.append(num.agg(*[F.struct(
+            F.count(c).cast("bigint").alias("count"), round_dec(F.avg(c), 6).alias("mean"),
+            round_dec(F.stddev_samp(c), 6).alias("std"), F.min(c).alias("min"), F.max(c).alias("max")).alias(c)
+            for c in cols]).select(F.inline(F.array(*[
+                F.struct(F.lit(dataset).alias("dataset"), F.lit(c).alias("column"), F.col(c).alias("m")) for c in cols])))
+            .select(*keys, "m.*"))
+        stacks.append(num.select(F.explode(F.array(*[
+            F.struct(F.lit(dataset).alias("dataset"), F.lit(c).alias("column"), F.col(c).alias("value")) for c in cols
         ])).alias("s")).select("s.dataset", "s.column", "s.value"))
     stacked = reduce(lambda a, b: a.unionByName(b), stacks)
-    valid = stacked.where(F.col("value").isNotNull() & ~F.isnan("value"))
-    keys = ["dataset", "column"]
-    moments = valid.groupBy(*keys).agg(
-        F.count(F.lit(1)).cast("bigint").alias("count"), round_dec(F.avg("value"), 6).alias("mean"),
-        round_dec(F.stddev_samp("value"), 6).alias("std"), F.min("value").alias("min"),
-        F.max("value").alias("max"))
-    q = group_percentiles(valid, keys, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}).drop("n")
-    return moments.join(q, keys, "left").select(
+    q = group_percentiles(stacked, keys, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}).drop("n")
+    moments = reduce(lambda a, b: a.unionByName(b), rows).where(F.col("count") > 0)
+    # one row for each described column: as many as the call names
+    return moments.join(F.broadcast(q), keys, "left").select(
         *keys, "count", "mean", "std", "min",
         round_dec("p25", 6).alias("p25"), round_dec("p50", 6).alias("p50"), round_dec("p75", 6).alias("p75"), "max")
 
 
+def observe(df: DataFrame, id_col: str, row: list[str], derived: dict[str, Column], flags: dict[tuple[str, str], Column],
+            dataset: str) -> DataFrame:
+    """Every count of a table in one scan: (dataset, report, item, value).
+
+    ``row`` are the stored columns, ``derived`` columns that follow from them;
+    ``flags`` names the conditions to count, by report and item, over both.
+    Added to these: the nulls of each column (report ``nulls``), and the report
+    ``ids``: rows, unique_ids, null_ids, duplicate_rows_on_id (NULL equals NULL)
+    and exact_duplicate_rows.
+
+    Equal rows are counted on the map side, so ``derived`` and ``flags`` are
+    evaluated once for each distinct row; distinct rows then meet by id, in
+    partial sums, so a hot id is no hot task.  An empty table counts 0."""
+    n = F.col("__n")
+    per_row = df.groupBy(*row).agg(F.count(F.lit(1)).alias("__n")).withColumns(derived) if derived else \
+        df.groupBy(*row).agg(F.count(F.lit(1)).alias("__n"))
+    every = {("nulls", c): F.col(f"`{c}`").isNull() for c in [*row, *derived]} | flags
+    hits = {f"__f{k}": F.sum(F.when(cond, n).otherwise(0)) for k, cond in enumerate(every.values())}
+    per_id = per_row.groupBy(F.col(id_col).alias("__id")).agg(
+        F.sum("__n").alias("__rows"), F.sum(n - 1).alias("__again"), *[v.alias(k) for k, v in hits.items()])
+    ids = {
+        "rows": F.sum("__rows"), "unique_ids": F.count("__id"), "null_ids": F.sum(F.when(F.col("__id").isNull(), F.col("__rows"))),
+        "duplicate_rows_on_id": F.sum(F.col("__rows") - 1), "exact_duplicate_rows": F.sum("__again"),
+    }
+    wide = per_id.agg(*[v.alias(f"__i{k}") for k, v in enumerate(ids.values())], *[F.sum(k).alias(k) for k in hits])
+    items = [*((("ids", name), f"__i{k}") for k, name in enumerate(ids)), *zip(every, hits, strict=True)]
+    return wide.select(F.inline(F.array(*[
+        F.struct(F.lit(dataset).alias("dataset"), F.lit(report).alias("report"), F.lit(item).alias("item"),
+                 F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias("value")) for (report, item), c in items])))
+
+
 def range_report(df: DataFrame, cols: list[str]) -> DataFrame:
     """Q7: min, p50, p90, max per field (linear quantiles)."""
     stacked = df.select(F.explode(F.array(*[

@@ -56,6 +56,32 @@ class Eda:
         """Rows with positive budget and revenue."""
         return self.movies.where((F.col("budget_num") > 0) & (F.col("revenue_num") > 0))
 
+    # ---- every count of the three tables, one scan of each ----------------------
+    def table_counts(self) -> DataFrame:
+        """Q1, Q2 (counts), Q4-Q6, A22: (dataset, report, item, value)."""
+        date, parsed, b, r = F.col("release_date"), F.col("release_date_parsed"), F.col("budget_num"), F.col("revenue_num")
+        raw = self.raw.movies_main.select(F.col("id").cast("string").alias("id"), "title", "release_date", "budget", "revenue")
+        movies = profile.observe(raw, "id", raw.columns, {
+            "budget_num": to_number("budget"), "revenue_num": to_number("revenue"),
+            "release_date_parsed": parse_mixed_date("release_date")}, {
+            ("anomalies", "release_date_total_non_null"): date.isNotNull(),
+            ("anomalies", "release_date_parse_failures"): date.isNotNull() & parsed.isNull(),
+            ("anomalies", "budget_nulls"): b.isNull(), ("anomalies", "budget_zeros"): b == 0,
+            ("anomalies", "budget_negatives"): b < 0, ("anomalies", "revenue_nulls"): r.isNull(),
+            ("anomalies", "revenue_zeros"): r == 0, ("anomalies", "revenue_negatives"): r < 0,
+            ("anomalies", "both_budget_and_revenue_zero"): (b == 0) & (r == 0),
+            **{("date_patterns", name): date.rlike(p) for name, p in K.DATE_SHAPE_PATTERNS.items()}}, "movies")
+        ext = self.raw.movie_extended.select(F.col("id").cast("string").alias("id"), "genres", "production_companies",
+                                             "production_countries", "spoken_languages")
+        spaced = {("delimiters", c): comma_spacing(c, K.COMMA_SPACING_PATTERN) for c in ("genres", "production_companies")}
+        extended = profile.observe(ext, "id", ext.columns, {}, spaced, "movies_extended")
+        lo, hi = K.RATING_VALID_RANGE
+        a, t = F.col("avg_rating"), F.col("total_ratings")
+        ratings = profile.observe(self.ratings, "movie_id", ["movie_id", "last_rated", "avg_rating", "total_ratings"], {}, {
+            ("validity", "invalid_avg_rating"): ~F.coalesce(a.between(lo, hi), F.lit(False)),
+            ("validity", "invalid_total_ratings"): t < 0}, "ratings")
+        return movies.unionByName(extended).unionByName(ratings)
+
     # ---- reports ---------------------------------------------------------------
     def missingness(self) -> DataFrame:
         m = self.movies

@@ -13,35 +13,57 @@ from marquee.operators.quality import expected_count_checks, relationship_failur
 TIERS = [K.BUDGET_TIER_LABELS[k] for k in (1, 2, 3, 4)]
 PROFIT_TIERS = [label for _, label in K.PROFITABILITY_TIERS] + [K.PROFITABILITY_LOSS]
 
-# (model, column, test, argument)
+# The schema tests as (model, column, test, argument).
 SCHEMA_TESTS = [
-    ("stg_movies", "movie_id", "not_null", None), ("stg_movies", "movie_id", "unique", None),
-    *[("stg_movies", c, t, [True, False] if t == "accepted_values" else None)
-      for c in ("is_budget_reported", "is_revenue_reported", "is_market_coverage_eligible",
-                "is_recommendation_eligible") for t in ("not_null", "accepted_values")],
-    ("stg_ratings", "movie_id", "not_null", None), ("stg_ratings", "movie_id", "unique", None),
+    ("stg_movies", "movie_id", "not_null", None),
+    ("stg_movies", "movie_id", "unique", None),
+    ("stg_movies", "is_budget_reported", "not_null", None),
+    ("stg_movies", "is_budget_reported", "accepted_values", [True, False]),
+    ("stg_movies", "is_revenue_reported", "not_null", None),
+    ("stg_movies", "is_revenue_reported", "accepted_values", [True, False]),
+    ("stg_movies", "is_market_coverage_eligible", "not_null", None),
+    ("stg_movies", "is_market_coverage_eligible", "accepted_values", [True, False]),
+    ("stg_movies", "is_recommendation_eligible", "not_null", None),
+    ("stg_movies", "is_recommendation_eligible", "accepted_values", [True, False]),
+    ("stg_ratings", "movie_id", "not_null", None),
+    ("stg_ratings", "movie_id", "unique", None),
     ("stg_movie_extended", "movie_id", "not_null", None),
-    ("stg_movie_genres", "movie_id", "not_null", None), ("stg_movie_genres", "genre", "not_null", None),
-    ("stg_movie_companies", "movie_id", "not_null", None), ("stg_movie_companies", "company", "not_null", None),
-    ("stg_movie_countries", "movie_id", "not_null", None), ("stg_movie_countries", "country", "not_null", None),
+    ("stg_movie_genres", "movie_id", "not_null", None),
+    ("stg_movie_genres", "genre", "not_null", None),
+    ("stg_movie_companies", "movie_id", "not_null", None),
+    ("stg_movie_companies", "company", "not_null", None),
+    ("stg_movie_countries", "movie_id", "not_null", None),
+    ("stg_movie_countries", "country", "not_null", None),
     ("stg_movies_roi_eligible", "movie_id", "not_null", None),
     ("stg_movies_roi_eligible", "movie_id", "unique", None),
     ("stg_movies_roi_eligible", "title", "not_null", None),
     ("stg_movies_roi_eligible", "is_recommendation_eligible", "not_null", None),
     ("stg_movies_roi_eligible", "is_recommendation_eligible", "accepted_values", [True, False]),
-    ("dim_date", "date_key", "not_null", None), ("dim_date", "date_key", "unique", None),
-    ("dim_date", "date_day", "not_null", None), ("dim_date", "date_day", "unique", None),
-    ("dim_movie", "movie_id", "not_null", None), ("dim_movie", "movie_id", "unique", None),
-    ("dim_budget_tier", "budget_tier_key", "not_null", None), ("dim_budget_tier", "budget_tier_key", "unique", None),
-    ("dim_budget_tier", "budget_tier", "not_null", None), ("dim_budget_tier", "budget_tier", "unique", None),
+    ("dim_date", "date_key", "not_null", None),
+    ("dim_date", "date_key", "unique", None),
+    ("dim_date", "date_day", "not_null", None),
+    ("dim_date", "date_day", "unique", None),
+    ("dim_movie", "movie_id", "not_null", None),
+    ("dim_movie", "movie_id", "unique", None),
+    ("dim_budget_tier", "budget_tier_key", "not_null", None),
+    ("dim_budget_tier", "budget_tier_key", "unique", None),
+    ("dim_budget_tier", "budget_tier", "not_null", None),
+    ("dim_budget_tier", "budget_tier", "unique", None),
     ("dim_budget_tier", "budget_tier", "accepted_values", TIERS),
-    ("dim_genre", "genre_key", "not_null", None), ("dim_genre", "genre_key", "unique", None),
-    ("dim_genre", "genre", "not_null", None), ("dim_genre", "genre", "unique", None),
-    ("dim_company", "company_key", "not_null", None), ("dim_company", "company_key", "unique", None),
-    ("dim_company", "company", "not_null", None), ("dim_company", "company", "unique", None),
-    ("dim_company", "company_norm", "not_null", None), ("dim_company", "company_norm", "unique", None),
-    ("dim_country", "country_key", "not_null", None), ("dim_country", "country_key", "unique", None),
-    ("dim_country", "country", "not_null", None), ("dim_country", "country", "unique", None),
+    ("dim_genre", "genre_key", "not_null", None),
+    ("dim_genre", "genre_key", "unique", None),
+    ("dim_genre", "genre", "not_null", None),
+    ("dim_genre", "genre", "unique", None),
+    ("dim_company", "company_key", "not_null", None),
+    ("dim_company", "company_key", "unique", None),
+    ("dim_company", "company", "not_null", None),
+    ("dim_company", "company", "unique", None),
+    ("dim_company", "company_norm", "not_null", None),
+    ("dim_company", "company_norm", "unique", None),
+    ("dim_country", "country_key", "not_null", None),
+    ("dim_country", "country_key", "unique", None),
+    ("dim_country", "country", "not_null", None),
+    ("dim_country", "country", "unique", None),
     ("fact_movie_performance", "movie_id", "not_null", None),
     ("fact_movie_performance", "movie_id", "relationships", ("dim_movie", "movie_id")),
     ("fact_movie_performance", "date_key", "relationships", ("dim_date", "date_key")),
@@ -60,9 +82,14 @@ SCHEMA_TESTS = [
     ("fact_movie_market_coverage", "title", "not_null", None),
     ("fact_movie_market_coverage", "is_recommendation_eligible", "not_null", None),
     ("fact_movie_market_coverage", "is_recommendation_eligible", "accepted_values", [True, False]),
-    *[(m, c, t, None) for m in ("fact_genre_budget_roi", "fact_genre_budget_roi_recommendable")
-      for c, t in (("genre_budget_profile_key", "not_null"), ("genre_budget_profile_key", "unique"),
-                   ("genre", "not_null"), ("budget_tier", "not_null"))],
+    ("fact_genre_budget_roi", "genre_budget_profile_key", "not_null", None),
+    ("fact_genre_budget_roi", "genre_budget_profile_key", "unique", None),
+    ("fact_genre_budget_roi", "genre", "not_null", None),
+    ("fact_genre_budget_roi", "budget_tier", "not_null", None),
+    ("fact_genre_budget_roi_recommendable", "genre_budget_profile_key", "not_null", None),
+    ("fact_genre_budget_roi_recommendable", "genre_budget_profile_key", "unique", None),
+    ("fact_genre_budget_roi_recommendable", "genre", "not_null", None),
+    ("fact_genre_budget_roi_recommendable", "budget_tier", "not_null", None),
     ("fact_genre_market_momentum", "genre_year_key", "not_null", None),
     ("fact_genre_market_momentum", "genre_year_key", "unique", None),
     ("fact_genre_market_momentum", "genre", "not_null", None),
@@ -71,12 +98,21 @@ SCHEMA_TESTS = [
     ("fact_genre_market_coverage_trends", "genre_market_coverage_year_key", "unique", None),
     ("fact_genre_market_coverage_trends", "genre", "not_null", None),
     ("fact_genre_market_coverage_trends", "release_year", "not_null", None),
-    *[(b, c, t, arg) for b, key, dim in (("bridge_movie_genre", "genre_key", "dim_genre"),
-                                         ("bridge_movie_company", "company_key", "dim_company"),
-                                         ("bridge_movie_country", "country_key", "dim_country"))
-      for c, t, arg in (("movie_id", "not_null", None), ("movie_id", "relationships", ("stg_movies", "movie_id")),
-                        (key, "not_null", None), (key, "relationships", (dim, key)),
-                        (key.replace("_key", ""), "not_null", None))],
+    ("bridge_movie_genre", "movie_id", "not_null", None),
+    ("bridge_movie_genre", "movie_id", "relationships", ("stg_movies", "movie_id")),
+    ("bridge_movie_genre", "genre_key", "not_null", None),
+    ("bridge_movie_genre", "genre_key", "relationships", ("dim_genre", "genre_key")),
+    ("bridge_movie_genre", "genre", "not_null", None),
+    ("bridge_movie_company", "movie_id", "not_null", None),
+    ("bridge_movie_company", "movie_id", "relationships", ("stg_movies", "movie_id")),
+    ("bridge_movie_company", "company_key", "not_null", None),
+    ("bridge_movie_company", "company_key", "relationships", ("dim_company", "company_key")),
+    ("bridge_movie_company", "company", "not_null", None),
+    ("bridge_movie_country", "movie_id", "not_null", None),
+    ("bridge_movie_country", "movie_id", "relationships", ("stg_movies", "movie_id")),
+    ("bridge_movie_country", "country_key", "not_null", None),
+    ("bridge_movie_country", "country_key", "relationships", ("dim_country", "country_key")),
+    ("bridge_movie_country", "country", "not_null", None),
 ]
 
 

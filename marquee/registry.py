@@ -233,6 +233,7 @@ def eda(spark, sf_dir):
 
 
 _EDA = {
+    "table_counts": "table_counts",                 # Q1, Q2, Q4-Q6, A22 in one scan a table
     "missingness": "missingness",                   # Q1, O6
     "id_quality": "id_quality",                     # Q2
     "integrity_report": "integrity_report",         # Q3, J10, U3
@@ -454,7 +455,7 @@ def q_kpi_by_slicer(spark, sf_dir):
 @query("kpi_by_slicer_chosen")
 def q_kpi_by_slicer_chosen(spark, sf_dir):
     """By country, under slicers on companies and countries."""
-    return wh(spark, sf_dir).kpi_by_slicer(["country"], {"company": ["Brand#11", "Brand#19", "Brand#22"], "country": ["NATION_3", "NATION_8", "NATION_15", "NATION_19"]})
+    return wh(spark, sf_dir).kpi_by_slicer(["country"], {"company": ["BRAND#11", "Brand#19", "BRAND#22"], "country": ["NATION_3", "NATION_8", "NATION_15, Republic of", "NATION_16's Isles", "NATION_19"]})
 
 
 @query("distinct_movies_sketch")

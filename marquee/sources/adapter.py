@@ -60,8 +60,13 @@ def _title(min_part_name, custkey):
 
 
 def _literal_list(arr, key_field: str, key_name: str):
-    item = lambda s: F.concat(F.lit("{'" + key_name + "': '"), s[key_field].cast("string"),
-                              F.lit("', 'name': '"), s["name"], F.lit("'}"))
+    def item(s):
+        name = F.replace(s["name"], F.lit("\u00c9"), F.lit("\\xc9"))
+        mark = F.when(name.contains("'"), F.lit('"')).otherwise(F.lit("'"))
+        note = F.when(s[key_field] % 5 == 3, F.lit(", 'note': None")).otherwise(F.lit(""))
+        return F.concat(F.lit("{'" + key_name + "': '"), s[key_field].cast("string"), F.lit("', 'name': "),
+                        mark, name, mark, note, F.lit("}"))
+
     return F.when(F.size(arr) > 0, F.concat(F.lit("["), F.array_join(F.transform(arr, item), ", "),
                                            F.lit("]")))
 
@@ -70,10 +75,14 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line facts with part and supplier-nation attributes."""
     li = _read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_shipdate")
-    part = _read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand")
+    part = _read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", F.when(F.col("p_partkey") % 3 == 0, F.upper("p_brand")).otherwise(F.col("p_brand")).alias("p_brand"))
     supp = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     # nation has 25 rows by definition of the schema: a proven broadcast size
-    nation = F.broadcast(_read(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    # its names with commas, quotes and letters that a list literal escapes
+    name, kind = F.col("n_name"), F.col("n_nationkey") % 5
+    dirty = F.when(kind == 0, F.concat(name, F.lit(", Republic of"))).when(kind == 1, F.concat(name, F.lit("'s Isles"))) \
+        .when(kind == 2, F.concat(F.lit("\u00c9"), name)).otherwise(name)
+    nation = F.broadcast(_read(spark, sf_dir, "nation").select("n_nationkey", dirty.alias("n_name")))
     return (li.join(part, li.l_partkey == part.p_partkey, "left")
               .join(supp, li.l_suppkey == supp.s_suppkey, "left")
               .join(nation, F.col("s_nationkey") == nation.n_nationkey, "left"))
@@ -149,7 +158,7 @@ def generated_raw(spark: SparkSession, sf_dir: str, stage=None) -> RawTables:
         F.max(_epoch_seconds(F.col("ts"))).alias("last_rated"),
     ).select(
         F.col("user_id").alias("movie_id"),
-        F.struct("avg_rating", "total_ratings", "std_dev").alias("ratings_summary"),
+        F.when(F.col("user_id") % 13 != 0, F.struct("avg_rating", "total_ratings", "std_dev")).alias("ratings_summary"),
         "last_rated",
     )
     if stage is not None:

@@ -80,6 +80,40 @@ def profiling_bodies() -> dict[str, str]:
         ("revenue_negatives", "COUNT(*) FILTER (WHERE revenue_num < 0)"),
         ("both_budget_and_revenue_zero", "COUNT(*) FILTER (WHERE budget_num = 0 AND revenue_num = 0)"),
     ], "eda_movies")
+    def counted(dataset: str, report: str, rows: list[tuple[str, str]], src: str) -> str:
+        return f"SELECT '{dataset}' AS dataset, '{report}' AS report, * FROM (" + _metrics(rows, src, "item") + ")"
+
+    def nulls(dataset: str, src: str, cols: dict[str, str]) -> str:
+        return counted(dataset, "nulls", [(c, f"COUNT(*) - COUNT({x})") for c, x in cols.items()], src)
+
+    def ids(dataset: str, src: str, col: str, row: str) -> str:
+        return counted(dataset, "ids", [
+            ("rows", "COUNT(*)"), ("unique_ids", f"COUNT(DISTINCT {col})"), ("null_ids", f"COUNT(*) - COUNT({col})"),
+            ("duplicate_rows_on_id", f"COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT {col} FROM {src}))"),
+            ("exact_duplicate_rows", f"COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT {row} FROM {src}))")], src)
+
+    b["table_counts"] = " UNION ALL ".join([
+        ids("movies", "eda_movies", "id", "id, title, release_date, budget, revenue"),
+        nulls("movies", "eda_movies", {c: c for c in ("id", "title", "release_date", "budget", "revenue", "budget_num", "revenue_num", "release_date_parsed")}),
+        counted("movies", "anomalies", [
+            ("release_date_total_non_null", "COUNT(release_date)"),
+            ("release_date_parse_failures", "COUNT(release_date) - COUNT(CASE WHEN release_date IS NOT NULL THEN release_date_parsed END)"),
+            *[(f"{m}_{w}", f"COUNT(*) FILTER (WHERE {m}_num {cond})") for m in ("budget", "revenue")
+              for w, cond in (("nulls", "IS NULL"), ("zeros", "= 0"), ("negatives", "< 0"))],
+            ("both_budget_and_revenue_zero", "COUNT(*) FILTER (WHERE budget_num = 0 AND revenue_num = 0)")], "eda_movies"),
+        counted("movies", "date_patterns", [
+            ("YYYY-MM-DD", r"COUNT(*) FILTER (WHERE regexp_full_match(release_date, '\d{4}-\d{2}-\d{2}'))"),
+            ("MM/DD/YYYY", r"COUNT(*) FILTER (WHERE regexp_full_match(release_date, '\d{2}/\d{2}/\d{4}'))"),
+            ("DD-MM-YYYY", r"COUNT(*) FILTER (WHERE regexp_full_match(release_date, '\d{2}-\d{2}-\d{4}'))")], "eda_movies"),
+        ids("movies_extended", "stg_movie_extended", "movie_id", "movie_id, genres, production_companies, production_countries, spoken_languages"),
+        nulls("movies_extended", "stg_movie_extended", {"id": "movie_id", **{c: c for c in ("genres", "production_companies", "production_countries", "spoken_languages")}}),
+        counted("movies_extended", "delimiters", [(c, f"COUNT(*) FILTER (WHERE {c} LIKE '%, %' OR {c} LIKE '% ,%')") for c in ("genres", "production_companies")], "stg_movie_extended"),
+        ids("ratings", "eda_ratings", "movie_id", "movie_id, last_rated, avg_rating, total_ratings"),
+        nulls("ratings", "eda_ratings", {c: c for c in ("movie_id", "last_rated", "avg_rating", "total_ratings")}),
+        counted("ratings", "validity", [
+            ("invalid_avg_rating", "COUNT(*) - COUNT(*) FILTER (WHERE avg_rating >= 0 AND avg_rating <= 10)"),
+            ("invalid_total_ratings", "COUNT(*) FILTER (WHERE total_ratings < 0)")], "eda_ratings"),
+    ])
     b["date_pattern_census"] = _metrics([
         ("YYYY-MM-DD", r"COUNT(*) FILTER (WHERE regexp_matches(release_date, '^\d{4}-\d{2}-\d{2}$'))"),
         ("MM/DD/YYYY", r"COUNT(*) FILTER (WHERE regexp_matches(release_date, '^\d{2}/\d{2}/\d{4}$'))"),
@@ -142,8 +176,9 @@ UNION ALL SELECT 'dim_country', (SELECT COUNT(DISTINCT country) FROM stg_movie_c
 SELECT CAST(o.o_orderkey AS VARCHAR) AS id, c.lit AS production_countries, c.names AS country_names_text,
        CAST(COALESCE(c.n, 0) AS INTEGER) AS country_count
 FROM orders o LEFT JOIN (
-  SELECT l_orderkey, '[' || string_agg('{''iso_3166_1'': ''' || CAST(n_nationkey AS VARCHAR) || ''', ''name'': '''
-         || n_name || '''}', ', ' ORDER BY n_name, n_nationkey) || ']' AS lit,
+  SELECT l_orderkey, '[' || string_agg('{''iso_3166_1'': ''' || CAST(n_nationkey AS VARCHAR) || ''', ''name'': '
+         || CASE n_nationkey % 5 WHEN 1 THEN '"' || n_name || '"' ELSE '''' || replace(n_name, 'É', '\\xc9') || '''' END
+         || CASE n_nationkey % 5 WHEN 3 THEN ', ''note'': None' ELSE '' END || '}', ', ' ORDER BY n_name, n_nationkey) || ']' AS lit,
          string_agg(n_name, ',' ORDER BY n_name, n_nationkey) AS names, COUNT(*) AS n
   FROM (SELECT DISTINCT l_orderkey, n_name, n_nationkey FROM li WHERE n_name IS NOT NULL) GROUP BY l_orderkey) c
 ON o.o_orderkey = c.l_orderkey"""

@@ -75,3 +75,33 @@ def test_distinct_sketches_roll_up(spark):
     assert set(got) == set(true) and all(abs(got[g] - true[g]) <= SKETCH_BOUND * true[g] for g in true)
     whole = distinct_rollup(fine, [], "n").first().n
     assert abs(whole - 20_000) <= SKETCH_BOUND * 20_000
+
+
+def test_observed_counts_in_one_scan(spark, frame, tmp_path):
+    from pyspark.sql import functions as F
+    frame.unionByName(frame.limit(3)).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    flags = {("values", "large"): F.col("twice") > 6, ("values", "blank"): F.col("title") == ""}
+    got_df = profile.observe(df, "id", ["id", "title", "v"], {"twice": F.col("v") * 2}, flags, "m")
+    got = {(r.report, r.item): r.value for r in got_df.collect()}
+    pdf = df.toPandas()
+    ids = pdf["id"].astype(object).where(pdf["id"].notna(), None)
+    want = {("ids", "rows"): len(pdf), ("ids", "unique_ids"): ids.nunique(dropna=True), ("ids", "null_ids"): int(ids.isna().sum()),
+            ("ids", "duplicate_rows_on_id"): int(ids.duplicated().sum()), ("ids", "exact_duplicate_rows"): int(pdf.duplicated().sum()),
+            ("values", "large"): int((pdf["v"] > 3).sum()), ("values", "blank"): int((pdf["title"] == "").sum()),
+            **{("nulls", c): int(pdf[c].isna().sum()) for c in pdf.columns}, ("nulls", "twice"): int(pdf["v"].isna().sum())}
+    assert got == want
+    assert got_df._jdf.queryExecution().sparkPlan().toString().count("FileScan parquet") == 1
+    none = profile.observe(df.limit(0), "id", ["id", "title", "v"], {}, {}, "m").collect()
+    assert len(none) == 8 and {r.value for r in none} == {0}
+
+
+def test_describe_matches_pandas(spark, frame):
+    nan = spark.createDataFrame([(float("nan"),), (2.0,), (None,)], "w double")
+    empty = spark.createDataFrame([(None,)], "x double")
+    got = {r.column: r for r in profile.describe_many([("m", frame, ["v"]), ("n", nan, ["w"]), ("e", empty, ["x"])]).collect()}
+    v = frame.toPandas()["v"].describe()
+    r = got["v"]
+    assert [r["count"], r.mean, r.std, r.min, r.p25, r.p50, r.p75, r.max] == [pytest.approx(x, abs=1e-6) for x in v]
+    assert (got["w"]["count"], got["w"].mean, got["w"].std, got["w"].p50) == (1, 2.0, None, 2.0)
+    assert "x" not in got
