@@ -3,7 +3,8 @@
 The patterns find e-mail addresses, IP addresses, card and phone numbers.  A
 character-level bidirectional LSTM with CRF transitions, trained in numpy from
 labelled spans, reads the text in overlapping windows and adds forms that the
-patterns miss, such as ``name (at) host.org`` or a phone number without ``+``.
+patterns miss, such as ``name at host dot org`` or a phone number without ``+``.
+A span that it finds must have what its kind needs (``plausible``).
 Windows are decoded alone; their spans are then reconciled over the whole text.
 """
 
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +27,8 @@ WINDOW, STRIDE = 160, 96  # code points; a span of up to 64 lies whole in a wind
 CROP = 80  # code points of a training example
 #: Bound on the labelled rows that reach the driver for training: windows with and without spans.
 MOST_LABELLED, MOST_CLEAN = 400, 200
-STEPS, BATCH, EMBED, HIDDEN = 220, 32, 12, 16
+MADE_UP = 4000  # written forms and look-alikes put into the sample's texts
+STEPS, BATCH, EMBED, HIDDEN = 300, 96, 12, 20
 LEAST_SCORE = 0.2  # mean margin over "outside" of an added span
 
 Span = tuple[int, int, int]  # start, end, kind number
@@ -36,8 +39,15 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-#: Every form of the four kinds holds a digit, an at sign or a written (at).
-TRIGGER = re.compile(r"[0-9@]|[(\[] ?(?:at|AT) ?[)\]]")
+#: Written forms of "@" and "."; a bare word counts for "@" only where one counts for "." after it.
+AT = r"(?:@|[(\[{<] ?at ?[)\]}>])"
+DOT = r"(?:\.|[(\[{<] ?(?:dot|\.) ?[)\]}>])"
+#: Every form of the four kinds holds a digit, an at sign or a written one.
+TRIGGER = re.compile(r"[0-9@]|[(\[{<] ?[aA][tT] ?[)\]}>]|\b[aA][tT] (?=[A-Za-z0-9-]{1,40} (?:[dD][oO][tT]|[(\[{<] ?[dD][oO][tT]))")
+EMAIL_FORM = re.compile(rf"[a-z0-9._%+-]+(?: ?{AT} ?[a-z0-9-]+(?:(?: ?{DOT} ?| dot )[a-z0-9-]+)+| at [a-z0-9-]+(?: dot [a-z0-9-]+| ?[(\[{{<] ?dot ?[)\]}}>] ?[a-z0-9-]+)+)", re.I)
+IP_FORM = re.compile(rf"[0-9]{{1,3}}(?:{DOT}[0-9]{{1,3}}){{3}}", re.I)
+CARD_FORM = re.compile(r"[0-9]+(?:[ ./-][0-9]+)*")
+PHONE_FORM = re.compile(r"(?:\+|00 ?)?(?:\([0-9]{1,5}\)|[0-9]{1,5})(?:[ ./-]{0,2}(?:\([0-9]{1,5}\)|[0-9]{2,8}))*")
 
 
 def luhn(digits: str) -> bool:
@@ -253,51 +263,74 @@ def _name(rng: np.random.Generator) -> str:
 
 def made_up(rng: np.random.Generator) -> tuple[str, int | None]:
     """A written form and its kind, or a look-alike that is no personal data."""
-    form = int(rng.integers(0, 14))
-    host = f"{_name(rng)}.{_name(rng)[:3]}"
-    at, dot = [(" (at) ", "."), (" [at] ", "."), ("(at)", "."), (" @ ", "."), ("[at]", ".")][int(rng.integers(0, 5))]
+    pick = lambda *xs: xs[int(rng.integers(0, len(xs)))]
+    form = int(rng.integers(0, 20))
+    name, host = _name(rng), [_name(rng), *([_name(rng)] if rng.random() < 0.3 else []), _name(rng)[:3] if rng.random() < 0.5 else pick("com", "org", "net", "info", "example")]
+    if rng.random() < 0.4:
+        name += pick(".", "_", "-", "") + (_name(rng) if rng.random() < 0.7 else _digits(rng, 2))
     area, mid, end = _digits(rng, 3), _digits(rng, 3), _digits(rng, 4)
     if form < 3:
-        return f"{_name(rng)}{at}{host}", 0
-    if form == 3:
-        return f"{_name(rng)}.{_name(rng)}@{host}", 0
-    if form == 4:
-        return f"({area}) {mid}-{end}", 3
-    if form == 5:
-        return f"{area}-{mid}-{end}", 3
-    if form == 6:
-        return f"+{rng.integers(1, 99)} ({area}) {mid}-{end}", 3
+        at = pick(" (at) ", " [at] ", "(at)", "[at]", " @ ", "{at}", " {at} ", "<at>", " (AT) ")
+        return f"{name}{at}{'.'.join(host)}", 0
+    if form < 5:
+        at, dot = pick((" (at) ", " (dot) "), (" [at] ", " [dot] "), ("(at)", "(dot)"), ("[at]", "[dot]"), ("{at}", "{dot}"), (" @ ", " dot "), (" (AT) ", " (DOT) "))
+        return name + at + dot.join(host), 0
+    if form < 7:
+        at, dot = pick((" at ", " dot "), (" AT ", " DOT "), (" at ", " (dot) "))
+        return name + at + dot.join(host), 0
     if form == 7:
-        return ".".join(str(x) for x in rng.integers(0, 256, 4)), 1
-    if form in (8, 9):
+        return f"{name}@{'.'.join(host)}", 0
+    if form == 8:
+        return pick(f"({area}) {mid}-{end}", f"{area}-{mid}-{end}", f"{area}.{mid}.{end}", f"{area} {mid} {end}"), 3
+    if form == 9:
+        return f"{pick('+', '00')}{rng.integers(1, 99)} {pick('', '(0)')}{area} {mid}{pick(' ', '-')}{end}", 3
+    if form in (10, 11, 12):  # national numbers: a zero, then groups of one rule
+        groups = pick([2, 4, 4], [1, 2, 2, 2, 2], [3, 3, 4], [3, 4, 3], [2, 3, 4], [3, 7], [2, 8])
+        sep = pick(" ", " ", "-", ".")
+        parts = [_digits(rng, g) for g in groups]
+        parts[0] = "0" + parts[0]
+        if rng.random() < 0.2:
+            parts[0] = f"({parts[0]})"
+        return sep.join(parts), 3
+    if form == 13:
+        return pick(".", "[.]", "(.)").join(str(x) for x in rng.integers(0, 256, 4)), 1
+    if form in (14, 15):
         body = _digits(rng, 15)
         last = next(d for d in "0123456789" if luhn(body + d))
-        sep = "" if form == 8 else [" ", "-", ".", "/"][int(rng.integers(0, 4))]
+        sep = "" if form == 14 else pick(" ", "-", ".", "/")
         full = body + last
         return sep.join(full[i: i + 4] for i in range(0, 16, 4)), 2
-    if form == 10:
-        return f"{2000 + int(rng.integers(0, 25))}-{rng.integers(10, 13)}-{rng.integers(10, 29)}", None
-    if form == 11:
-        return f"version {rng.integers(1, 9)}.{rng.integers(0, 9)}", None
-    if form == 12:
+    if form == 16:
+        return pick(f"{2000 + int(rng.integers(0, 25))}-{rng.integers(10, 13)}-{rng.integers(10, 29)}", f"{rng.integers(1, 29)}.{rng.integers(1, 13)}.{rng.integers(1950, 2030)}", " ".join(str(x) for x in rng.integers(1900, 2030, 3)), f"{rng.integers(1, 999)},{_digits(rng, 3)},{_digits(rng, 3)}"), None
+    if form == 17:
+        return pick(f"version {rng.integers(1, 9)}.{rng.integers(0, 9)}", f"at {_name(rng)} the dot of {_name(rng)}", f"{_name(rng)} at {_name(rng)}", f"(at {_name(rng)})"), None
+    if form == 18:
         return f'"{hashlib.md5(_digits(rng, 6).encode()).hexdigest()}"', None
-    return _digits(rng, int(rng.integers(1, 8))), None
+    return pick(_digits(rng, int(rng.integers(1, 8))), f"id {_digits(rng, int(rng.integers(9, 13)))}", f"{_digits(rng, 2)}:{_digits(rng, 2)}:{_digits(rng, 2)}"), None
 
 
-def augment(sample: list[tuple[str, list[Span]]], copies: int = 2, seed: int = 11) -> list[tuple[str, list[Span]]]:
-    """The sample, and copies of its texts with one more form in front of a span or at a space."""
+def augment(sample: list[tuple[str, list[Span]]], made: int = MADE_UP, seed: int = 11) -> list[tuple[str, list[Span]]]:
+    """The sample, and ``made`` cuts with one more form in front of a span or at
+    a space, half of them in its texts and half in lines of made-up words."""
     rng = np.random.default_rng(seed)
     out = list(sample)
-    plain = sample or [("the text of a page with words and more words in it", [])]
-    for text, spans in plain * copies + [("a short line of words here", [])] * 100:
+    for n in range(made):
+        text, spans = sample[int(rng.integers(0, len(sample)))] if sample and n % 2 else ("", [])
+        if not text:
+            text = " ".join(_name(rng) + ("" if rng.random() < 0.85 else ".,:;"[int(rng.integers(0, 4))]) for _ in range(int(rng.integers(1, 18))))
         form, kind = made_up(rng)
-        places = [i for i, c in enumerate(text) if c == " " and not any(a <= i < b for a, b, _ in spans)] or [0]
+        places = [i for i, c in enumerate(text) if c == " " and not any(a <= i < b for a, b, _ in spans)] + [len(text)]
         at = places[int(rng.integers(0, len(places)))]
-        new = text[:at] + " " + form + " " + text[at:]
-        moved = [(a + len(form) + 2, b + len(form) + 2, k) if a >= at else (a, b, k) for a, b, k in spans]
+        lead = "" if at and text[at - 1] == " " else " "
+        after = text[at:] if rng.random() < 0.8 else ".,;)"[int(rng.integers(0, 4))] + text[at:]
+        new = text[:at] + lead + form + after
+        begin, grown = at + len(lead), len(new) - len(text)
+        if any(a < at < b for a, b, _ in spans):  # the end of a cut inside a span
+            continue
+        moved = [(a + grown, b + grown, k) if a >= at else (a, b, k) for a, b, k in spans]
         if kind is not None:
-            moved.append((at + 1, at + 1 + len(form), kind))
-        lo = max(0, min(at - int(rng.integers(5, 30)), len(new) - CROP))
+            moved.append((begin, begin + len(form), kind))
+        lo = max(0, min(begin - int(rng.integers(0, 40)), len(new) - CROP)) if len(new) > CROP else 0
         out.append((new[lo: lo + CROP], [(a - lo, b - lo, k) for a, b, k in moved if a >= lo and b <= lo + CROP]))
     return out
 
@@ -380,12 +413,12 @@ class Tagger:
 def plausible(s: str, kind: int) -> bool:
     """Whether an added span has what its kind needs."""
     if kind == 0:
-        return bool(re.fullmatch(r"[A-Za-z0-9._%+-]+ ?(?:@|[(\[] ?(?:at|AT) ?[)\]]) ?[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", s))
+        return bool(EMAIL_FORM.fullmatch(s))
     if kind == 1:
-        return bool(re.fullmatch(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}", s)) and valid_ip(s)
+        return bool(IP_FORM.fullmatch(s)) and all(int(x) <= 255 for x in re.findall("[0-9]+", s))
     if kind == 2:
-        return bool(re.fullmatch(r"[0-9]{4}(?:[ ./-]?[0-9]{2,6}){2,4}", s)) and valid_card(s)
-    return bool(re.fullmatch(r"(?:\+?[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}", s))
+        return bool(CARD_FORM.fullmatch(s)) and valid_card(s)
+    return len(s) <= 40 and bool(PHONE_FORM.fullmatch(s)) and 9 <= sum("0" <= c <= "9" for c in s) <= 15
 
 
 def reconcile(text: str, found: list[tuple[int, int, int, float, float]], base: list[Span]) -> list[Span]:
@@ -393,13 +426,22 @@ def reconcile(text: str, found: list[tuple[int, int, int, float, float]], base:
     united, then the best score wins, then the one nearest a window's middle.
     Base spans stay, and nothing that overlaps one is added."""
     merged: list[list] = []
+    latest: dict[int, list] = {}  # of each kind; by start, so no earlier one reaches further
     for a, b, k, s, off in sorted(found):
-        last = next((m for m in reversed(merged[-4:]) if m[2] == k and a < m[1]), None)
-        if last:
+        last = latest.get(k)
+        if last and a < last[1]:
             last[1], last[3], last[4] = max(last[1], b), max(last[3], s), min(last[4], off)
         else:
-            merged.append([a, b, k, s, off])
-    taken, out = [(a, b) for a, b, _ in base], []
+            latest[k] = [a, b, k, s, off]
+            merged.append(latest[k])
+    # disjoint intervals in order: the last one that begins before an end tells whether any overlaps
+    taken: list[tuple[int, int]] = []
+    for a, b, _ in sorted(base):
+        if taken and a < taken[-1][1]:
+            taken[-1] = (taken[-1][0], max(b, taken[-1][1]))
+        else:
+            taken.append((a, b))
+    out = []
     for a, b, k, s, off in sorted(merged, key=lambda m: (-round(m[3], 4), m[4], m[0], m[2])):
         b = min(b, len(text))  # a last window is padded past its text
         while a < b and text[a].isspace():
@@ -409,9 +451,12 @@ def reconcile(text: str, found: list[tuple[int, int, int, float, float]], base:
         if a >= b or s < LEAST_SCORE:
             continue
         inside_word = a > 0 and text[a - 1].isalnum() or b < len(text) and text[b].isalnum()
-        if inside_word or not plausible(text[a:b], k) or any(x < b and a < y for x, y in taken):
+        if inside_word or not plausible(text[a:b], k):
+            continue
+        place = bisect_left(taken, (b,))
+        if place and taken[place - 1][1] > a:
             continue
-        taken.append((a, b))
+        taken.insert(place, (a, b))
         out.append((a, b, k))
     return out
 
@@ -465,8 +510,10 @@ def find(docs: DataFrame, params: dict[str, np.ndarray], keep: list[str]) -> Dat
     and n_added (those of the network).
 
     Whole texts are read: windows cover each place that a digit, an at sign or
-    a written (at) is in.  Null or empty text: no spans.  No shuffle; equal rows
-    get equal results; empty table: no rows."""
+    a written one is in.  Null or empty text: no spans.  Of spans that overlap the
+    better score stays, of equal ones that nearer the middle of its window, then
+    the earlier.  No shuffle; equal rows get equal results; empty table: no rows.
+    Columns of ``keep`` named like an added one, in any case, are left out."""
     sent = docs.sparkSession.sparkContext.broadcast(params)
     names = ["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added"]
     keep = [c for c in keep if c.lower() not in names]

@@ -100,6 +100,55 @@ def test_network_adds_written_forms(spark, params):
     assert hit >= 0.85 * tot and false == 0
 
 
+#: Written by hand, not by the generator of the training set.
+HELD_OUT = [
+    ("ann (at) host (dot) org", 0), ("ann at host dot org", 0), ("ann [at] host.org", 0), ("ann{at}host.org", 0),
+    ("jane.doe (at) mail.example.com", 0), ("bob_smith [at] company [dot] co [dot] uk", 0), ("info AT firm DOT net", 0),
+    ("sales(at)shop(dot)example", 0), ("m.brown @ school.edu", 0), ("office <at> village.gov", 0),
+    ("peter77 at garden dot com", 0), ("k-lee{at}lab{dot}io", 0), ("020 7946 0958", 3), ("06 12 34 56 78", 3),
+    ("(020) 7946 0958", 3), ("555-123-4567", 3), ("(555) 123-4567", 3), ("030 1234 5678", 3), ("01 23 45 67 89", 3),
+    ("08 9123 4567", 3), ("0171 555 0123", 3), ("0044 20 7946 0958", 3), ("212.555.0187", 3), ("0211-4567890", 3),
+    ("4111/1111/1111/1111", 2), ("5500.0000.0000.0004", 2), ("10[.]0[.]0[.]1", 1), ("192(.)168(.)1(.)20", 1)]
+FRAMES = ["Write to {} for the details of the plan.", "The old house stood near the river, {} and nobody came.", "contact: {}",
+          "words and more words of text here that go on and on until {} then other words follow in the line."]
+
+
+def test_recall_on_forms_written_by_hand(spark, params):
+    cases = [(t.format(f), f"{P.KINDS[k]}:{t.index('{}')}:{t.index('{}') + len(f)}") for f, k in HELD_OUT for t in FRAMES]
+    rows = {r.doc_id: r.spans.split(",") for r in P.find(docs(spark, [t for t, _ in cases]), params, ["doc_id"]).collect()}
+    assert sum(w in rows[i] for i, (_, w) in enumerate(cases)) >= 0.9 * len(cases)
+
+
+def test_clean_documents_get_nothing_added(spark, params):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = P.find(df, params, ["doc_id", "text"]).where("n_email + n_ip + n_card + n_phone = 0").collect()
+    assert len(rows) > 800 and sum(r.n_added for r in rows) <= 0.005 * len(rows)
+
+
+def test_reconcile_against_all_pairs():
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        text = " ".join(P._digits(rng, 12) for _ in range(30))
+        starts = [int(rng.integers(0, 30)) * 13 for _ in range(25)]
+        found = [(a, a + 12 + int(rng.integers(0, 2)) * 13, 3, float(rng.integers(0, 9)), 0.0) for a in starts]
+        base = [(a, a + 12, int(rng.integers(1, 4))) for a in {int(rng.integers(0, 30)) * 13 for _ in range(6)}]
+        merged = []
+        for a, b, k, s, o in sorted(found):
+            if merged and a < merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(b, merged[-1][1]), k, max(s, merged[-1][3]), o)
+            else:
+                merged.append((a, b, k, s, o))
+        taken, want = [(a, b) for a, b, _ in base], []
+        for a, b, k, s, o in sorted(merged, key=lambda m: (-m[3], m[4], m[0])):
+            b = min(b, len(text))
+            if s >= P.LEAST_SCORE and P.plausible(text[a:b], k) and not any(x < b and a < y for x, y in taken):
+                taken.append((a, b))
+                want.append((a, b, k))
+        assert P.reconcile(text, found, base) == want
+    many = [(13 * i, 13 * i + 12, 3, 1.0, 0.0) for i in range(40_000)]
+    assert len(P.reconcile(" ".join(["020794609580"] * 40_000), many, [])) == 40_000
+
+
 def test_windows_are_reconciled():
     text = "x" * 50 + " " + "ab (at) cd.ef" + " y"
     a = text.index("ab (")
