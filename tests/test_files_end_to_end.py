@@ -18,9 +18,9 @@ def test_from_files_matches_generated(spark):
 
     raw = generated_raw(spark, SF)
     d = tempfile.mkdtemp(prefix="landed-")
-    raw.movies_main.orderBy("ingest_seq").drop("ingest_seq").coalesce(1).write.option("header", True).csv(f"{d}/movies")
-    raw.movie_extended.orderBy("ingest_seq").drop("ingest_seq").coalesce(1).write.option("header", True).csv(f"{d}/ext")
-    raw.benchmark.coalesce(1).write.option("header", True).csv(f"{d}/bench")
+    raw.movies_main.orderBy("ingest_seq").drop("ingest_seq").coalesce(1).write.options(header=True, escape='"').csv(f"{d}/movies")
+    raw.movie_extended.orderBy("ingest_seq").drop("ingest_seq").coalesce(1).write.options(header=True, escape='"').csv(f"{d}/ext")
+    raw.benchmark.coalesce(1).write.options(header=True, escape='"').csv(f"{d}/bench")
     rows = [r.asDict(recursive=True) for r in raw.ratings.collect()]          # small fixture file
     with open(f"{d}/ratings.json", "w") as f:
         json.dump(rows, f)
