@@ -62,3 +62,31 @@ def test_landing_keeps_every_order_and_copy(spark, tmp_path):
     got = sorted(map(tuple, rows), key=str)
     assert got == sorted([(1, "R", "a", 4.0, 6.0, ["T1", "T2"], 2), (1, "R", "a", 4.0, 6.0, ["T1", "T2"], 2),
                           (2, None, None, 1.0, 1.0, [], 1), (None, None, None, None, None, None, None)], key=str)
+
+
+def exchanged(plan, key):
+    """Output columns of the exchange on ``key`` in a formatted plan."""
+    part = next(p for p in plan.split("\n\n") if re.search(rf"\) Exchange\n", p) and f"hashpartitioning({key}#" in p)
+    return set(re.findall(r"([a-z_]+)#", next(x for x in part.splitlines() if x.startswith("Input"))))
+
+
+def test_each_shuffle_of_lines_carries_only_what_is_read_later(spark, tmp_path, capsys):
+    at = write_tables(spark, tmp_path)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        staged(spark, at).explain("formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    plan = capsys.readouterr().out
+    numbers = {"l_orderkey", "l_extendedprice", "l_discount", "l_shipdate"}
+    assert exchanged(plan, "l_suppkey") == numbers | {"l_suppkey", "l_partkey"}
+    assert exchanged(plan, "l_partkey") == numbers | {"l_partkey", "s_nationkey"}
+    assert exchanged(plan, "l_orderkey") == numbers | {"s_nationkey", "p_name", "p_type", "p_brand"}
+
+
+def test_a_nation_in_two_rows_counts_a_line_twice(spark, tmp_path):
+    at = write_tables(spark, tmp_path)
+    spark.createDataFrame([(1, "N1", 0)], "n_nationkey int, n_name string, n_regionkey int").write.mode("append").parquet(f"{at}/nation.parquet")
+    got = {r.o_orderkey: (r.sum_price, r.names) for r in staged(spark, at).select("o_orderkey", "sum_price", F.col("nations.name").alias("names")).collect()}
+    assert got == {1: (10.0, ["N1's Isles", "\u00c9N2"]), 2: (2.0, ["N1's Isles"]), None: (None, None)}
