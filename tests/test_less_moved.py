@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.text import literal_or_csv_tokens
 from marquee.operators import percentile
-from marquee.plans import relations
+from marquee.plans import clean, relations
 
 
 def test_percentiles_sort_only_rows_near_the_wanted_ranks(spark, monkeypatch):
@@ -57,3 +57,14 @@ def test_business_rules_build_only_the_models_they_read(spark, monkeypatch):
     assert got == {"test_fact_genre_budget_roi_recommendable_min_sample": 1, "test_fact_movie_performance_budget_quartile_consistency": 1,
                    "test_fact_movie_roi_analysis_profit_consistency": 0, "test_fact_movie_roi_analysis_roi_pct_consistency": 0,
                    "test_stg_movies_roi_eligible_flag_consistency": 0}
+
+
+def test_the_smallest_row_moves_as_one_copy(spark, capsys):
+    from marquee.operators.dedup import keep_smallest
+    df = spark.createDataFrame([(1, "b", 2.0), (1, "a", 3.0), (1, None, 9.0), (2, "c", None), (2, "c", 1.0), (None, "z", 1.0), (None, "y", 5.0)], "id long, title string, budget double")
+    got = sorted(map(tuple, keep_smallest(df, ["id"]).collect()), key=str)
+    assert got == sorted([(1, None, 9.0), (2, "c", None), (None, "y", 5.0)], key=str)
+    clean._dedup_first(df).explain("formatted")
+    moved = next(p for p in capsys.readouterr().out.split("\n\n") if ") Exchange\n" in p)
+    columns = next(x for x in moved.splitlines() if x.startswith("Input")).split("[2]")
+    assert len(columns) == 2  # the id and one packed row
