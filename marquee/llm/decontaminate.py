@@ -21,11 +21,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .util import app_scratch_dir
+from .util import app_scratch_dir, small_batches
 
 WINDOW = 13
 SEGMENT_WORDS = 1 << 19  # words in one segment, about 3 MB of text (one longer text is a segment)
 ROW_GROUP = 8 << 20  # bytes that the index writer holds
+CHUNK_BYTES = 1 << 19  # of text whose words are hashed at once; the scratch arrays take over 30 times as much
 BLOCK_WORDS = 200_000  # benchmark words that are searched in one pass
 INDEX_SCHEMA = "segment long, token long, n int, first int, width int, gaps binary, doc_ids array<long>, starts array<int>, n_words array<int>, text_hashes array<long>"
 MATCH_SCHEMA = "segment long, ordinal int, doc_id long, item_id string, first_word int, n_words int"
@@ -83,7 +84,7 @@ def _segment_batches(segment: int, ids: list, hashes: list, words: list[np.ndarr
 def hash_words(texts: pa.Array, table: np.ndarray, values: np.ndarray, powers: K.Powers) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first text, end, word hashes, words of each text) for chunks of texts."""
     data, off = K.utf8_column(texts)
-    for i, j in K.chunks(off, K.CHUNK_BYTES // 2):
+    for i, j in K.chunks(off, CHUNK_BYTES):
         part, o = data[off[i]: off[j]], off[i: j + 1] - off[i]
         s, e, first = K.word_bounds(part, o, table)
         yield i, j, K.span_hashes(part, s, e, values, powers), np.diff(first)
@@ -116,7 +117,8 @@ def build_index(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or f"{app_scratch_dir(spark)}/token-index-{uuid.uuid4().hex[:12]}"
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash")).mapInArrow(_index_rows, INDEX_SCHEMA)
-    rows.write.option("parquet.block.size", ROW_GROUP).parquet(path)
+    with small_batches(spark):
+        rows.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return spark.read.schema(INDEX_SCHEMA).parquet(path)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .util import materialize
+from .util import materialize, small_batches
 
 BUCKETS = 1 << 15  # hashed n-grams
 GRAM = 3  # bytes, with word ends as one space
@@ -136,9 +136,10 @@ def train(labelled: DataFrame) -> LanguageModel:
     table = np.full((BUCKETS, max(1, len(langs))), 0.1, dtype=np.float32 if len(langs) > 64 else np.float64)
     total = rows.mapInArrow(_count_rows, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     seen = set()
-    for r in total.toLocalIterator():
-        table[r.bucket, code[r.lang]] += r.n
-        seen.add(r.lang)
+    with small_batches(labelled.sparkSession):
+        for r in total.toLocalIterator():
+            table[r.bucket, code[r.lang]] += r.n
+            seen.add(r.lang)
     known = [k for k, x in enumerate(langs) if x in seen]  # a label whose texts have no letter teaches nothing
     table = table[:, known] if known else table[:, :1]
     return LanguageModel([langs[k] for k in known], np.log(table / table.sum(axis=0)).astype(np.float32))

@@ -38,6 +38,7 @@ FREQUENT = 64  # hits of a counter from which its tokens count as frequent
 ORDERS = 3
 EXTRA = 8  # a prefix has size / EXTRA tokens more than one shared token would need
 SALT_FROM = 12  # tokens of a higher class (over 2**12 hits) are dealt to several tasks
+CHUNK_BYTES = 1 << 19  # of text that is shingled at once; the scratch arrays take over 30 times as much
 BLOCK_TOKENS = 1_000_000  # set elements in a block of texts, at most about (8 MB)
 
 
@@ -60,7 +61,7 @@ def _shingle_sets(texts: pa.Array, n: int, table: np.ndarray, values: np.ndarray
     """(text number, sorted distinct shingle hashes, word hashes)."""
     mult = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9), np.uint64(0xD6E8FEB86659FD93)]
     data, off = K.utf8_column(texts)
-    for i, j in K.chunks(off):
+    for i, j in K.chunks(off, CHUNK_BYTES):
         part, o = data[off[i]: off[j]], off[i: j + 1] - off[i]
         s, e, first = K.word_bounds(part, o, table)
         h = K.span_hashes(part, s, e, values, powers)
