@@ -109,3 +109,47 @@ def test_typed_money_and_dates_are_cleaned_as_their_text(spark):
     typed, texts = (clean.clean_movies(d, Scope()) for d in (df, as_text))
     assert typed.dtypes == texts.dtypes
     assert sorted(map(repr, typed.collect())) == sorted(map(repr, texts.collect()))
+
+
+def test_clean_titles_and_written_dates_are_as_before(spark):
+    titles = ["tin cup", "Tin  Cup", " a ", "a\tb", "Été 2", "", None, "---", "a - b", "K x"]
+    low = F.lower("t")
+    slow = F.trim(F.regexp_replace(F.regexp_replace(low, r"[^a-z0-9\s]", " "), r"\s+", " "))
+    df = spark.createDataFrame([(t,) for t in titles], "t string")
+    assert [r.a for r in df.select(text.normalize_title("t").alias("a")).collect()] == [r.b for r in df.select(slow.alias("b")).collect()]
+
+
+def test_dates_are_parsed_as_by_every_format_in_turn(spark):
+    from marquee.functions import dates
+    texts = ["2001-02-03", "2001-2-3", "02-03-2001", "2-3-2001", "02/03/2001", "13/02/2001", "2001-13-40", "+12001-02-03", "-0044-03-15", "44-03-15", "2001/2/3", "2001 2 3",
+             "Jan 5 2016", "5-Jan-16", "January 5th, '16", "5 January 2016", "1/5/16", "2001-02-03T10:00:00", "2001-02", "2001", "-5", "-", "/", "", " ", None, "some day", "2001-02-30", "02-30-2001", "1-1-1-2001"]
+    t = F.trim("t")
+    turns = [F.try_to_date(t, f) for f in dates.MIXED_DATE_FORMATS] + [F.try_to_date(t)] + [dates._written_date(F.lower(t), *form) for form in dates.WRITTEN_DATES]
+    df = spark.createDataFrame([(x,) for x in texts], "t string").select("t", dates.parse_mixed_date("t").cast("string").alias("a"), F.coalesce(*turns).cast("string").alias("b"))
+    rows = df.collect()
+    assert [r.a for r in rows] == [r.b for r in rows] and sum(r.a is not None for r in rows) > 12
+
+
+def test_date_parsing_is_code_that_the_jvm_compiles(spark, capsys):
+    import re
+
+    from marquee.functions import dates
+    spark.range(3).select(F.col("id").cast("string").alias("t")).select(dates.parse_mixed_date("t").alias("d")).explain("codegen")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000  # longer methods stay interpreted
+
+
+def test_bridges_are_distinct_before_they_take_on_the_dimension(spark, capsys):
+    from marquee.operators.multival import bridge
+    mapping = spark.createDataFrame([(1, "A"), (1, "A"), (1, "B"), (None, "A"), (2, None), (3, "C")], "movie_id long, norm string")
+    dim = spark.createDataFrame([("k1", "a", "A"), ("k2", "b", "B"), ("k2", "b", "B"), ("k3", "b2", "B")], "key string, name string, norm string")
+    out = bridge(mapping, dim, "norm", ["key", "name", "norm"])
+    assert out.columns == ["movie_id", "key", "name", "norm"]
+    want = mapping.join(dim, "norm").select("movie_id", "key", "name", "norm").distinct()
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, want.collect()))
+    narrow = bridge(mapping, dim, "norm", ["key"])
+    assert sorted(map(repr, narrow.collect())) == sorted(map(repr, mapping.join(dim, "norm").select("movie_id", "key").distinct().collect()))
+    capsys.readouterr()
+    out.explain()
+    moved = [line for line in capsys.readouterr().out.splitlines() if "Exchange hashpartitioning(movie_id" in line]
+    assert moved and all("key" not in line.split(")")[0] for line in moved)
